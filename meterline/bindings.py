@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.functions.columns import round_to
 from meterline.functions.joins import dimension
 
 # Fixed values of the projection (see FIXTURES.md).
@@ -112,12 +113,13 @@ def zone_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a revenue fact: order_id, customer_id, order_date, revenue."""
+    """Orders as a revenue fact: order_id, customer_id, order_date and
+    revenue as DECIMAL(12,2) (money is summed as decimals, exactly)."""
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("order_date"),
-        F.col("o_totalprice").alias("revenue"),
+        round_to("o_totalprice", 2).cast("decimal(12,2)").alias("revenue"),
     )
 
 

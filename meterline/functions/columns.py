@@ -40,12 +40,21 @@ def null_safe_sum(*cols: str | Column) -> Column:
     return total
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def unit_boundaries(start: str | Column, end: str | Column, unit: str) -> Column:
+    """Number of ``unit`` boundaries crossed from ``start`` to ``end``
+    (negative when ``end`` is earlier); for minutes 00:00:59 -> 00:02:01
+    gives 2, where elapsed whole minutes would give 1."""
+    s = F.unix_seconds(F.date_trunc(unit, _col(start).cast("timestamp")))
+    e = F.unix_seconds(F.date_trunc(unit, _col(end).cast("timestamp")))
+    return ((e - s) / F.lit(_UNIT_SECONDS[unit])).cast("bigint")
+
+
 def minute_boundaries(start: str | Column, end: str | Column) -> Column:
-    """Number of minute boundaries crossed from ``start`` to ``end``
-    (negative when ``end`` is earlier): 00:00:59 -> 00:02:01 gives 2."""
-    s = F.unix_seconds(F.date_trunc("minute", _col(start).cast("timestamp")))
-    e = F.unix_seconds(F.date_trunc("minute", _col(end).cast("timestamp")))
-    return ((e - s) / F.lit(60)).cast("bigint")
+    """Minute boundaries crossed (the trip duration rule)."""
+    return unit_boundaries(start, end, "minute")
 
 
 def month_boundaries(start: str | Column, end: str | Column) -> Column:

@@ -152,8 +152,48 @@ BASE_CTES: dict[str, str] = {
     AND trip_distance >= 0 AND fare_amount >= 0 AND passenger_count > 0""",
     "orders_fact": """
   SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
-         o_totalprice AS revenue
+         CAST(o_totalprice AS DECIMAL(12,2)) AS revenue
   FROM orders""",
+    "raw_orders": """
+  SELECT o_orderkey AS order_id,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+         o_orderdate AS order_date, o_totalprice AS order_amount
+  FROM orders""",
+    "zone_polys": """
+  SELECT LocationID, json_extract_string(geojson, '$.type') AS gtype,
+         CASE WHEN json_extract_string(geojson, '$.type') = 'Polygon'
+              THEN [CAST(json_extract(geojson, '$.coordinates') AS DOUBLE[][][])]
+              ELSE CAST(json_extract(geojson, '$.coordinates') AS DOUBLE[][][][]) END AS polys
+  FROM zone_geojson""",
+    "zone_rings": """
+  SELECT LocationID, ri, ring,
+         list_sum([ring[i][1] * ring[i % len(ring) + 1][2] - ring[i % len(ring) + 1][1] * ring[i][2]
+                   FOR i IN range(1, len(ring) + 1)]) AS c,
+         list_sum([(ring[i][1] + ring[i % len(ring) + 1][1])
+                   * (ring[i][1] * ring[i % len(ring) + 1][2] - ring[i % len(ring) + 1][1] * ring[i][2])
+                   FOR i IN range(1, len(ring) + 1)]) AS x,
+         list_sum([(ring[i][2] + ring[i % len(ring) + 1][2])
+                   * (ring[i][1] * ring[i % len(ring) + 1][2] - ring[i % len(ring) + 1][1] * ring[i][2])
+                   FOR i IN range(1, len(ring) + 1)]) AS y
+  FROM (SELECT LocationID, UNNEST(poly) AS ring, generate_subscripts(poly, 1) AS ri
+        FROM (SELECT LocationID, UNNEST(polys) AS poly FROM zone_polys))""",
+    "zone_measures": """
+  SELECT LocationID,
+         SUM(c * sign(c) * CASE WHEN ri = 1 THEN 1 ELSE -1 END / 2) AS area,
+         SUM(x * sign(c) * CASE WHEN ri = 1 THEN 1 ELSE -1 END / 6) AS mx,
+         SUM(y * sign(c) * CASE WHEN ri = 1 THEN 1 ELSE -1 END / 6) AS my
+  FROM zone_rings GROUP BY LocationID""",
+    "zone_wkt": """
+  SELECT LocationID,
+         'POLYGON (' || array_to_string(
+             ['(' || array_to_string(
+                  [(CASE WHEN p[1] = floor(p[1]) THEN CAST(CAST(floor(p[1]) AS BIGINT) AS VARCHAR) ELSE CAST(p[1] AS VARCHAR) END)
+                   || ' ' ||
+                   (CASE WHEN p[2] = floor(p[2]) THEN CAST(CAST(floor(p[2]) AS BIGINT) AS VARCHAR) ELSE CAST(p[2] AS VARCHAR) END)
+                   FOR p IN ring], ', ') || ')'
+              FOR ring IN polys[1]], ', ') || ')' AS geometry_wkt,
+         to_json({'type': gtype, 'coordinates': polys[1]}) AS geometry_geojson
+  FROM zone_polys WHERE gtype = 'Polygon'""",
     "customers_dim": """
   SELECT c_custkey AS customer_id, c_mktsegment AS customer_segment, r_name AS customer_region
   FROM customer
@@ -164,6 +204,9 @@ BASE_CTES: dict[str, str] = {
 
 def with_base(body: str) -> str:
     ctes = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in BASE_CTES.items())
+    stripped = body.lstrip()
+    if stripped[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{stripped[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
 
 

@@ -6,11 +6,15 @@ projections of ``meterline.bindings``) so its work grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline import bindings
+from meterline.functions.columns import round_to
 from meterline.oracle_sql import r
-from meterline.operators import topk
+from meterline.operators import geo_models, models, profile, timeseries, topk
 from meterline.plans.registry import register
 from meterline.plans.warehouse import TripWarehouse
 from meterline.session import apply_defaults
@@ -51,3 +55,274 @@ def q_fct_trips(spark, sf_dir):
 @register("mart_trips", oracle="SELECT * FROM mart_trips")
 def q_mart_trips(spark, sf_dir):
     return wh(spark, sf_dir).mart_trips()
+
+
+# ---------------------------------------------------------------- column operators
+@register("calculated_total", oracle="""
+SELECT fare_amount, extra, mta_tax, improvement_surcharge, tolls_amount, congestion_surcharge,
+       airport_fee, calculated_total_amount FROM stg_trips""")
+def q_calculated_total(spark, sf_dir):
+    return wh(spark, sf_dir).stg_trips().select(
+        "fare_amount", "extra", "mta_tax", "improvement_surcharge", "tolls_amount",
+        "congestion_surcharge", "airport_fee", "calculated_total_amount")
+
+
+@register("trip_duration", oracle="""
+SELECT tpep_pickup_datetime, tpep_dropoff_datetime, trip_duration_minutes FROM stg_trips""")
+def q_trip_duration(spark, sf_dir):
+    return wh(spark, sf_dir).stg_trips().select(
+        "tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_duration_minutes")
+
+
+@register("date_parts", oracle="""
+SELECT tpep_pickup_datetime, pickup_date, pickup_year, pickup_month, pickup_day_of_week, pickup_hour
+FROM stg_trips""")
+def q_date_parts(spark, sf_dir):
+    return wh(spark, sf_dir).stg_trips().select(
+        "tpep_pickup_datetime", "pickup_date", "pickup_year", "pickup_month",
+        "pickup_day_of_week", "pickup_hour")
+
+
+@register("fare_ratios", oracle="""
+SELECT fare_amount, trip_distance, trip_duration_minutes, fare_per_mile, fare_per_minute FROM mart_trips""")
+def q_fare_ratios(spark, sf_dir):
+    return wh(spark, sf_dir).mart_trips().select(
+        "fare_amount", "trip_distance", "trip_duration_minutes", "fare_per_mile", "fare_per_minute")
+
+
+@register("quality_flags_fct", oracle="""
+SELECT VendorID, trip_duration_minutes, total_amount, calculated_total_amount,
+       missing_vendor_flag, negative_duration_flag, total_amount_mismatch_flag FROM fct_trips""")
+def q_quality_flags_fct(spark, sf_dir):
+    return wh(spark, sf_dir).fct_trips().select(
+        "VendorID", "trip_duration_minutes", "total_amount", "calculated_total_amount",
+        "missing_vendor_flag", "negative_duration_flag", "total_amount_mismatch_flag")
+
+
+@register("quality_flags_mart", oracle="""
+SELECT trip_duration_minutes, total_amount, calculated_total_amount,
+       negative_duration_flag, total_amount_mismatch_flag FROM mart_trips""")
+def q_quality_flags_mart(spark, sf_dir):
+    return wh(spark, sf_dir).mart_trips().select(
+        "trip_duration_minutes", "total_amount", "calculated_total_amount",
+        "negative_duration_flag", "total_amount_mismatch_flag")
+
+
+@register("fct_filter", oracle="""
+SELECT tpep_pickup_datetime, pickup_date, trip_distance, fare_amount, passenger_count FROM fct_trips""")
+def q_fct_filter(spark, sf_dir):
+    return wh(spark, sf_dir).fct_trips().select(
+        "tpep_pickup_datetime", "pickup_date", "trip_distance", "fare_amount", "passenger_count")
+
+
+@register("mart_filter", oracle="""
+SELECT pickup_datetime, pickup_date, trip_distance, fare_amount, passenger_count FROM mart_trips""")
+def q_mart_filter(spark, sf_dir):
+    return wh(spark, sf_dir).mart_trips().select(
+        "pickup_datetime", "pickup_date", "trip_distance", "fare_amount", "passenger_count")
+
+
+@register("lookup_joins", oracle="""
+SELECT t.VendorID, t.RatecodeID, t.payment_type, v.vendor_name, r.rate_code_name, p.payment_name
+FROM stg_trips t
+LEFT JOIN dim_vendor v ON t.VendorID = v.vendor_id
+LEFT JOIN dim_rate_code r ON t.RatecodeID = r.rate_code_id
+LEFT JOIN dim_payment_type p ON t.payment_type = p.payment_type""")
+def q_lookup_joins(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return models.lookup_joins(w.stg_trips(), w.dim_vendor(), w.dim_rate_code(), w.dim_payment_type()).select(
+        "VendorID", "RatecodeID", "payment_type", "vendor_name", "rate_code_name", "payment_name")
+
+
+@register("zone_role_join", oracle="""
+SELECT t.PULocationID, t.DOLocationID, pu.Zone AS pickup_zone, pu.Borough AS pickup_borough,
+       pu.service_zone AS pickup_service_zone, dz.Zone AS dropoff_zone, dz.Borough AS dropoff_borough,
+       dz.service_zone AS dropoff_service_zone
+FROM stg_trips t
+LEFT JOIN stg_zones pu ON t.PULocationID = pu.LocationID
+LEFT JOIN stg_zones dz ON t.DOLocationID = dz.LocationID""")
+def q_zone_role_join(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return models.zone_role_join(w.stg_trips(), w.stg_zones()).select(
+        "PULocationID", "DOLocationID", "pickup_zone", "pickup_borough", "pickup_service_zone",
+        "dropoff_zone", "dropoff_borough", "dropoff_service_zone")
+
+
+@register("clean_orders", oracle="""
+SELECT CAST(order_id AS VARCHAR) AS order_id, COALESCE(customer_id, 'UNKNOWN') AS customer_id,
+       CAST(order_date AS DATE) AS order_date, ROUND(CAST(order_amount AS DECIMAL(10,2)), 2) AS order_amount
+FROM raw_orders WHERE order_date IS NOT NULL""")
+def q_clean_orders(spark, sf_dir):
+    return models.clean_orders(bindings.raw_orders(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- geometry
+@register("zone_wkt", oracle="SELECT LocationID, geometry_wkt FROM zone_wkt")
+def q_zone_wkt(spark, sf_dir):
+    return geo_models.zone_measures(wh(spark, sf_dir).zone_geometry()).select("LocationID", "geometry_wkt")
+
+
+@register("zone_area", oracle="SELECT LocationID, area AS zone_area_sq_meters FROM zone_measures")
+def q_zone_area(spark, sf_dir):
+    return geo_models.zone_measures(wh(spark, sf_dir).zone_geometry()).select("LocationID", "zone_area_sq_meters")
+
+
+@register("zone_centroid", oracle=f"""
+SELECT LocationID, {r('mx / area', 9)} AS zone_centroid_longitude, {r('my / area', 9)} AS zone_centroid_latitude
+FROM zone_measures""")
+def q_zone_centroid(spark, sf_dir):
+    m = geo_models.zone_measures(wh(spark, sf_dir).zone_geometry())
+    return m.select("LocationID", round_to("zone_centroid_longitude", 9).alias("zone_centroid_longitude"),
+                    round_to("zone_centroid_latitude", 9).alias("zone_centroid_latitude"))
+
+
+@register("dim_zones_geo", oracle=f"""
+SELECT b.LocationID, b.Zone, b.Borough, b.service_zone, w.geometry_wkt, w.geometry_geojson,
+       m.area AS zone_area_sq_meters, {r('m.mx / m.area', 9)} AS zone_centroid_longitude,
+       {r('m.my / m.area', 9)} AS zone_centroid_latitude, b._ingested_at
+FROM stg_zones b
+LEFT JOIN zone_measures m ON b.LocationID = m.LocationID
+LEFT JOIN zone_wkt w ON b.LocationID = w.LocationID""")
+def q_dim_zones_geo(spark, sf_dir):
+    d = wh(spark, sf_dir).dim_zones_geo()
+    return d.withColumn("zone_centroid_longitude", round_to("zone_centroid_longitude", 9)) \
+            .withColumn("zone_centroid_latitude", round_to("zone_centroid_latitude", 9))
+
+
+# ---------------------------------------------------------------- profiles
+@register("profile_trips", oracle="""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_trips, MIN(tpep_pickup_datetime) AS earliest_trip,
+       MAX(tpep_pickup_datetime) AS latest_trip,
+       CAST(COUNT(DISTINCT DATE_TRUNC('month', tpep_pickup_datetime)) AS BIGINT) AS months_covered
+FROM raw_trips""")
+def q_profile_trips(spark, sf_dir):
+    return profile.load_profile(wh(spark, sf_dir).raw_trips())
+
+
+@register("zone_count", oracle="SELECT CAST(COUNT(*) AS BIGINT) AS zone_count FROM raw_zones")
+def q_zone_count(spark, sf_dir):
+    return profile.row_count(wh(spark, sf_dir).raw_zones(), "zone_count")
+
+
+@register("distinct_boroughs", oracle="SELECT DISTINCT Borough FROM raw_zones ORDER BY Borough")
+def q_distinct_boroughs(spark, sf_dir):
+    return topk.distinct_sorted(wh(spark, sf_dir).raw_zones(), "Borough")
+
+
+NULL_COLS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "fare_amount"]
+
+
+@register("null_counts", oracle="SELECT " + ", ".join(
+    f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_{c}" for c in NULL_COLS)
+    + " FROM raw_trips")
+def q_null_counts(spark, sf_dir):
+    return profile.null_counts(wh(spark, sf_dir).raw_trips(), NULL_COLS)
+
+
+@register("trip_stats", oracle=f"""
+SELECT MIN(tpep_pickup_datetime) AS earliest_trip, MAX(tpep_pickup_datetime) AS latest_trip,
+       {r('AVG(trip_distance)')} AS avg_trip_distance, {r('AVG(fare_amount)')} AS avg_fare_amount
+FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL""")
+def q_trip_stats(spark, sf_dir):
+    return profile.range_stats(wh(spark, sf_dir).raw_trips())
+
+
+@register("model_counts", oracle="""
+SELECT 'fct_trips' AS model, CAST(COUNT(*) AS BIGINT) AS row_count FROM fct_trips
+UNION ALL SELECT 'mart_trips', CAST(COUNT(*) AS BIGINT) FROM mart_trips""")
+def q_model_counts(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return profile.model_counts({"fct_trips": w.fct_trips(), "mart_trips": w.mart_trips()})
+
+
+@register("fact_quality", oracle="""
+SELECT CAST(SUM(total_amount_mismatch_flag) AS BIGINT) AS total_mismatches,
+       CAST(SUM(negative_duration_flag) AS BIGINT) AS negative_durations,
+       CAST(COUNT(DISTINCT pickup_borough) AS BIGINT) AS pickup_boroughs,
+       CAST(COUNT(DISTINCT dropoff_borough) AS BIGINT) AS dropoff_boroughs
+FROM fct_trips""")
+def q_fact_quality(spark, sf_dir):
+    return profile.fact_quality(wh(spark, sf_dir).fct_trips())
+
+
+@register("trip_count", oracle="SELECT CAST(COUNT(*) AS BIGINT) AS trip_count FROM mart_trips")
+def q_trip_count(spark, sf_dir):
+    return profile.row_count(wh(spark, sf_dir).mart_trips(), "trip_count")
+
+
+@register("table_profile", oracle="""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) AS unique_keys,
+       MIN(o_orderdate) AS min_date, MAX(o_orderdate) AS max_date FROM orders""")
+def q_table_profile(spark, sf_dir):
+    return profile.table_profile(bindings.table(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate")
+
+
+RECONCILE_DROPPED_BOROUGH = "AFRICA"
+
+
+@register("reconcile", oracle=f"""
+SELECT 'fct_trips' AS table_name,
+       CAST(COUNT(*) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}') AS BIGINT) AS dev_rows,
+       CAST(COUNT(*) AS BIGINT) AS prod_rows,
+       CAST(COUNT(*) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}') - COUNT(*) AS BIGINT) AS row_variance,
+       CAST(SUM(calculated_total_amount) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}') AS DECIMAL(38,2)) AS dev_key_sum,
+       CAST(SUM(calculated_total_amount) AS DECIMAL(38,2)) AS prod_key_sum,
+       CAST(COALESCE(SUM(calculated_total_amount) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}'), 0)
+            - COALESCE(SUM(calculated_total_amount), 0) AS DECIMAL(38,2)) AS key_sum_variance
+FROM fct_trips""")
+def q_reconcile(spark, sf_dir):
+    """Prod = the fact; dev = the fact without one borough (a model change)."""
+    fct = wh(spark, sf_dir).fct_trips()
+    dev = fct.where(~F.col("pickup_borough").eqNullSafe(RECONCILE_DROPPED_BOROUGH))
+    return profile.reconcile({"fct_trips": (dev, fct)}, "calculated_total_amount")
+
+
+FRESHNESS_NOW = dt.datetime(2024, 2, 1, 0, 0, 0)
+FRESHNESS_MAX_LAG_HOURS = 24
+
+
+@register("freshness", oracle=f"""
+SELECT MAX(ts) AS latest_at, date_diff('hour', MAX(ts), TIMESTAMP '{FRESHNESS_NOW:%Y-%m-%d %H:%M:%S}') AS lag_hours,
+       date_diff('hour', MAX(ts), TIMESTAMP '{FRESHNESS_NOW:%Y-%m-%d %H:%M:%S}') <= {FRESHNESS_MAX_LAG_HOURS} AS is_fresh
+FROM events""")
+def q_freshness(spark, sf_dir):
+    return profile.freshness(bindings.table(spark, sf_dir, "events"), "ts", FRESHNESS_NOW,
+                             FRESHNESS_MAX_LAG_HOURS)
+
+
+# ---------------------------------------------------------------- revenue patterns
+@register("daily_revenue", oracle="""
+SELECT o.order_date, c.customer_segment, c.customer_region,
+       CAST(SUM(o.revenue) AS DECIMAL(38,2)) AS daily_revenue,
+       CAST(COUNT(DISTINCT o.customer_id) AS BIGINT) AS unique_customers,
+       CAST(COUNT(o.order_id) AS BIGINT) AS order_count
+FROM orders_fact o LEFT JOIN customers_dim c ON o.customer_id = c.customer_id
+GROUP BY 1, 2, 3""")
+def q_daily_revenue(spark, sf_dir):
+    out = timeseries.daily_revenue(bindings.orders_fact(spark, sf_dir), bindings.customers_dim(spark, sf_dir),
+                                   amount="revenue")
+    return out.withColumn("daily_revenue", F.col("daily_revenue").cast("decimal(38,2)"))
+
+
+@register("cohort_revenue", oracle="""
+WITH first_purchase AS (
+  SELECT customer_id, MIN(order_date) AS cohort_date FROM orders_fact GROUP BY customer_id)
+SELECT fp.cohort_date, DATE_DIFF('month', fp.cohort_date, o.order_date) AS months_since_first,
+       CAST(COUNT(DISTINCT o.customer_id) AS BIGINT) AS active_customers,
+       CAST(SUM(o.revenue) AS DECIMAL(38,2)) AS cohort_revenue
+FROM orders_fact o JOIN first_purchase fp ON o.customer_id = fp.customer_id
+GROUP BY 1, 2""")
+def q_cohort_revenue(spark, sf_dir):
+    out = timeseries.cohort_revenue(bindings.orders_fact(spark, sf_dir))
+    return out.withColumn("cohort_revenue", F.col("cohort_revenue").cast("decimal(38,2)"))
+
+
+@register("rolling_revenue", oracle=f"""
+WITH daily AS (SELECT order_date, SUM(revenue) AS daily_revenue FROM orders_fact GROUP BY order_date)
+SELECT order_date, CAST(daily_revenue AS DECIMAL(38,2)) AS daily_revenue,
+       {r('AVG(CAST(daily_revenue AS DOUBLE)) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS revenue_7day_avg,
+       {r('AVG(CAST(daily_revenue AS DOUBLE)) OVER (ORDER BY order_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)')} AS revenue_30day_avg
+FROM daily""")
+def q_rolling_revenue(spark, sf_dir):
+    out = timeseries.rolling_revenue(bindings.orders_fact(spark, sf_dir), amount="revenue")
+    return out.withColumn("daily_revenue", F.col("daily_revenue").cast("decimal(38,2)"))
