@@ -150,6 +150,13 @@ BASE_CTES: dict[str, str] = {
   FROM stg_trips
   WHERE pickup_date >= {DATE_MIN} AND pickup_date <= {DATE_MAX}
     AND trip_distance >= 0 AND fare_amount >= 0 AND passenger_count > 0""",
+    "dim_zones_geo": """
+  SELECT b.LocationID, b.Zone, b.Borough, b.service_zone, w.geometry_wkt, w.geometry_geojson,
+         m.area AS zone_area_sq_meters, m.mx / m.area AS zone_centroid_longitude,
+         m.my / m.area AS zone_centroid_latitude, b._ingested_at
+  FROM stg_zones b
+  LEFT JOIN zone_measures m ON b.LocationID = m.LocationID
+  LEFT JOIN zone_wkt w ON b.LocationID = w.LocationID""",
     "orders_fact": """
   SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
          CAST(o_totalprice AS DECIMAL(12,2)) AS revenue
@@ -201,6 +208,9 @@ BASE_CTES: dict[str, str] = {
   LEFT JOIN region ON n_regionkey = r_regionkey""",
 }
 
+# CTEs may only reference earlier ones: move the zone dimension after its inputs.
+BASE_CTES["dim_zones_geo"] = BASE_CTES.pop("dim_zones_geo")
+
 
 def with_base(body: str) -> str:
     ctes = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in BASE_CTES.items())
@@ -214,3 +224,62 @@ def r(expr: str, digits: int = 4) -> str:
     """Binary-scaled rounding, the twin of ``functions.columns.round_to``."""
     scale = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
     return f"(ROUND(({expr}) * {scale}, 0) / {scale})"
+
+
+# Model names of the check suite -> base CTE names above.
+SUITE_MODELS = {
+    "stg_taxi_trips": "stg_trips", "stg_taxi_zones": "stg_zones", "fct_taxi_trips": "fct_trips",
+    "mart_taxi_trips": "mart_trips", "dim_taxi_zones_geospatial": "dim_zones_geo",
+    "dim_vendor": "dim_vendor", "dim_rate_code": "dim_rate_code", "dim_payment_type": "dim_payment_type",
+}
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return f"DATE '{v}'" if hasattr(v, "isoformat") else repr(v)
+
+
+def _failures_sql(check) -> str:
+    t, c = SUITE_MODELS[check.model], check.column
+    k = check.kind
+    if k == "not_null":
+        return f"SELECT COUNT(*) FILTER (WHERE {c} IS NULL) FROM {t}"
+    if k == "accepted_range":
+        conds = []
+        if check.args["min"] is not None:
+            conds.append(f"{c} >= {_lit(check.args['min'])}")
+        if check.args["max"] is not None:
+            conds.append(f"{c} <= {_lit(check.args['max'])}")
+        return f"SELECT COUNT(*) FROM {t} WHERE NOT ({' AND '.join(conds)})"
+    if k == "expression":
+        return f"SELECT COUNT(*) FROM {t} WHERE NOT ({check.args['sql']})"
+    if k == "date_past":
+        return f"SELECT COUNT(*) FROM {t} WHERE {c} >= {_lit(check.args['today'])}"
+    if k == "row_count":
+        return f"SELECT CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END FROM {t}"
+    if k == "accepted_values":
+        vals = ", ".join(_lit(v) for v in check.args["values"])
+        return (f"SELECT COUNT(*) FROM (SELECT {c} AS v FROM {t} GROUP BY {c}) "
+                f"WHERE v NOT IN ({vals})")
+    if k == "unique":
+        return (f"SELECT COUNT(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING COUNT(*) > 1)")
+    if k == "relationships":
+        p, f = SUITE_MODELS[check.args["to"]], check.args["field"]
+        return (f"SELECT COUNT(*) FROM (SELECT {c} AS k FROM {t} WHERE {c} IS NOT NULL) ch "
+                f"LEFT JOIN (SELECT {f} AS pk FROM {p}) pa ON ch.k = pa.pk WHERE pa.pk IS NULL")
+    raise ValueError(k)
+
+
+def check_sql(check) -> str:
+    col = _lit(check.column) if check.column else "CAST(NULL AS VARCHAR)"
+    failures = f"CAST(({_failures_sql(check)}) AS BIGINT)"
+    return (f"SELECT {_lit(check.name)} AS test_name, {_lit(check.model)} AS model, {col} AS column_name, "
+            f"{_lit(check.kind)} AS test_type, {_lit(check.severity)} AS severity, {failures} AS failures")
+
+
+def suite_sql(checks) -> str:
+    body = "\nUNION ALL\n".join(check_sql(ch) for ch in checks)
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+            f"ELSE 'fail' END AS status FROM (\n{body}\n)")

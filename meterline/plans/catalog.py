@@ -1,3 +1,12 @@
 """Import every module that registers queries."""
 
-from meterline.plans import trip_queries  # noqa: F401
+from meterline.plans import quality_queries, trip_queries  # noqa: F401
+
+
+def ensure_oracles() -> None:
+    """Oracles that are derived from Spark Column objects need a live session."""
+    from pyspark import SparkContext
+    if SparkContext._active_spark_context is None:
+        from meterline.session import get_session
+        get_session("local[1]")
+    quality_queries.register_oracles()
