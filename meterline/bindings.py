@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions.columns import round_to
+from meterline.functions.columns import to_decimal
 from meterline.functions.joins import dimension
 
 # Fixed values of the projection (see FIXTURES.md).
@@ -119,7 +119,7 @@ def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("order_date"),
-        round_to("o_totalprice", 2).cast("decimal(12,2)").alias("revenue"),
+        to_decimal("o_totalprice", 12, 2).alias("revenue"),
     )
 
 

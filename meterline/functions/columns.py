@@ -16,19 +16,45 @@ def _col(c: str | Column) -> Column:
 
 
 def round_to(c: str | Column, digits: int) -> Column:
-    """Round a double half away from zero after scaling in binary.
+    """Round a double to ``digits`` decimals, half away from zero, on the
+    binary value: ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``.
 
-    ``round(x * 10^d) / 10^d`` evaluates identically in Spark and in
-    engines that round doubles in binary, unlike ``round(x, d)`` which
-    Spark applies to the decimal text of the double."""
-    scale = float(10 ** digits)
-    return F.round(_col(c) * F.lit(scale), 0) / F.lit(scale)
+    Spark's ``round(x, d)`` rounds the decimal text of the double, so a
+    value sitting on a tie can round differently from engines that round
+    in binary; this form is the same IEEE arithmetic everywhere."""
+    x = _col(c)
+    scale = F.lit(float(10 ** digits))
+    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
 
 
-def as_decimal_2(c: str | Column) -> Column:
-    """double -> DECIMAL(10,2), scaling by 100 and rounding first (the
+EXACT_SCALE = 6
+
+
+def exact_sum(c: str | Column, scale: int = EXACT_SCALE) -> Column:
+    """Sum of a double column computed on DECIMAL(38, scale) values, returned
+    as double. Floating sums depend on the order rows meet (partitioning,
+    task timing); a decimal sum does not, so results are identical on any
+    cluster layout and re-aggregations (rollups) equal the base query.
+    Assumes values carry at most ``scale`` decimals (money, miles)."""
+    return F.sum(_col(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_avg(c: str | Column, scale: int = EXACT_SCALE) -> Column:
+    """Average as ``exact_sum / count`` (NULL when no non-NULL values)."""
+    n = F.count(_col(c))
+    return F.when(n > 0, exact_sum(c, scale) / n)
+
+
+def to_decimal(c: str | Column, precision: int = 10, scale: int = 2) -> Column:
+    """double -> DECIMAL(p,s), scaling by 10^s and rounding first (the
     reference's cast), so 1.005 becomes 1.00 rather than 1.01."""
-    return round_to(c, 2).cast("decimal(10,2)")
+    k = float(10 ** scale)
+    return (F.round(_col(c) * F.lit(k), 0) / F.lit(k)).cast(f"decimal({precision},{scale})")
+
+
+def as_decimal_2(c: str | Column) -> Column:
+    """double -> DECIMAL(10,2) (the calculated-total cast)."""
+    return to_decimal(c, 10, 2)
 
 
 def null_safe_sum(*cols: str | Column) -> Column:

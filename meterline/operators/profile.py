@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.columns import round_to, unit_boundaries
+from meterline.functions.columns import exact_avg, round_to, unit_boundaries
 
 
 def load_profile(trips: DataFrame, ts_col: str = "tpep_pickup_datetime") -> DataFrame:
@@ -35,7 +35,7 @@ def range_stats(trips: DataFrame, ts_col: str = "tpep_pickup_datetime",
     ts = F.col(ts_col)
     return trips.where(ts.isNotNull()).agg(
         F.min(ts).alias("earliest_trip"), F.max(ts).alias("latest_trip"),
-        *[round_to(F.avg(c), digits).alias(f"avg_{c}") for c in avg_cols])
+        *[round_to(exact_avg(c), digits).alias(f"avg_{c}") for c in avg_cols])
 
 
 def model_counts(models: dict[str, DataFrame]) -> DataFrame:

@@ -61,6 +61,8 @@ def rolling_revenue(orders: DataFrame, amount: str = "order_amount", date_col: s
     w = Window.partitionBy(*keys).orderBy(date_col) if keys else Window.orderBy(date_col)
     cols = [F.col(c) for c in keys] + [F.col(date_col), F.col("daily_revenue")]
     for n in windows:
-        cols.append(round_to(F.avg(F.col("daily_revenue").cast("double")).over(w.rowsBetween(-(n - 1), 0)), digits)
-                    .alias(f"revenue_{n}day_avg"))
+        frame = w.rowsBetween(-(n - 1), 0)
+        # exact decimal frame sum, then one division: same value on any engine
+        avg = F.sum("daily_revenue").over(frame).cast("double") / F.count("daily_revenue").over(frame)
+        cols.append(round_to(avg, digits).alias(f"revenue_{n}day_avg"))
     return daily.select(*cols)

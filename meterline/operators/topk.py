@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.columns import round_to
+from meterline.functions.columns import exact_avg, round_to
 
 
 def top_boroughs(fct: DataFrame, k: int = 5, borough_col: str = "pickup_borough") -> DataFrame:
@@ -16,8 +16,8 @@ def top_boroughs(fct: DataFrame, k: int = 5, borough_col: str = "pickup_borough"
     as a single TakeOrderedAndProject (no global sort)."""
     return (fct.groupBy(borough_col)
                .agg(F.count(F.lit(1)).alias("trip_count"),
-                    round_to(F.avg("trip_distance"), 4).alias("avg_distance"),
-                    round_to(F.avg("total_amount"), 4).alias("avg_fare"),
+                    round_to(exact_avg("trip_distance"), 4).alias("avg_distance"),
+                    round_to(exact_avg("total_amount"), 4).alias("avg_fare"),
                     F.count("rate_code_name").alias("rated_trips"))
                .orderBy(F.desc("trip_count"), F.asc_nulls_last(borough_col))
                .limit(k))

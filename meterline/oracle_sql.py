@@ -221,9 +221,11 @@ def with_base(body: str) -> str:
 
 
 def r(expr: str, digits: int = 4) -> str:
-    """Binary-scaled rounding, the twin of ``functions.columns.round_to``."""
+    """Half-away-from-zero rounding on the binary value, the twin of
+    ``functions.columns.round_to`` (same IEEE operations)."""
     scale = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
-    return f"(ROUND(({expr}) * {scale}, 0) / {scale})"
+    return (f"(CAST(sign({expr}) AS DOUBLE) * CAST(floor(abs({expr}) * {scale} + CAST(0.5 AS DOUBLE)) AS DOUBLE)"
+            f" / {scale})")
 
 
 # Model names of the check suite -> base CTE names above.
@@ -283,3 +285,13 @@ def suite_sql(checks) -> str:
     body = "\nUNION ALL\n".join(check_sql(ch) for ch in checks)
     return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
             f"ELSE 'fail' END AS status FROM (\n{body}\n)")
+
+
+def xsum(expr: str, scale: int = 6) -> str:
+    """Twin of ``functions.columns.exact_sum``."""
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE)"
+
+
+def xavg(expr: str, scale: int = 6) -> str:
+    """Twin of ``functions.columns.exact_avg``."""
+    return f"(CASE WHEN COUNT({expr}) > 0 THEN {xsum(expr, scale)} / COUNT({expr}) END)"

@@ -1,6 +1,6 @@
 """Import every module that registers queries."""
 
-from meterline.plans import quality_queries, trip_queries  # noqa: F401
+from meterline.plans import cube_queries, quality_queries, trip_queries  # noqa: F401
 
 
 def ensure_oracles() -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterline import bindings
 from meterline.functions.columns import round_to
-from meterline.oracle_sql import r
+from meterline.oracle_sql import r, xavg, xsum
 from meterline.operators import geo_models, models, profile, timeseries, topk
 from meterline.plans.registry import register
 from meterline.plans.warehouse import TripWarehouse
@@ -28,7 +28,7 @@ def wh(spark: SparkSession, sf_dir: str) -> TripWarehouse:
 # ---------------------------------------------------------------- flagship (L1)
 @register("top_boroughs", oracle=f"""
 SELECT pickup_borough, CAST(COUNT(*) AS BIGINT) AS trip_count,
-       {r('AVG(trip_distance)')} AS avg_distance, {r('AVG(total_amount)')} AS avg_fare,
+       {r(xavg('trip_distance'))} AS avg_distance, {r(xavg('total_amount'))} AS avg_fare,
        CAST(COUNT(rate_code_name) AS BIGINT) AS rated_trips
 FROM fct_trips GROUP BY pickup_borough
 ORDER BY trip_count DESC, pickup_borough ASC NULLS LAST LIMIT 5""")
@@ -221,7 +221,7 @@ def q_null_counts(spark, sf_dir):
 
 @register("trip_stats", oracle=f"""
 SELECT MIN(tpep_pickup_datetime) AS earliest_trip, MAX(tpep_pickup_datetime) AS latest_trip,
-       {r('AVG(trip_distance)')} AS avg_trip_distance, {r('AVG(fare_amount)')} AS avg_fare_amount
+       {r(xavg('trip_distance'))} AS avg_trip_distance, {r(xavg('fare_amount'))} AS avg_fare_amount
 FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL""")
 def q_trip_stats(spark, sf_dir):
     return profile.range_stats(wh(spark, sf_dir).raw_trips())
@@ -320,8 +320,8 @@ def q_cohort_revenue(spark, sf_dir):
 @register("rolling_revenue", oracle=f"""
 WITH daily AS (SELECT order_date, SUM(revenue) AS daily_revenue FROM orders_fact GROUP BY order_date)
 SELECT order_date, CAST(daily_revenue AS DECIMAL(38,2)) AS daily_revenue,
-       {r('AVG(CAST(daily_revenue AS DOUBLE)) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS revenue_7day_avg,
-       {r('AVG(CAST(daily_revenue AS DOUBLE)) OVER (ORDER BY order_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)')} AS revenue_30day_avg
+       {r('CAST(SUM(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) / COUNT(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS revenue_7day_avg,
+       {r('CAST(SUM(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS DOUBLE) / COUNT(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)')} AS revenue_30day_avg
 FROM daily""")
 def q_rolling_revenue(spark, sf_dir):
     out = timeseries.rolling_revenue(bindings.orders_fact(spark, sf_dir), amount="revenue")
