@@ -1,6 +1,6 @@
 """Import every module that registers queries."""
 
-from meterline.plans import cube_queries, quality_queries, trip_queries  # noqa: F401
+from meterline.plans import cube_queries, load_queries, quality_queries, trip_queries  # noqa: F401
 
 
 def ensure_oracles() -> None:
@@ -10,3 +10,4 @@ def ensure_oracles() -> None:
         from meterline.session import get_session
         get_session("local[1]")
     quality_queries.register_oracles()
+    load_queries.register_oracles()
