@@ -45,6 +45,21 @@ def _weighted_rings(polygons: Column) -> Column:
     return F.flatten(F.transform(polygons, lambda poly: F.transform(poly, ring_terms)))
 
 
+def totals(polygons: Column) -> Column:
+    """struct(a, mx, my): area and area-weighted coordinate sums over all
+    rings (holes negative). Compute once, then derive area and centroid."""
+    return _totals(polygons)
+
+
+def area_of(t: Column) -> Column:
+    return t["a"]
+
+
+def centroid_of(t: Column) -> Column:
+    ok = t["a"] != 0
+    return F.struct(F.when(ok, t["mx"] / t["a"]).alias("x"), F.when(ok, t["my"] / t["a"]).alias("y"))
+
+
 def _totals(polygons: Column) -> Column:
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
     return F.aggregate(_weighted_rings(polygons), zero,
@@ -55,15 +70,12 @@ def _totals(polygons: Column) -> Column:
 
 def area(polygons: Column) -> Column:
     """Area with holes subtracted, summed over the polygons."""
-    return _totals(polygons)["a"]
+    return area_of(_totals(polygons))
 
 
 def centroid(polygons: Column) -> Column:
     """Area-weighted centroid as struct(x, y); NULL for zero area."""
-    t = _totals(polygons)
-    ok = t["a"] != 0
-    return F.struct(F.when(ok, t["mx"] / t["a"]).alias("x"),
-                    F.when(ok, t["my"] / t["a"]).alias("y"))
+    return centroid_of(_totals(polygons))
 
 
 def _num(x: Column) -> Column:

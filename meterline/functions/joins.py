@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
+import threading
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.defaults import BROADCAST_MAX_ROWS
 
+# Size proofs already made in this process: (plan hash, input files, bound) -> bool.
+# A proof holds for the same plan over the same files, so repeated model
+# builds do not re-run the bounded count.
+_PROOFS: dict[tuple, bool] = {}
+_LOCK = threading.Lock()
+
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """Bounded count: reads at most ``max_rows + 1`` rows, never the whole table."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without a stable hash: always count
+        key = None
+    if key is not None:
+        with _LOCK:
+            if key in _PROOFS:
+                return _PROOFS[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None and key[1]:  # only memoize file-backed plans
+        with _LOCK:
+            _PROOFS[key] = ok
+    return ok
 
 
 def dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -24,3 +45,17 @@ def dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
 def literal_dimension(df: DataFrame) -> DataFrame:
     """Broadcast a dimension built from literal rows (its size is fixed in code)."""
     return F.broadcast(df)
+
+
+_LITERALS: "weakref.WeakSet[DataFrame]" = weakref.WeakSet()
+
+
+def literal_frame(spark, rows: list, schema) -> DataFrame:
+    """A DataFrame of rows given in code; marked so size checks skip counting."""
+    df = spark.createDataFrame(rows, schema)
+    _LITERALS.add(df)
+    return df
+
+
+def is_literal(df: DataFrame) -> bool:
+    return df in _LITERALS

@@ -10,13 +10,16 @@ from meterline.functions.joins import dimension
 
 
 def zone_measures(geom: DataFrame) -> DataFrame:
+    """WKT, GeoJSON, area and centroid per zone; the shoelace sums are
+    evaluated once per row and shared by area and centroid."""
     p, t = F.col("polygons"), F.col("geom_type")
-    c = G.centroid(p)
-    return geom.select(
+    with_t = geom.select("LocationID", "polygons", "geom_type", G.totals(p).alias("_t"))
+    c = G.centroid_of(F.col("_t"))
+    return with_t.select(
         "LocationID",
         G.as_wkt(p, t).alias("geometry_wkt"),
         G.as_geojson(p, t).alias("geometry_geojson"),
-        G.area(p).alias("zone_area_sq_meters"),
+        G.area_of(F.col("_t")).alias("zone_area_sq_meters"),
         c["x"].alias("zone_centroid_longitude"),
         c["y"].alias("zone_centroid_latitude"),
     )

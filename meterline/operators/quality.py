@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from meterline import defaults as D
 from meterline.functions.columns import text_key_equals
-from meterline.functions.joins import dimension
+from meterline.functions.joins import dimension, is_literal
 
 ROW_KINDS = ("not_null", "accepted_range", "expression", "date_past", "row_count", "accepted_values")
 
@@ -121,14 +121,19 @@ def _status(failures: Column, severity: Column) -> Column:
              .otherwise(F.lit("fail")))
 
 
+def _sql_text(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _rows_from_counts(agg: DataFrame, checks: list[Check]) -> DataFrame:
-    """One aggregate row with a count per check -> one report row per check."""
-    rows = F.array(*[F.struct(F.lit(ch.name).alias("test_name"), F.lit(ch.model).alias("model"),
-                              F.lit(ch.column).cast("string").alias("column_name"),
-                              F.lit(ch.kind).alias("test_type"), F.lit(ch.severity).alias("severity"),
-                              F.col(f"f{i}").alias("failures"))
-                     for i, ch in enumerate(checks)])
-    return agg.select(F.inline(rows))
+    """One aggregate row with a count per check -> one report row per check
+    (a single generator expression over the one-row aggregate)."""
+    structs = ", ".join(
+        f"named_struct('test_name', {_sql_text(ch.name)}, 'model', {_sql_text(ch.model)}, "
+        f"'column_name', {_sql_text(ch.column)}, 'test_type', {_sql_text(ch.kind)}, "
+        f"'severity', {_sql_text(ch.severity)}, 'failures', CAST(f{i} AS BIGINT))"
+        for i, ch in enumerate(checks))
+    return agg.selectExpr(f"inline(array({structs}))")
 
 
 def run_row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
@@ -153,7 +158,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field_: str,
     """Child keys with no parent row, and how many child rows carry each."""
     keys = key_counts(child, column)
     p = parent.select(F.col(field_).alias("_parent_key")).distinct()
-    p = dimension(p, broadcast_rows)
+    p = F.broadcast(p) if is_literal(parent) else dimension(p, broadcast_rows)
     cond = text_key_equals(keys[column], p["_parent_key"], parent.schema[field_].dataType) \
         if isinstance(child.schema[column].dataType, StringType) else keys[column] == p["_parent_key"]
     return keys.join(p, cond, "left_anti").withColumnRenamed("rows", "orphan_rows")
@@ -247,12 +252,13 @@ def reference_suite(pickup_date_floor: dt.date = D.PICKUP_DATE_FLOOR,
     ]
 
 
-def warehouse_models(wh) -> dict[str, DataFrame]:
-    """Model names of the suite bound to a ``TripWarehouse``."""
-    return {
-        "stg_taxi_trips": wh.stg_trips(), "stg_taxi_zones": wh.stg_zones(),
-        "fct_taxi_trips": wh.fct_trips(), "mart_taxi_trips": wh.mart_trips(),
-        "dim_taxi_zones_geospatial": wh.dim_zones_geo(),
-        "dim_vendor": wh.dim_vendor(), "dim_rate_code": wh.dim_rate_code(),
-        "dim_payment_type": wh.dim_payment_type(),
-    }
+def warehouse_models(wh):
+    """Model names of the suite bound to a ``TripWarehouse`` (built on first use)."""
+    from meterline.plans.cubes import LazyTables
+    return LazyTables({
+        "stg_taxi_trips": wh.stg_trips, "stg_taxi_zones": wh.stg_zones,
+        "fct_taxi_trips": wh.fct_trips, "mart_taxi_trips": wh.mart_trips,
+        "dim_taxi_zones_geospatial": wh.dim_zones_geo,
+        "dim_vendor": wh.dim_vendor, "dim_rate_code": wh.dim_rate_code,
+        "dim_payment_type": wh.dim_payment_type,
+    })

@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.columns import month_boundaries, round_to
+from meterline.defaults import BROADCAST_MAX_ROWS
 from meterline.functions.joins import dimension
 
 
 def daily_revenue(orders: DataFrame, customers: DataFrame, amount: str = "order_amount",
-                  broadcast_rows: int | None = None) -> DataFrame:
+                  broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Revenue, distinct customers and orders by date x segment x region
-    (orders left-joined to customers)."""
+    (orders left-joined to customers). The customer dimension is broadcast
+    when a bounded count proves it small; otherwise it is a shuffle join of
+    the pre-aggregated (date, customer) rows."""
     per_cust_day = orders.groupBy("order_date", "customer_id").agg(
         F.sum(amount).alias("rev"), F.count("order_id").alias("n"))
     cust = customers.select("customer_id", "customer_segment", "customer_region")

@@ -7,7 +7,7 @@ Table keys: ``raw_taxi_trips``, ``raw_taxi_zones``, ``stg_taxi_trips``,
 
 from __future__ import annotations
 
-from meterline.plans.cubes import Cube, CubeSet, Dimension as Dm, Join, Measure as Ms, PreAggregation
+from meterline.plans.cubes import Cube, CubeSet, Dimension as Dm, Join, LazyTables, Measure as Ms, PreAggregation
 
 # Cube, member and column names, member types and joins of the
 # reference's semantic layer (live cubes first, then the kept-but-unmounted set).
@@ -122,12 +122,12 @@ ALL_CUBES = CubeSet([RAW_TAXI_TRIPS, RAW_TAXI_ZONES, FCT_TAXI_TRIPS, TAXI_TRIPS,
                      VENDOR_DIM, RATE_CODE_DIM, PAYMENT_TYPE_DIM, STAGING_TAXI_TEST], exact_scale=EXACT_SCALE)
 
 
-def warehouse_tables(wh) -> dict:
-    """Cube table keys bound to a ``TripWarehouse``."""
-    return {
-        "raw_taxi_trips": wh.raw_trips(), "raw_taxi_zones": wh.raw_zones(),
-        "stg_taxi_trips": wh.stg_trips(), "fct_taxi_trips": wh.fct_trips(),
-        "dim_taxi_zones_geospatial": wh.dim_zones_geo(),
-        "dim_vendor": wh.dim_vendor(), "dim_rate_code": wh.dim_rate_code(),
-        "dim_payment_type": wh.dim_payment_type(),
-    }
+def warehouse_tables(wh) -> "LazyTables":
+    """Cube table keys bound to a ``TripWarehouse`` (built on first use)."""
+    return LazyTables({
+        "raw_taxi_trips": wh.raw_trips, "raw_taxi_zones": wh.raw_zones,
+        "stg_taxi_trips": wh.stg_trips, "fct_taxi_trips": wh.fct_trips,
+        "dim_taxi_zones_geospatial": wh.dim_zones_geo,
+        "dim_vendor": wh.dim_vendor, "dim_rate_code": wh.dim_rate_code,
+        "dim_payment_type": wh.dim_payment_type,
+    })

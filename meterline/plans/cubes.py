@@ -14,8 +14,8 @@ sums (deterministic across partitionings; rollups re-aggregate exactly).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from typing import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,24 @@ from pyspark.sql.types import StringType
 from meterline.functions.columns import exact_avg, exact_sum, text_key_equals
 from meterline.functions.joins import dimension
 
+class LazyTables(Mapping):
+    """Table name -> DataFrame, each built on first access."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 GRANULARITIES = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
 MEASURE_TYPES = ("count", "count_distinct", "sum", "avg", "min", "max")
 

@@ -16,6 +16,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # No broadcast from compile-time size estimates (file sizes understate
+    # in-memory size, and a filtered fact can look small). Broadcasts come
+    # only from explicit hints behind a bounded count (functions.joins) or
+    # from AQE, which decides on sizes measured after the shuffle map stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"

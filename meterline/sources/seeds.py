@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from meterline.functions.joins import literal_frame
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 # The three lookup tables of the reference, in their order.
@@ -50,7 +51,7 @@ SEEDS = {
 
 def seed(spark: SparkSession, name: str) -> DataFrame:
     schema, rows = SEEDS[name]
-    return spark.createDataFrame(rows, schema)
+    return literal_frame(spark, rows, schema)
 
 
 def dim_vendor(spark: SparkSession) -> DataFrame:
