@@ -5,7 +5,7 @@ Sub-packages
 sources    file sources, seeds, zone geometry, incremental loads, sinks and layers
 functions  column builders (typed casts, duration, ratios, geometry) and join helpers
 operators  staging / fact / mart models, profiles, time series, quality checks, top-k
-plans      semantic cubes, rollups and the end-to-end pipeline
+plans      semantic cubes, rollups and the end-to-end job
 streaming  incremental file ingest with Structured Streaming
 """
 

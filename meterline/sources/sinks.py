@@ -12,22 +12,33 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
-def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                 fmt: str = "parquet") -> DataFrame:
-    """Replace the whole dataset at ``path`` and return a scan of it."""
-    w = df.write.mode("overwrite").format(fmt)
+def _writer(df: DataFrame, partition_by: list[str] | None, fmt: str,
+            max_records_per_file: int | None):
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+        # Without a shuffle every task writes a file per partition value
+        # (tasks x months small files); a plain repartition by the
+        # partition columns would put a hot month into one task. The
+        # rebalance hint lets AQE split skewed and merge small partitions.
+        df = df.hint("rebalance", *partition_by)
+    w = df.write.mode("overwrite").format(fmt)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    return w.partitionBy(*partition_by) if partition_by else w
+
+
+def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                 fmt: str = "parquet", max_records_per_file: int | None = None) -> DataFrame:
+    """Replace the whole dataset at ``path`` and return a scan of it.
+    The write goes through Spark's commit protocol: readers see the old or
+    the new dataset, and a lost executor only re-runs its tasks."""
+    _writer(df, partition_by, fmt, max_records_per_file).save(path)
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def full_refresh_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
+def full_refresh_table(df: DataFrame, table: str, partition_by: list[str] | None = None,
+                       max_records_per_file: int | None = None) -> DataFrame:
     """Replace a catalog table (``schema.table``) and return it."""
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(table)
+    _writer(df, partition_by, "parquet", max_records_per_file).saveAsTable(table)
     return df.sparkSession.table(table)
 
 

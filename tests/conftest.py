@@ -15,7 +15,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from meterline.session import get_session
     s = get_session("local[*]", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="meterline-test-ckpt-")})
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="meterline-test-ckpt-"),
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="meterline-test-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

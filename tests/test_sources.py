@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.sources import files, seeds
-from meterline.sources.sinks import Layer, copy_layer, full_refresh, schema_name
+from meterline.sources.sinks import (
+    Layer, copy_layer, create_namespaces, full_refresh, full_refresh_table, schema_name,
+)
 from meterline.sources.incremental import incremental_append
 
 STAMP = dt.datetime(2025, 6, 1)
@@ -83,3 +85,20 @@ def test_incremental_append_equals_full_load(spark, tmp_dir):
     incremental_append(spark, src, target, "ts")  # nothing new: no duplicates
     got = spark.read.parquet(target)
     assert got.count() == 48 and got.select("id").distinct().count() == 48
+
+
+def test_namespaces_and_catalog_tables(spark):
+    create_namespaces(spark, ["raw_ns", schema_name("main", "mart")])
+    create_namespaces(spark, ["raw_ns"])  # idempotent
+    dbs = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+    assert {"raw_ns", "main_mart"} <= dbs
+    t = full_refresh_table(spark.range(4).withColumn("m", F.col("id") % 2), "main_mart.t", partition_by=["m"])
+    assert t.count() == 4
+    assert full_refresh_table(spark.range(2).withColumn("m", F.lit(0)), "main_mart.t", partition_by=["m"]).count() == 2
+
+
+def test_partitioned_refresh_prunes(spark, tmp_dir):
+    df = spark.range(100).withColumn("pickup_month", (F.col("id") % 4).cast("int"))
+    out = full_refresh(df, f"{tmp_dir}/p", partition_by=["pickup_month"], max_records_per_file=10)
+    assert out.where("pickup_month = 1").count() == 25
+    assert {"_SUCCESS", "pickup_month=1"} <= set(os.listdir(f"{tmp_dir}/p"))
