@@ -3,10 +3,10 @@
 A check is data (kind, model, column, arguments, severity). The runner
 turns a model's row-level checks (not_null, accepted_range, expression,
 date_past, row_count, accepted_values) into ONE aggregate over that model,
-so N checks cost one scan. ``unique`` is one group-by per check and
-``relationships`` one anti-join per check, both after map-side
-pre-aggregation of the keys, so a hot key (even a third of all rows) is a
-single row per partition before the shuffle. Results: one row per check.
+so N checks cost one scan; all relationship checks of a model are likewise
+one scan and one anti-join. ``unique`` is one group-by per check. Keys are
+pre-aggregated map-side before any shuffle, so a hot key (even a third of
+all rows) is a single row per partition. Results: one row per check.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from collections.abc import Mapping
+
+from pyspark.sql.types import LongType, NumericType, StringType, StructField, StructType
 
 from meterline import defaults as D
 from meterline.functions.columns import text_key_equals
@@ -169,6 +171,43 @@ def relationship_failures(child: DataFrame, column: str, parent: DataFrame, fiel
         F.coalesce(F.sum("orphan_rows"), F.lit(0)).cast("bigint").alias("f0"))
 
 
+def _norm_keys(child_type, parent_type) -> tuple:
+    """Join-key normal forms (child, parent) so one equi-join serves checks of
+    any key types: numeric parents compare as doubles (text ids such as
+    '1.0' match 1), text parents compare as text."""
+    if isinstance(parent_type, NumericType):
+        cf = (lambda c: c.try_cast("double").cast("string")) if isinstance(child_type, StringType) \
+            else (lambda c: c.cast("double").cast("string"))
+        return cf, lambda p: p.cast("double").cast("string")
+    return (lambda c: c.cast("string")), (lambda p: p.cast("string"))
+
+
+def relationship_failures_fused(child: DataFrame, checks: list[Check],
+                                models: Mapping[str, DataFrame],
+                                broadcast_rows: int = D.BROADCAST_MAX_ROWS) -> DataFrame:
+    """All relationship checks of one child model in ONE scan of the child:
+    (check id, normalized key) pairs are stacked, counted with map-side
+    partial aggregation (a hot key is one row per partition), anti-joined
+    once against the union of the parents' keys, and summed per check."""
+    pairs, parents = [], None
+    for i, ch in enumerate(checks):
+        parent = models[ch.args["to"]]
+        cf, pf = _norm_keys(child.schema[ch.column].dataType, parent.schema[ch.args["field"]].dataType)
+        c = F.col(ch.column)
+        pairs.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("cid"), cf(c).alias("k"))))
+        p = parent.select(F.lit(i).alias("cid"), pf(F.col(ch.args["field"])).alias("k"))
+        parents = p if parents is None else parents.unionByName(p)
+    keys = (child.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull())
+                 .select("p.cid", "p.k").groupBy("cid", "k").agg(F.count(F.lit(1)).alias("n")))
+    parents = parents.distinct()
+    literal = all(is_literal(models[ch.args["to"]]) for ch in checks)
+    parents = F.broadcast(parents) if literal else dimension(parents, broadcast_rows)
+    orphan = keys.join(parents, ["cid", "k"], "left_anti")
+    agg = orphan.agg(*[F.coalesce(F.sum(F.when(F.col("cid") == i, F.col("n"))), F.lit(0)).alias(f"f{i}")
+                       for i in range(len(checks))])
+    return _rows_from_counts(agg, checks)
+
+
 def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """Run checks against named models; one report row per check.
 
@@ -182,14 +221,16 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
             by_model.setdefault(ch.model, []).append(ch)
     for model, chs in by_model.items():
         parts.append(run_row_checks(models[model], chs))
+    rel_by_model: dict[str, list[Check]] = {}
     for ch in checks:
         if ch.kind == "unique":
             parts.append(_rows_from_counts(unique_failures(models[ch.model], ch.column), [ch]))
         elif ch.kind == "relationships":
-            f = relationship_failures(models[ch.model], ch.column, models[ch.args["to"]], ch.args["field"])
-            parts.append(_rows_from_counts(f, [ch]))
+            rel_by_model.setdefault(ch.model, []).append(ch)
         elif ch.kind not in ROW_KINDS:
             raise ValueError(f"unknown check kind {ch.kind}")
+    for model, chs in rel_by_model.items():
+        parts.append(relationship_failures_fused(models[model], chs, models))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
