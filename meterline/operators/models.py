@@ -185,5 +185,5 @@ def clean_orders(raw: DataFrame, key: str = "customer_id", unknown: str = "UNKNO
         F.col("order_id").cast("string").alias("order_id"),
         F.coalesce(F.col(key).cast("string"), F.lit(unknown)).alias(key),
         F.col("order_date").cast("date").alias("order_date"),
-        F.round(as_decimal_2("order_amount"), 2).alias("order_amount"),
+        F.round(as_decimal_2("order_amount"), 2).cast("decimal(10,2)").alias("order_amount"),
     )

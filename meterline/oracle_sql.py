@@ -199,7 +199,7 @@ BASE_CTES: dict[str, str] = {
                    (CASE WHEN p[2] = floor(p[2]) THEN CAST(CAST(floor(p[2]) AS BIGINT) AS VARCHAR) ELSE CAST(p[2] AS VARCHAR) END)
                    FOR p IN ring], ', ') || ')'
               FOR ring IN polys[1]], ', ') || ')' AS geometry_wkt,
-         to_json({'type': gtype, 'coordinates': polys[1]}) AS geometry_geojson
+         CAST(to_json({'type': gtype, 'coordinates': polys[1]}) AS VARCHAR) AS geometry_geojson
   FROM zone_polys WHERE gtype = 'Polygon'""",
     "customers_dim": """
   SELECT c_custkey AS customer_id, c_mktsegment AS customer_segment, r_name AS customer_region
