@@ -144,3 +144,14 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("order_date"),
         F.col("o_totalprice").alias("order_amount"),
     )
+
+
+def _source_version() -> str:
+    import hashlib
+    import inspect
+    import sys
+    return hashlib.sha256(inspect.getsource(sys.modules[__name__]).encode()).hexdigest()[:16]
+
+
+# Changes whenever this module changes, so landed projections are rebuilt.
+VERSION = _source_version()

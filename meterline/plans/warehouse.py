@@ -17,6 +17,7 @@ from meterline import bindings, defaults as D
 from meterline.operators import models
 from meterline.sources import seeds
 from meterline.sources.geometry import zone_geometry_from_geojson
+from meterline.sources.raw_layer import landed
 
 
 @dataclass
@@ -32,15 +33,23 @@ class TripWarehouse:
     _memo: dict = field(default_factory=dict, repr=False)
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, **params) -> "TripWarehouse":
-        """Sources projected from the driver's tables; test date window by default."""
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, land: bool = True, **params) -> "TripWarehouse":
+        """Sources projected from the driver's tables; test date window by default.
+
+        With ``land`` the raw projections are ingested once into the raw
+        layer (``sources.raw_layer``) and every model reads that Parquet,
+        as the reference's models read its raw database."""
         params.setdefault("date_min", bindings.TEST_DATE_MIN)
         params.setdefault("date_max", bindings.TEST_DATE_MAX)
-        return cls(spark,
-                   raw_trips_fn=lambda: bindings.raw_trips(spark, sf_dir),
-                   raw_zones_fn=lambda: bindings.raw_zones(spark, sf_dir),
-                   zone_geojson_fn=lambda: bindings.zone_geojson(spark, sf_dir),
-                   **params)
+        if land:
+            v = bindings.VERSION
+            trips = lambda: landed(spark, "raw_taxi_trips", bindings.raw_trips(spark, sf_dir), v)
+            zones = lambda: landed(spark, "raw_taxi_zones", bindings.raw_zones(spark, sf_dir), v)
+        else:
+            trips = lambda: bindings.raw_trips(spark, sf_dir)
+            zones = lambda: bindings.raw_zones(spark, sf_dir)
+        return cls(spark, raw_trips_fn=trips, raw_zones_fn=zones,
+                   zone_geojson_fn=lambda: bindings.zone_geojson(spark, sf_dir), **params)
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._memo:
