@@ -18,5 +18,6 @@ ACCEPTED_BOROUGHS = ["Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island"
 # Lower bound of the pickup-date expression check on the fact table.
 PICKUP_DATE_FLOOR = dt.date(2023, 1, 1)
 
-# Largest dimension (in rows) we are willing to broadcast after a bounded count.
+# Largest dimension we broadcast after a bounded check: rows and approximate bytes.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024

@@ -8,7 +8,7 @@ import weakref
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.defaults import BROADCAST_MAX_ROWS
+from meterline.defaults import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 # Size proofs already made in this process: (plan hash, input files, bound) -> bool.
 # A proof holds for the same plan over the same files, so repeated model
@@ -17,29 +17,35 @@ _PROOFS: dict[tuple, bool] = {}
 _LOCK = threading.Lock()
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded count: reads at most ``max_rows + 1`` rows, never the whole table."""
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Bounded check of rows AND approximate bytes (length of each row as
+    JSON text, which over-counts numbers and matches strings), reading at
+    most ``max_rows + 1`` rows, never the whole table."""
     try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows, max_bytes)
     except Exception:  # plans without a stable hash: always count
         key = None
     if key is not None:
         with _LOCK:
             if key in _PROOFS:
                 return _PROOFS[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    head = df.limit(max_rows + 1)
+    row = head.select(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))).alias("b")) \
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    ok = row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
     if key is not None and key[1]:  # only memoize file-backed plans
         with _LOCK:
             _PROOFS[key] = ok
     return ok
 
 
-def dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+              max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark ``df`` for a broadcast join when it is proven small.
 
     Beyond the bound the join stays a shuffle join, where AQE's skew-join
     split handles hot keys on the large side."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    return F.broadcast(df) if has_at_most(df, max_rows, max_bytes) else df
 
 
 def literal_dimension(df: DataFrame) -> DataFrame:

@@ -66,3 +66,5 @@ def test_large_dimension_is_not_broadcast(spark):
     assert "broadcast" not in hinted._jdf.queryExecution().analyzed().toString().lower()
     small = dimension(spark.range(0, 5), max_rows=10)
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    wide = spark.range(0, 5).selectExpr("repeat('x', 1000) AS s")
+    assert "broadcast" not in dimension(wide, max_rows=10, max_bytes=2000)._jdf.queryExecution().analyzed().toString().lower()
