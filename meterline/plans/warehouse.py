@@ -16,10 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from meterline import bindings, defaults as D
 from meterline.operators import models
 from meterline.sources import seeds
-from meterline.sources.geometry import zone_geometry_from_geojson
+from meterline.sources.files import ingest_csv, ingest_parquet
+from meterline.sources.geometry import read_feature_collection, zone_geometry_from_geojson
 from meterline.sources.raw_layer import landed
 
 
+# Declared schema of the zone lookup CSV (no type inference in production).
+ZONES_CSV_SCHEMA = "LocationID INT, Borough STRING, Zone STRING, service_zone STRING"
+
+
 @dataclass
 class TripWarehouse:
     spark: SparkSession
@@ -51,6 +56,19 @@ class TripWarehouse:
         return cls(spark, raw_trips_fn=trips, raw_zones_fn=zones,
                    zone_geojson_fn=lambda: bindings.zone_geojson(spark, sf_dir), **params)
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, trips_glob: str, zones_csv: str,
+                   zones_geojson: str | None = None, ingested_at: dt.datetime | None = None,
+                   zones_schema: str | None = ZONES_CSV_SCHEMA, merge_schema: bool = False,
+                   **params) -> "TripWarehouse":
+        """Sources from files: monthly trip Parquet (a glob), the zone lookup
+        CSV and, optionally, zone boundaries as a GeoJSON FeatureCollection.
+        Missing inputs raise FileNotFoundError when the warehouse is built."""
+        trips = ingest_parquet(spark, trips_glob, ingested_at, merge_schema=merge_schema)
+        zones = ingest_csv(spark, zones_csv, zones_schema, ingested_at)
+        geo = (lambda: read_feature_collection(spark, zones_geojson)) if zones_geojson else None
+        return cls(spark, raw_trips_fn=lambda: trips, raw_zones_fn=lambda: zones, zone_geojson_fn=geo, **params)
+
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._memo:
             self._memo[name] = build()
@@ -95,6 +113,8 @@ class TripWarehouse:
         return self._get("zone_geometry", lambda: zone_geometry_from_geojson(self.zone_geojson_fn()))
 
     def dim_zones_geo(self) -> DataFrame:
+        if self.zone_geojson_fn is None:
+            raise ValueError("no zone geometry source configured")
         return self._get("dim_zones_geo", lambda: models_geo.dim_zones_geo(
             self.stg_zones(), self.zone_geometry()))
 

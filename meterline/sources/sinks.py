@@ -32,7 +32,9 @@ def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None
     The write goes through Spark's commit protocol: readers see the old or
     the new dataset, and a lost executor only re-runs its tasks."""
     _writer(df, partition_by, fmt, max_records_per_file).save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    # declared schema: an empty result has no files to infer one from, and
+    # partition columns come back in the original column order
+    return df.sparkSession.read.schema(df.schema).format(fmt).load(path).select(*df.columns)
 
 
 def full_refresh_table(df: DataFrame, table: str, partition_by: list[str] | None = None,
