@@ -10,13 +10,25 @@ from pyspark.sql import functions as F
 from meterline.functions.columns import exact_avg, round_to, unit_boundaries
 
 
+def _profile_cols(ts_col: str) -> list:
+    ts = F.col(ts_col)
+    return [F.count(F.lit(1)).alias("total_trips"), F.min(ts).alias("earliest_trip"),
+            F.max(ts).alias("latest_trip"),
+            F.count_distinct(F.date_trunc("month", ts)).alias("months_covered")]
+
+
+def _null_cols(cols: list[str]) -> list:
+    return [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"null_{c}") for c in cols]
+
+
 def load_profile(trips: DataFrame, ts_col: str = "tpep_pickup_datetime") -> DataFrame:
     """Row count, first/last pickup and number of distinct months (exact)."""
-    ts = F.col(ts_col)
-    return trips.agg(F.count(F.lit(1)).alias("total_trips"),
-                     F.min(ts).alias("earliest_trip"),
-                     F.max(ts).alias("latest_trip"),
-                     F.count_distinct(F.date_trunc("month", ts)).alias("months_covered"))
+    return trips.agg(*_profile_cols(ts_col))
+
+
+def raw_validation(trips: DataFrame, null_cols: list[str], ts_col: str = "tpep_pickup_datetime") -> DataFrame:
+    """Load profile and NULL counts in one aggregate (one scan)."""
+    return trips.agg(*_profile_cols(ts_col), *_null_cols(null_cols))
 
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
@@ -25,8 +37,7 @@ def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
 
 def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """NULL count per column, all in one aggregate (one scan)."""
-    return df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"null_{c}")
-                    for c in cols])
+    return df.agg(*_null_cols(cols))
 
 
 def range_stats(trips: DataFrame, ts_col: str = "tpep_pickup_datetime",
@@ -48,9 +59,11 @@ def model_counts(models: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def fact_quality(fct: DataFrame) -> DataFrame:
-    """Flag totals and distinct borough counts of the fact."""
+def fact_quality(fct: DataFrame, with_count: bool = False) -> DataFrame:
+    """Flag totals and distinct borough counts of the fact (and its row count)."""
+    extra = [F.count(F.lit(1)).alias("row_count")] if with_count else []
     return fct.agg(
+        *extra,
         F.sum("total_amount_mismatch_flag").cast("bigint").alias("total_mismatches"),
         F.sum("negative_duration_flag").cast("bigint").alias("negative_durations"),
         F.count_distinct("pickup_borough").alias("pickup_boroughs"),

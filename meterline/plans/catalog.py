@@ -2,12 +2,6 @@
 
 from meterline.plans import cube_queries, load_queries, quality_queries, trip_queries  # noqa: F401
 
-
-def ensure_oracles() -> None:
-    """Oracles that are derived from Spark Column objects need a live session."""
-    from pyspark import SparkContext
-    if SparkContext._active_spark_context is None:
-        from meterline.session import get_session
-        get_session("local[1]")
-    quality_queries.register_oracles()
-    load_queries.register_oracles()
+# Oracles derived from check lists (no Spark session needed).
+quality_queries.register_oracles()
+load_queries.register_oracles()
