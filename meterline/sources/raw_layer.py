@@ -49,6 +49,24 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
 _DONE: set[str] = set()
 
 
+def tables_fingerprint(spark: SparkSession, base: str, tables: list[str]) -> str:
+    """Fingerprint of ``<base>/<table>.parquet`` files (or folders) by stat;
+    non-local bases fall back to a metadata listing job."""
+    paths = [f"{base.rstrip('/')}/{t}.parquet" for t in tables]
+    if "://" in base and not base.startswith("file:"):
+        return fingerprint(spark, paths)
+    h = hashlib.sha256()
+    for p in paths:
+        local = urllib.parse.urlparse(p).path if p.startswith("file:") else p
+        walk = [(local, [], [""])] if os.path.isfile(local) else os.walk(local)
+        for root, _, names in walk:
+            for n in sorted(names):
+                f = os.path.join(root, n) if n else root
+                st = os.stat(f)
+                h.update(f"{f}|{st.st_size}|{st.st_mtime_ns}\n".encode())
+    return h.hexdigest()[:24]
+
+
 def _complete(spark: SparkSession, path: str) -> bool:
     """Whether a landing finished (its ``_SUCCESS`` marker exists)."""
     if path in _DONE:
