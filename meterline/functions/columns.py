@@ -30,13 +30,28 @@ def round_to(c: str | Column, digits: int) -> Column:
 EXACT_SCALE = 6
 
 
+def exact_total(c: str | Column, scale: int = EXACT_SCALE) -> Column:
+    """Exact sum of a double column as DECIMAL(38, scale), for values with at
+    most ``scale`` decimals (money, miles).
+
+    Each value is split into whole units and millionths (for scale 6), both
+    summed as BIGINT: integer addition is exact and order-free, so the total
+    is the same on any partitioning, and it runs at the speed of a double
+    sum (a DECIMAL(38) buffer is several times slower). The two totals are
+    combined once per group. BIGINT overflow raises under ANSI mode rather
+    than wrapping; the fractional total stays below 10^18 up to 10^12 rows."""
+    x = _col(c)
+    k = 10 ** scale
+    units = F.floor(x)
+    frac = F.floor((x - units) * F.lit(float(k)) + F.lit(0.5))
+    return (F.sum(units).cast(f"decimal(38,{scale})")
+            + (F.sum(frac).cast("decimal(38,0)") / F.lit(k).cast("decimal(38,0)"))).cast(f"decimal(38,{scale})")
+
+
 def exact_sum(c: str | Column, scale: int = EXACT_SCALE) -> Column:
-    """Sum of a double column computed on DECIMAL(38, scale) values, returned
-    as double. Floating sums depend on the order rows meet (partitioning,
-    task timing); a decimal sum does not, so results are identical on any
-    cluster layout and re-aggregations (rollups) equal the base query.
-    Assumes values carry at most ``scale`` decimals (money, miles)."""
-    return F.sum(_col(c).cast(f"decimal(38,{scale})")).cast("double")
+    """``exact_total`` as a double: identical on every cluster layout, and
+    re-aggregations (rollups) equal the base query."""
+    return exact_total(c, scale).cast("double")
 
 
 def exact_avg(c: str | Column, scale: int = EXACT_SCALE) -> Column:

@@ -15,6 +15,8 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.functions.columns import exact_total
+
 from meterline.plans.cubes import (
     GRANULARITIES, Cube, CubeQuery, CubeSet, Measure, PreAggregation, TimeDimension, out_name,
 )
@@ -27,7 +29,7 @@ COARSER = {"day": {"day", "week", "month", "quarter", "year"},
 
 def _parts(m: Measure, col: Column | None, scale: int | None) -> list[tuple[str, Column]]:
     def total(c):
-        return F.sum(c.cast(f"decimal(38,{scale})")) if scale is not None else F.sum(c)
+        return exact_total(c, scale) if scale is not None else F.sum(c)
     if m.type == "count":
         return [("count", F.count(F.lit(1)) if col is None else F.count(col))]
     if m.type == "sum":

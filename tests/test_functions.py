@@ -81,3 +81,12 @@ def test_exact_sum_is_order_free(spark):
     assert a == b and a.s == 1000000.65
     empty = spark.createDataFrame([(None,)], "x double").agg(exact_avg("x").alias("m")).first()
     assert empty.m is None
+
+
+def test_exact_total_equals_decimal_sum(spark):
+    from meterline.functions.columns import exact_total
+    df = spark.range(0, 20000).select(((F.col("id") * 7919 % 200001) / 1000.0 - 100).alias("x"))
+    want = df.agg(F.sum(F.col("x").cast("decimal(38,6)")).alias("s")).first().s
+    for n in (1, 7):
+        got = df.repartition(n).agg(exact_total("x").alias("s")).first().s
+        assert got == want
