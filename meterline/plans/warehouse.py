@@ -48,7 +48,8 @@ class TripWarehouse:
         params.setdefault("date_max", bindings.TEST_DATE_MAX)
         if land:
             v = bindings.VERSION
-            trips = lambda: landed(spark, "raw_taxi_trips", bindings.raw_trips(spark, sf_dir), v)
+            trips = lambda: landed(spark, "raw_taxi_trips", bindings.raw_trips(spark, sf_dir), v,
+                                   cluster_by=["tpep_pickup_datetime"])
             zones = lambda: landed(spark, "raw_taxi_zones", bindings.raw_zones(spark, sf_dir), v)
         else:
             trips = lambda: bindings.raw_trips(spark, sf_dir)

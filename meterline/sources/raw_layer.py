@@ -80,18 +80,25 @@ def _complete(spark: SparkSession, path: str) -> bool:
 
 
 def landed(spark: SparkSession, name: str, df: DataFrame, version: str = "",
-           base: str | None = None) -> DataFrame:
+           base: str | None = None, cluster_by: list[str] | None = None) -> DataFrame:
     """``df`` written once as ``<base>/<name>-<fingerprint>`` and read back.
     ``version`` names the code deriving ``df`` (a change re-lands)."""
     files = df.inputFiles()
     if not files:
         return df
     # inputs + the version of the code that derives the landing
-    key = fingerprint(spark, sorted(files) + [f"version:{version}"])
+    key = fingerprint(spark, sorted(files) + [f"version:{version}|cluster:{cluster_by}"])
     root = base or f"{checkpoint_dir(spark)}/meterline/raw_layer"
     path = f"{root}/{name}-{key}"
     with _LOCK:
         if not _complete(spark, path):
-            df.write.mode("overwrite").parquet(path)
+            out = df
+            if cluster_by:
+                # time-clustered files, like monthly source files: row-group
+                # min/max make time filters selective, and month-partitioned
+                # writes downstream need no shuffle. Range bounds come from a
+                # sample, so a hot month is split over several tasks.
+                out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+            out.write.mode("overwrite").parquet(path)
             _DONE.add(path)
     return spark.read.parquet(path)

@@ -13,13 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _writer(df: DataFrame, partition_by: list[str] | None, fmt: str,
-            max_records_per_file: int | None):
+            max_records_per_file: int | None, distribute: str = "rebalance"):
     if partition_by:
-        # Without a shuffle every task writes a file per partition value
-        # (tasks x months small files); a plain repartition by the
-        # partition columns would put a hot month into one task. The
-        # rebalance hint lets AQE split skewed and merge small partitions.
-        df = df.hint("rebalance", *partition_by)
+        if distribute == "rebalance":
+            # Unclustered input: without a shuffle every task writes a file
+            # per partition value (tasks x months small files), and a plain
+            # repartition by the partition columns would put a hot month
+            # into one task. The rebalance hint lets AQE split skewed and
+            # merge small partitions.
+            df = df.hint("rebalance", *partition_by)
+        elif distribute == "local":
+            # Input already clustered by the partition columns (e.g. one
+            # source file per month): no shuffle, one open writer per task.
+            df = df.sortWithinPartitions(*partition_by)
+        elif distribute != "none":
+            raise ValueError(f"distribute must be rebalance, local or none: {distribute}")
     w = df.write.mode("overwrite").format(fmt)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -27,11 +35,12 @@ def _writer(df: DataFrame, partition_by: list[str] | None, fmt: str,
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                 fmt: str = "parquet", max_records_per_file: int | None = None) -> DataFrame:
+                 fmt: str = "parquet", max_records_per_file: int | None = None,
+                 distribute: str = "rebalance") -> DataFrame:
     """Replace the whole dataset at ``path`` and return a scan of it.
     The write goes through Spark's commit protocol: readers see the old or
     the new dataset, and a lost executor only re-runs its tasks."""
-    _writer(df, partition_by, fmt, max_records_per_file).save(path)
+    _writer(df, partition_by, fmt, max_records_per_file, distribute).save(path)
     # declared schema: an empty result has no files to infer one from, and
     # partition columns come back in the original column order
     return df.sparkSession.read.schema(df.schema).format(fmt).load(path).select(*df.columns)
@@ -64,8 +73,8 @@ class Layer:
         return f"{self.base.rstrip('/')}/{self.name}/{schema}/{table}"
 
     def write(self, df: DataFrame, schema: str, table: str,
-              partition_by: list[str] | None = None) -> DataFrame:
-        return full_refresh(df, self.path(schema, table), partition_by)
+              partition_by: list[str] | None = None, distribute: str = "rebalance") -> DataFrame:
+        return full_refresh(df, self.path(schema, table), partition_by, distribute=distribute)
 
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
         return spark.read.parquet(self.path(schema, table))
