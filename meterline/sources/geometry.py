@@ -21,9 +21,20 @@ def zone_geometry_from_geojson(df: DataFrame, id_col: str = "LocationID",
                      g["type"].alias("geom_type"), g["polygons"].alias("polygons"))
 
 
+def read_geojson_seq(spark, path: str, id_property: str = "LocationID") -> DataFrame:
+    """Line-delimited GeoJSON (one Feature per line) -> (LocationID, geojson).
+    Files split across tasks like any text file: the scalable form for large
+    boundary sets."""
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    return lines.select(
+        F.get_json_object("value", f"$.properties.{id_property}").alias("LocationID"),
+        F.get_json_object("value", "$.geometry").alias("geojson"))
+
+
 def read_feature_collection(spark, path: str, id_property: str = "LocationID") -> DataFrame:
-    """GeoJSON FeatureCollection files -> (LocationID, geojson). One file per
-    collection (multiLine); features are exploded in parallel afterwards."""
+    """GeoJSON FeatureCollection files -> (LocationID, geojson). Each file is
+    read whole by one task (fine for zone sets of a few MB; use
+    ``read_geojson_seq`` for large ones); features are exploded afterwards."""
     raw = spark.read.option("multiLine", True).text(path, wholetext=True)
     features = F.from_json(F.get_json_object("value", "$.features"), "array<string>")
     feats = raw.select(F.explode(features).alias("f"))

@@ -51,3 +51,17 @@ def test_degenerate(spark):
     line = {"type": "Polygon", "coordinates": [[[0, 0], [1, 1]]]}
     r = measures(spark, [line])[0]
     assert r.area == 0.0 and r.c.x is None
+
+
+def test_geojson_sources(spark, tmp_dir):
+    from meterline.sources.geometry import read_feature_collection, read_geojson_seq, zone_geometry_from_geojson
+    feats = [{"type": "Feature", "properties": {"LocationID": i}, "geometry": g}
+             for i, g in ((1, SQUARE_WITH_HOLE), (2, MULTI))]
+    with open(f"{tmp_dir}/fc.geojson", "w") as f:
+        json.dump({"type": "FeatureCollection", "features": feats}, f)
+    with open(f"{tmp_dir}/seq.geojsonl", "w") as f:
+        f.write("\n".join(json.dumps(x) for x in feats) + "\n")
+    for df in (read_feature_collection(spark, f"{tmp_dir}/fc.geojson"), read_geojson_seq(spark, f"{tmp_dir}/seq.geojsonl")):
+        g = zone_geometry_from_geojson(df)
+        got = {r.LocationID: r.a for r in g.select("LocationID", G.area(F.col("polygons")).alias("a")).collect()}
+        assert got == {"1": 11.0, "2": 8.0}
