@@ -64,7 +64,8 @@ def stg_zones(raw: DataFrame) -> DataFrame:
     )
 
 
-def fare_ratios(df: DataFrame) -> list[F.Column]:
+def fare_ratios() -> list[F.Column]:
+    """Fare per mile and per minute, 0 when the divisor is not positive."""
     return [guarded_ratio("fare_amount", "trip_distance").alias("fare_per_mile"),
             guarded_ratio("fare_amount", "trip_duration_minutes").alias("fare_per_minute")]
 
@@ -145,7 +146,7 @@ def fct_trips(stg: DataFrame, zones: DataFrame, vendor: DataFrame, rate_code: Da
     t = zone_role_join(t, zones)
     return t.select(
         *STG_FACT_COLUMNS, *DIM_FACT_COLUMNS,
-        *fare_ratios(t),
+        *fare_ratios(),
         flag(F.col("VendorID").isNull()).alias("missing_vendor_flag"),
         flag(F.col("trip_duration_minutes") <= 0).alias("negative_duration_flag"),
         mismatch_flag(tolerance),
@@ -171,7 +172,7 @@ def mart_trips(stg: DataFrame, date_min: dt.date = D.FACT_DATE_MIN, date_max: dt
     t = stg.where(fact_filter(date_min, date_max, max_passengers=None))
     return t.select(
         *[F.col(c).alias(MART_RENAMES.get(c, c)) for c in MART_COLUMNS],
-        *fare_ratios(t),
+        *fare_ratios(),
         flag(F.col("trip_duration_minutes") < 0).alias("negative_duration_flag"),
         mismatch_flag(tolerance),
         "_ingested_at",

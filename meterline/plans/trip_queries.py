@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from meterline import bindings
 from meterline.functions.columns import round_to
-from meterline.oracle_sql import r, xavg, xsum
+from meterline.oracle_sql import r, xavg
 from meterline.operators import geo_models, models, profile, timeseries, topk
 from meterline.plans.registry import register
 from meterline.plans.warehouse import TripWarehouse
