@@ -136,6 +136,24 @@ class CubeQuery:
     order: tuple[tuple[str, str], ...] = ()
     limit: int | None = None
 
+    @classmethod
+    def from_dict(cls, q: dict) -> "CubeQuery":
+        """The semantic layer's JSON query shape: ``measures``, ``dimensions``,
+        ``timeDimensions`` [{dimension, granularity, dateRange}], ``filters``
+        [{member, operator, values}], ``order`` ({member: dir} or [[member, dir]]),
+        ``limit``."""
+        order = q.get("order") or ()
+        order = tuple(order.items()) if isinstance(order, dict) else tuple(tuple(o) for o in order)
+        tds = []
+        for t in q.get("timeDimensions", ()):
+            rng = t.get("dateRange")
+            if isinstance(rng, str):
+                raise ValueError("relative date ranges are not supported; give [from, to]")
+            tds.append(TimeDimension(t["dimension"], t.get("granularity"), tuple(rng) if rng else None))
+        filters = tuple(Filter(f["member"], f["operator"], tuple(f.get("values", ()))) for f in q.get("filters", ()))
+        return cls(tuple(q.get("measures", ())), tuple(q.get("dimensions", ())), tuple(tds), filters,
+                   order, q.get("limit"))
+
 
 def out_name(member: str, granularity: str | None = None) -> str:
     base = member.replace(".", "_")

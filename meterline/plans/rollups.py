@@ -156,3 +156,38 @@ def materialize(spark: SparkSession, rollup: DataFrame, path: str) -> DataFrame:
 
 
 assert set(COARSER) <= set(GRANULARITIES)
+
+
+class RollupStore:
+    """Materialized rollups, and query routing to them.
+
+    ``query`` answers from the first stored rollup that can serve the query
+    (same cube, subset of its dimensions and measures, same or coarser time
+    grain, filters on its dimensions) and falls back to the base tables."""
+
+    def __init__(self, cubes: CubeSet):
+        self.cubes = cubes
+        self.stored: dict[tuple[str, str], DataFrame] = {}
+
+    def build(self, spark: SparkSession, cube_name: str, pa_name: str, tables: Mapping[str, DataFrame],
+              path: str | None = None) -> DataFrame:
+        """Build a rollup; write it (full refresh) when ``path`` is given."""
+        ro = build_rollup(self.cubes, cube_name, pa_name, tables)
+        if path:
+            ro = materialize(spark, ro, path)
+        self.stored[(cube_name, pa_name)] = ro
+        return ro
+
+    def route(self, q: CubeQuery) -> tuple[str, str] | None:
+        for (cube_name, pa_name) in self.stored:
+            cube = self.cubes[cube_name]
+            pa = next(p for p in cube.pre_aggregations if p.name == pa_name)
+            if can_serve(cube, pa, q):
+                return cube_name, pa_name
+        return None
+
+    def query(self, q: CubeQuery, tables: Mapping[str, DataFrame]) -> DataFrame:
+        hit = self.route(q)
+        if hit is None:
+            return self.cubes.query(q, tables)
+        return serve(self.stored[hit], self.cubes, hit[0], hit[1], q)

@@ -78,3 +78,20 @@ def test_plain_double_mode(spark, tables):
     q = CubeQuery(measures=("TaxiTrips.totalFareAmount",))
     a, b = plain.query(q, tables).first()[0], ALL_CUBES.query(q, tables).first()[0]
     assert abs(a - b) < 1e-6
+
+
+def test_query_from_dict_and_rollup_routing(spark, tables, tmp_dir):
+    q = CubeQuery.from_dict({
+        "measures": ["TaxiTrips.tripCount", "TaxiTrips.avgFareAmount"],
+        "dimensions": ["TaxiTrips.pickupBorough"],
+        "timeDimensions": [{"dimension": "TaxiTrips.pickupDatetime", "granularity": "month"}],
+        "filters": [{"member": "TaxiTrips.pickupBorough", "operator": "notEquals", "values": ["ASIA"]}],
+        "order": {"TaxiTrips.tripCount": "desc"}, "limit": 1000})
+    assert q.time_dimensions[0].granularity == "month" and q.order == (("TaxiTrips.tripCount", "desc"),)
+    store = rollups.RollupStore(ALL_CUBES)
+    store.build(spark, "TaxiTrips", "dailyOperations", tables, path=f"{tmp_dir}/daily_ops")
+    assert store.route(q) == ("TaxiTrips", "dailyOperations")
+    assert rows(store.query(q, tables)) == rows(ALL_CUBES.query(q, tables))
+    other = CubeQuery(measures=("TaxiTrips.totalTips",), dimensions=("TaxiTrips.pickupBorough",))
+    assert store.route(other) is None
+    assert rows(store.query(other, tables)) == rows(ALL_CUBES.query(other, tables))
