@@ -276,23 +276,36 @@ def q_table_profile(spark, sf_dir):
 
 
 RECONCILE_DROPPED_BOROUGH = "AFRICA"
+RECONCILE_DROPPED_LOCATION = "0"
 
 
-@register("reconcile", oracle=f"""
-SELECT 'fct_trips' AS table_name,
-       CAST(COUNT(*) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}') AS BIGINT) AS dev_rows,
+def _reconcile_sql(table: str, dev_filter: str) -> str:
+    dev = f"FILTER (WHERE {dev_filter})"
+    return f"""
+SELECT '{table}' AS table_name,
+       CAST(COUNT(*) {dev} AS BIGINT) AS dev_rows,
        CAST(COUNT(*) AS BIGINT) AS prod_rows,
-       CAST(COUNT(*) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}') - COUNT(*) AS BIGINT) AS row_variance,
-       CAST(SUM(calculated_total_amount) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}') AS DECIMAL(38,2)) AS dev_key_sum,
+       CAST(COUNT(*) {dev} - COUNT(*) AS BIGINT) AS row_variance,
+       CAST(SUM(calculated_total_amount) {dev} AS DECIMAL(38,2)) AS dev_key_sum,
        CAST(SUM(calculated_total_amount) AS DECIMAL(38,2)) AS prod_key_sum,
-       CAST(COALESCE(SUM(calculated_total_amount) FILTER (WHERE pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}'), 0)
+       CAST(COALESCE(SUM(calculated_total_amount) {dev}, 0)
             - COALESCE(SUM(calculated_total_amount), 0) AS DECIMAL(38,2)) AS key_sum_variance
-FROM fct_trips""")
+FROM {table}"""
+
+
+@register("reconcile", oracle=_reconcile_sql(
+    "fct_trips", f"pickup_borough IS DISTINCT FROM '{RECONCILE_DROPPED_BOROUGH}'")
+    + "\nUNION ALL" + _reconcile_sql(
+    "mart_trips", f"pickup_location_id IS DISTINCT FROM '{RECONCILE_DROPPED_LOCATION}'"))
 def q_reconcile(spark, sf_dir):
-    """Prod = the fact; dev = the fact without one borough (a model change)."""
-    fct = wh(spark, sf_dir).fct_trips()
-    dev = fct.where(~F.col("pickup_borough").eqNullSafe(RECONCILE_DROPPED_BOROUGH))
-    return profile.reconcile({"fct_trips": (dev, fct)}, "calculated_total_amount")
+    """Prod = the fact and the mart; dev = the same models after a change
+    that drops one borough (fact) or one pickup location (mart)."""
+    w = wh(spark, sf_dir)
+    fct, mart = w.fct_trips(), w.mart_trips()
+    return profile.reconcile({
+        "fct_trips": (fct.where(~F.col("pickup_borough").eqNullSafe(RECONCILE_DROPPED_BOROUGH)), fct),
+        "mart_trips": (mart.where(~F.col("pickup_location_id").eqNullSafe(RECONCILE_DROPPED_LOCATION)), mart),
+    }, "calculated_total_amount")
 
 
 FRESHNESS_NOW = dt.datetime(2024, 2, 1, 0, 0, 0)
