@@ -64,6 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder when the setting is missing (local runs and tests)."""
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is not shared by a cluster's executors
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS, object store)")
         path = tempfile.mkdtemp(prefix="meterline-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if not spark.sparkContext.getCheckpointDir():
