@@ -110,7 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
     import json
 
-    from meterline.session import get_session
+    from meterline.session import apply_sizing, get_session
 
     ap = argparse.ArgumentParser(prog="python -m meterline.plans.job")
     ap.add_argument("--trips", required=True, help="glob of monthly trip Parquet files")
@@ -124,6 +124,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--date-max", default=str(D.FACT_DATE_MAX), help="last pickup date kept in the marts")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
+    # size shuffles from the input volume (metadata listing only)
+    size = spark.read.format("binaryFile").load(a.trips).agg(F.sum("length")).first()[0] or 0
+    apply_sizing(spark, size)
     lo, hi = dt.date.fromisoformat(a.date_min), dt.date.fromisoformat(a.date_max)
     wh = TripWarehouse.from_files(spark, a.trips, a.zones, a.zones_geojson, date_min=lo, date_max=hi)
     today = dt.date.fromisoformat(a.today) if a.today else None

@@ -77,3 +77,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     return "/".join([checkpoint_dir(spark), "meterline", *parts, uuid.uuid4().hex])
+
+
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024,
+           expansion: float = 3.0) -> dict[str, str]:
+    """Shuffle / scan sizing for a job reading ``input_bytes`` of compressed
+    Parquet on ``total_cores`` executor cores.
+
+    Shuffle partitions aim at ``target_partition_bytes`` of decompressed data
+    each (``expansion`` = in-memory size / Parquet size) as if the whole
+    input were shuffled, clamped to 3..50 waves of tasks: the plans here
+    shuffle partial aggregates and keys, never the raw fact, and past ~50
+    waves the map x reduce block count costs more than it saves. AQE then
+    coalesces small partitions and splits skewed ones. Scan splits grow to
+    256 MB for large inputs to keep the task count sane."""
+    wanted = int(input_bytes * expansion // target_partition_bytes) + 1
+    shuffle_parts = min(max(3 * total_cores, wanted), 50 * total_cores)
+    split = 256 * 1024 * 1024 if input_bytes > 1 << 40 else 128 * 1024 * 1024
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
+def apply_sizing(spark: SparkSession, input_bytes: int, total_cores: int | None = None) -> dict[str, str]:
+    """Set ``sizing`` on a session (cores default to the default parallelism)."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    conf = sizing(input_bytes, cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -68,3 +68,14 @@ def test_large_dimension_is_not_broadcast(spark):
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
     wide = spark.range(0, 5).selectExpr("repeat('x', 1000) AS s")
     assert "broadcast" not in dimension(wide, max_rows=10, max_bytes=2000)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_sizing_scales_with_input():
+    from meterline.session import sizing
+    small = sizing(10 * 1024 ** 3, total_cores=64)
+    huge = sizing(100 * 1024 ** 4, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
+    assert int(huge["spark.sql.shuffle.partitions"]) == 50 * 8000      # clamped: 50 waves
+    mid = sizing(2 * 1024 ** 4, total_cores=1000)                       # 2 TB -> ~24.6k partitions
+    assert 3000 < int(mid["spark.sql.shuffle.partitions"]) < 50_000
+    assert huge["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
