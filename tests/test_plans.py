@@ -79,3 +79,21 @@ def test_sizing_scales_with_input():
     mid = sizing(2 * 1024 ** 4, total_cores=1000)                       # 2 TB -> ~24.6k partitions
     assert 3000 < int(mid["spark.sql.shuffle.partitions"]) < 50_000
     assert huge["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+
+
+def test_shuffle_join_fallback_matches_broadcast(spark, parquet_wh):
+    """Dimensions over the bound are joined by shuffle (AQE handles hot keys);
+    results are the same as with the broadcast plans."""
+    from meterline.operators import models as M
+    from meterline.operators import quality as Q
+    stg, zones = parquet_wh.stg_trips(), parquet_wh.stg_zones()
+    b = M.zone_role_join(stg, zones)
+    s = M.zone_role_join(stg, zones, max_rows=1)
+    p = plan(s)
+    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+    assert sorted(tuple(r) for r in b.collect()) == sorted(tuple(r) for r in s.collect())
+    models_ = {"c": stg, "z": zones}
+    ch = [Q.relationships("c", "PULocationID", "z", "LocationID"), Q.relationships("c", "DOLocationID", "z", "LocationID")]
+    fb = Q.relationship_failures_fused(stg, ch, models_).collect()
+    fs = Q.relationship_failures_fused(stg, ch, models_, broadcast_rows=1).collect()
+    assert fb == fs
