@@ -120,13 +120,18 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
+# Exact numeric form for comparing keys of different types.
+NUMERIC_KEY = "decimal(38,10)"
+
+
 def text_key_equals(text_key: Column, key: Column, key_type) -> Column:
     """Equality of a text id against a dimension key of any type.
 
     Text ids produced from doubles read ``'1.0'``; when the dimension key is
-    numeric compare numerically (``try_cast`` keeps junk text a non-match)."""
+    numeric compare as exact decimals (``try_cast`` keeps junk text a
+    non-match, and integer ids beyond 2^53 stay distinct)."""
     if isinstance(key_type, NumericType):
-        return text_key.try_cast("double") == key.cast("double")
+        return text_key.try_cast(NUMERIC_KEY) == key.try_cast(NUMERIC_KEY)
     if isinstance(key_type, StringType):
         return text_key == key
     return text_key == key.cast("string")

@@ -12,17 +12,16 @@ all rows) is a single row per partition. Results: one row per check.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from collections.abc import Mapping
-
 from pyspark.sql.types import LongType, NumericType, StringType, StructField, StructType
 
 from meterline import defaults as D
-from meterline.functions.columns import text_key_equals
+from meterline.functions.columns import NUMERIC_KEY, text_key_equals
 from meterline.functions.joins import dimension, is_literal
 
 ROW_KINDS = ("not_null", "accepted_range", "expression", "date_past", "row_count", "accepted_values")
@@ -169,12 +168,10 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field_: str,
 
 def _norm_keys(child_type, parent_type) -> tuple:
     """Join-key normal forms (child, parent) so one equi-join serves checks of
-    any key types: numeric parents compare as doubles (text ids such as
-    '1.0' match 1), text parents compare as text."""
+    any key types: numeric parents compare as exact decimals (text ids such
+    as '1.0' match 1; ids beyond 2^53 stay distinct), text parents as text."""
     if isinstance(parent_type, NumericType):
-        cf = (lambda c: c.try_cast("double").cast("string")) if isinstance(child_type, StringType) \
-            else (lambda c: c.cast("double").cast("string"))
-        return cf, lambda p: p.cast("double").cast("string")
+        return (lambda c: c.try_cast(NUMERIC_KEY).cast("string")), (lambda p: p.try_cast(NUMERIC_KEY).cast("string"))
     return (lambda c: c.cast("string")), (lambda p: p.cast("string"))
 
 

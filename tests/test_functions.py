@@ -63,6 +63,8 @@ def test_text_key_equals_numeric_and_junk(spark):
     df = spark.createDataFrame([("1.0", 1), ("2", 1), ("x", 1), (None, 1)], "k string, d int")
     got = [r.v for r in df.select(text_key_equals(F.col("k"), F.col("d"), IntegerType()).alias("v")).collect()]
     assert got == [True, False, None, None]
+    big = spark.createDataFrame([("9007199254740993", 9007199254740992)], "k string, d long")
+    assert big.select(text_key_equals(F.col("k"), F.col("d"), IntegerType()).alias("v")).first().v is False
     df2 = spark.createDataFrame([("a", "a")], "k string, d string")
     assert df2.select(text_key_equals(F.col("k"), F.col("d"), StringType()).alias("v")).first().v
 
