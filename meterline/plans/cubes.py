@@ -236,8 +236,11 @@ class CubeSet:
             keep = sorted(c for c in cols | {j.right} if c)
             right = dimension(right.select(*[F.col(c).alias(f"{via}__{c}") for c in keep]), broadcast_rows)
             lk, rk = df[j.left], right[f"{via}__{j.right}"]
-            if isinstance(df.schema[j.left].dataType, StringType):
-                cond = text_key_equals(lk, rk, right.schema[f"{via}__{j.right}"].dataType)
+            lt, rt = df.schema[j.left].dataType, right.schema[f"{via}__{j.right}"].dataType
+            if isinstance(lt, StringType):
+                cond = text_key_equals(lk, rk, rt)
+            elif isinstance(rt, StringType):
+                cond = text_key_equals(rk, lk, lt)
             else:
                 cond = lk == rk
             df = df.join(right, cond, "left")

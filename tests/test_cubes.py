@@ -95,3 +95,14 @@ def test_query_from_dict_and_rollup_routing(spark, tables, tmp_dir):
     other = CubeQuery(measures=("TaxiTrips.totalTips",), dimensions=("TaxiTrips.pickupBorough",))
     assert store.route(other) is None
     assert rows(store.query(other, tables)) == rows(ALL_CUBES.query(other, tables))
+
+
+def test_join_numeric_fact_key_to_text_dimension_key(spark):
+    from meterline.plans.cubes import Cube, Dimension, Join, Measure
+    fact = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 4.0), (9, 1.0)], "k int, v double")
+    dim = spark.createDataFrame([("1.0", "one"), ("2", "two"), ("x", "junk")], "id string, name string")
+    cubes = CubeSet([Cube("F", "f", measures=(Measure("total", "sum", "v"),), joins=(Join("D", "D", "k", "id"),)),
+                     Cube("D", "d", dimensions=(Dimension("name", "name"),))])
+    got = {r[0]: r[1] for r in cubes.query(CubeQuery(measures=("F.total",), dimensions=("D.name",)),
+                                             {"f": fact, "d": dim}).collect()}
+    assert got == {"one": 5.0, "two": 4.0, None: 1.0}
