@@ -3,16 +3,20 @@
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def high_water_mark(spark: SparkSession, target_path: str, ts_col: str):
+def high_water_mark(spark: SparkSession, target_path: str, ts_col: str, schema: StructType | None = None):
     """Largest ``ts_col`` already loaded, or None for a missing/empty target.
-    One aggregate row reaches the driver (Parquet min/max statistics make it cheap)."""
+    One aggregate row reaches the driver; only the one column is read."""
     try:
-        return spark.read.parquet(target_path).agg(F.max(ts_col)).first()[0]
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        return r.parquet(target_path).agg(F.max(ts_col)).first()[0]
     except AnalysisException:
         return None
 
@@ -30,3 +34,29 @@ def incremental_append(spark: SparkSession, source: DataFrame, target_path: str,
         w = w.partitionBy(*partition_by)
     w.parquet(target_path)
     return hwm
+
+
+def incremental_model(spark: SparkSession, raw: DataFrame, build: Callable[[DataFrame], DataFrame],
+                      target_path: str, ts_col: str, partition_by: list[str] | None = None):
+    """Incremental materialization of a model (the mart strategy for large
+    facts): build the model only from raw rows past the target's high-water
+    mark and append them. The raw filter is a plain timestamp comparison,
+    so it reaches the Parquet scan and skips old files / row groups; the
+    appended partitions are written without touching existing ones.
+    Assumes the model keeps ``ts_col`` unchanged from the raw rows."""
+    schema = build(raw.limit(0)).schema
+    hwm = high_water_mark(spark, target_path, ts_col, schema)
+    new = raw if hwm is None else raw.where(F.col(ts_col) > F.lit(hwm))
+    out = build(new)
+    if partition_by:
+        out = out.sortWithinPartitions(*partition_by)
+    w = out.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(target_path)
+    return hwm
+
+
+def read_model(spark: SparkSession, target_path: str, schema: StructType) -> DataFrame:
+    """A (partitioned) model table with its declared schema and column order."""
+    return spark.read.schema(schema).parquet(target_path).select(*schema.fieldNames())

@@ -10,6 +10,7 @@ is there in rate-limited batches and stops: a scheduled incremental job.
 from __future__ import annotations
 
 import datetime as dt
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,27 @@ def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType, s
         raise RuntimeError(str(q.exception()))
 
 
+def stream_model(spark: SparkSession, source_dir: str, schema: StructType,
+                 transform: Callable[[DataFrame], DataFrame], sink_dir: str, checkpoint: str,
+                 partition_by: list[str] | None = None, max_files_per_trigger: int | None = None) -> None:
+    """Incremental model build on a file stream: each batch of new raw files
+    goes through ``transform`` (stateless per row: casts, filters and
+    stream-static joins to broadcast dimensions) and is appended to the
+    model's Parquet sink, exactly once; then the query stops."""
+    reader = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    out = transform(reader.load(source_dir))
+    writer = (out.writeStream.format("parquet").option("path", sink_dir)
+              .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    q = writer.start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
     """Committed rows of the sink (files listed in its log only)."""
     return spark.read.parquet(sink_dir)
