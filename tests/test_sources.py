@@ -102,3 +102,18 @@ def test_partitioned_refresh_prunes(spark, tmp_dir):
     out = full_refresh(df, f"{tmp_dir}/p", partition_by=["pickup_month"], max_records_per_file=10)
     assert out.where("pickup_month = 1").count() == 25
     assert {"_SUCCESS", "pickup_month=1"} <= set(os.listdir(f"{tmp_dir}/p"))
+
+
+def test_incremental_model_is_idempotent(spark, tmp_dir):
+    from meterline.sources.incremental import incremental_model, read_model
+    raw = spark.createDataFrame([(i, dt.datetime(2024, 1, 1) + dt.timedelta(days=i)) for i in range(60)],
+                                "id long, ts timestamp_ntz")
+
+    def build(df):
+        return df.where(F.col("id") % 2 == 0).withColumn("month", F.month("ts"))
+    target = f"{tmp_dir}/model"
+    incremental_model(spark, raw.where("id < 25"), build, target, "ts", ["month"])
+    incremental_model(spark, raw, build, target, "ts", ["month"])
+    incremental_model(spark, raw, build, target, "ts", ["month"])        # nothing new
+    got = read_model(spark, target, build(raw).schema)
+    assert sorted(got.collect()) == sorted(build(raw).collect())
