@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from meterline.functions.columns import exact_avg, exact_sum, text_key_equals
-from meterline.functions.joins import dimension
+from meterline.defaults import BROADCAST_MAX_ROWS
+from meterline.functions.joins import dimension, is_literal
 
 class LazyTables(Mapping):
     """Table name -> DataFrame, each built on first access."""
@@ -214,7 +215,8 @@ class CubeSet:
         return F.col(d.sql if via is None else f"{via}__{d.sql}"), d, via
 
     # ------------------------------------------------------------ compilation
-    def source(self, q: CubeQuery, tables: Mapping[str, DataFrame], broadcast_rows: int = 1_000_000) -> tuple[Cube, DataFrame]:
+    def source(self, q: CubeQuery, tables: Mapping[str, DataFrame],
+               broadcast_rows: int = BROADCAST_MAX_ROWS) -> tuple[Cube, DataFrame]:
         """The base table plus only the joins the query uses."""
         base = self._base_cube(q)
         df = tables[base.table]
@@ -234,7 +236,8 @@ class CubeSet:
             target = self.cubes[j.cube]
             right = tables[target.table]
             keep = sorted(c for c in cols | {j.right} if c)
-            right = dimension(right.select(*[F.col(c).alias(f"{via}__{c}") for c in keep]), broadcast_rows)
+            proj = right.select(*[F.col(c).alias(f"{via}__{c}") for c in keep])
+            right = F.broadcast(proj) if is_literal(right) else dimension(proj, broadcast_rows)
             lk, rk = df[j.left], right[f"{via}__{j.right}"]
             lt, rt = df.schema[j.left].dataType, right.schema[f"{via}__{j.right}"].dataType
             if isinstance(lt, StringType):
