@@ -47,7 +47,12 @@ def main() -> None:
 
     run("cohort_revenue (pre-aggregated)", T.cohort_revenue(hot))
     run("daily_revenue (pre-aggregated)", T.daily_revenue(hot, cust, amount="revenue", broadcast_rows=None))
+    from meterline.operators import quality as Q
+    checks = [Q.relationships("orders", "customer_id", "customers", "customer_id")]
+    run("relationships check (pre-aggregated keys, shuffle join)",
+        Q.relationship_failures_fused(hot, checks, {"orders": hot, "customers": cust}, broadcast_rows=1))
     first = hot.groupBy("customer_id").agg(F.min("order_date").alias("cohort_date"))
+    run("naive row-level anti-join", hot.join(cust, "customer_id", "left_anti").groupBy().count())
     run("naive row-level cohort join", hot.join(first, "customer_id").groupBy("cohort_date").count())
     run("naive row-level window", hot.withColumn("c", F.min("order_date").over(Window.partitionBy("customer_id")))
                                      .groupBy("c").count())
