@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ class JobResult:
 
 def run_job(spark: SparkSession, wh: TripWarehouse, base: str, target: str = "dev",
             today: dt.date | None = None, pickup_date_floor: dt.date = D.PICKUP_DATE_FLOOR,
-            distribute: str = "local", copy_raw: bool = True) -> JobResult:
+            distribute: str = "local", copy_raw: bool = True, threads: int = 4) -> JobResult:
     """``distribute``: how the month-partitioned marts are written ("local":
     no shuffle, for month-clustered sources; "rebalance": AQE-balanced shuffle).
     ``copy_raw``: copy the raw tables into the target layer first (the
@@ -72,13 +73,26 @@ def run_job(spark: SparkSession, wh: TripWarehouse, base: str, target: str = "de
                         zone_geojson_fn=wh.zone_geojson_fn, date_min=wh.date_min, date_max=wh.date_max,
                         max_passengers=wh.max_passengers, tolerance=wh.tolerance)
     main, mart = "main", schema_name("main", "mart")
-    seeds = {n: tgt.write(getattr(mwh, n)(), main, n) for n in ("dim_vendor", "dim_rate_code", "dim_payment_type")}
     # trips arrive as monthly files, so each input split holds (mostly) one
     # month: write partitions without a shuffle of the fact
     part = ["pickup_year", "pickup_month"]
-    fct = tgt.write(mwh.fct_trips(), main, "fct_taxi_trips", partition_by=part, distribute=distribute)
-    mart_t = tgt.write(mwh.mart_trips(), mart, "mart_taxi_trips", partition_by=part, distribute=distribute)
-    geo = tgt.write(mwh.dim_zones_geo(), main, "dim_taxi_zones_geospatial") if wh.zone_geojson_fn else None
+    # plans are built here, in one thread; only the writes run concurrently
+    plans = {n: (getattr(mwh, n)(), main, None) for n in ("dim_vendor", "dim_rate_code", "dim_payment_type")}
+    plans["fct_taxi_trips"] = (mwh.fct_trips(), main, part)
+    plans["mart_taxi_trips"] = (mwh.mart_trips(), mart, part)
+    if wh.zone_geojson_fn:
+        plans["dim_taxi_zones_geospatial"] = (mwh.dim_zones_geo(), main, None)
+
+    def write(name):
+        df, schema, partition_by = plans[name]
+        return tgt.write(df, schema, name, partition_by=partition_by, distribute=distribute)
+    # independent models are written concurrently (Spark runs jobs from
+    # several threads side by side); ``threads=1`` writes them one by one
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {name: pool.submit(write, name) for name in plans}
+        built = {name: f.result() for name, f in futures.items()}
+    seeds = {n: built[n] for n in ("dim_vendor", "dim_rate_code", "dim_payment_type")}
+    fct, mart_t, geo = built["fct_taxi_trips"], built["mart_taxi_trips"], built.get("dim_taxi_zones_geospatial")
     res.tables = {"fct_taxi_trips": tgt.path(main, "fct_taxi_trips"),
                   "mart_taxi_trips": tgt.path(mart, "mart_taxi_trips")}
     if geo is not None:
