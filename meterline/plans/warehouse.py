@@ -8,6 +8,7 @@ the reference's values unless given.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -36,6 +37,7 @@ class TripWarehouse:
     max_passengers: int = D.MAX_PASSENGERS
     tolerance: float = D.TOTAL_MISMATCH_TOLERANCE
     _memo: dict = field(default_factory=dict, repr=False)
+    _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, land: bool = True, **params) -> "TripWarehouse":
@@ -71,9 +73,10 @@ class TripWarehouse:
         return cls(spark, raw_trips_fn=lambda: trips, raw_zones_fn=lambda: zones, zone_geojson_fn=geo, **params)
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._memo:
-            self._memo[name] = build()
-        return self._memo[name]
+        with self._lock:  # re-entrant: models build on each other
+            if name not in self._memo:
+                self._memo[name] = build()
+            return self._memo[name]
 
     # raw layer
     def raw_trips(self) -> DataFrame:
