@@ -73,3 +73,67 @@ def test_rectangle_area_and_centroid_property(spark, rects):
     for (x, y, w, h, _), r in zip(rects, got):
         assert r.a == w * h
         assert abs(r.c.x - (x + w / 2)) < 1e-9 and abs(r.c.y - (y + h / 2)) < 1e-9
+
+
+# ---------------------------------------------------------------- cube compiler vs pandas
+from meterline.plans.cubes import Cube, CubeQuery, CubeSet, Dimension, Filter, Measure, TimeDimension  # noqa: E402
+
+CUBE = Cube("T", "t",
+            dimensions=(Dimension("a", "a"), Dimension("b", "b"), Dimension("ts", "ts", "time")),
+            measures=(Measure("n", "count"), Measure("s", "sum", "x"), Measure("m", "avg", "x"),
+                      Measure("lo", "min", "x"), Measure("hi", "max", "x")))
+rows_st = st.lists(st.tuples(st.sampled_from(["p", "q", "r", None]), st.integers(0, 3),
+                             st.datetimes(min_value=dt.datetime(2024, 1, 1), max_value=dt.datetime(2024, 6, 30)),
+                             st.one_of(st.none(), st.decimals(min_value=-1000, max_value=1000, places=2,
+                                                              allow_nan=False, allow_infinity=False))),
+                   min_size=1, max_size=200)
+
+
+def _plain(v):
+    """pandas group key -> the Python value Spark returns."""
+    import pandas as pd
+    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        return None
+    if hasattr(v, "to_pydatetime"):
+        return v.to_pydatetime()
+    return v.item() if hasattr(v, "item") else v
+
+
+@settings(max_examples=8, deadline=None)
+@given(rows_st, st.sets(st.sampled_from(["a", "b"])), st.sampled_from([None, "month", "day"]),
+       st.sampled_from([None, ("a", "notEquals", ("p",)), ("b", "gte", (2,)), ("a", "set", ())]))
+def test_cube_query_matches_pandas(spark, rows, dims, grain, flt):
+    import pandas as pd
+    data = [(a, b, t, float(x) if x is not None else None) for a, b, t, x in rows]
+    df = spark.createDataFrame(data, "a string, b int, ts timestamp_ntz, x double")
+    q = CubeQuery(measures=("T.n", "T.s", "T.m", "T.lo", "T.hi"), dimensions=tuple(f"T.{d}" for d in sorted(dims)),
+                  time_dimensions=((TimeDimension("T.ts", grain),) if grain else ()),
+                  filters=((Filter(f"T.{flt[0]}", flt[1], flt[2]),) if flt else ()))
+    got = CubeSet([CUBE], exact_scale=6).query(q, {"t": df}).collect()
+
+    p = pd.DataFrame(data, columns=["a", "b", "ts", "x"])
+    if flt:
+        col, op, vals = flt
+        p = p[{"notEquals": lambda: ~p[col].isin(vals) | p[col].isna(), "gte": lambda: p[col] >= vals[0],
+               "set": lambda: p[col].notna()}[op]()]
+    keys = sorted(dims)
+    if grain:
+        p = p.assign(g=p["ts"].dt.to_period("M" if grain == "month" else "D").dt.start_time)
+        keys = keys + ["g"]
+    want = {}
+    groups = p.groupby(keys, dropna=False) if keys else [((), p)]
+    for k, g in groups:
+        k = k if isinstance(k, tuple) else (k,)
+        xs = [v for v in g["x"] if v == v and v is not None]
+        total = sum(Decimal(repr(v)) for v in xs) if xs else None
+        key = tuple(_plain(v) for v in k)
+        want[key] = (len(g), None if total is None else float(total),
+                     None if total is None else float(total) / len(xs),
+                     min(xs) if xs else None, max(xs) if xs else None)
+    have = {tuple(r)[:len(keys)]: tuple(r)[len(keys):] for r in got}
+    assert set(have) == set(want)
+    for k, (n, s, m, lo, hi) in want.items():
+        hn, hs, hm, hlo, hhi = have[k]
+        assert hn == n and hlo == lo and hhi == hi
+        assert (hs is None and s is None) or abs(hs - s) < 1e-9
+        assert (hm is None and m is None) or abs(hm - m) < 1e-9
