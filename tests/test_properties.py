@@ -137,3 +137,43 @@ def test_cube_query_matches_pandas(spark, rows, dims, grain, flt):
         assert hn == n and hlo == lo and hhi == hi
         assert (hs is None and s is None) or abs(hs - s) < 1e-9
         assert (hm is None and m is None) or abs(hm - m) < 1e-9
+
+
+# ---------------------------------------------------------------- quality suite vs brute force
+from meterline.operators import quality as Q  # noqa: E402
+
+child_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 12)),
+                              st.one_of(st.none(), st.sampled_from(["1", "2.0", "3", "x", "13"])),
+                              st.one_of(st.none(), st.floats(-5, 25, allow_nan=False))), max_size=120)
+
+
+@settings(max_examples=8, deadline=None)
+@given(child_st, st.sets(st.integers(0, 14), max_size=10))
+def test_quality_suite_matches_brute_force(spark, rows, parent_keys):
+    child = spark.createDataFrame(rows, "k int, t string, v double")
+    parent = spark.createDataFrame([(p,) for p in sorted(parent_keys)] or [(None,)], "pk int")
+    checks = [Q.not_null("c", "k"), Q.unique("c", "k"), Q.accepted_values("c", "k", [1, 2, 3]),
+              Q.accepted_range("c", "v", 0, 20), Q.row_count_positive("c"),
+              Q.relationships("c", "k", "p", "pk"), Q.relationships("c", "t", "p", "pk", "warn")]
+    got = {r.test_name: (r.failures, r.status) for r in Q.run_suite({"c": child, "p": parent}, checks).collect()}
+
+    ks = [k for k, _, _ in rows]
+    nn = [k for k in ks if k is not None]
+    parents = {float(p) for p in parent_keys}
+
+    def num(t):
+        try:
+            return float(t)
+        except ValueError:
+            return None
+    want = {
+        "not_null__c__k": sum(k is None for k in ks),
+        "unique__c__k": sum(1 for k in set(nn) if nn.count(k) > 1),
+        "accepted_values__c__k": len({k for k in nn if k not in (1, 2, 3)}),
+        "accepted_range__c__v": sum(1 for _, _, v in rows if v is not None and not (0 <= v <= 20)),
+        "row_count__c": int(len(rows) == 0),
+        "relationships__c__k__p": sum(1 for k in nn if float(k) not in parents),
+        "relationships__c__t__p": sum(1 for _, t, _ in rows if t is not None and num(t) not in parents),
+    }
+    assert {k: v[0] for k, v in got.items()} == want
+    assert got["relationships__c__t__p"][1] == ("pass" if want["relationships__c__t__p"] == 0 else "warn")
