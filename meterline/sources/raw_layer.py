@@ -15,6 +15,7 @@ import hashlib
 import os
 import threading
 import urllib.parse
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,30 @@ def landed(spark: SparkSession, name: str, df: DataFrame, version: str = "",
                 # writes downstream need no shuffle. Range bounds come from a
                 # sample, so a hot month is split over several tasks.
                 out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-            out.write.mode("overwrite").parquet(path)
+            _publish(out, path)
             _DONE.add(path)
     return spark.read.parquet(path)
+
+
+def _local(path: str) -> str | None:
+    if path.startswith("file:"):
+        return urllib.parse.urlparse(path).path
+    return None if "://" in path else path
+
+
+def _publish(df: DataFrame, path: str) -> None:
+    """Write ``df`` so readers never see a half-written landing. On a local
+    file system: write a private folder, then rename it into place (atomic);
+    if another process published first, its identical copy is used. Other
+    file systems: direct overwrite (run one landing per path at a time)."""
+    local = _local(path)
+    if local is None or os.path.exists(local):
+        df.write.mode("overwrite").parquet(path)
+        return
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    df.write.parquet(tmp)
+    try:
+        os.rename(_local(tmp), local)
+    except OSError:
+        if not os.path.exists(os.path.join(local, "_SUCCESS")):
+            raise
