@@ -30,6 +30,29 @@ def q_ingest_trips(spark, sf_dir):
     return files.ingest_parquet(spark, f"{sf_dir.rstrip('/')}/lineite*.parquet", INGESTED_AT)
 
 
+@register("ingest_zones_csv", oracle="SELECT * FROM raw_zones")
+def q_ingest_zones_csv(spark, sf_dir):
+    """S2 + S4: the zone lookup written as CSV with a header (full refresh),
+    then ingested with its declared schema and the ingest stamp."""
+    path = scratch_path(spark, "csv") + "/taxi_zone_lookup"
+    zones = wh(spark, sf_dir).raw_zones().drop("_ingested_at")
+    (zones.write.mode("overwrite").option("header", True)
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return files.ingest_csv(spark, path, "LocationID INT, Zone STRING, Borough STRING, service_zone STRING",
+                            INGESTED_AT)
+
+
+@register("ingest_events_json",
+          oracle="SELECT *, TIMESTAMP '2025-06-01 00:00:00' AS _ingested_at FROM events")
+def q_ingest_events_json(spark, sf_dir):
+    """Events written as JSON lines, ingested with their declared schema."""
+    path = scratch_path(spark, "json") + "/events"
+    events = bindings.table(spark, sf_dir, "events")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    events.write.mode("overwrite").option("timestampNTZFormat", fmt).json(path)
+    return files.ingest_json(spark, path, events.schema, INGESTED_AT, timestamp_ntz_format=fmt)
+
+
 @register("copy_layer_trips", oracle="SELECT * FROM raw_trips")
 def q_copy_layer_trips(spark, sf_dir):
     """Raw trips written to the raw layer, copied to dev, read back from dev."""

@@ -180,6 +180,11 @@ def q_zone_wkt(spark, sf_dir):
     return geo_models.zone_measures(wh(spark, sf_dir).zone_geometry()).select("LocationID", "geometry_wkt")
 
 
+@register("zone_geojson", oracle="SELECT LocationID, geometry_geojson FROM zone_wkt")
+def q_zone_geojson(spark, sf_dir):
+    return geo_models.zone_measures(wh(spark, sf_dir).zone_geometry()).select("LocationID", "geometry_geojson")
+
+
 @register("zone_area", oracle="SELECT LocationID, area AS zone_area_sq_meters FROM zone_measures")
 def q_zone_area(spark, sf_dir):
     return geo_models.zone_measures(wh(spark, sf_dir).zone_geometry()).select("LocationID", "zone_area_sq_meters")

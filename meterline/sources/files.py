@@ -54,10 +54,13 @@ def ingest_csv(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def ingest_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
-                ingested_at: dt.datetime | None = None, multi_line: bool = False) -> DataFrame:
+                ingested_at: dt.datetime | None = None, multi_line: bool = False,
+                timestamp_ntz_format: str | None = None) -> DataFrame:
     """JSON lines (or multi-line documents) with a declared schema when given."""
     def read():
         r = spark.read.option("multiLine", multi_line)
+        if timestamp_ntz_format:
+            r = r.option("timestampNTZFormat", timestamp_ntz_format)
         if schema is not None:
             r = r.schema(schema)
         return r.json(path)
