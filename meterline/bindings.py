@@ -98,18 +98,22 @@ def raw_zones(spark: SparkSession, sf_dir: str, ingested_at: dt.datetime = INGES
 
 def zone_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone boundaries as GeoJSON text: a rectangle per nation, a square hole
-    for odd keys, no geometry for nation 24 (so the join leaves NULLs)."""
+    for odd keys, a second 1x1 square (a MultiPolygon) for keys divisible by
+    10, no geometry for nation 24 (so the join leaves NULLs)."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey")
     k = F.col("n_nationkey")
     h = k + 3 + k % 5
-    outer = F.format_string("[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]",
-                            k, k, k + 4, k, k + 4, h, k, h, k, k)
-    hole = F.format_string("[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]",
-                           k + 1, k + 1, k + 1, k + 2, k + 2, k + 2, k + 2, k + 1, k + 1, k + 1)
+    ring = "[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]"
+    outer = F.format_string(ring, k, k, k + 4, k, k + 4, h, k, h, k, k)
+    hole = F.format_string(ring, k + 1, k + 1, k + 1, k + 2, k + 2, k + 2, k + 2, k + 1, k + 1, k + 1)
+    island = F.format_string(ring, k + 10, k + 10, k + 11, k + 10, k + 11, k + 11, k + 10, k + 11, k + 10, k + 10)
     rings = F.when(k % 2 == 1, F.concat(outer, F.lit(","), hole)).otherwise(outer)
+    poly = F.concat(F.lit("["), rings, F.lit("]"))
+    text = (F.when(k % 10 == 0, F.concat(F.lit('{"type":"MultiPolygon","coordinates":['), poly,
+                                         F.lit(",["), island, F.lit("]]}")))
+             .otherwise(F.concat(F.lit('{"type":"Polygon","coordinates":'), poly, F.lit("}"))))
     return (nation.where(k != NO_GEOMETRY_KEY)
-            .select(k.cast("string").alias("LocationID"),
-                    F.concat(F.lit('{"type":"Polygon","coordinates":['), rings, F.lit("]}")).alias("geojson")))
+            .select(k.cast("string").alias("LocationID"), text.alias("geojson")))
 
 
 def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,12 +51,15 @@ BASE_CTES: dict[str, str] = {
   FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "zone_geojson": """
   SELECT CAST(k AS VARCHAR) AS LocationID,
-         '{"type":"Polygon","coordinates":['
-         || printf('[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]', k, k, k + 4, k, k + 4, k + 3 + k % 5, k, k + 3 + k % 5, k, k)
+         CASE WHEN k % 10 = 0 THEN '{"type":"MultiPolygon","coordinates":[' ELSE '{"type":"Polygon","coordinates":' END
+         || '[' || printf('[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]', k, k, k + 4, k, k + 4, k + 3 + k % 5, k, k + 3 + k % 5, k, k)
          || CASE WHEN k % 2 = 1
                  THEN printf(',[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]', k + 1, k + 1, k + 1, k + 2, k + 2, k + 2, k + 2, k + 1, k + 1, k + 1)
                  ELSE '' END
-         || ']}' AS geojson
+         || ']'
+         || CASE WHEN k % 10 = 0
+                 THEN printf(',[[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]]]}', k + 10, k + 10, k + 11, k + 10, k + 11, k + 11, k + 10, k + 11, k + 10, k + 10)
+                 ELSE '}' END AS geojson
   FROM (SELECT n_nationkey AS k FROM nation) WHERE k <> 24""",
     "dim_vendor": """
   SELECT * FROM (VALUES
@@ -192,15 +195,13 @@ BASE_CTES: dict[str, str] = {
   FROM zone_rings GROUP BY LocationID""",
     "zone_wkt": """
   SELECT LocationID,
-         'POLYGON (' || array_to_string(
-             ['(' || array_to_string(
-                  [(CASE WHEN p[1] = floor(p[1]) THEN CAST(CAST(floor(p[1]) AS BIGINT) AS VARCHAR) ELSE CAST(p[1] AS VARCHAR) END)
-                   || ' ' ||
-                   (CASE WHEN p[2] = floor(p[2]) THEN CAST(CAST(floor(p[2]) AS BIGINT) AS VARCHAR) ELSE CAST(p[2] AS VARCHAR) END)
-                   FOR p IN ring], ', ') || ')'
-              FOR ring IN polys[1]], ', ') || ')' AS geometry_wkt,
-         CAST(to_json({'type': gtype, 'coordinates': polys[1]}) AS VARCHAR) AS geometry_geojson
-  FROM zone_polys WHERE gtype = 'Polygon'""",
+         CASE WHEN gtype = 'Polygon'
+              THEN 'POLYGON ' || '(' || array_to_string(['(' || array_to_string([(CASE WHEN pt[1] = floor(pt[1]) THEN CAST(CAST(floor(pt[1]) AS BIGINT) AS VARCHAR) ELSE CAST(pt[1] AS VARCHAR) END) || ' ' || (CASE WHEN pt[2] = floor(pt[2]) THEN CAST(CAST(floor(pt[2]) AS BIGINT) AS VARCHAR) ELSE CAST(pt[2] AS VARCHAR) END) FOR pt IN ring], ', ') || ')' FOR ring IN polys[1]], ', ') || ')'
+              ELSE 'MULTIPOLYGON (' || array_to_string(['(' || array_to_string(['(' || array_to_string([(CASE WHEN pt[1] = floor(pt[1]) THEN CAST(CAST(floor(pt[1]) AS BIGINT) AS VARCHAR) ELSE CAST(pt[1] AS VARCHAR) END) || ' ' || (CASE WHEN pt[2] = floor(pt[2]) THEN CAST(CAST(floor(pt[2]) AS BIGINT) AS VARCHAR) ELSE CAST(pt[2] AS VARCHAR) END) FOR pt IN ring], ', ') || ')' FOR ring IN poly], ', ') || ')' FOR poly IN polys], ', ') || ')'
+         END AS geometry_wkt,
+         CAST(CASE WHEN gtype = 'Polygon' THEN to_json({'type': gtype, 'coordinates': polys[1]})
+                   ELSE to_json({'type': gtype, 'coordinates': polys}) END AS VARCHAR) AS geometry_geojson
+  FROM zone_polys""",
     "customers_dim": """
   SELECT c_custkey AS customer_id, c_mktsegment AS customer_segment, r_name AS customer_region
   FROM customer

@@ -32,3 +32,12 @@ def test_flagship_values(spark):
     assert got == [("MIDDLE EAST", 6954, 23.4648, 56.3595, 6266), ("AMERICA", 6278, 23.4481, 56.7872, 5642),
                    ("ASIA", 5100, 23.6478, 57.1617, 4605), ("EUROPE", 3786, 23.5222, 55.986, 3411),
                    ("AFRICA", 3336, 23.2254, 56.704, 3005)]
+
+
+def test_geometry_fixture_has_multipolygons(spark):
+    rows = {r.LocationID: r for r in E.queries()["dim_zones_geo"](spark, SF01).collect()}
+    for k in ("0", "10", "20"):
+        assert rows[k].geometry_wkt.startswith("MULTIPOLYGON (((")
+        assert rows[k].zone_area_sq_meters == 13.0       # 4 x 3 rectangle + 1 x 1 island
+    assert rows["3"].geometry_wkt.startswith("POLYGON ((") and rows["3"].zone_area_sq_meters == 4 * 6 - 1
+    assert rows["24"].geometry_wkt is None
