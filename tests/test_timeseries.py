@@ -65,3 +65,18 @@ def test_rolling_revenue_brute_force(spark):
         w30 = [daily[x] for x in days[max(0, i - 29):i + 1]]
         assert abs(got[d][0] - float(sum(w7)) / len(w7)) < 1e-4
         assert abs(got[d][1] - float(sum(w30)) / len(w30)) < 1e-4
+
+
+def test_rolling_revenue_partitioned_brute_force(spark):
+    rows, df = orders(spark)
+    df = df.withColumn("region", (df.customer_id % 2).cast("string"))
+    daily = defaultdict(Decimal)
+    for _, c, d, rev in rows:
+        daily[(None if c is None else str(c % 2), d)] += rev
+    got = {(r.region, r.order_date): r.revenue_7day_avg
+           for r in T.rolling_revenue(df, amount="revenue", partition_by=["region"], windows=(7,)).collect()}
+    for region in {k[0] for k in daily}:
+        days = sorted(d for g, d in daily if g == region)
+        for i, d in enumerate(days):
+            w = [daily[(region, x)] for x in days[max(0, i - 6):i + 1]]
+            assert abs(got[(region, d)] - float(sum(w)) / len(w)) < 1e-4
