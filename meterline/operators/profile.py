@@ -59,15 +59,22 @@ def model_counts(models: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def fact_quality(fct: DataFrame, with_count: bool = False) -> DataFrame:
-    """Flag totals and distinct borough counts of the fact (and its row count)."""
+def fact_quality_cols(with_count: bool = False) -> list:
     extra = [F.count(F.lit(1)).alias("row_count")] if with_count else []
-    return fct.agg(
-        *extra,
+    return extra + [
         F.sum("total_amount_mismatch_flag").cast("bigint").alias("total_mismatches"),
         F.sum("negative_duration_flag").cast("bigint").alias("negative_durations"),
         F.count_distinct("pickup_borough").alias("pickup_boroughs"),
-        F.count_distinct("dropoff_borough").alias("dropoff_boroughs"))
+        F.count_distinct("dropoff_borough").alias("dropoff_boroughs")]
+
+
+def fact_quality(fct: DataFrame, with_count: bool = False) -> DataFrame:
+    """Flag totals and distinct borough counts of the fact (and its row count)."""
+    return fct.agg(*fact_quality_cols(with_count))
+
+
+def raw_validation_cols(null_cols: list[str], ts_col: str = "tpep_pickup_datetime") -> list:
+    return _profile_cols(ts_col) + _null_cols(null_cols)
 
 
 def table_profile(df: DataFrame, key: str, date_col: str) -> DataFrame:

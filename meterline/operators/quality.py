@@ -144,6 +144,20 @@ def run_row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return _rows_from_counts(agg, checks)
 
 
+def row_check_values(df: DataFrame, checks: list[Check], extra: list[Column] = ()):
+    """Row-level checks of one model plus ``extra`` aggregate columns in ONE
+    aggregate; the single result row comes back to the driver. Returns
+    (report rows as dicts, the aggregate row with the extra values)."""
+    agg = df.agg(*[_row_failures(ch).alias(f"f{i}") for i, ch in enumerate(checks)], *extra).first()
+    rows = []
+    for i, ch in enumerate(checks):
+        n = agg[f"f{i}"]
+        status = "pass" if n == 0 else ("warn" if ch.severity == "warn" else "fail")
+        rows.append({"test_name": ch.name, "model": ch.model, "column_name": ch.column, "test_type": ch.kind,
+                     "severity": ch.severity, "failures": n, "status": status})
+    return rows, agg
+
+
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """Number of non-null values that occur more than once."""
     dup = df.where(F.col(column).isNotNull()).groupBy(column).count().where(F.col("count") > 1)
