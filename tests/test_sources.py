@@ -117,3 +117,13 @@ def test_incremental_model_is_idempotent(spark, tmp_dir):
     incremental_model(spark, raw, build, target, "ts", ["month"])        # nothing new
     got = read_model(spark, target, build(raw).schema)
     assert sorted(got.collect()) == sorted(build(raw).collect())
+
+
+def test_monthly_files_with_differently_cased_columns(spark, tmp_dir):
+    """Monthly trip files spell some columns differently (airport_fee / Airport_fee):
+    columns resolve case-insensitively per file, with or without schema merging."""
+    spark.createDataFrame([(1, 1.25)], "id int, airport_fee double").write.parquet(f"{tmp_dir}/2023-01.parquet")
+    spark.createDataFrame([(2, 1.75)], "id int, Airport_fee double").write.parquet(f"{tmp_dir}/2023-02.parquet")
+    for merge in (False, True):
+        df = files.ingest_parquet(spark, f"{tmp_dir}/2023-*.parquet", STAMP, merge_schema=merge)
+        assert sorted(tuple(r) for r in df.select("id", "airport_fee").collect()) == [(1, 1.25), (2, 1.75)]
