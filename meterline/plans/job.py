@@ -153,6 +153,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="base folder of the raw / target layers")
     ap.add_argument("--target", default="dev")
     ap.add_argument("--no-copy-raw", action="store_true", help="models read the raw layer directly")
+    ap.add_argument("--unify-types", action="store_true",
+                    help="read trip files as the declared raw schema (monthly files with differing types)")
     ap.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
     ap.add_argument("--today", default=None, help="YYYY-MM-DD used by date checks (default: today)")
     ap.add_argument("--date-min", default=str(D.FACT_DATE_MIN), help="first pickup date kept in the marts")
@@ -163,7 +165,8 @@ def main(argv: list[str] | None = None) -> None:
     size = spark.read.format("binaryFile").load(a.trips).agg(F.sum("length")).first()[0] or 0
     apply_sizing(spark, size)
     lo, hi = dt.date.fromisoformat(a.date_min), dt.date.fromisoformat(a.date_max)
-    wh = TripWarehouse.from_files(spark, a.trips, a.zones, a.zones_geojson, date_min=lo, date_max=hi)
+    wh = TripWarehouse.from_files(spark, a.trips, a.zones, a.zones_geojson, date_min=lo, date_max=hi,
+                                  unify_types=a.unify_types)
     today = dt.date.fromisoformat(a.today) if a.today else None
     res = run_job(spark, wh, a.out, a.target, today=today, pickup_date_floor=lo, copy_raw=not a.no_copy_raw)
     for step, metric, value in res.metrics:

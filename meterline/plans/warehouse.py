@@ -24,6 +24,14 @@ from meterline.sources.raw_layer import landed
 
 # Declared schema of the zone lookup CSV (no type inference in production).
 ZONES_CSV_SCHEMA = "LocationID INT, Borough STRING, Zone STRING, service_zone STRING"
+# Raw trip columns and types; used to unify monthly files whose physical
+# types differ (``from_files(..., unify_types=True)``).
+RAW_TRIPS_SCHEMA = (
+    "VendorID INT, tpep_pickup_datetime TIMESTAMP_NTZ, tpep_dropoff_datetime TIMESTAMP_NTZ, "
+    "passenger_count DOUBLE, trip_distance DOUBLE, RatecodeID DOUBLE, store_and_fwd_flag STRING, "
+    "PULocationID INT, DOLocationID INT, payment_type BIGINT, fare_amount DOUBLE, extra DOUBLE, "
+    "mta_tax DOUBLE, tip_amount DOUBLE, tolls_amount DOUBLE, improvement_surcharge DOUBLE, "
+    "total_amount DOUBLE, congestion_surcharge DOUBLE, airport_fee DOUBLE")
 
 
 @dataclass
@@ -63,11 +71,14 @@ class TripWarehouse:
     def from_files(cls, spark: SparkSession, trips_glob: str, zones_csv: str,
                    zones_geojson: str | None = None, ingested_at: dt.datetime | None = None,
                    zones_schema: str | None = ZONES_CSV_SCHEMA, merge_schema: bool = False,
-                   **params) -> "TripWarehouse":
+                   unify_types: bool = False, **params) -> "TripWarehouse":
         """Sources from files: monthly trip Parquet (a glob), the zone lookup
         CSV and, optionally, zone boundaries as a GeoJSON FeatureCollection.
-        Missing inputs raise FileNotFoundError when the warehouse is built."""
-        trips = ingest_parquet(spark, trips_glob, ingested_at, merge_schema=merge_schema)
+        ``unify_types`` reads the trips as ``RAW_TRIPS_SCHEMA`` when monthly
+        files disagree on physical types. Missing inputs raise
+        FileNotFoundError when the warehouse is built."""
+        trips = ingest_parquet(spark, trips_glob, ingested_at, merge_schema=merge_schema,
+                               schema=RAW_TRIPS_SCHEMA if unify_types else None)
         zones = ingest_csv(spark, zones_csv, zones_schema, ingested_at)
         geo = (lambda: read_feature_collection(spark, zones_geojson)) if zones_geojson else None
         return cls(spark, raw_trips_fn=lambda: trips, raw_zones_fn=lambda: zones, zone_geojson_fn=geo, **params)

@@ -33,6 +33,14 @@ def test_from_files_matches_projection(spark, tmp_dir):
     assert len(a) == 25 and [x[:6] for x in a] == [x[:6] for x in b]
 
 
+def test_from_files_unified_types(spark, tmp_dir):
+    w = write_sources(spark, tmp_dir)
+    fw = TripWarehouse.from_files(spark, f"{tmp_dir}/trips/*.parquet", f"{tmp_dir}/zones.csv",
+                                  ingested_at=bindings.INGESTED_AT, unify_types=True,
+                                  date_min=w.date_min, date_max=w.date_max)
+    assert fw.fct_trips().count() == w.fct_trips().count()
+
+
 def test_job_cli(spark, tmp_dir, capsys):
     write_sources(spark, tmp_dir)
     main(["--trips", f"{tmp_dir}/trips/*.parquet", "--zones", f"{tmp_dir}/zones.csv",

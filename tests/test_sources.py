@@ -127,3 +127,17 @@ def test_monthly_files_with_differently_cased_columns(spark, tmp_dir):
     for merge in (False, True):
         df = files.ingest_parquet(spark, f"{tmp_dir}/2023-*.parquet", STAMP, merge_schema=merge)
         assert sorted(tuple(r) for r in df.select("id", "airport_fee").collect()) == [(1, 1.25), (2, 1.75)]
+
+
+def test_unified_parquet_across_physical_types(spark, tmp_dir):
+    spark.createDataFrame([(1, 1.0, 1.25)], "id int, passenger_count double, airport_fee double") \
+        .write.parquet(f"{tmp_dir}/2023-01.parquet")
+    spark.createDataFrame([(2, 3, 1.75)], "id int, passenger_count bigint, Airport_fee double") \
+        .write.parquet(f"{tmp_dir}/2023-02.parquet")
+    spark.createDataFrame([(3,)], "id int").write.parquet(f"{tmp_dir}/2023-03.parquet")
+    df = files.ingest_parquet(spark, f"{tmp_dir}/2023-*.parquet", STAMP,
+                              schema="id INT, passenger_count DOUBLE, airport_fee DOUBLE")
+    assert df.columns == ["id", "passenger_count", "airport_fee", "_ingested_at"]
+    assert sorted(tuple(r)[:3] for r in df.collect()) == [(1, 1.0, 1.25), (2, 3.0, 1.75), (3, None, None)]
+    with pytest.raises(FileNotFoundError):
+        files.ingest_parquet(spark, f"{tmp_dir}/none-*.parquet", schema="id INT")
