@@ -153,6 +153,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="base folder of the raw / target layers")
     ap.add_argument("--target", default="dev")
     ap.add_argument("--no-copy-raw", action="store_true", help="models read the raw layer directly")
+    ap.add_argument("--threads", type=int, default=4, help="models written concurrently (1 = serial)")
     ap.add_argument("--unify-types", action="store_true",
                     help="read trip files as the declared raw schema (monthly files with differing types)")
     ap.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
@@ -168,7 +169,8 @@ def main(argv: list[str] | None = None) -> None:
     wh = TripWarehouse.from_files(spark, a.trips, a.zones, a.zones_geojson, date_min=lo, date_max=hi,
                                   unify_types=a.unify_types)
     today = dt.date.fromisoformat(a.today) if a.today else None
-    res = run_job(spark, wh, a.out, a.target, today=today, pickup_date_floor=lo, copy_raw=not a.no_copy_raw)
+    res = run_job(spark, wh, a.out, a.target, today=today, pickup_date_floor=lo, copy_raw=not a.no_copy_raw,
+                  threads=a.threads)
     for step, metric, value in res.metrics:
         print(json.dumps({"step": step, "metric": metric, "value": value}))
 
