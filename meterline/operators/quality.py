@@ -3,8 +3,8 @@
 A check is data (kind, model, column, arguments, severity). The runner
 turns a model's row-level checks (not_null, accepted_range, expression,
 date_past, row_count, accepted_values) into ONE aggregate over that model,
-so N checks cost one scan; all relationship checks of a model are likewise
-one scan and one anti-join. ``unique`` is one group-by per check. Keys are
+so N checks cost one scan; a model's relationship checks join that same
+scan (one group-by, one anti-join). ``unique`` is one group-by per check. Keys are
 pre-aggregated map-side before any shuffle, so a hot key (even a third of
 all rows) is a single row per partition. Results: one row per check.
 """
@@ -91,6 +91,28 @@ def date_in_past(model, column, today: dt.date, severity="error"):
 
 
 # ---------------------------------------------------------------- row-level failure counts
+def _row_indicator(check: Check) -> Column | None:
+    """1 when the row fails ``check``, else 0; None for checks that are not a
+    per-row sum (row_count, accepted_values)."""
+    c = F.col(check.column) if check.column else None
+    if check.kind == "not_null":
+        bad = c.isNull()
+    elif check.kind == "accepted_range":
+        lo, hi = check.args["min"], check.args["max"]
+        bad = F.lit(False)
+        if lo is not None:
+            bad = bad | (c < F.lit(lo))
+        if hi is not None:
+            bad = bad | (c > F.lit(hi))
+    elif check.kind == "expression":
+        bad = ~F.expr(check.args["sql"])
+    elif check.kind == "date_past":
+        bad = c >= F.lit(check.args["today"])
+    else:
+        return None
+    return F.when(bad, F.lit(1)).otherwise(F.lit(0))   # NULL predicate: not a failure
+
+
 def _row_failures(check: Check) -> Column:
     c = F.col(check.column) if check.column else None
     if check.kind == "not_null":
@@ -215,6 +237,55 @@ def relationship_failures_fused(child: DataFrame, checks: list[Check],
     return _rows_from_counts(agg, checks)
 
 
+def fused_model_checks(child: DataFrame, row_checks: list[Check], rel_checks: list[Check],
+                       models: Mapping[str, DataFrame],
+                       broadcast_rows: int = D.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Row checks (per-row sums and row count) AND relationship checks of one
+    model from ONE scan: every row contributes a marker entry (cid -1)
+    carrying its row-check indicators, plus one (cid, key) entry per
+    relationship; a single partially aggregated group-by serves both. The
+    marker group holds the row-check failures; the key groups go through the
+    anti-join of ``relationship_failures_fused``."""
+    inds = [_row_indicator(ch) for ch in row_checks if ch.kind != "row_count"]
+    sum_checks = [ch for ch in row_checks if ch.kind != "row_count"]
+    zero = [F.lit(0).alias(f"i{j}") for j in range(len(inds))]
+    entries = [F.struct(F.lit(-1).alias("cid"), F.lit(None).cast("string").alias("k"),
+                        *[ind.alias(f"i{j}") for j, ind in enumerate(inds)])]
+    parents = None
+    for i, ch in enumerate(rel_checks):
+        parent = models[ch.args["to"]]
+        cf, pf = _norm_keys(child.schema[ch.column].dataType, parent.schema[ch.args["field"]].dataType)
+        c = F.col(ch.column)
+        entries.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("cid"), cf(c).alias("k"), *zero)))
+        p = parent.select(F.lit(i).alias("cid"), pf(F.col(ch.args["field"])).alias("k"))
+        parents = p if parents is None else parents.unionByName(p)
+    grouped = (child.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
+                    .select("e.*").groupBy("cid", "k")
+                    .agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"i{j}").alias(f"i{j}") for j in range(len(inds))]))
+    # ONE branch: the marker group (NULL key) passes the anti-join untouched,
+    # key groups survive only without a parent; one aggregate reads both
+    out = grouped
+    if rel_checks:
+        parents = parents.distinct()
+        literal = all(is_literal(models[ch.args["to"]]) for ch in rel_checks)
+        parents = F.broadcast(parents) if literal else dimension(parents, broadcast_rows)
+        out = grouped.join(parents, ["cid", "k"], "left_anti")
+    marker = F.col("cid") == -1
+    aggs = [F.coalesce(F.sum(F.when(marker, F.col(f"i{j}"))), F.lit(0)).cast("bigint").alias(f"f{j}")
+            for j in range(len(inds))]
+    ordered = list(sum_checks)
+    for ch in row_checks:
+        if ch.kind == "row_count":
+            aggs.append(F.when(F.coalesce(F.sum(F.when(marker, F.col("n"))), F.lit(0)) == 0, F.lit(1))
+                        .otherwise(F.lit(0)).cast("bigint").alias(f"f{len(ordered)}"))
+            ordered.append(ch)
+    for i, ch in enumerate(rel_checks):
+        aggs.append(F.coalesce(F.sum(F.when(F.col("cid") == i, F.col("n"))), F.lit(0)).cast("bigint")
+                    .alias(f"f{len(ordered)}"))
+        ordered.append(ch)
+    return _rows_from_counts(out.agg(*aggs), ordered)
+
+
 def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """Run checks against named models; one report row per check.
 
@@ -223,19 +294,23 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     continues)."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    rel_by_model: dict[str, list[Check]] = {}
     for ch in checks:
         if ch.kind in ROW_KINDS:
             by_model.setdefault(ch.model, []).append(ch)
-    for model, chs in by_model.items():
-        parts.append(run_row_checks(models[model], chs))
-    rel_by_model: dict[str, list[Check]] = {}
-    for ch in checks:
-        if ch.kind == "unique":
-            parts.append(_rows_from_counts(unique_failures(models[ch.model], ch.column), [ch]))
         elif ch.kind == "relationships":
             rel_by_model.setdefault(ch.model, []).append(ch)
-        elif ch.kind not in ROW_KINDS:
+        elif ch.kind == "unique":
+            parts.append(_rows_from_counts(unique_failures(models[ch.model], ch.column), [ch]))
+        else:
             raise ValueError(f"unknown check kind {ch.kind}")
+    for model in list(by_model):
+        chs = by_model[model]
+        if model in rel_by_model and all(ch.kind != "accepted_values" for ch in chs):
+            # one scan for the model's row checks and relationship checks
+            parts.append(fused_model_checks(models[model], chs, rel_by_model.pop(model), models))
+        else:
+            parts.append(run_row_checks(models[model], chs))
     for model, chs in rel_by_model.items():
         parts.append(relationship_failures_fused(models[model], chs, models))
     out = parts[0]
