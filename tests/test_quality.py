@@ -56,3 +56,13 @@ def test_reference_suite_has_36_checks(spark):
     assert kinds == {"not_null": 18, "unique": 4, "relationships": 5, "accepted_values": 3,
                      "accepted_range": 2, "row_count": 3, "expression": 1}
     assert len({c.name for c in checks}) == 36
+
+
+def test_fused_path_on_empty_model(spark):
+    child = spark.createDataFrame([], "k string, v double")
+    parent = spark.createDataFrame([(1,)], "pk int")
+    checks = [Q.row_count_positive("c"), Q.not_null("c", "k"), Q.accepted_range("c", "v", 0, 1),
+              Q.relationships("c", "k", "p", "pk")]
+    r = report(spark, {"c": child, "p": parent}, checks)
+    assert r["row_count__c"].failures == 1 and r["row_count__c"].status == "fail"
+    assert r["not_null__c__k"].failures == 0 and r["relationships__c__k__p"].failures == 0
