@@ -237,33 +237,37 @@ def relationship_failures_fused(child: DataFrame, checks: list[Check],
     return _rows_from_counts(agg, checks)
 
 
-def fused_model_checks(child: DataFrame, row_checks: list[Check], rel_checks: list[Check],
-                       models: Mapping[str, DataFrame],
-                       broadcast_rows: int = D.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Row checks (per-row sums and row count) AND relationship checks of one
-    model from ONE scan: every row contributes a marker entry (cid -1)
-    carrying its row-check indicators, plus one (cid, key) entry per
-    relationship; a single partially aggregated group-by serves both. The
-    marker group holds the row-check failures; the key groups go through the
-    anti-join of ``relationship_failures_fused``."""
+def _fused_aggregate(child: DataFrame, row_checks: list[Check], rel_checks: list[Check],
+                     models: Mapping[str, DataFrame], broadcast_rows: int, profile_ts: str | None):
     inds = [_row_indicator(ch) for ch in row_checks if ch.kind != "row_count"]
     sum_checks = [ch for ch in row_checks if ch.kind != "row_count"]
     zero = [F.lit(0).alias(f"i{j}") for j in range(len(inds))]
+    ts_type = child.schema[profile_ts].dataType if profile_ts else None
+    no_ts = [F.lit(None).cast(ts_type).alias("ts")] if profile_ts else []
     entries = [F.struct(F.lit(-1).alias("cid"), F.lit(None).cast("string").alias("k"),
-                        *[ind.alias(f"i{j}") for j, ind in enumerate(inds)])]
+                        *[ind.alias(f"i{j}") for j, ind in enumerate(inds)],
+                        *([F.col(profile_ts).alias("ts")] if profile_ts else []))]
+    if profile_ts:
+        # one entry per (row, month): the number of month groups is the distinct-month count
+        ts = F.col(profile_ts)
+        entries.append(F.when(ts.isNotNull(), F.struct(
+            F.lit(-2).alias("cid"), F.date_format(F.date_trunc("month", ts), "yyyy-MM").alias("k"), *zero, *no_ts)))
     parents = None
     for i, ch in enumerate(rel_checks):
         parent = models[ch.args["to"]]
         cf, pf = _norm_keys(child.schema[ch.column].dataType, parent.schema[ch.args["field"]].dataType)
         c = F.col(ch.column)
-        entries.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("cid"), cf(c).alias("k"), *zero)))
+        entries.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("cid"), cf(c).alias("k"), *zero, *no_ts)))
         p = parent.select(F.lit(i).alias("cid"), pf(F.col(ch.args["field"])).alias("k"))
         parents = p if parents is None else parents.unionByName(p)
+    extra_aggs = [F.min("ts").alias("tmin"), F.max("ts").alias("tmax")] if profile_ts else []
     grouped = (child.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
                     .select("e.*").groupBy("cid", "k")
-                    .agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"i{j}").alias(f"i{j}") for j in range(len(inds))]))
-    # ONE branch: the marker group (NULL key) passes the anti-join untouched,
-    # key groups survive only without a parent; one aggregate reads both
+                    .agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"i{j}").alias(f"i{j}") for j in range(len(inds))],
+                         *extra_aggs))
+    # ONE branch: the marker group (NULL key) and the month groups pass the
+    # anti-join untouched, key groups survive only without a parent; one
+    # aggregate reads everything
     out = grouped
     if rel_checks:
         parents = parents.distinct()
@@ -283,7 +287,42 @@ def fused_model_checks(child: DataFrame, row_checks: list[Check], rel_checks: li
         aggs.append(F.coalesce(F.sum(F.when(F.col("cid") == i, F.col("n"))), F.lit(0)).cast("bigint")
                     .alias(f"f{len(ordered)}"))
         ordered.append(ch)
-    return _rows_from_counts(out.agg(*aggs), ordered)
+    if profile_ts:
+        aggs += [F.coalesce(F.sum(F.when(marker, F.col("n"))), F.lit(0)).cast("bigint").alias("total_rows"),
+                 F.min(F.when(marker, F.col("tmin"))).alias("earliest"),
+                 F.max(F.when(marker, F.col("tmax"))).alias("latest"),
+                 F.count(F.when(F.col("cid") == -2, F.lit(1))).alias("months_covered")]
+    return out.agg(*aggs), ordered
+
+
+def fused_model_checks(child: DataFrame, row_checks: list[Check], rel_checks: list[Check],
+                       models: Mapping[str, DataFrame],
+                       broadcast_rows: int = D.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Row checks (per-row sums and row count) AND relationship checks of one
+    model from ONE scan: every row contributes a marker entry (cid -1)
+    carrying its row-check indicators, plus one (cid, key) entry per
+    relationship; a single partially aggregated group-by and one anti-join
+    serve both."""
+    agg, ordered = _fused_aggregate(child, row_checks, rel_checks, models, broadcast_rows, None)
+    return _rows_from_counts(agg, ordered)
+
+
+def fused_model_check_values(child: DataFrame, row_checks: list[Check], rel_checks: list[Check],
+                             models: Mapping[str, DataFrame], profile_ts: str,
+                             broadcast_rows: int = D.BROADCAST_MAX_ROWS):
+    """``fused_model_checks`` plus a load profile of ``profile_ts`` (row count,
+    first/last value, distinct months) from the same scan; the one result
+    row comes back to the driver. Returns (report rows as dicts, profile dict)."""
+    agg, ordered = _fused_aggregate(child, row_checks, rel_checks, models, broadcast_rows, profile_ts)
+    row = agg.first()
+    rows = []
+    for i, ch in enumerate(ordered):
+        n = row[f"f{i}"]
+        status = "pass" if n == 0 else ("warn" if ch.severity == "warn" else "fail")
+        rows.append({"test_name": ch.name, "model": ch.model, "column_name": ch.column, "test_type": ch.kind,
+                     "severity": ch.severity, "failures": n, "status": status})
+    prof = {k: row[k] for k in ("total_rows", "earliest", "latest", "months_covered")}
+    return rows, prof
 
 
 def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:

@@ -67,20 +67,29 @@ def run_job(spark: SparkSession, wh: TripWarehouse, base: str, target: str = "de
     def row_checks(model):
         return [c for c in checks if c.model == model and c.kind in quality.ROW_KINDS]
 
-    # 2. raw validation: the load profile and NULL counts ride on the staged
-    # trips' row checks (stg is a projection of the raw trips): ONE scan.
-    # They are measured on the typed columns (identical for typed sources
-    # such as Parquet; for text sources a value that fails its cast counts
-    # as NULL, which the not_null checks report anyway).
+    # 2. raw validation (load profile, NULL counts) AND every check of the
+    # staged trips (row checks, relationships to seeds and zones) from ONE
+    # scan of the trips. Measured on the typed staged columns (identical for
+    # typed sources such as Parquet; for text sources a value that fails its
+    # cast counts as NULL, which the not_null checks report anyway).
     null_cols = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "fare_amount"]
-    stg_report, raw_stats = quality.row_check_values(mwh.stg_trips(), row_checks("stg_taxi_trips"),
-                                                     profile.raw_validation_cols(null_cols))
-    res.add("raw_validation", "raw_trips", raw_stats["total_trips"])
+    stg_models = {"stg_taxi_trips": mwh.stg_trips(), "stg_taxi_zones": mwh.stg_zones(),
+                  "dim_vendor": mwh.dim_vendor(), "dim_rate_code": mwh.dim_rate_code(),
+                  "dim_payment_type": mwh.dim_payment_type()}
+    stg_rows = [c for c in row_checks("stg_taxi_trips")]
+    stg_rels = [c for c in checks if c.model == "stg_taxi_trips" and c.kind == "relationships"
+                and c.args["to"] in stg_models]
+    extra_nulls = [c for c in null_cols if not any(ch.kind == "not_null" and ch.column == c for ch in stg_rows)]
+    stg_rows += [quality.not_null("stg_taxi_trips", c) for c in extra_nulls]
+    stg_report, prof = quality.fused_model_check_values(mwh.stg_trips(), stg_rows, stg_rels, stg_models,
+                                                        "tpep_pickup_datetime")
+    nulls = {r["column_name"]: r["failures"] for r in stg_report if r["test_type"] == "not_null"}
+    stg_report = [r for r in stg_report if not (r["test_type"] == "not_null" and r["column_name"] in extra_nulls)]
+    res.add("raw_validation", "raw_trips", prof["total_rows"])
     res.add("raw_validation", "raw_zones", profile.row_count(zones).first()[0])
     for c in null_cols:
-        res.add("raw_validation", f"null_{c}", raw_stats[f"null_{c}"])
-    log.info("raw trips %s .. %s over %s months", raw_stats["earliest_trip"], raw_stats["latest_trip"],
-             raw_stats["months_covered"])
+        res.add("raw_validation", f"null_{c}", nulls[c])
+    log.info("raw trips %s .. %s over %s months", prof["earliest"], prof["latest"], prof["months_covered"])
 
     # 3. seeds + models in the target layer (stg are views; the rest tables)
     main, mart = "main", schema_name("main", "mart")
@@ -116,8 +125,8 @@ def run_job(spark: SparkSession, wh: TripWarehouse, base: str, target: str = "de
     if geo is not None:
         models["dim_taxi_zones_geospatial"] = geo
     fct_report, q = quality.row_check_values(fct, row_checks("fct_taxi_trips"), profile.fact_quality_cols(True))
-    fused = {"stg_taxi_trips", "fct_taxi_trips"}
-    rest = [c for c in checks if c.model in models and not (c.kind in quality.ROW_KINDS and c.model in fused)
+    rest = [c for c in checks if c.model in models and c.model != "stg_taxi_trips"
+            and not (c.kind in quality.ROW_KINDS and c.model == "fct_taxi_trips")
             and (c.kind != "relationships" or c.args["to"] in models)]
     res.report = stg_report + fct_report + [r.asDict() for r in quality.run_suite(models, rest).collect()]
     for status in ("pass", "warn", "fail"):

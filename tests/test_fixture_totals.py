@@ -41,3 +41,17 @@ def test_geometry_fixture_has_multipolygons(spark):
         assert rows[k].zone_area_sq_meters == 13.0       # 4 x 3 rectangle + 1 x 1 island
     assert rows["3"].geometry_wkt.startswith("POLYGON ((") and rows["3"].zone_area_sq_meters == 4 * 6 - 1
     assert rows["24"].geometry_wkt is None
+
+
+def test_fused_profile_equals_load_profile(spark):
+    from meterline.operators import profile as P
+    from meterline.operators import quality as Q
+    w = wh(spark, SF01)
+    models = {"s": w.stg_trips(), "z": w.stg_zones(), "v": w.dim_vendor()}
+    rows, prof = Q.fused_model_check_values(
+        w.stg_trips(), [Q.not_null("s", "VendorID"), Q.row_count_positive("s")],
+        [Q.relationships("s", "PULocationID", "z", "LocationID"), Q.relationships("s", "VendorID", "v", "vendor_id")],
+        models, "tpep_pickup_datetime")
+    lp = P.load_profile(w.stg_trips()).first()
+    assert (prof["total_rows"], prof["earliest"], prof["latest"], prof["months_covered"]) == tuple(lp)
+    assert {r["test_name"]: r["failures"] for r in rows}["relationships__s__VendorID__v"] == 29941
