@@ -7,9 +7,10 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from meterline.plans.registry import QUERIES
 from tests.conftest import SF001
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def formatted(df) -> str:
