@@ -201,11 +201,12 @@ def score(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text"
     as an empty one. All other columns pass through (an old ``score_col`` is
     replaced)."""
     arrow_batches(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the terms kept
+    parts = (machine.bias, machine.terms, machine.weights, machine.factors, machine.buckets)
+    model = docs.sparkSession.sparkContext.broadcast(parts)  # bounded by the terms kept
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        one = model.value.scorer()
+        one = FactorizationMachine(*model.value).scorer()
         for texts in batches:
             yield pd.Series([one(t or "") for t in texts], dtype="float64")
 
