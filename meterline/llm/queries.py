@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import minhash, packing, sharding, substring, toxicity
+from meterline.llm import minhash, packing, sharding, spherical, substring, toxicity
 from meterline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op8_spherical_caps")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spherical.near_vectors(read_table(spark, sf_dir, "embeddings"))
