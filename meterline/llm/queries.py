@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import minhash, packing, sharding, spherical, substring, toxicity
+from meterline.llm import edit_embedding, minhash, packing, sharding, spherical, substring, toxicity, warc
 from meterline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_spherical_caps")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spherical.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op4_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_bundles(read_table(spark, sf_dir, "pages"))
+    return warc.read_bundles(index, payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op6_edit_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = edit_embedding.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+    return prints.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+                         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
