@@ -74,7 +74,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op3_substring_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = substring.remove_repeats(read_table(spark, sf_dir, "documents"))
+    kept = substring.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 

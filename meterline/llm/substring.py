@@ -24,7 +24,6 @@ lose every word (if they hold a window at all)."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.llm.common import arrow_batches, maybe_broadcast, written
 from meterline.llm.shingles import BASE, mix, word_hashes
@@ -241,21 +241,24 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, caps: tuple[int, ...] = CAPS) -> DataFrame:
-    """One row per input row: id, n_words, n_removed and kept_text (the kept
-    words, joined by one space).
+    """``docs`` with n_words, n_removed and kept_text (the kept words, joined by
+    one space), one row per input row.
 
     Words are stretches without ASCII white space. A word goes if a window of
     ``window`` consecutive words that covers it also starts in a document with
     a smaller id. Null texts have no words; rows with a null id neither lose
     words nor count as a place of first occurrence; rows of one id never take
     words from each other, but each loses what any of them repeats from a smaller
-    id at the same place. Other columns are ignored; an empty table gives an
-    empty result."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    id at the same place. All columns pass through (old columns of the new
+    names are replaced); an empty table gives an empty result."""
     repeats = written(repeated_windows(docs, id_col, text_col, window, caps), "repeats")
     held = repeats.agg(F.count(F.lit(1)), F.sum(F.size("starts"))).first()
-    repeats = maybe_broadcast(repeats.withColumnRenamed("id", "__id"), 1, 48 * held[0] + 4 * (held[1] or 0))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").cast("binary").alias("__text"))
+    repeats = maybe_broadcast(repeats.select(F.col("id").alias("__id"), "starts", "whole"), 1, 48 * held[0] + 4 * (held[1] or 0))
+    columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
+    rows = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(columns)], F.col(id_col).alias("__id"),
+                       F.col(text_col).cast("string").cast("binary").alias("__text"))
+    schema = T.StructType([*[docs.schema[c] for c in columns], T.StructField("n_words", T.LongType()),
+                           T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
 
     def run(batches):
         for batch in batches:
@@ -279,11 +282,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     words = [words[i] for i in np.flatnonzero(~covered)]
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["id", "n_words", "n_removed", "kept_text"])
-
-    return (texts.join(repeats, "__id", "left").select("__id", "__text", "starts", "whole")
-            .mapInArrow(run, f"id {kind}, n_words long, n_removed long, kept_text string").withColumnRenamed("id", id_col))
-
+                [*(batch.column(f"__c{i}") for i in range(len(columns))), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                schema.names)
 
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+    joined = rows.join(repeats, "__id", "left")
+    return joined.select(*[f"__c{i}" for i in range(len(columns))], "__text", "starts", "whole").mapInArrow(run, schema)
