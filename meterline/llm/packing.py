@@ -55,7 +55,7 @@ class WordEncoder:
     and the ids of each distinct word are remembered."""
 
     PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]*")  # here str.lower, NFC and the classes below agree with the library
-    SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-zà-öø-ÿ0-9]+")
+    SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
     SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to str.split, not to the library
 
     def __init__(self, spec: str, words: int = CACHE_WORDS):
