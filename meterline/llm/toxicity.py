@@ -87,9 +87,10 @@ class FactorizationMachine:
         return score
 
 
-def _screen(docs: list[np.ndarray], y: np.ndarray, buckets: int, keep: int, least: float) -> np.ndarray:
+def _screen(docs: list[np.ndarray], y: np.ndarray, buckets: int, keep: int, common: int, least: float) -> np.ndarray:
     """The ``keep`` buckets most associated with the label (G statistic above
-    ``least``), so that rare words do not drown the fit in noise."""
+    ``least``), so that rare words do not drown the fit in noise, and the
+    ``common`` most frequent ones, which may matter in pairs alone."""
     n, n1 = len(y), max(1.0, float(y.sum()))
     df = np.zeros(buckets)
     pos = np.zeros(buckets)
@@ -107,11 +108,11 @@ def _screen(docs: list[np.ndarray], y: np.ndarray, buckets: int, keep: int, leas
     g = 2 * (part(pos, df * rate) + part(neg, df * (1 - rate))
              + part(n1 - pos, (n - df) * rate) + part(n - n1 - neg, (n - df) * (1 - rate)))
     best = np.argsort(-g, kind="stable")[:keep]
-    return np.sort(at[best[g[best] >= least]])
+    return np.union1d(at[best[g[best] >= least]], at[np.argsort(-df, kind="stable")[:common]])
 
 
 def fit_rows(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, factors: int = 8, keep: int = 8192,
-             least: float = 16.0, epochs: int = 300, rate: float = 0.05, l2: float = 3e-4, seed: int = 7) -> FactorizationMachine:
+             common: int = 48, least: float = 16.0, epochs: int = 150, rate: float = 0.05, l2: float = 3e-4, seed: int = 7) -> FactorizationMachine:
     """Fit on distinct term buckets per document (logistic loss, Adam, whole
     batch; the same rows give the same weights). Without any row, or with one
     label only, the machine is its bias alone."""
@@ -119,7 +120,7 @@ def fit_rows(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, fact
     n = len(y)
     prior = (y.sum() + 0.5) / (n + 1.0) if n else 0.0
     bias = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-    terms = _screen(docs, y, buckets, keep, least) if n and 0 < y.sum() < n else np.zeros(0, np.int64)
+    terms = _screen(docs, y, buckets, keep, common, least) if n and 0 < y.sum() < n else np.zeros(0, np.int64)
     m = len(terms)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(m), rng.normal(0, 0.05, (m, factors))
@@ -134,8 +135,6 @@ def fit_rows(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, fact
     col_cut = np.flatnonzero(np.r_[True, np.diff(col[by_col]) > 0])  # every kept term occurs
 
     def by_row(x):  # sums of entries per document
-        total = np.zeros((n + 1, *x.shape[1:]))
-        total[1:] = 0
         c = np.concatenate([np.zeros((1, *x.shape[1:])), np.cumsum(x, axis=0)])
         ends = np.cumsum([0, *[len(k) for k in cols]])
         return c[ends[1:]] - c[ends[:-1]]
