@@ -4,7 +4,9 @@ A walk reads a text: at step j it stands on a character c, emits it, and moves
 on if the shared random bit r(j, c) says so. Two texts walk with the same
 bits, so after an insertion, deletion or replacement their walks soon meet
 again and emit the same characters from there on: edit distance becomes
-Hamming distance between the emitted strings.
+Hamming distance between the emitted strings. (The distortion is that of the
+method: k edits can cost the order of k * k steps, so scattered edits weigh
+more than one block.)
 
 The fingerprint keeps a sample of what was emitted, over the whole walk: up to
 ``PER_OCTAVE`` steps of each octave [2^a, 2^(a+1)), four hashed bits each, as
