@@ -27,8 +27,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (both.join(least, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         edges = written(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -18,7 +18,7 @@ member with the most collisions overall). Members in the centre's component
 need no further pairs among themselves, so only pairs across components are
 left. For those, an exact bound helps: a document's intersection with any other
 is at most the number of its shingles that occur twice at all. Centre rounds go
-on while they pay; the last step takes every remaining pair."""
+on while each halves the work left; the last step takes every remaining pair."""
 
 from __future__ import annotations
 
@@ -39,7 +39,7 @@ COORDINATES = 48
 MATCHES = 24  # of 48: a pair at Jaccard 0.75 falls below with probability 6e-5
 WIDTH = 5
 PERCENT = 75
-CENTRE_ROUNDS = 6
+CENTRE_ROUNDS = 4
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, coordinates: int, width: int, seed: int) -> DataFrame:
@@ -122,45 +122,56 @@ def _possible(n1: Column, c1: Column, n2: Column, c2: Column, percent: int) -> C
     return most * (100 + percent) >= (n1 + n2) * percent
 
 
+def _known_labels(links: DataFrame) -> DataFrame:
+    """(rep, label): some representative that each one is surely connected with,
+    the smallest over two steps. Equal labels mean one component; unequal ones
+    may still be one."""
+    both = links.select(F.col("a").alias("rep"), F.col("b").alias("label")).unionByName(links.select(F.col("b").alias("rep"), F.col("a").alias("label")))
+    near = both.groupBy("rep").agg(F.min("label").alias("label")).select("rep", F.least("rep", "label").alias("label"))
+    far = near.select(F.col("rep").alias("label"), F.col("label").alias("next"))
+    return near.join(far, "label", "left").select("rep", F.coalesce("next", "label").alias("label"))
+
+
 def link_components(postings: DataFrame, facts: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
     """(node, root) of the representatives that have a link."""
-    posted = written(postings.join(facts, "rep"), "postings")
+    kind = sets.schema["rep"].dataType.simpleString()
+    # too many shingles of its own: such a document reaches the threshold with nobody
+    posted = written(postings.join(facts.where(F.col("c") * 100 >= F.col("n") * percent), "rep"), "postings")
     size = posted.count()
-    links = labels = None
-    for turn in range(CENTRE_ROUNDS + 1):
-        if labels is None:
+    links, before, turn = sets.sparkSession.createDataFrame([], f"a {kind}, b {kind}"), None, 0
+    fields = ("rep", "n", "c", "label")
+    while size:
+        if turn == 0:
             now = posted.withColumn("label", F.col("rep"))
         else:
-            now = posted.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
-        groups = now.groupBy("pair", "label").agg(F.count(F.lit(1)).alias("k"))
-        lists = (groups.groupBy("pair").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("size"), F.count(F.lit(1)).alias("labels"))
-                 .where("labels > 1").select("pair", F.col("top.label").alias("top"), F.col("top.k").alias("k"), "size"))
-        lists = written(lists, "open_lists")
-        left = lists.agg(F.sum((F.col("size") - F.col("k")) * F.col("size"))).first()[0] or 0
+            now = posted.join(_known_labels(links), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        groups = now.groupBy("pair", "label").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
+        lists = (groups.groupBy("pair").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("size"), F.count(F.lit(1)).alias("labels"), F.min("n").alias("least_n"))
+                 .where("labels > 1").select("pair", F.col("top.label").alias("top"), F.col("top.k").alias("k"), "size", "least_n"))
+        # members that cannot reach the threshold even with the list's smallest set leave the list
+        fit = F.col("c") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent
+        open_ = written(now.join(lists, "pair").where(fit), "open_lists")
+        left = open_.where("label <> top").agg(F.sum("size")).first()[0] or 0
         if not left:
             break
-        last = turn == CENTRE_ROUNDS or left <= 4 * size
-        open_ = now.join(lists, "pair")
+        last = left <= 4 * size or turn == CENTRE_ROUNDS or (turn > 0 and 2 * left > before)
         if last:  # every pair across components: members outside the list's largest component against all
-            one = open_.where("label <> top").select("pair", *[F.col(c).alias(f"{c}_1") for c in ("rep", "n", "c", "label")])
-            two = open_.select("pair", *[F.col(c).alias(f"{c}_2") for c in ("rep", "n", "c", "label")])
+            one = open_.where("label <> top").select("pair", *[F.col(c).alias(f"{c}_1") for c in fields])
+            two = open_.select("pair", *[F.col(c).alias(f"{c}_2") for c in fields])
             pairs = one.join(two, (one["pair"] == two["pair"]) & (F.col("label_1") != F.col("label_2"))
                              & _possible(F.col("n_1"), F.col("c_1"), F.col("n_2"), F.col("c_2"), percent))
         else:
             order = F.struct("weight", "rep") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "rep").alias("weight"), "rep")
             centre = open_.groupBy("pair").agg(F.max(F.struct(order.alias("o"), "n", "c", "label")).alias("m")).select(
                 "pair", F.col("m.o.rep").alias("rep_2"), F.col("m.n").alias("n_2"), F.col("m.c").alias("c_2"), F.col("m.label").alias("label_2"))
-            pairs = open_.select("pair", *[F.col(c).alias(f"{c}_1") for c in ("rep", "n", "c", "label")]).join(centre, "pair").where(
+            pairs = open_.select("pair", *[F.col(c).alias(f"{c}_1") for c in fields]).join(centre, "pair").where(
                 (F.col("label_1") != F.col("label_2")) & _possible(F.col("n_1"), F.col("c_1"), F.col("n_2"), F.col("c_2"), percent))
         pairs = pairs.select(F.least("rep_1", "rep_2").alias("a"), F.greatest("rep_1", "rep_2").alias("b")).distinct()
-        found = confirm(pairs, sets, matches, percent)
-        links = written(found if links is None else links.unionByName(found), "near_links")
-        labels = components(links)
+        links = written(links.unionByName(confirm(pairs, sets, matches, percent)), "near_links")
         if last:
             break
-    if labels is None:
-        labels = posted.select(F.col("rep").alias("node"), F.col("rep").alias("root")).limit(0)
-    return labels
+        before, turn = left, turn + 1
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES,
