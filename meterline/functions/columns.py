@@ -24,15 +24,17 @@ def round_to(c: str | Column, digits: int) -> Column:
     in binary; this form is the same IEEE arithmetic everywhere."""
     x = _col(c)
     scale = F.lit(float(10 ** digits))
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+    rounded = F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+    # from 2^52 on a double has no digits left to round; NaN and infinity compare as larger
+    return F.when(F.abs(x) * scale >= F.lit(float(1 << 52)), x).otherwise(rounded)
 
 
 EXACT_SCALE = 6
 
 
 def exact_total(c: str | Column, scale: int = EXACT_SCALE) -> Column:
-    """Exact sum of a double column as DECIMAL(38, scale), for values with at
-    most ``scale`` decimals (money, miles).
+    """Exact sum of a double column as DECIMAL(38, scale), for finite values
+    with at most ``scale`` decimals (money, miles); see ``exact_sum`` for others.
 
     Each value is split into whole units and millionths (for scale 6), both
     summed as BIGINT: integer addition is exact and order-free, so the total
@@ -50,8 +52,16 @@ def exact_total(c: str | Column, scale: int = EXACT_SCALE) -> Column:
 
 def exact_sum(c: str | Column, scale: int = EXACT_SCALE) -> Column:
     """``exact_total`` as a double: identical on every cluster layout, and
-    re-aggregations (rollups) equal the base query."""
-    return exact_total(c, scale).cast("double")
+    re-aggregations (rollups) equal the base query. A group that holds a NaN,
+    an infinity or a value without ``scale`` decimals to spare (from 2^52 /
+    10^scale on) gets the plain double sum instead."""
+    x = _col(c)
+    return F.when(F.max(beyond_exact(x, scale)), F.sum(x)).otherwise(exact_total(F.when(~beyond_exact(x, scale), x), scale).cast("double"))
+
+
+def beyond_exact(c: str | Column, scale: int = EXACT_SCALE) -> Column:
+    """Whether a double cannot take part in ``exact_total``."""
+    return F.abs(_col(c)) * F.lit(float(10 ** scale)) >= F.lit(float(1 << 52))
 
 
 def exact_avg(c: str | Column, scale: int = EXACT_SCALE) -> Column:

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from meterline.plans.cubes import Cube, CubeSet, Dimension as Dm, Join, LazyTables, Measure as Ms, PreAggregation
 
+# Decimals that money columns carry at most: their sums are exact.
+MONEY = 6
+
 # Cube, member and column names, member types and joins of the
 # reference's semantic layer (live cubes first, then the kept-but-unmounted set).
 RAW_TAXI_TRIPS = Cube("raw_taxi_trips", "raw_taxi_trips",
@@ -16,11 +19,11 @@ RAW_TAXI_TRIPS = Cube("raw_taxi_trips", "raw_taxi_trips",
                 Dm("tpep_dropoff_datetime", "tpep_dropoff_datetime", "time"),
                 Dm("tpep_pickup_datetime", "tpep_pickup_datetime", "time")),
     measures=(Ms("count", "count"),
-              Ms("fare_amount", "sum", "fare_amount"),
+              Ms("fare_amount", "sum", "fare_amount", scale=MONEY),
               Ms("passenger_count", "sum", "passenger_count"),
-              Ms("tip_amount", "sum", "tip_amount"),
-              Ms("tolls_amount", "sum", "tolls_amount"),
-              Ms("total_amount", "sum", "total_amount")))
+              Ms("tip_amount", "sum", "tip_amount", scale=MONEY),
+              Ms("tolls_amount", "sum", "tolls_amount", scale=MONEY),
+              Ms("total_amount", "sum", "total_amount", scale=MONEY)))
 
 RAW_TAXI_ZONES = Cube("raw_taxi_zones", "raw_taxi_zones",
     dimensions=(Dm("borough", "Borough", "string"),
@@ -31,6 +34,7 @@ RAW_TAXI_ZONES = Cube("raw_taxi_zones", "raw_taxi_zones",
 FCT_TAXI_TRIPS = Cube("fct_taxi_trips", "fct_taxi_trips", measures=(Ms("count", "count"),))
 
 TAXI_TRIPS = Cube("TaxiTrips", "fct_taxi_trips", title="NYC Yellow Taxi Trips",
+    month_partitions=(("tpep_pickup_datetime", ("pickup_year", "pickup_month")),),
     joins=(Join("VendorDim", "VendorDim", "VendorID", "vendor_id"),
            Join("PaymentTypeDim", "PaymentTypeDim", "payment_type", "payment_type"),
            Join("RateCodeDim", "RateCodeDim", "RatecodeID", "rate_code_id"),
@@ -55,18 +59,18 @@ TAXI_TRIPS = Cube("TaxiTrips", "fct_taxi_trips", title="NYC Yellow Taxi Trips",
               Ms("totalPassengers", "sum", "passenger_count"),
               Ms("totalMilesTraveled", "sum", "trip_distance", format="#,##0.0"),
               Ms("avgTripDistance", "avg", "trip_distance", format="#,##0.00"),
-              Ms("totalFareAmount", "sum", "fare_amount", format="$#,##0.00"),
-              Ms("avgFareAmount", "avg", "fare_amount", format="$#,##0.00"),
-              Ms("totalTips", "sum", "tip_amount", format="$#,##0.00"),
-              Ms("avgTipAmount", "avg", "tip_amount", format="$#,##0.00"),
-              Ms("totalRevenueCharged", "sum", "total_amount", format="$#,##0.00"),
-              Ms("avgRevenuePerTrip", "avg", "total_amount", format="$#,##0.00"),
-              Ms("totalMtaTax", "sum", "mta_tax", format="$#,##0.00"),
-              Ms("totalImprovementSurcharge", "sum", "improvement_surcharge", format="$#,##0.00"),
-              Ms("totalCongestionSurcharge", "sum", "congestion_surcharge", format="$#,##0.00"),
-              Ms("totalAirportFees", "sum", "airport_fee", format="$#,##0.00"),
-              Ms("totalExtrasAndSurcharges", "sum", "extra", format="$#,##0.00"),
-              Ms("totalTolls", "sum", "tolls_amount", format="$#,##0.00"),
+              Ms("totalFareAmount", "sum", "fare_amount", scale=MONEY, format="$#,##0.00"),
+              Ms("avgFareAmount", "avg", "fare_amount", scale=MONEY, format="$#,##0.00"),
+              Ms("totalTips", "sum", "tip_amount", scale=MONEY, format="$#,##0.00"),
+              Ms("avgTipAmount", "avg", "tip_amount", scale=MONEY, format="$#,##0.00"),
+              Ms("totalRevenueCharged", "sum", "total_amount", scale=MONEY, format="$#,##0.00"),
+              Ms("avgRevenuePerTrip", "avg", "total_amount", scale=MONEY, format="$#,##0.00"),
+              Ms("totalMtaTax", "sum", "mta_tax", scale=MONEY, format="$#,##0.00"),
+              Ms("totalImprovementSurcharge", "sum", "improvement_surcharge", scale=MONEY, format="$#,##0.00"),
+              Ms("totalCongestionSurcharge", "sum", "congestion_surcharge", scale=MONEY, format="$#,##0.00"),
+              Ms("totalAirportFees", "sum", "airport_fee", scale=MONEY, format="$#,##0.00"),
+              Ms("totalExtrasAndSurcharges", "sum", "extra", scale=MONEY, format="$#,##0.00"),
+              Ms("totalTolls", "sum", "tolls_amount", scale=MONEY, format="$#,##0.00"),
               Ms("avgFarePerMile", "avg", "fare_per_mile", format="$#,##0.00"),
               Ms("avgTripDurationMinutes", "avg", "trip_duration_minutes", format="#,##0.0 min")),
     pre_aggregations=(
@@ -113,13 +117,11 @@ PAYMENT_TYPE_DIM = Cube("PaymentTypeDim", "dim_payment_type",
 STAGING_TAXI_TEST = Cube("StagingTaxiTest", "stg_taxi_trips",
     dimensions=(Dm("vendorId", "VendorID"), Dm("pickupZone", "PULocationID"),
                 Dm("pickupDate", "pickup_date", "time")),
-    measures=(Ms("tripCount", "count"), Ms("avgFare", "avg", "fare_amount", format="$#,##0.00"),
-              Ms("totalRevenue", "sum", "total_amount", format="$#,##0.00")))
+    measures=(Ms("tripCount", "count"), Ms("avgFare", "avg", "fare_amount", scale=MONEY, format="$#,##0.00"),
+              Ms("totalRevenue", "sum", "total_amount", scale=MONEY, format="$#,##0.00")))
 
-# Money and miles carry at most a few decimals: sum them exactly at 6.
-EXACT_SCALE = 6
 ALL_CUBES = CubeSet([RAW_TAXI_TRIPS, RAW_TAXI_ZONES, FCT_TAXI_TRIPS, TAXI_TRIPS, TAXI_ZONES,
-                     VENDOR_DIM, RATE_CODE_DIM, PAYMENT_TYPE_DIM, STAGING_TAXI_TEST], exact_scale=EXACT_SCALE)
+                     VENDOR_DIM, RATE_CODE_DIM, PAYMENT_TYPE_DIM, STAGING_TAXI_TEST])
 
 
 def warehouse_tables(wh) -> "LazyTables":

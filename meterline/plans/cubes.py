@@ -8,12 +8,17 @@ a query needs are added, each a left join to a dimension broadcast behind
 a size check. Output columns are ``Cube_member`` (``Cube_member_granularity``
 for time dimensions), so names stay valid unquoted Spark identifiers.
 
-``exact_scale`` makes sums and averages of floating columns exact decimal
-sums (deterministic across partitionings; rollups re-aggregate exactly).
+A measure's ``scale`` (money columns) makes its sums and averages exact decimal
+sums: deterministic across partitionings, and rollups re-aggregate exactly.
+Without it they are plain double aggregates.
+
+Measures of a joined cube are taken over its distinct primary keys, so a
+dimension row counts once however many base rows point at it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -64,6 +69,7 @@ class Measure:
     sql: str | None = None        # column; None for count(*)
     title: str | None = None
     format: str | None = None     # display only
+    scale: int | None = None      # decimals of a money column: summed exactly
 
 
 @dataclass(frozen=True)
@@ -94,6 +100,8 @@ class Cube:
     joins: tuple[Join, ...] = ()
     pre_aggregations: tuple[PreAggregation, ...] = ()
     title: str | None = None
+    # time column -> (year column, month column) that the written table is partitioned by
+    month_partitions: tuple[tuple[str, tuple[str, str]], ...] = ()
 
     def dimension(self, name: str) -> Dimension:
         for d in self.dimensions:
@@ -161,6 +169,31 @@ def out_name(member: str, granularity: str | None = None) -> str:
     return f"{base}_{granularity}" if granularity else base
 
 
+DATE_ONLY = re.compile(r"\d{4}-\d{2}-\d{2}")
+
+
+def filter_expr(c: Column, f: Filter) -> Column:
+    """The condition of a filter on its member's column."""
+    v = list(f.values)
+    ops = {"equals": lambda: c.isin(v), "in": lambda: c.isin(v), "notEquals": lambda: ~c.isin(v) | c.isNull(),
+           "gt": lambda: c > v[0], "gte": lambda: c >= v[0], "lt": lambda: c < v[0], "lte": lambda: c <= v[0],
+           "set": lambda: c.isNotNull(), "notSet": lambda: c.isNull()}
+    if f.operator not in ops:
+        raise ValueError(f"unsupported filter operator {f.operator}")
+    return ops[f.operator]()
+
+
+def joined_measure(cube: Cube, m: Measure, col: Column | None, via: str) -> Column:
+    """A measure of a joined cube over its distinct primary keys. Sums and
+    averages are refused: the base rows would weigh them."""
+    keys = [F.col(f"{via}__{d.sql}") for d in cube.dimensions if d.primary_key]
+    if m.type == "count" and keys:
+        return F.count_distinct(*(keys if col is None else [F.when(col.isNotNull(), k) for k in keys]))
+    if m.type in ("min", "max", "count_distinct"):
+        return measure_expr(m, col)
+    raise ValueError(f"{cube.name}.{m.name}: a {m.type} of a joined cube needs a query of that cube itself")
+
+
 def _split(member: str) -> tuple[str, str]:
     owner, _, name = member.partition(".")
     if not name:
@@ -169,8 +202,9 @@ def _split(member: str) -> tuple[str, str]:
 
 
 def measure_expr(m: Measure, col: Column | None, exact_scale: int | None = None) -> Column:
-    """Aggregate of a measure. With ``exact_scale`` sums and averages are
-    computed on DECIMAL(38, exact_scale) (see ``exact_sum``)."""
+    """Aggregate of a measure; its own ``scale`` (or ``exact_scale`` for the
+    measures without one) makes sums and averages exact (see ``exact_sum``)."""
+    exact_scale = exact_scale if m.scale is None else m.scale
     if m.type == "count":
         return F.count(F.lit(1)) if col is None else F.count(col)
     if m.type == "count_distinct":
@@ -194,12 +228,15 @@ class CubeSet:
 
     # ------------------------------------------------------------ resolution
     def _base_cube(self, q: CubeQuery) -> Cube:
+        """The cube from which all members can be reached; of several, the one
+        named first."""
         members = list(q.measures) + list(q.dimensions) + [t.member for t in q.time_dimensions]
-        for m in members:
-            owner, _ = _split(m)
-            if owner in self.cubes:
-                return self.cubes[owner]
-        raise ValueError("query names no cube")
+        owners = list(dict.fromkeys(_split(m)[0] for m in members + [f.member for f in q.filters]))
+        named = [self.cubes[o] for o in owners if o in self.cubes]
+        for cube in named:
+            if all(o == cube.name or any(j.name == o for j in cube.joins) for o in owners):
+                return cube
+        raise ValueError("no cube of the query reaches all its members" if named else "query names no cube")
 
     def _resolve(self, base: Cube, member: str) -> tuple[Cube, str | None]:
         """(cube owning the member, join name or None for the base cube)."""
@@ -231,6 +268,7 @@ class CubeSet:
             col = cube.dimension(name).sql if any(d.name == name for d in cube.dimensions) \
                 else cube.measure(name).sql
             used.setdefault(via, set()).add(col)
+            used[via].update(d.sql for d in cube.dimensions if d.primary_key and m in q.measures)
         for via, cols in used.items():
             j = base.join(via)
             target = self.cubes[j.cube]
@@ -249,23 +287,19 @@ class CubeSet:
             df = df.join(right, cond, "left")
         return base, df
 
+    def _month_predicate(self, base: Cube, td: TimeDimension, df: DataFrame) -> DataFrame:
+        """The date range on the partition columns as well, so that only the
+        months it touches are listed and opened."""
+        _, d, via = self._dim_col(base, td.member)
+        parts = dict(base.month_partitions).get(d.sql) if via is None else None
+        if parts and set(parts) <= set(df.columns):
+            month = F.col(parts[0]) * 12 + F.col(parts[1])
+            lo, hi = (int(str(x)[:4]) * 12 + int(str(x)[5:7]) for x in td.date_range)
+            df = df.where((month >= lo) & (month <= hi))
+        return df
+
     def _filter_expr(self, base: Cube, f: Filter) -> Column:
-        c, d, _ = self._dim_col(base, f.member)
-        v = list(f.values)
-        op = f.operator
-        if op == "equals":
-            return c.isin(v)
-        if op == "notEquals":
-            return ~c.isin(v) | c.isNull()
-        if op == "in":
-            return c.isin(v)
-        if op in ("gt", "gte", "lt", "lte"):
-            return {"gt": c > v[0], "gte": c >= v[0], "lt": c < v[0], "lte": c <= v[0]}[op]
-        if op == "set":
-            return c.isNotNull()
-        if op == "notSet":
-            return c.isNull()
-        raise ValueError(f"unsupported filter operator {op}")
+        return filter_expr(self._dim_col(base, f.member)[0], f)
 
     def query(self, q: CubeQuery, tables: Mapping[str, DataFrame]) -> DataFrame:
         base, df = self.source(q, tables)
@@ -280,8 +314,12 @@ class CubeSet:
             ts = c.cast("timestamp_ntz")
             if td.date_range:
                 lo, hi = td.date_range
-                df = df.where((ts >= F.lit(lo).cast("timestamp_ntz"))
-                              & (ts < F.date_add(F.lit(hi).cast("date"), 1).cast("timestamp_ntz")))
+                df = df.where(ts >= F.lit(lo).cast("timestamp_ntz"))
+                if DATE_ONLY.fullmatch(str(hi)):  # a whole day; a bound with a time of day is meant as written
+                    df = df.where(ts < F.date_add(F.lit(hi).cast("date"), 1).cast("timestamp_ntz"))
+                else:
+                    df = df.where(ts <= F.lit(hi).cast("timestamp_ntz"))
+                df = self._month_predicate(base, td, df)
             if td.granularity:
                 if td.granularity not in GRANULARITIES:
                     raise ValueError(td.granularity)
@@ -292,7 +330,8 @@ class CubeSet:
             cube, via = self._resolve(base, member)
             m = cube.measure(_split(member)[1])
             col = None if m.sql is None else F.col(m.sql if via is None else f"{via}__{m.sql}")
-            aggs.append(measure_expr(m, col, self.exact_scale).alias(out_name(member)))
+            expr = measure_expr(m, col, self.exact_scale) if via is None else joined_measure(cube, m, col, via)
+            aggs.append(expr.alias(out_name(member)))
         out = df.groupBy(*group).agg(*aggs) if aggs else df.select(*group).distinct()
         if q.order:
             keys = [F.col(out_name(m)).desc_nulls_last() if d == "desc" else F.col(out_name(m)).asc_nulls_last()

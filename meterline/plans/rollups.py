@@ -15,10 +15,10 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions.columns import exact_total
+from meterline.functions.columns import beyond_exact, exact_total
 
 from meterline.plans.cubes import (
-    GRANULARITIES, Cube, CubeQuery, CubeSet, Measure, PreAggregation, TimeDimension, out_name,
+    GRANULARITIES, Cube, CubeQuery, CubeSet, Measure, PreAggregation, TimeDimension, filter_expr, out_name,
 )
 
 COARSER = {"day": {"day", "week", "month", "quarter", "year"},
@@ -28,14 +28,20 @@ COARSER = {"day": {"day", "week", "month", "quarter", "year"},
 
 
 def _parts(m: Measure, col: Column | None, scale: int | None) -> list[tuple[str, Column]]:
+    scale = scale if m.scale is None else m.scale
+
     def total(c):
-        return exact_total(c, scale) if scale is not None else F.sum(c)
+        """The exact decimal total, and for values beyond it the plain one."""
+        if scale is None:
+            return [("sum", F.sum(c))]
+        odd = beyond_exact(c, scale)
+        return [("sum", exact_total(F.when(~odd, c), scale)), ("plain", F.sum(F.when(odd, c)))]
     if m.type == "count":
         return [("count", F.count(F.lit(1)) if col is None else F.count(col))]
     if m.type == "sum":
-        return [("sum", total(col))]
+        return total(col)
     if m.type == "avg":
-        return [("sum", total(col)), ("count", F.count(col))]
+        return [*total(col), ("count", F.count(col))]
     if m.type in ("min", "max"):
         return [(m.type, getattr(F, m.type)(col))]
     raise ValueError(f"measure type {m.type} cannot be rolled up")
@@ -72,19 +78,25 @@ def build_rollup(cubes: CubeSet, cube_name: str, pa_name: str, tables: Mapping[s
     return df.groupBy(*group).agg(*aggs)
 
 
-def _final(m: Measure, member: str, reagg: bool) -> Column:
+def _final(m: Measure, member: str, reagg: bool, scale: int | None) -> Column:
     def part(p):
         c = F.col(_part_col(member, p))
         if not reagg:
             return c
-        return {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[p](c)
+        return {"count": F.sum, "sum": F.sum, "plain": F.sum, "min": F.min, "max": F.max}[p](c)
+
+    def total():
+        exact = part("sum").cast("double")
+        if (scale if m.scale is None else m.scale) is None:
+            return exact
+        return F.when(part("plain").isNotNull(), F.coalesce(exact, F.lit(0.0)) + part("plain")).otherwise(exact)
     if m.type == "count":
-        return part("count").cast("bigint")
+        return F.coalesce(part("count"), F.lit(0)).cast("bigint")  # no rollup row: nothing was counted
     if m.type == "sum":
-        return part("sum").cast("double")
+        return total()
     if m.type == "avg":
         n = part("count")
-        return F.when(n > 0, part("sum").cast("double") / n)
+        return F.when(n > 0, total() / n)
     return part(m.type)
 
 
@@ -95,7 +107,7 @@ def finalize(rollup: DataFrame, cubes: CubeSet, cube_name: str, pa_name: str) ->
     dims = [out_name(f"{cube.name}.{d}") for d in pa.dimensions]
     if pa.time_dimension:
         dims.append(out_name(f"{cube.name}.{pa.time_dimension}", pa.granularity))
-    return rollup.select(*dims, *[_final(cube.measure(m), f"{cube.name}.{m}", False).alias(out_name(f"{cube.name}.{m}"))
+    return rollup.select(*dims, *[_final(cube.measure(m), f"{cube.name}.{m}", False, cubes.exact_scale).alias(out_name(f"{cube.name}.{m}"))
                                   for m in pa.measures])
 
 
@@ -124,14 +136,14 @@ def serve(rollup: DataFrame, cubes: CubeSet, cube_name: str, pa_name: str, q: Cu
         raise ValueError(f"{pa_name} cannot answer this query")
     df = rollup
     for f in q.filters:
-        df = df.where(_simple_filter(F.col(out_name(f.member)), f))
+        df = df.where(filter_expr(F.col(out_name(f.member)), f))
     group = [F.col(out_name(d)) for d in q.dimensions]
     for td in q.time_dimensions:
         if td.granularity:
             src = F.col(out_name(td.member, pa.granularity))
             group.append(F.date_trunc(td.granularity, src).cast("timestamp_ntz").alias(out_name(td.member, td.granularity)))
-    aggs = [_final(cube.measure(m.split(".", 1)[1]), m, True).alias(out_name(m)) for m in q.measures]
-    out = df.groupBy(*group).agg(*aggs)
+    aggs = [_final(cube.measure(m.split(".", 1)[1]), m, True, cubes.exact_scale).alias(out_name(m)) for m in q.measures]
+    out = df.groupBy(*group).agg(*aggs) if aggs else df.select(*group).distinct()
     if q.order:
         out = out.orderBy(*[F.col(out_name(m)).desc_nulls_last() if d == "desc" else F.col(out_name(m)).asc_nulls_last()
                             for m, d in q.order])
@@ -140,14 +152,6 @@ def serve(rollup: DataFrame, cubes: CubeSet, cube_name: str, pa_name: str, q: Cu
     return out
 
 
-def _simple_filter(c: Column, f) -> Column:
-    v = list(f.values)
-    return {"equals": lambda: c.isin(v), "in": lambda: c.isin(v),
-            "notEquals": lambda: ~c.isin(v) | c.isNull(),
-            "gt": lambda: c > v[0], "gte": lambda: c >= v[0], "lt": lambda: c < v[0], "lte": lambda: c <= v[0],
-            "set": lambda: c.isNotNull(), "notSet": lambda: c.isNull()}[f.operator]()
-
-
 def materialize(spark: SparkSession, rollup: DataFrame, path: str) -> DataFrame:
     """Write the rollup (full refresh) and read it back: the stored table
     answers later queries and cuts the lineage to the fact."""

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.errors import AnalysisException
@@ -12,21 +13,46 @@ from pyspark.sql.types import StructType
 
 
 def high_water_mark(spark: SparkSession, target_path: str, ts_col: str, schema: StructType | None = None):
-    """Largest ``ts_col`` already loaded, or None for a missing/empty target.
-    One aggregate row reaches the driver; only the one column is read."""
+    """Largest ``ts_col`` already loaded, or None for a missing or empty target.
+    Anything else (say, a time column that the target does not have) raises:
+    taken for an empty target it would load everything again. One aggregate
+    row reaches the driver; only the one column is read."""
     try:
         r = spark.read.schema(schema) if schema is not None else spark.read
-        return r.parquet(target_path).agg(F.max(ts_col)).first()[0]
-    except AnalysisException:
-        return None
+        target = r.parquet(target_path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return target.agg(F.max(ts_col)).first()[0]
+
+
+@dataclass(frozen=True)
+class Skipped:
+    """Source rows that a load past a mark leaves out: at or below the mark
+    (among them rows loaded before), and rows without a time."""
+    mark: object
+    equal: int
+    late: int
+    null: int
+
+
+def skipped_rows(source: DataFrame, ts_col: str, mark) -> Skipped:
+    """Count what a load past ``mark`` does not pick up, in one pass."""
+    ts = F.col(ts_col)
+    if mark is None:
+        return Skipped(None, 0, 0, 0)
+    n = source.agg(F.count(F.when(ts == F.lit(mark), 1)), F.count(F.when(ts < F.lit(mark), 1)), F.count(F.when(ts.isNull(), 1))).first()
+    return Skipped(mark, n[0], n[1], n[2])
 
 
 def incremental_append(spark: SparkSession, source: DataFrame, target_path: str, ts_col: str,
                        partition_by: list[str] | None = None) -> int | None:
     """Append the rows of ``source`` newer than the target's high-water mark.
-    The comparison is pushed into the source scan. Rows arriving later with
-    a timestamp at or below the mark are not picked up (the documented
-    pattern's rule); the streaming form tracks files instead."""
+    The comparison is pushed into the source scan. Rows with a time at or below
+    the mark, or without one, are not picked up after the first load (the
+    documented pattern's rule): ``skipped_rows`` counts them. The streaming
+    form tracks files instead."""
     hwm = high_water_mark(spark, target_path, ts_col)
     new = source if hwm is None else source.where(F.col(ts_col) > F.lit(hwm))
     w = new.write.mode("append")

@@ -7,6 +7,7 @@ materialization cuts the lineage of the plan that built it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,14 +39,36 @@ def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None
                  fmt: str = "parquet", max_records_per_file: int | None = None,
                  distribute: str = "rebalance") -> DataFrame:
     """Replace the whole dataset at ``path`` and return a scan of it.
-    The write goes through Spark's commit protocol: readers see the old or
-    the new dataset, and a lost executor only re-runs its tasks."""
-    _writer(df, partition_by, fmt, max_records_per_file, distribute).save(path)
+
+    The new dataset is written beside the old one and takes its place by
+    renaming once the write has succeeded; a failed write leaves the old rows
+    where they are. Between the two renames the path is absent for a moment,
+    and on object stores a rename copies. A lost executor only re-runs its
+    tasks."""
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    _writer(df, partition_by, fmt, max_records_per_file, distribute).save(fresh)
+    _swap(df.sparkSession, fresh, path.rstrip("/"))
     # declared schema: an empty result has no files to infer one from, and
     # partition columns come back in the original column order
     return df.sparkSession.read.schema(df.schema).format(fmt).load(path).select(*df.columns)
 
 
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put ``fresh`` in the place of ``path`` through Hadoop's file system API."""
+    jvm = spark._jvm
+    new, at, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, f"{fresh}.old"))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = fs.exists(at)
+    if replaced and not fs.rename(at, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, at):
+        if replaced:
+            fs.rename(old, at)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if replaced:
+        fs.delete(old, True)
+
+
 def full_refresh_table(df: DataFrame, table: str, partition_by: list[str] | None = None,
                        max_records_per_file: int | None = None) -> DataFrame:
     """Replace a catalog table (``schema.table``) and return it."""
