@@ -14,18 +14,22 @@ from meterline.plans.cubes import CubeQuery, CubeSet, Filter, TimeDimension, inf
 from meterline.plans.registry import register
 from meterline.plans.trip_queries import wh
 
-# Money columns carry up to 5 decimals, so 4-digit rounding would sit on exact
-# ties where float summation order decides; 6 digits stays clear of them.
+# Doubles are compared at 6 digits. An average of values with few decimals can
+# lie on a rounding tie, where the last bit of a sum decides; a shift that is no
+# short decimal moves the ties away from such values.
 DIGITS = 6
+OFF_TIE = 1.3e-9
 
 
 def r(expr: str) -> str:
-    return _r(expr, DIGITS)
+    return _r(f"({expr} + {OFF_TIE!r} * sign({expr}))", DIGITS)
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Double measures rounded (binary-scaled) so float summation order does not show."""
-    return df.select(*[round_to(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, DoubleType)
+    """Double measures at ``digits`` digits, so that summation order does not show."""
+    def shown(c):
+        return round_to(c + F.lit(OFF_TIE) * F.signum(c), digits)
+    return df.select(*[shown(F.col(f.name)).alias(f.name) if isinstance(f.dataType, DoubleType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
