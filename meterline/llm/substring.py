@@ -161,23 +161,29 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def find_anchors(docs: DataFrame, kind: str, window: int, caps: tuple[int, ...]) -> DataFrame:
-    """(id, words_key, keys, starts) per document with a window."""
+    """(id, words_key, keys, starts) per document with a window: its distinct
+    anchor keys and the places of each."""
 
     def run(batches):
         for batch in _batches(batches):
             got = parse(_texts(batch), window, caps)
             n = np.diff(got.cut)
             rows = np.flatnonzero(n >= window)
-            ends = np.searchsorted(got.anchor_doc, rows, side="right")
-            begins = np.searchsorted(got.anchor_doc, rows, side="left")
             whole = [xxhash.xxh3_128_digest(got.hashes[got.cut[i]:got.cut[i + 1]].tobytes()) for i in rows]
-            keys = [got.anchor_key[x:y].view(np.int64) for x, y in zip(begins, ends, strict=True)]
-            starts = [(got.anchor_start[x:y] - got.cut[i]).astype(np.int32) for i, x, y in zip(rows, begins, ends, strict=True)]
+            # a key once per document, with all its places: repeated lines do not multiply rows
+            order = np.lexsort((got.anchor_start, got.anchor_key, got.anchor_doc))
+            doc, key, start = got.anchor_doc[order], got.anchor_key[order], got.anchor_start[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+            head = np.flatnonzero(new)
+            places = pa.ListArray.from_arrays(pa.array(np.r_[head, len(order)].astype(np.int32)), pa.array((start - got.cut[doc]).astype(np.int32)))
+            outer = pa.array(np.r_[np.searchsorted(doc[head], rows, side="left"), len(head)].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__id").take(pa.array(rows)), pa.array(whole, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int32()))],
+                [batch.column("__id").take(pa.array(rows)), pa.array(whole, pa.binary()),
+                 pa.ListArray.from_arrays(outer, pa.array(key[head].view(np.int64))), pa.ListArray.from_arrays(outer, places)],
                 ["id", "words_key", "keys", "starts"])
 
-    return docs.where("__id is not null").mapInArrow(run, f"id {kind}, words_key binary, keys array<long>, starts array<int>")
+    return docs.where("__id is not null").mapInArrow(run, f"id {kind}, words_key binary, keys array<long>, starts array<array<int>>")
 
 
 def shared_windows(texts: DataFrame, kind: str, window: int, caps: tuple[int, ...]) -> DataFrame:
@@ -226,9 +232,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     copies = written(found.select("id", "words_key").join(classes, "words_key").where("id > rep").select("id"), "copies")
     n_copies = copies.count()
     own = found.select("id", "keys", "starts").join(maybe_broadcast(copies, n_copies, 16), "id", "left_anti")
-    anchors = own.select("id", F.explode(F.arrays_zip("keys", "starts")).alias("a")).select("id", F.col("a.keys").alias("key"), F.col("a.starts").alias("start"))
-    shared = anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("key", "least")
-    marked = anchors.join(shared, "key").groupBy("id").agg(F.collect_list(F.struct("start", (F.col("id") > F.col("least")).alias("late"))).alias("m")).select(
+    anchors = own.select("id", F.explode(F.arrays_zip("keys", "starts")).alias("a")).select("id", F.col("a.keys").alias("key"), F.col("a.starts").alias("places"))
+    shared = written(anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("key", "least"), "shared_keys")
+    late = F.transform("places", lambda s: F.struct(s.alias("start"), (F.col("id") > F.col("least")).alias("late")))
+    marked = anchors.join(shared, "key").groupBy("id").agg(F.flatten(F.collect_list(late)).alias("m")).select(
         F.col("id").alias("__id"), F.col("m.start").alias("starts"), F.col("m.late").alias("late"))  # a document's own anchors
     marked = written(marked, "shared_anchors")
     held = marked.agg(F.count(F.lit(1)), F.sum(F.size("starts"))).first()
