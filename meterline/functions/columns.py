@@ -134,6 +134,14 @@ def flag(cond: Column) -> Column:
 NUMERIC_KEY = "decimal(38,10)"
 
 
+def key_form(key_type):
+    """The form in which a text id meets a key of that type: numeric keys as
+    exact decimals, all others as text."""
+    if isinstance(key_type, NumericType):
+        return lambda c: c.try_cast(NUMERIC_KEY)
+    return lambda c: c.cast("string")
+
+
 def text_key_equals(text_key: Column, key: Column, key_type) -> Column:
     """Equality of a text id against a dimension key of any type.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from meterline import defaults as D
 from meterline.functions.columns import (
     as_decimal_2, day_of_week_sunday0, flag, guarded_ratio, minute_boundaries, null_safe_sum,
-    text_key_equals,
+    key_form,
 )
 from meterline.functions.joins import dimension, literal_dimension
 
@@ -105,20 +105,30 @@ def _zone_role(zones: DataFrame, role: str) -> DataFrame:
 
 def lookup_joins(trips: DataFrame, vendor: DataFrame, rate_code: DataFrame,
                  payment: DataFrame) -> DataFrame:
-    """Left lookups of the three seeds on text ids (broadcast: literal rows)."""
-    v = literal_dimension(vendor.select("vendor_id", "vendor_name"))
-    r = literal_dimension(rate_code.select("rate_code_id", "rate_code_name"))
-    p = literal_dimension(payment.select(F.col("payment_type").alias("pt_key"), "payment_name"))
-    out = trips.join(v, text_key_equals(trips.VendorID, v.vendor_id, v.schema["vendor_id"].dataType), "left")
-    out = out.join(r, text_key_equals(out.RatecodeID, r.rate_code_id, r.schema["rate_code_id"].dataType), "left")
-    out = out.join(p, text_key_equals(out.payment_type, p.pt_key, p.schema["pt_key"].dataType), "left")
-    return out.drop("vendor_id", "rate_code_id", "pt_key")
+    """Left lookups of the three seeds on text ids (broadcast: literal rows).
+    A text id against a numeric key compares as an exact decimal."""
+    out = trips
+    for dim, key, name, col in ((vendor, "vendor_id", "vendor_name", "VendorID"), (rate_code, "rate_code_id", "rate_code_name", "RatecodeID"),
+                                (payment, "payment_type", "payment_name", "payment_type")):
+        form = key_form(dim.schema[key].dataType)
+        # literal rows, so one partition: the grouping needs no exchange
+        d = literal_dimension(one_per_key(dim.coalesce(1).select(form(F.col(key)).alias(f"_{name}_key"), name), f"_{name}_key"))
+        out = out.join(d, form(out[col]) == d[f"_{name}_key"], "left").drop(f"_{name}_key")
+    return out
+
+
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """One row per join key, the smallest if there are several (the ``unique``
+    check reports them). A lookup then never multiplies the fact, and Catalyst
+    drops the left join of a lookup none of whose columns is used."""
+    rest = [c for c in dim.columns if c != key]
+    row = F.min(F.struct(*rest)).alias("_row")
+    return dim.groupBy(key).agg(row).select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def zone_role_join(trips: DataFrame, zones: DataFrame, max_rows: int = D.BROADCAST_MAX_ROWS) -> DataFrame:
     """Join the zone dimension twice: once as pickup, once as dropoff zone."""
-    zones = dimension(zones, max_rows)
-    pu, do = _zone_role(zones, "pickup"), _zone_role(zones, "dropoff")
+    pu, do = (dimension(one_per_key(_zone_role(zones, role), f"{role}_LocationID"), max_rows) for role in ("pickup", "dropoff"))
     out = trips.join(pu, trips.PULocationID == pu.pickup_LocationID, "left")
     out = out.join(do, out.DOLocationID == do.dropoff_LocationID, "left")
     return out.drop("pickup_LocationID", "dropoff_LocationID")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, NumericType, StringType, StructField, StructType
 
 from meterline import defaults as D
-from meterline.functions.columns import NUMERIC_KEY, text_key_equals
+from meterline.functions.columns import NUMERIC_KEY
 from meterline.functions.joins import dimension, is_literal
 
 ROW_KINDS = ("not_null", "accepted_range", "expression", "date_past", "row_count", "accepted_values")
@@ -114,29 +114,16 @@ def _row_indicator(check: Check) -> Column | None:
 
 
 def _row_failures(check: Check) -> Column:
-    c = F.col(check.column) if check.column else None
-    if check.kind == "not_null":
-        bad = c.isNull()
-    elif check.kind == "accepted_range":
-        lo, hi = check.args["min"], check.args["max"]
-        bad = F.lit(False)
-        if lo is not None:
-            bad = bad | (c < F.lit(lo))
-        if hi is not None:
-            bad = bad | (c > F.lit(hi))
-    elif check.kind == "expression":
-        bad = ~F.expr(check.args["sql"])
-    elif check.kind == "date_past":
-        bad = c >= F.lit(check.args["today"])
-    elif check.kind == "row_count":
+    if check.kind == "row_count":
         return F.when(F.count(F.lit(1)) == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    elif check.kind == "accepted_values":
+    if check.kind == "accepted_values":
         # failures = distinct values outside the list (NULL is not a failure)
+        c = F.col(check.column)
         return F.count_distinct(F.when(~c.isin(check.args["values"]), c)).cast("bigint")
-    else:
+    failing = _row_indicator(check)
+    if failing is None:
         raise ValueError(check.kind)
-    # a NULL predicate (NULL operand) is not a failure
-    return F.count(F.when(bad, F.lit(1))).cast("bigint")
+    return F.coalesce(F.sum(failing), F.lit(0)).cast("bigint")
 
 
 def _status(failures: Column, severity: Column) -> Column:
@@ -195,18 +182,18 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field_: str,
             broadcast_rows: int = D.BROADCAST_MAX_ROWS) -> DataFrame:
     """Child keys with no parent row, and how many child rows carry each."""
     keys = key_counts(child, column)
-    p = parent.select(F.col(field_).alias("_parent_key")).distinct()
+    cf, pf = _norm_keys(child.schema[column].dataType, parent.schema[field_].dataType)
+    p = parent.select(pf(F.col(field_)).alias("_parent_key")).distinct()
     p = F.broadcast(p) if is_literal(parent) else dimension(p, broadcast_rows)
-    cond = text_key_equals(keys[column], p["_parent_key"], parent.schema[field_].dataType) \
-        if isinstance(child.schema[column].dataType, StringType) else keys[column] == p["_parent_key"]
-    return keys.join(p, cond, "left_anti").withColumnRenamed("rows", "orphan_rows")
+    return keys.join(p, cf(keys[column]) == p["_parent_key"], "left_anti").withColumnRenamed("rows", "orphan_rows")
 
 
 def _norm_keys(child_type, parent_type) -> tuple:
     """Join-key normal forms (child, parent) so one equi-join serves checks of
-    any key types: numeric parents compare as exact decimals (text ids such
-    as '1.0' match 1; ids beyond 2^53 stay distinct), text parents as text."""
-    if isinstance(parent_type, NumericType):
+    any key types, and relationship checks and orphan lists agree: if either
+    side is numeric both compare as exact decimals (text ids such as '1.0'
+    match 1; ids beyond 2^53 stay distinct), otherwise as text."""
+    if isinstance(parent_type, NumericType) or isinstance(child_type, NumericType):
         return (lambda c: c.try_cast(NUMERIC_KEY).cast("string")), (lambda p: p.try_cast(NUMERIC_KEY).cast("string"))
     return (lambda c: c.cast("string")), (lambda p: p.cast("string"))
 

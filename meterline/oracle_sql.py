@@ -234,7 +234,7 @@ def r(expr: str, digits: int = 4) -> str:
 SUITE_MODELS = {
     "stg_taxi_trips": "stg_trips", "stg_taxi_zones": "stg_zones", "fct_taxi_trips": "fct_trips",
     "mart_taxi_trips": "mart_trips", "dim_taxi_zones_geospatial": "dim_zones_geo",
-    "dim_vendor": "dim_vendor", "dim_rate_code": "dim_rate_code", "dim_payment_type": "dim_payment_type",
+    "orders": "orders", "dim_vendor": "dim_vendor", "dim_rate_code": "dim_rate_code", "dim_payment_type": "dim_payment_type",
 }
 
 

@@ -13,6 +13,7 @@ from meterline.plans.cube_defs import ALL_CUBES, RAW_TAXI_TRIPS, TAXI_TRIPS, war
 from meterline.plans.cubes import CubeQuery, CubeSet, Filter, TimeDimension, infer_cube
 from meterline.plans.registry import register
 from meterline.plans.trip_queries import wh
+from meterline.session import scratch_path
 
 # Doubles are compared at 6 digits. An average of values with few decimals can
 # lie on a rounding tie, where the last bit of a sum decides; a shift that is no
@@ -241,3 +242,26 @@ def q_rollup_reaggregate(spark, sf_dir):
     tables = warehouse_tables(wh(spark, sf_dir))
     ro = rollups.build_rollup(ALL_CUBES, "TaxiTrips", "dailyOperations", tables)
     return round_doubles(rollups.serve(ro, ALL_CUBES, "TaxiTrips", "dailyOperations", REAGG_QUERY))
+
+
+@register("cube_joined_measure", oracle="""
+SELECT f.pickup_borough AS TaxiTrips_pickupBorough, CAST(COUNT(*) AS BIGINT) AS TaxiTrips_tripCount,
+       CAST(COUNT(DISTINCT v.vendor_id) AS BIGINT) AS VendorDim_vendorCount
+FROM fct_trips f LEFT JOIN dim_vendor v ON f.VendorID = v.vendor_id GROUP BY 1""")
+def q_cube_joined_measure(spark, sf_dir):
+    """A joined dimension's count is of its rows, not of the trips."""
+    return run(spark, sf_dir, CubeQuery(measures=("TaxiTrips.tripCount", "VendorDim.vendorCount"),
+                                        dimensions=("TaxiTrips.pickupBorough",)))
+
+
+@register("rollup_stored", oracle=f"""
+SELECT payment_name AS TaxiTrips_paymentMethod, CAST(COUNT(*) AS BIGINT) AS TaxiTrips_tripCount,
+       {r(xsum('tip_amount'))} AS TaxiTrips_totalTips, {r(xavg('tip_amount'))} AS TaxiTrips_avgTipAmount
+FROM fct_trips GROUP BY 1""")
+def q_rollup_stored(spark, sf_dir):
+    """C11, C14: the rollup is written once; the query reads the stored table, not the fact."""
+    tables = warehouse_tables(wh(spark, sf_dir))
+    store = rollups.RollupStore(ALL_CUBES)
+    store.build(spark, "TaxiTrips", "paymentAnalysis", tables, path=scratch_path(spark, "rollups"))
+    return round_doubles(store.query(CubeQuery(
+        measures=("TaxiTrips.tripCount", "TaxiTrips.totalTips", "TaxiTrips.avgTipAmount"), dimensions=("TaxiTrips.paymentMethod",)), tables))

@@ -12,6 +12,7 @@ from meterline.operators import quality as Q
 from meterline.oracle_sql import suite_sql, with_base
 from meterline.plans.registry import ORACLES, register
 from meterline.plans.trip_queries import wh
+from meterline.session import apply_defaults
 
 # Fixed "today" of registered runs, so reports are reproducible.
 TODAY = dt.date(2025, 6, 1)
@@ -32,6 +33,17 @@ def date_past_checks() -> list[Q.Check]:
             Q.date_in_past("fct_taxi_trips", "pickup_date", dt.date(1998, 1, 1))]
 
 
+def orders_checks() -> list[Q.Check]:
+    """The documented checks of an orders table."""
+    return [Q.unique("orders", "o_orderkey"), Q.not_null("orders", "o_orderkey"),
+            Q.accepted_range("orders", "o_totalprice", 0, 1_000_000), Q.date_in_past("orders", "o_orderdate", TODAY)]
+
+
+@register("dq_orders")
+def q_dq_orders(spark: SparkSession, sf_dir: str):
+    return Q.run_suite({"orders": apply_defaults(spark).read.parquet(f"{sf_dir}/orders.parquet")}, orders_checks())
+
+
 def _suite_query(checks_fn):
     def run(spark: SparkSession, sf_dir: str):
         return Q.run_suite(Q.warehouse_models(wh(spark, sf_dir)), checks_fn())
@@ -67,4 +79,5 @@ def register_oracles() -> None:
     for key, kind in SUITE_KINDS.items():
         ORACLES[key] = with_base(suite_sql(suite(kind)))
     ORACLES["dq_date_past"] = with_base(suite_sql(date_past_checks()))
+    ORACLES["dq_orders"] = with_base(suite_sql(orders_checks()))
     ORACLES["dq_report"] = with_base(suite_sql(suite()))

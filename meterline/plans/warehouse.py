@@ -20,6 +20,7 @@ from meterline.sources import seeds
 from meterline.sources.files import ingest_csv, ingest_parquet
 from meterline.sources.geometry import read_feature_collection, zone_geometry_from_geojson
 from meterline.sources.raw_layer import landed
+from meterline.sources.sinks import create_namespaces, full_refresh_table, schema_name
 
 
 # Declared schema of the zone lookup CSV (no type inference in production).
@@ -127,6 +128,34 @@ class TripWarehouse:
     def zone_geometry(self) -> DataFrame:
         return self._get("zone_geometry", lambda: zone_geometry_from_geojson(self.zone_geojson_fn()))
 
+    def register_views(self) -> list[str]:
+        """Make the models queryable by name in SQL (temporary views; lazy, so
+        only what a query reads is computed). Returns the names."""
+        models_by_name = {
+            "stg_taxi_trips": self.stg_trips, "stg_taxi_zones": self.stg_zones, "fct_taxi_trips": self.fct_trips, "mart_taxi_trips": self.mart_trips,
+            "dim_vendor": self.dim_vendor, "dim_rate_code": self.dim_rate_code, "dim_payment_type": self.dim_payment_type,
+            **({"dim_taxi_zones_geospatial": self.dim_zones_geo} if self.zone_geojson_fn else {})}
+        for name, build in models_by_name.items():
+            build().createOrReplaceTempView(name)
+        return list(models_by_name)
+
+    def publish_tables(self, target: str = "main") -> dict[str, str]:
+        """Write the table models as catalog tables (the mart in the namespace
+        ``<target>_mart``) and register the staging views: {model: table}."""
+        mart = schema_name(target, "mart")
+        create_namespaces(self.spark, [target, mart])
+        part = ["pickup_year", "pickup_month"]
+        out = {}
+        for name, df, namespace, by in (
+                ("dim_vendor", self.dim_vendor(), target, None), ("dim_rate_code", self.dim_rate_code(), target, None),
+                ("dim_payment_type", self.dim_payment_type(), target, None), ("fct_taxi_trips", self.fct_trips(), target, part),
+                ("mart_taxi_trips", self.mart_trips(), mart, part)):
+            out[name] = f"{namespace}.{name}"
+            full_refresh_table(df, out[name], by)
+        for name, df in (("stg_taxi_trips", self.stg_trips()), ("stg_taxi_zones", self.stg_zones())):
+            df.createOrReplaceTempView(name)
+        return out
+
     def dim_zones_geo(self) -> DataFrame:
         if self.zone_geojson_fn is None:
             raise ValueError("no zone geometry source configured")

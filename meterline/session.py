@@ -75,8 +75,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
-    return "/".join([checkpoint_dir(spark), "meterline", *parts, uuid.uuid4().hex])
+    """A fresh, unique folder under the shared checkpoint location. It is removed
+    when the driver's JVM ends, so runs do not pile up scratch tables."""
+    path = "/".join([checkpoint_dir(spark), "meterline", *parts, uuid.uuid4().hex])
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(at)  # only an existing path can be registered; writers then create it anew
+    fs.deleteOnExit(at)
+    fs.delete(at, True)
+    return path
 
 
 def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024,

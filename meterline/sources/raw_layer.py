@@ -12,9 +12,7 @@ cuts the lineage of whatever built it.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
-import urllib.parse
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -26,24 +24,33 @@ from meterline.session import checkpoint_dir
 _LOCK = threading.Lock()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) in Hadoop's API: a path without a scheme is one of
+    the cluster's default file system, not of this machine."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _stats(spark: SparkSession, path: str) -> list[str]:
+    """path, length and modification time of every file under ``path``
+    (metadata only; nothing for a path that does not exist)."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return []
+    out, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    return sorted(out)
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Hash of (path, length, modification time) of every input file.
-    Local files are stat'ed directly; other file systems through a
-    metadata-only listing job (file contents are never read)."""
+    """Hash of (path, length, modification time) of every input file and of
+    the ``version:`` tags among ``paths``; missing paths count by name."""
     h = hashlib.sha256()
-    tags = [p for p in paths if p.startswith("version:")]
-    paths = [p for p in paths if not p.startswith("version:")]
-    for t in tags:
-        h.update(t.encode())
-    if all(p.startswith("file:") for p in paths):
-        for p in sorted(paths):
-            st = os.stat(urllib.parse.unquote(urllib.parse.urlparse(p).path))
-            h.update(f"{p}|{st.st_size}|{st.st_mtime_ns}\n".encode())
-        return h.hexdigest()[:24]
-    meta = (spark.read.format("binaryFile").load(paths)
-                 .select("path", "length", "modificationTime").orderBy("path").collect())
-    for r in meta:
-        h.update(f"{r.path}|{r.length}|{r.modificationTime}\n".encode())
+    for p in paths:
+        for line in [p] if p.startswith("version:") else [p, *_stats(spark, p)]:
+            h.update(f"{line}\n".encode())
     return h.hexdigest()[:24]
 
 
@@ -51,21 +58,8 @@ _DONE: set[str] = set()
 
 
 def tables_fingerprint(spark: SparkSession, base: str, tables: list[str]) -> str:
-    """Fingerprint of ``<base>/<table>.parquet`` files (or folders) by stat;
-    non-local bases fall back to a metadata listing job."""
-    paths = [f"{base.rstrip('/')}/{t}.parquet" for t in tables]
-    if "://" in base and not base.startswith("file:"):
-        return fingerprint(spark, paths)
-    h = hashlib.sha256()
-    for p in paths:
-        local = urllib.parse.urlparse(p).path if p.startswith("file:") else p
-        walk = [(local, [], [""])] if os.path.isfile(local) else os.walk(local)
-        for root, _, names in walk:
-            for n in sorted(names):
-                f = os.path.join(root, n) if n else root
-                st = os.stat(f)
-                h.update(f"{f}|{st.st_size}|{st.st_mtime_ns}\n".encode())
-    return h.hexdigest()[:24]
+    """Fingerprint of the ``<base>/<table>.parquet`` files or folders."""
+    return fingerprint(spark, [f"{base.rstrip('/')}/{t}.parquet" for t in tables])
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -105,25 +99,17 @@ def landed(spark: SparkSession, name: str, df: DataFrame, version: str = "",
     return spark.read.parquet(path)
 
 
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return urllib.parse.urlparse(path).path
-    return None if "://" in path else path
-
-
 def _publish(df: DataFrame, path: str) -> None:
-    """Write ``df`` so readers never see a half-written landing. On a local
-    file system: write a private folder, then rename it into place (atomic);
-    if another process published first, its identical copy is used. Other
-    file systems: direct overwrite (run one landing per path at a time)."""
-    local = _local(path)
-    if local is None or os.path.exists(local):
-        df.write.mode("overwrite").parquet(path)
+    """Write ``df`` to a private folder and rename it into place, so readers
+    never see a half-written landing; if another process published first, its
+    identical copy is used."""
+    spark = df.sparkSession
+    fresh = f"{path}.tmp-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    fs, at = _hadoop(spark, path)
+    if fs.exists(_hadoop(spark, f"{path}/_SUCCESS")[1]):
+        fs.delete(_hadoop(spark, fresh)[1], True)
         return
-    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    df.write.parquet(tmp)
-    try:
-        os.rename(_local(tmp), local)
-    except OSError:
-        if not os.path.exists(os.path.join(local, "_SUCCESS")):
-            raise
+    fs.delete(at, True)  # what an interrupted landing may have left
+    if not fs.rename(_hadoop(spark, fresh)[1], at) and not fs.exists(_hadoop(spark, f"{path}/_SUCCESS")[1]):
+        raise OSError(f"cannot publish {path}")

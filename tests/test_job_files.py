@@ -65,4 +65,5 @@ def test_job_without_geometry(spark, tmp_dir):
     fw = TripWarehouse.from_files(spark, f"{tmp_dir}/trips/*.parquet", f"{tmp_dir}/zones.csv")
     res = run_job(spark, fw, f"{tmp_dir}/l2", copy_raw=False)
     assert "dim_taxi_zones_geospatial" not in res.tables
-    assert sum(1 for m in res.metrics if m[1].startswith("tests_")) == 3
+    assert sum(1 for m in res.metrics if m[1].startswith("tests_")) == 4
+    assert len(res.report) == 36 and sum(r["status"] == "skipped" for r in res.report) == 6  # nothing vanishes

@@ -66,3 +66,11 @@ def test_fused_path_on_empty_model(spark):
     r = report(spark, {"c": child, "p": parent}, checks)
     assert r["row_count__c"].failures == 1 and r["row_count__c"].status == "fail"
     assert r["not_null__c__k"].failures == 0 and r["relationships__c__k__p"].failures == 0
+
+
+def test_relationships_and_orphans_share_one_key_rule(spark):
+    child = spark.createDataFrame([(1.0,), (2.0,), (9.0,), (None,)], "k double")
+    parent = spark.createDataFrame([("1",), ("2",)], "id string")
+    report = Q.run_suite({"child": child, "parent": parent}, [Q.relationships("child", "k", "parent", "id")]).collect()
+    assert report[0]["failures"] == 1
+    assert [tuple(r) for r in Q.orphans(child, "k", parent, "id").collect()] == [(9.0, 1)]
