@@ -18,17 +18,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each step replaces links by links to the smallest neighbour and shrinks
     every component toward a star, in about log(n) steps. Neighbour lists are
-    never gathered: the smallest neighbour is a pre-aggregated minimum that is
-    joined back, so a node with very many links stays split over tasks."""
+    never gathered: the smallest neighbour is a pre-aggregated minimum, written and
+    joined back, so that Spark can split the links of a node that has very many."""
     edges = (links.where(F.col(a) != F.col(b))
              .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     edges = written(edges, "links")
     before = _state(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u")
         edges = written(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
