@@ -58,19 +58,19 @@ def test_recall_at_the_threshold():
     y = 0.93 * x + np.sqrt(1 - 0.93 ** 2) * w
     met = np.zeros(400, bool)
     for number in range(spherical.CODES):
-        code = spherical.ProductCode(64, spherical.CODEWORDS, 3, number)
-        met |= [bool(np.intersect1d(a, b).size) for a, b in zip(code.decode(x, spherical.REACH / 8), code.decode(y, spherical.REACH / 8), strict=True)]
+        code = spherical.ProductCode(64, spherical.CODEWORDS, 3, number, spherical.DEPTH)
+        met |= [bool(np.intersect1d(a, b).size) for a, b in zip(code.decode(x), code.decode(y), strict=True)]
     assert met.mean() > 0.98
 
 
 def test_decode_lists_exactly_the_exceeding_directions():
-    code = spherical.ProductCode(10, 6, 1, 0)
+    code = spherical.ProductCode(10, 6, 1, 0, 2)
     x = spherical._unit(np.random.default_rng(1).normal(size=(20, 10)))
-    for v, got in zip(x, code.decode(x, 0.45), strict=True):
+    for v, got in zip(x, code.decode(x), strict=True):
         p = (np.r_[v, 0, 0] @ code.rotation).reshape(4, 3)
         s = [p[k] @ code.books[k].T for k in range(4)]
         total = (s[0][:, None, None, None] + s[1][:, None, None] + s[2][:, None] + s[3]).ravel()
-        want = np.flatnonzero(total >= min(0.45, total.max() - 1e-12))
+        want = np.flatnonzero(total >= min(code.least, total.max()) - 1e-12)
         assert set(want) == set(got.tolist())
 
 
@@ -79,7 +79,7 @@ def test_blocks_of_a_large_direction(spark):
     base = rng.normal(size=16)
     rows = [(i, [float(x) for x in (base + rng.normal(size=16) * 0.02).astype(np.float32)], 1, 0) for i in range(150)]
     classes = spark.createDataFrame([(i, 1, 16, bytearray(np.asarray(v, np.float64).tobytes()), 1) for i, v, *_ in rows], "rep long, space int, dim int, x binary, copies long")
-    got = spherical.linked_vectors(classes, "bigint", 0.93, 16, 3.0, 2, 3, block=20).groupBy("rep").sum("links").collect()
+    got = spherical.linked_vectors(classes, "bigint", 0.93, 16, 2, 2, 3, block=20).groupBy("rep").sum("links").collect()
     assert {r[0]: r[1] for r in got} == brute(rows)[0]
 
 
