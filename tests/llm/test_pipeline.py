@@ -27,7 +27,8 @@ def test_stages(spark, corpus):
     one = cp.written(stages["toxicity"](spark, docs, folder), "t")
     assert one.columns == docs.columns
     left = [tuple(r) for r in one.collect()]
-    assert sorted(left, key=str) == sorted([r for r in rows if r[0] not in toxic], key=str)
+    calm = [r for r in rows if "moron" not in (r[1] or "").lower()]  # some of the given documents are toxic too
+    assert sorted(left, key=str) == sorted(calm, key=str) and toxic <= {r[0] for r in rows} - {r[0] for r in calm}
 
     two = cp.written(stages["minhash near-dedup"](spark, one, folder), "t")
     assert two.columns == docs.columns

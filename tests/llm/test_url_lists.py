@@ -27,7 +27,7 @@ def judge(captures, events):
             if day is None or not any(d <= day for d in days):
                 continue
             before = max(d for d in days if d <= day)
-            match = kind == "url" and url is not None and url.split("#")[0] == pattern or kind == "domain" and host and (host == pattern or host.endswith("." + pattern))
+            match = kind == "url" and url is not None and url.split("#")[0] == pattern or kind == "domain" and host and (host == pattern or len(host) <= url_lists.HOST_CHARS and host.endswith("." + pattern))
             if match and days[before]:
                 hits.append((kind == "url", len(pattern), policy == "allow", name, pattern))
         top = max(hits, default=None)
