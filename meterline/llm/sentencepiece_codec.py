@@ -11,7 +11,7 @@ Unigram models: the path with the largest sum of scores. BPE models: a path is
 admissible if no two neighbouring pieces would have been merged differently,
 that is if merging their joined text yields just these two; then exactly one
 piece can end an admissible path at each position, and the path is the
-library's own result.
+library's own result. Whether two pieces fit is found by undoing their merges.
 
 If no piece continues past a white-space mark inside it, every path has a
 boundary there, and the stretches between are remembered in a bounded memo."""
@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,7 +35,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-MEMO = 300_000
+MEMO = 500_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -112,86 +113,139 @@ class Codec:
         self.plain = [bytes([int(p[3:5], 16)]) if k == BYTE else b" \xe2\x81\x87 " if k == UNKNOWN else b"" if k == CONTROL else p.replace(MARK, " ").encode()
                       for p, k in zip(model.pieces, model.kinds, strict=True)]
         self.split = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
+        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        # place of each piece in the order of merging; single characters are there from the start
+        order = {s: i for i, s in enumerate(sorted({model.scores[i] for i in self.ids.values()}, reverse=True), 1)}
+        self.rank = {p: order[model.scores[i]] if len(p) > 1 else 0 for p, i in self.ids.items()}
+        self.halves: dict[str, tuple[str, str] | None] = {}
         self.memo: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.most = memo
 
     # --- the lattice
 
-    def merge(self, text: str) -> list[str]:
-        """BPE of a short text: the best adjacent pair merges, leftmost first."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                got = self.ids.get(parts[i] + parts[i + 1])
-                if got is not None and (best is None or self.model.scores[got] > best):
-                    best, at = self.model.scores[got], i
-            if best is None:
-                return parts
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    def half(self, piece: str) -> tuple[str, str] | None:
+        """The two parts whose merge makes ``piece``; None if merging its
+        characters ends in something else. A single character has no parts."""
+        got = self.halves.get(piece, self)
+        if got is self:
+            parts, last = list(piece), (piece, piece)
+            while len(parts) > 1:  # the best adjacent pair merges, the leftmost of equals
+                at = min(range(len(parts) - 1), key=lambda i: self.rank.get(parts[i] + parts[i + 1], 1 << 60))
+                if parts[at] + parts[at + 1] not in self.rank:
+                    break
+                last = (parts[at], parts[at + 1])
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            got = self.halves[piece] = last if len(parts) == 1 else None
+        return got
 
     def fits(self, a: str, b: str) -> bool:
-        """Whether BPE leaves the pieces ``a`` and ``b`` side by side."""
+        """Whether BPE leaves the pieces ``a`` and ``b`` side by side: undoing
+        their merges from the last one on, no merge across the boundary would
+        have come first."""
         got = self.pairs.get((a, b))
         if got is None:
             if len(self.pairs) >= self.most:
                 self.pairs.clear()
-            got = self.pairs[a, b] = self.merge(a + b) == ([a, b] if a else [b])
+            got = self.pairs[a, b] = self.half(b) is not None and (a not in self.rank or self._apart(a, b))
         return got
 
+    def _apart(self, a: str, b: str) -> bool:
+        rank, limit = self.rank, 1 << 60
+        while True:
+            if rank.get(a + b, 1 << 60) < limit:
+                return False
+            if rank[a] > rank[b]:
+                limit, a = rank[a], self.half(a)[1]  # a's own merge is further left: it wins ties
+            elif rank[b]:
+                limit, b = rank[b] + 1, self.half(b)[0]
+            else:
+                return True
+
     def paths(self, text: str) -> Iterator[str]:
         """The pieces of ``text``, committed as soon as they are certain.
 
         A character outside the vocabulary is a piece of its own."""
-        bpe, ids, scores, longest = self.model.type == BPE, self.ids, self.model.scores, self.longest
-        base = 0  # committed up to here; lists below are relative to it
-        back: list[int] = [-1]  # start of the piece that ends at each position
-        last: list[str | None] = [""]  # BPE: that piece; the one before base at place 0
+        bpe, ids, scores, longest, prefixes, fits = self.model.type == BPE, self.ids, self.model.scores, self.longest, self.prefixes, self.fits
+        base = 0  # committed up to here; the lists below are relative to it
+        back: list[int | None] = [-1]  # start of the piece that ends at each position
+        last: list[str] = [""]  # that piece; before the first one, nothing
         score: list[float] = [0.0]
         n = len(text)
-        for end in range(1, n + 1):
-            best, piece, total = -1, None, -float("inf")
-            for start in range(max(base, end - longest), end):
-                if back[start - base] is None:
-                    continue
+        for start in range(n):
+            if start - base >= 4 * longest:
+                boundary = self._meet(back, base, start)
+                if boundary > base:
+                    yield from self._pieces(text, back, base, boundary)
+                    cut = boundary - base
+                    back, last, score, base = back[cut:], last[cut:], score[cut:], boundary
+            here = start - base
+            if back[here] is None:
+                continue
+            before, so_far = last[here], score[here]
+            for end in range(start + 1, min(n, start + longest) + 1):
                 p = text[start:end]
                 got = ids.get(p)
-                if got is None and (end - start > 1):
-                    continue
+                if got is None and end - start > 1:
+                    if p in prefixes:
+                        continue
+                    break
+                at = end - base
+                while len(back) <= at:
+                    back.append(None)
+                    last.append("")
+                    score.append(-float("inf"))
                 if bpe:
-                    if got is None or self.fits(last[start - base], p):
-                        best, piece = start, p
-                        break
+                    if got is None or fits(before, p):
+                        back[at], last[at] = start, p
                 else:
-                    s = score[start - base] + (scores[got] if got is not None else self.least)
-                    if s > total:
-                        best, piece, total = start, p, s
-            back.append(best if piece is not None else None)
-            last.append(piece)
-            score.append(total)
-            if end == n or (end - base) >= 4 * longest:
-                boundary = end if end == n else self._meet(back, base, end)
-                if boundary > base:
-                    out, at = [], boundary
-                    while at > base:
-                        out.append(text[back[at - base]:at])
-                        at = back[at - base]
-                    yield from reversed(out)
-                    cut = boundary - base
-                    back, last, score, base = back[cut:], last[cut:], score[cut:], boundary
-                    back[0] = -1
+                    s = so_far + (scores[got] if got is not None else self.least)
+                    if s > score[at]:
+                        back[at], score[at] = start, s
+        if n > base:
+            yield from self._pieces(text, back, base, n)
+
+    def _short(self, text: str) -> list[str]:
+        """``paths`` for a BPE text that fits into one window: the one piece that
+        can end at each position, the longest tried first."""
+        rank, pairs, longest = self.rank, self.pairs, self.longest
+        if text in rank and self.fits("", text):
+            return [text]
+        last, back = [""], [-1]
+        for end in range(1, len(text) + 1):
+            start = end - longest if end > longest else 0
+            while True:
+                p = text[start:end]
+                if p in rank or end - start == 1:
+                    key = (last[start], p)
+                    ok = pairs.get(key)
+                    if ok is None:
+                        ok = p not in rank or self.fits(*key)
+                    if ok:
+                        break
+                start += 1
+            last.append(p)
+            back.append(start)
+        return self._pieces(text, back, 0, len(text))
 
-    def _meet(self, back: list, base: int, end: int) -> int:
-        """The boundary in which the paths of all positions meet that a later
-        piece can still start from."""
-        alive = {i for i in range(max(base, end - self.longest + 1), end + 1) if back[i - base] is not None}
+    @staticmethod
+    def _pieces(text: str, back: list, base: int, end: int) -> list[str]:
+        out = []
+        while end > base:
+            out.append(text[back[end - base]:end])
+            end = back[end - base]
+        return out[::-1]
+
+    def _meet(self, back: list, base: int, start: int) -> int:
+        """The boundary in which the paths of all positions from ``start`` on meet;
+        whatever is read later continues one of them."""
+        alive = {i for i in range(start, base + len(back)) if back[i - base] is not None}
         while len(alive) > 1:
             top = max(alive)
             alive.remove(top)
-            alive.add(base if top == base else back[top - base])
-            if base in alive:
+            if top == base:
                 return base
+            alive.add(max(base, back[top - base]))
         return alive.pop()
 
     # --- texts
@@ -203,7 +257,7 @@ class Codec:
             return ""
         return ((" " if self.model.dummy_prefix else "") + text).replace(" ", MARK)
 
-    def _numbers(self, pieces: Iterator[str]) -> bytes:
+    def _numbers(self, pieces: Iterable[str]) -> bytes:
         out, gap = [], False
         for p in pieces:
             got = self.ids.get(p)
@@ -214,7 +268,7 @@ class Codec:
             elif not gap:
                 out.append(self.unknown)  # a run of unknown characters is one id
             gap = got is None
-        return np.asarray(out, "<i4").tobytes()
+        return array("i", out).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         text = self.normalized(text)
@@ -226,7 +280,8 @@ class Codec:
         for part in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text):
             got = memo.get(part)
             if got is None:
-                got = self._numbers(self.paths(part))
+                short = self.model.type == BPE and len(part) <= 4 * self.longest
+                got = self._numbers(self._short(part) if short else self.paths(part))
                 if len(part) <= 64:
                     if len(memo) >= self.most:
                         memo.clear()
