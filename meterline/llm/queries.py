@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from meterline.llm import (
     edit_embedding,
     minhash,
+    oracles,
     packing,
     sentencepiece_codec,
     sharding,
@@ -67,23 +68,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-@register("op5_minhash")
+@register("op5_minhash", oracles.MINHASH)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-@register("op3_substring_dedup")
+@register("op3_substring_dedup", oracles.SUBSTRING)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-@register("op8_spherical_caps")
+@register("op8_spherical_caps", oracles.SPHERICAL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spherical.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
-@register("op4_warc")
+@register("op4_warc", oracles.WARC)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_bundles(read_table(spark, sf_dir, "pages"))
     return warc.read_bundles(index, payloads=False).select(
