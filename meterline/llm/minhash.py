@@ -18,7 +18,9 @@ member with the most collisions overall). Members in the centre's component
 need no further pairs among themselves, so only pairs across components are
 left. For those, an exact bound helps: a document's intersection with any other
 is at most the number of its shingles that occur twice at all. Centre rounds go
-on while each halves the work left; the last step takes every remaining pair."""
+on while each halves the work left; the last step takes every remaining pair:
+short lists by a join, long ones in blocks inside tasks, from which only links
+come out."""
 
 from __future__ import annotations
 
@@ -40,6 +42,8 @@ MATCHES = 24  # of 48: a pair at Jaccard 0.75 falls below with probability 6e-5
 WIDTH = 5
 PERCENT = 75
 CENTRE_ROUNDS = 4
+LONG_LIST = 32  # longer lists are compared in blocks inside tasks, without emitting pairs
+BLOCK = 256
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, coordinates: int, width: int, seed: int) -> DataFrame:
@@ -122,6 +126,74 @@ def _possible(n1: Column, c1: Column, n2: Column, c2: Column, percent: int) -> C
     return most * (100 + percent) >= (n1 + n2) * percent
 
 
+def _block_links(side: list[dict], matches: int, percent: int) -> list[tuple]:
+    """Links of one block pair: each outsider with the first member of every
+    other component that it reaches the threshold with."""
+    us, vs = side
+    equal = np.zeros((len(us["rep"]), len(vs["rep"])), np.int16)
+    su, sv = np.asarray(us["sig"]), np.asarray(vs["sig"])
+    for k in range(su.shape[1]):
+        equal += su[:, k, None] == sv[None, :, k]
+    out = []
+    for i, x in enumerate(us["items"]):
+        found = {us["label"][i]}
+        for j in np.flatnonzero(equal[i] >= matches):
+            y = vs["items"][j]
+            if vs["label"][j] in found or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                found.add(vs["label"][j])
+                out.append((min(us["rep"][i], vs["rep"][j]), max(us["rep"][i], vs["rep"][j])))
+    return out
+
+
+def long_list_links(open_: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Links (a, b) inside long lists. Lists with the same largest component form
+    a family; its outsiders (of any other component) are compared with all its
+    members. Outsiders and members are dealt into blocks, each pair of blocks is
+    a group of its own, and only links leave a group."""
+    kind = sets.schema["rep"].dataType.simpleString()
+    members = written(open_.groupBy("top", "rep").agg(F.min("label").alias("label"), F.max((F.col("label") != F.col("top")).cast("int")).alias("out")), "families")
+    counts = written(members.groupBy("top").agg(F.ceil(F.sum("out") / BLOCK).cast("int").alias("bu"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("bv"))
+                     .where("bu > 0"), "family_sizes")
+    dealt = members.join(counts, "top")
+    mine = lambda b: F.pmod(F.xxhash64("rep"), F.col(b)).cast("int")
+    every = lambda b: F.explode(F.sequence(F.lit(0), F.col(b) - 1))
+    rows = (dealt.where("out = 1").select("top", mine("bu").alias("i"), every("bv").alias("j"), F.lit(0).alias("side"), "rep", "label")
+            .unionByName(dealt.select("top", every("bu").alias("i"), mine("bv").alias("j"), F.lit(1).alias("side"), "rep", "label")))
+    n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (rows.join(sets.select("rep", "sig", "items"), "rep").repartition(n, "top", "i", "j")
+            .sortWithinPartitions("top", "i", "j", "side", "rep").select("top", "i", "j", "side", "rep", "label", "sig", "items"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, side, rep_type = None, [], None
+
+        def finish() -> list[tuple]:
+            return _block_links(side, matches, percent) if side and side[0]["rep"] and side[1]["rep"] else []
+
+        def flush(links: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], rep_type) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            rep_type, links = batch.column("rep").type, []
+            heads = zip(*(batch.column(c).to_pylist() for c in ("top", "i", "j", "side", "rep", "label")), strict=True)
+            for at, (top, i, j, which, rep, label) in enumerate(heads):
+                if key != (top, i, j):
+                    links += finish()
+                    key, side = (top, i, j), [{c: [] for c in ("rep", "label", "sig", "items")} for _ in range(2)]
+                to = side[which]
+                to["rep"].append(rep)
+                to["label"].append(label)
+                to["sig"].append(batch.column("sig")[at].values.to_numpy().copy())
+                to["items"].append(np.frombuffer(batch.column("items")[at].as_py(), np.uint64))
+            yield flush(links)
+        if key is not None:
+            yield flush(finish())
+
+    return rows.mapInArrow(compare, f"a {kind}, b {kind}").distinct()
+
+
 def _known_labels(links: DataFrame) -> DataFrame:
     """(rep, label): some representative that each one is surely connected with,
     the smallest over two steps. Equal labels mean one component; unequal ones
@@ -156,8 +228,9 @@ def link_components(postings: DataFrame, facts: DataFrame, sets: DataFrame, matc
             break
         last = left <= 4 * size or turn == CENTRE_ROUNDS or (turn > 0 and 2 * left > before)
         if last:  # every pair across components: members outside the list's largest component against all
-            one = open_.where("label <> top").select("pair", *[F.col(c).alias(f"{c}_1") for c in fields])
-            two = open_.select("pair", *[F.col(c).alias(f"{c}_2") for c in fields])
+            near = open_.where(F.col("size") <= LONG_LIST)
+            one = near.where("label <> top").select("pair", *[F.col(c).alias(f"{c}_1") for c in fields])
+            two = near.select("pair", *[F.col(c).alias(f"{c}_2") for c in fields])
             pairs = one.join(two, (one["pair"] == two["pair"]) & (F.col("label_1") != F.col("label_2"))
                              & _possible(F.col("n_1"), F.col("c_1"), F.col("n_2"), F.col("c_2"), percent))
         else:
@@ -167,7 +240,10 @@ def link_components(postings: DataFrame, facts: DataFrame, sets: DataFrame, matc
             pairs = open_.select("pair", *[F.col(c).alias(f"{c}_1") for c in fields]).join(centre, "pair").where(
                 (F.col("label_1") != F.col("label_2")) & _possible(F.col("n_1"), F.col("c_1"), F.col("n_2"), F.col("c_2"), percent))
         pairs = pairs.select(F.least("rep_1", "rep_2").alias("a"), F.greatest("rep_1", "rep_2").alias("b")).distinct()
-        links = written(links.unionByName(confirm(pairs, sets, matches, percent)), "near_links")
+        found = confirm(pairs, sets, matches, percent)
+        if last:
+            found = found.unionByName(long_list_links(open_.where(F.col("size") > LONG_LIST), sets, matches, percent))
+        links = written(links.unionByName(found), "near_links")
         if last:
             break
         before, turn = left, turn + 1

@@ -36,6 +36,21 @@ def test_chain_of_near_copies_in_one_list(spark):
     assert got == near_components(rows)[1]
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    """The same components when every list is compared in blocks."""
+    monkeypatch.setattr(minhash, "LONG_LIST", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for k in range(40):  # deletions: copies that are alike in many shades
+        w = [x for i, x in enumerate(base) if i not in {(3 * k) % 100, (7 * k + 1) % 100, *((11 * k + j * 17) % 100 for j in range(k % 6))}]
+        rows.append((k, " ".join(w), "", "", 0))
+    rows += [(100 + i, t, "", "", 0) for i, t in enumerate([r[1] for r in documents() if r[0] is not None][-20:])]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
+    want = near_components(rows)[1]
+    assert got == want and len({want[k] for k in range(40)}) > 2
+
+
 def test_shingle_set_size():
     for _, t, *_ in documents(30):
         assert len(shingle_set((t or "").encode())) == len(shingles(t))
