@@ -35,7 +35,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-MEMO = 500_000
+MEMO = 1_000_000  # prefixes of words; about 250 bytes each
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -118,6 +118,8 @@ class Codec:
         order = {s: i for i, s in enumerate(sorted({model.scores[i] for i in self.ids.values()}, reverse=True), 1)}
         self.rank = {p: order[model.scores[i]] if len(p) > 1 else 0 for p, i in self.ids.items()}
         self.halves: dict[str, tuple[str, str] | None] = {}
+        self.packed = {p: struct.pack("<i", i) for p, i in self.ids.items()}
+        self.states: dict[str, tuple[str, bytes]] = {"": ("", b"")}
         self.memo: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.most = memo
@@ -205,28 +207,33 @@ class Codec:
         if n > base:
             yield from self._pieces(text, back, base, n)
 
-    def _short(self, text: str) -> list[str]:
-        """``paths`` for a BPE text that fits into one window: the one piece that
-        can end at each position, the longest tried first."""
-        rank, pairs, longest = self.rank, self.pairs, self.longest
-        if text in rank and self.fits("", text):
-            return [text]
-        last, back = [""], [-1]
-        for end in range(1, len(text) + 1):
+    def _window(self, text: str) -> bytes:
+        """The ids of a BPE text that fits into one window. The one piece that can
+        end at a position depends on the text before it only, so positions are
+        remembered by prefix: (last piece, ids). Longer pieces are tried first."""
+        states, rank, pairs, longest = self.states, self.rank, self.pairs, self.longest
+        if len(states) >= self.most:
+            states.clear()
+            states[""] = ("", b"")
+        known = len(text) - 1
+        while text[:known] not in states:
+            known -= 1
+        for end in range(known + 1, len(text) + 1):
             start = end - longest if end > longest else 0
             while True:
                 p = text[start:end]
                 if p in rank or end - start == 1:
-                    key = (last[start], p)
+                    before = states[text[:start]]
+                    key = (before[0], p)
                     ok = pairs.get(key)
                     if ok is None:
                         ok = p not in rank or self.fits(*key)
                     if ok:
                         break
                 start += 1
-            last.append(p)
-            back.append(start)
-        return self._pieces(text, back, 0, len(text))
+            got = self.packed.get(p)
+            states[text[:end]] = (p, before[1] + (self._numbers([p]) if got is None else got))
+        return states[text][1]
 
     @staticmethod
     def _pieces(text: str, back: list, base: int, end: int) -> list[str]:
@@ -276,12 +283,18 @@ class Codec:
             return np.zeros(0, np.int32)
         if not self.split:
             return np.frombuffer(self._numbers(self.paths(text)), "<i4")
-        memo, out, new = self.memo, [], 0
+        out = []
+        if self.model.type == BPE and self.model.byte_fallback:
+            states, short = self.states, 4 * self.longest
+            for part in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text):
+                got = states.get(part)
+                out.append(got[1] if got is not None else self._window(part) if len(part) <= short else self._numbers(self.paths(part)))
+            return np.frombuffer(b"".join(out), "<i4")
+        memo = self.memo
         for part in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text):
             got = memo.get(part)
             if got is None:
-                short = self.model.type == BPE and len(part) <= 4 * self.longest
-                got = self._numbers(self._short(part) if short else self.paths(part))
+                got = self._numbers(self.paths(part))
                 if len(part) <= 64:
                     if len(memo) >= self.most:
                         memo.clear()
