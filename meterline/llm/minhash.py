@@ -127,23 +127,30 @@ def _possible(n1: Column, c1: Column, n2: Column, c2: Column, percent: int) -> C
 
 
 def _block_links(side: list[dict], matches: int, percent: int) -> list[tuple]:
-    """Links of one block pair: each outsider with the first member of every
-    other component that it reaches the threshold with."""
+    """Links of one block pair, as few as connect what is connected: components
+    that an earlier link has joined are not compared again."""
     us, vs = side
     equal = np.zeros((len(us["rep"]), len(vs["rep"])), np.int16)
     su, sv = np.asarray(us["sig"]), np.asarray(vs["sig"])
     for k in range(su.shape[1]):
         equal += su[:, k, None] == sv[None, :, k]
+    parent: dict = {}
+
+    def find(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
     out = []
     for i, x in enumerate(us["items"]):
-        found = {us["label"][i]}
         for j in np.flatnonzero(equal[i] >= matches):
             y = vs["items"][j]
-            if vs["label"][j] in found or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+            p, q = find(us["label"][i]), find(vs["label"][j])
+            if p == q or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                 continue
             both = len(np.intersect1d(x, y, assume_unique=True))
             if 100 * both >= percent * (len(x) + len(y) - both):
-                found.add(vs["label"][j])
+                parent[max(p, q)] = min(p, q)
                 out.append((min(us["rep"][i], vs["rep"][j]), max(us["rep"][i], vs["rep"][j])))
     return out
 
