@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import arrow_batches
+from meterline.llm.common import arrow_batches, written
 
 PER_OCTAVE = 64
 PERIOD = 4096
 SEED = 29
 CHUNK_CHARS = 6_000_000
 CHUNK_ROWS = 4096
+LONG_BUCKET = 32  # longer buckets are compared in blocks inside tasks, without emitting pairs
+BUCKET_BLOCK = 256
 
 
 class Walks:
@@ -206,6 +208,46 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 # --- banding --------------------------------------------------------------
 
+def _key(text: str) -> bytes:
+    return hashlib.blake2b(text.encode(), digest_size=8).digest()
+
+
+def _band_keys(fp: str, bands: int, digits: int, seed: int) -> np.ndarray:
+    """The buckets of a fingerprint, each once, sorted."""
+    out, full = [], len(fp) // PER_OCTAVE
+    for octaves in {max(1, full), max(1, full - 1)}:
+        reach = min(len(fp), octaves * PER_OCTAVE)
+        for band in range(bands):
+            at = np.random.default_rng([seed, octaves, band]).choice(reach, min(digits, reach), replace=False)
+            out.append(_key(f"{octaves} {band} {''.join(fp[k] for k in at)}"))
+    return np.unique(np.frombuffer(b"".join(out), np.int64))
+
+
+def _matrix(prints: list[str], width: int, behind: int) -> np.ndarray:
+    """Digits as rows; ``behind`` stands after the end of a fingerprint."""
+    out = np.full((len(prints), width), behind, np.uint8)
+    for row, fp in zip(out, prints, strict=True):
+        row[:len(fp)] = np.frombuffer(fp.encode(), np.uint8)
+    return out
+
+
+def _block_pairs(walks: Walks, left: list[str], right: list[str], least: float, same: bool) -> list[tuple[int, int, float]]:
+    """(i, j, likeness) of all pairs of two blocks that reach ``least``; of a
+    block with itself every pair once. The weights are powers of two, so the
+    sums are those of ``Walks.likeness``."""
+    width = max(map(len, [*left, *right]))
+    while len(walks.steps) < width:
+        walks._grow()
+    total = np.cumsum(walks.weights[:width])
+    x, y = _matrix(left, width, 0), _matrix(right, width, 1)
+    ends, out = np.array([len(fp) for fp in right]), []
+    for i, fp in enumerate(left):
+        start = i + 1 if same else 0
+        like = (y[start:] == x[i]) @ walks.weights[:width] / total[np.maximum(ends[start:], len(fp)) - 1]
+        out += [(i, start + int(j), float(like[j])) for j in np.flatnonzero(like >= least)]
+    return out
+
+
 def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "fingerprint", least: float = 0.8, bands: int = 24,
                    digits: int = 6, seed: int = SEED) -> DataFrame:
     """Links (a, b, likeness) between documents whose fingerprints are at least
@@ -213,29 +255,36 @@ def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "
 
     A band is ``digits`` digits sampled from the first half or the whole of the
     fingerprint's octaves, so that lengths on either side of an octave's end still
-    meet. Every document is verified against the smallest id of each band
-    bucket (a pre-aggregated minimum, not all pairs of the bucket), so equal
-    and near groups connect through few links. Null ids and empty
-    fingerprints take no part."""
+    meet. All different fingerprints of a bucket are compared with each other:
+    those of short buckets as distinct pairs, those of long ones in blocks inside
+    tasks, which only links leave.
+
+    The smallest id of each fingerprint stands for its copies: every copy is
+    linked to it (likeness 1), and it has the links to other fingerprints. So
+    two documents are near if their smallest equals are one or are linked, and
+    exact copies cost one link each. Null ids and empty fingerprints take no
+    part."""
     kind = prints.schema[id_col].dataType.simpleString()
-    rows = prints.select(F.col(id_col).alias("id"), F.col(print_col).alias("fp")).where("id is not null and length(fp) > 0").dropDuplicates(["id", "fp"])
+    n_parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(prints.select(F.col(id_col).alias("id"), F.col(print_col).alias("fp")).where("id is not null and length(fp) > 0")
+                   .dropDuplicates(["id", "fp"]), "print_rows")
+    groups = written(rows.groupBy("fp").agg(F.min("id").alias("rep")).withColumn("key", F.md5("fp")), "print_groups")
+    copies = rows.join(groups, "fp").where("id > rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("likeness"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for i, fp in enumerate(batch.column("fp").to_pylist()):
-                full = len(fp) // PER_OCTAVE
-                for octaves in {max(1, full), max(1, full - 1)}:
-                    reach = min(len(fp), octaves * PER_OCTAVE)
-                    for band in range(bands):
-                        at = np.random.default_rng([seed, octaves, band]).choice(reach, min(digits, reach), replace=False)
-                        ids.append(i)
-                        keys.append(hashlib.blake2b(f"{octaves} {band} {''.join(fp[k] for k in at)}".encode(), digest_size=8).digest())
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(ids, pa.int64())), pa.array(np.frombuffer(b"".join(keys), np.int64))], ["id", "band"])
-
-    posted = rows.mapInArrow(post, f"id {kind}, band long")
-    first = posted.groupBy("band").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = posted.join(first, "band").where("id > a").select("a", F.col("id").alias("b")).distinct()
+            keys = [_band_keys(fp, bands, digits, seed) for fp in batch.column("fp").to_pylist()]
+            at = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int64())), pa.array(np.concatenate(keys) if keys else [], pa.int64())], ["key", "band"])
+
+    posted = groups.select("key", "fp").mapInArrow(post, "key string, band long")
+    sizes = posted.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(posted.join(sizes, "band"), "print_buckets")
+
+    # short buckets: every pair once, whatever number of buckets it shares
+    short = shared.where(F.col("n") <= LONG_BUCKET)
+    pairs = (short.select("band", F.col("key").alias("p")).join(short.select("band", F.col("key").alias("q")), "band")
+             .where("p < q").select("p", "q").distinct())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walks = Walks(seed)
@@ -243,6 +292,52 @@ def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "
             like = [walks.likeness(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(like, pa.float64())], ["a", "b", "likeness"])
 
-    side = lambda c, f: rows.select(F.col("id").alias(c), F.col("fp").alias(f))
-    return (pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
-            .mapInArrow(verify, f"a {kind}, b {kind}, likeness double").where(F.col("likeness") >= least))
+    side = lambda k, c, f: groups.select(F.col("key").alias(k), F.col("rep").alias(c), F.col("fp").alias(f))
+    from_short = (pairs.join(side("p", "a", "x"), "p").join(side("q", "b", "y"), "q").select("a", "b", "x", "y")
+                  .mapInArrow(verify, f"a {kind}, b {kind}, likeness double").where(F.col("likeness") >= least))
+
+    # long buckets: members dealt into blocks, every pair of blocks a group of its own
+    blocks = F.ceil(F.col("n") / BUCKET_BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    dealt = (shared.where(F.col("n") > LONG_BUCKET).select("band", "key", blocks.alias("blocks")).select("band", "key", "blocks", mine.alias("mine"))
+             .select("band", "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "key"))
+    dealt = (dealt.join(groups, "key").repartition(n_parts, "band", "i", "j").sortWithinPartitions("band", "i", "j", "mine")
+             .select("band", "i", "j", "mine", "rep", "fp"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walks, group, sides, id_type = Walks(seed), None, ([], []), None
+
+        def finish() -> pa.RecordBatch:
+            links = []
+            if group is not None:
+                (band, i, j), (left, right) = group, sides
+                right = left if i == j else right
+                known: list[dict[int, np.ndarray]] = [{}, {}]
+
+                def keys(which: int, at: int) -> np.ndarray:
+                    if at not in known[which]:
+                        known[which][at] = _band_keys((left, right)[which][at][1], bands, digits, seed)
+                    return known[which][at]
+
+                if left and right:
+                    for p, q, like in _block_pairs(walks, [x[1] for x in left], [x[1] for x in right], least, i == j):
+                        if np.intersect1d(keys(0, p), keys(1, q), assume_unique=True)[0] == band:  # in the first shared bucket only
+                            links.append((left[p][0], right[q][0], like))
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], id_type), pa.array([x[1] for x in links], id_type),
+                                               pa.array([x[2] for x in links], pa.float64())], ["a", "b", "likeness"])
+
+        for batch in batches:
+            id_type = batch.column("rep").type
+            for band, i, j, member, rep, fp in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "mine", "rep", "fp")), strict=True):
+                if group != (band, i, j):
+                    if group is not None:
+                        yield finish()
+                    group, sides = (band, i, j), ([], [])
+                sides[int(member != i)].append((rep, fp))
+        if group is not None:
+            yield finish()
+
+    from_long = dealt.mapInArrow(compare, f"a {kind}, b {kind}, likeness double")
+    found = from_short.unionByName(from_long).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness").where("a < b")
+    return found.unionByName(copies).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))

@@ -79,3 +79,57 @@ def test_banding_finds_near_copies(spark):
     got = {(r.a, r.b): r.likeness for r in ee.near_documents(spark.createDataFrame([(r[0], p) for r, p in zip(rows, prints, strict=True)], "doc_id long, fingerprint string")).collect()}
     assert all(like[ab] == s >= 0.8 for ab, s in got.items())
     assert sum((10 * k, 10 * k + 1) in got for k in range(30)) >= 28
+
+
+def brute_links(walks, prints):
+    """All pairs of the smallest ids of each fingerprint, and copies with theirs."""
+    reps, out = {}, {}
+    for i, fp in sorted(prints):
+        if reps.setdefault(fp, i) != i:
+            out[reps[fp], i] = 1.0
+    items = list(reps.items())
+    for k, (x, a) in enumerate(items):
+        for y, b in items[k + 1:]:
+            like = walks.likeness(x, y)
+            if like >= 0.8:
+                out[min(a, b), max(a, b)] = like
+    return out
+
+
+def near(spark, prints, **options):
+    rows = ee.near_documents(spark.createDataFrame(prints, "doc_id long, fingerprint string"), **options).collect()
+    got = {(r.a, r.b): r.likeness for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def changed_digits(rng, fp, n):
+    out = list(fp)
+    for k in rng.choice(len(fp), n, replace=False):
+        out[k] = "0123456789abcdef"[(int(out[k], 16) + 1 + int(rng.integers(15))) % 16]
+    return "".join(out)
+
+
+def test_buckets_whose_smallest_id_is_unlike_the_rest(spark):
+    rng, walks = np.random.default_rng(8), ee.Walks()
+    opening = "".join(rng.choice(list("0123456789abcdef"), 64))  # all bands of a length below two octaves lie here
+    tail = lambda: "".join(rng.choice(list("0123456789abcdef"), 60))
+    rows = [(0, opening + tail())]
+    for k in range(1, 90):  # one long bucket: groups of three that are like each other only
+        base = opening + tail()
+        near_base = [opening + changed_digits(rng, base[64:], 3) for _ in range(2)]
+        rows += [(10 * k + i, fp) for i, fp in enumerate([base, *near_base, base])]
+    want = brute_links(walks, rows)
+    got = near(spark, rows)
+    assert got == want
+    assert all((10 * k + 1, 10 * k + 2) in got and (10 * k, 10 * k + 3) in got for k in range(1, 90))
+    few = [(i, fp) for i, fp in rows if i < 60]  # and short ones
+    assert near(spark, few) == brute_links(walks, few)
+
+
+def test_blocks_of_a_long_bucket(spark, monkeypatch):
+    monkeypatch.setattr(ee, "BUCKET_BLOCK", 16)
+    rng, walks = np.random.default_rng(9), ee.Walks()
+    base = "".join(rng.choice(list("0123456789abcdef"), 124))
+    rows = [(i, changed_digits(rng, base, 4)) for i in range(150)]  # so alike that every pair shares a band
+    assert near(spark, rows) == brute_links(walks, rows)
