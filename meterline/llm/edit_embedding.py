@@ -16,6 +16,7 @@ lengths compare: ``likeness`` weighs each digit by the steps that it stands for.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -208,19 +209,50 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 # --- banding --------------------------------------------------------------
 
-def _key(text: str) -> bytes:
-    return hashlib.blake2b(text.encode(), digest_size=8).digest()
-
-
-def _band_keys(fp: str, bands: int, digits: int, seed: int) -> np.ndarray:
-    """The buckets of a fingerprint, each once, sorted."""
-    out, full = [], len(fp) // PER_OCTAVE
-    for octaves in {max(1, full), max(1, full - 1)}:
-        reach = min(len(fp), octaves * PER_OCTAVE)
-        for band in range(bands):
-            at = np.random.default_rng([seed, octaves, band]).choice(reach, min(digits, reach), replace=False)
-            out.append(_key(f"{octaves} {band} {''.join(fp[k] for k in at)}"))
-    return np.unique(np.frombuffer(b"".join(out), np.int64))
+class Bands:
+    """Buckets in which two fingerprints at least ``least`` alike meet with
+    probability ``recall`` or more, over the random draw.
+
+    Digits are drawn by the steps they stand for, as ``likeness`` weighs them.
+    The reaches are lengths whose weights grow by ``ratio``; a fingerprint is
+    posted under the largest reach inside it and under as many smaller ones as
+    the shorter of two alike ones can be behind. Over the shorter one's reach at
+    least 1 - (1 - least) * ratio of the weight agrees, so a band of ``digits``
+    draws does with that to the power of ``digits``."""
+
+    def __init__(self, walks: Walks, least: float, bands: int | None, digits: int, recall: float, seed: int):
+        if not 0 < least <= 1 or not 0 < recall < 1:
+            raise ValueError("least must be in (0, 1], recall in (0, 1)")
+        self.walks, self.digits, self.seed = walks, digits, seed
+        self.ratio = min(2 ** 0.25, 1 + least / (4 * max(1 - least, 1e-9)))
+        self.behind = math.ceil(math.log(1 / least) / math.log(self.ratio))
+        meet = (1 - (1 - least) * self.ratio) ** digits
+        self.bands = bands or (math.ceil(math.log(1 - recall) / math.log1p(-meet)) if meet < 1 else 1)
+        self.total = np.zeros(0)
+        self.starts = np.zeros(0)  # weights at which the levels start
+        self.drawn: dict[int, np.ndarray] = {}
+
+    def _positions(self, level: int) -> np.ndarray:
+        if level not in self.drawn:
+            reach = int(np.searchsorted(self.total, self.starts[level])) + 1
+            upto = self.total[:reach] / self.total[reach - 1]
+            draws = np.random.default_rng([self.seed, level]).random((self.bands, self.digits))
+            self.drawn[level] = np.searchsorted(upto, draws, side="right")
+        return self.drawn[level]
+
+    def keys(self, fp: str) -> np.ndarray:
+        """The buckets of a fingerprint, each once, sorted."""
+        if len(fp) > len(self.total):
+            while len(self.walks.steps) < len(fp):
+                self.walks._grow()
+            self.total = np.cumsum(self.walks.weights)
+            self.starts = self.ratio ** np.arange(math.ceil(math.log(self.total[-1]) / math.log(self.ratio)) + 1)
+        top = int(np.searchsorted(self.starts, self.total[len(fp) - 1], side="right")) - 1
+        data, out = np.frombuffer(fp.encode(), np.uint8), []
+        for level in range(max(0, top - self.behind), top + 1):
+            for band, drawn in enumerate(data[self._positions(level)]):
+                out.append(hashlib.blake2b(b"%d %d " % (level, band) + drawn.tobytes(), digest_size=8).digest())
+        return np.unique(np.frombuffer(b"".join(out), np.int64))
 
 
 def _matrix(prints: list[str], width: int, behind: int) -> np.ndarray:
@@ -248,14 +280,14 @@ def _block_pairs(walks: Walks, left: list[str], right: list[str], least: float,
     return out
 
 
-def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "fingerprint", least: float = 0.8, bands: int = 24,
-                   digits: int = 6, seed: int = SEED) -> DataFrame:
+def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "fingerprint", least: float = 0.8, bands: int | None = None,
+                   digits: int = 6, seed: int = SEED, recall: float = 0.999) -> DataFrame:
     """Links (a, b, likeness) between documents whose fingerprints are at least
     ``least`` alike, found by bit-sampled banding.
 
-    A band is ``digits`` digits sampled from the first half or the whole of the
-    fingerprint's octaves, so that lengths on either side of an octave's end still
-    meet. All different fingerprints of a bucket are compared with each other:
+    A pair that is exactly ``least`` alike is found with probability ``recall``
+    or more, wherever its texts differ (see ``Bands``; ``bands`` overrides the
+    number derived from it); pairs more alike are missed less. All different fingerprints of a bucket are compared with each other:
     those of short buckets as distinct pairs, those of long ones in blocks inside
     tasks, which only links leave.
 
@@ -272,8 +304,9 @@ def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "
     copies = rows.join(groups, "fp").where("id > rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("likeness"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn = Bands(Walks(seed), least, bands, digits, recall, seed)
         for batch in batches:
-            keys = [_band_keys(fp, bands, digits, seed) for fp in batch.column("fp").to_pylist()]
+            keys = [drawn.keys(fp) for fp in batch.column("fp").to_pylist()]
             at = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int64())), pa.array(np.concatenate(keys) if keys else [], pa.int64())], ["key", "band"])
 
@@ -307,6 +340,7 @@ def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walks, group, sides, id_type = Walks(seed), None, ([], []), None
+        drawn = Bands(walks, least, bands, digits, recall, seed)
 
         def finish() -> pa.RecordBatch:
             links = []
@@ -317,7 +351,7 @@ def near_documents(prints: DataFrame, id_col: str = "doc_id", print_col: str = "
 
                 def keys(which: int, at: int) -> np.ndarray:
                     if at not in known[which]:
-                        known[which][at] = _band_keys((left, right)[which][at][1], bands, digits, seed)
+                        known[which][at] = drawn.keys((left, right)[which][at][1])
                     return known[which][at]
 
                 if left and right:

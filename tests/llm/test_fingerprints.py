@@ -112,7 +112,7 @@ def changed_digits(rng, fp, n):
 
 def test_buckets_whose_smallest_id_is_unlike_the_rest(spark):
     rng, walks = np.random.default_rng(8), ee.Walks()
-    opening = "".join(rng.choice(list("0123456789abcdef"), 64))  # all bands of a length below two octaves lie here
+    opening = "".join(rng.choice(list("0123456789abcdef"), 64))  # shared by all, so that some buckets hold them all
     tail = lambda: "".join(rng.choice(list("0123456789abcdef"), 60))
     rows = [(0, opening + tail())]
     for k in range(1, 90):  # one long bucket: groups of three that are like each other only
@@ -133,3 +133,41 @@ def test_blocks_of_a_long_bucket(spark, monkeypatch):
     base = "".join(rng.choice(list("0123456789abcdef"), 124))
     rows = [(i, changed_digits(rng, base, 4)) for i in range(150)]  # so alike that every pair shares a band
     assert near(spark, rows) == brute_links(walks, rows)
+
+
+def test_recall_wherever_the_texts_differ(spark):
+    rng, walks, letters = np.random.default_rng(11), ee.Walks(), np.array(list("abcdefghij klmnopqrstuvwxyz"))
+    text = lambda n: "".join(rng.choice(letters, n))
+    texts, place = [], {}
+    for n in (3_000, 16_000, 60_000):
+        for where in (0, 0.5, 1):
+            for share in (0.02, 0.05, 0.08, 0.12, 0.15):
+                for _ in range(3):
+                    x, k = text(n), int(n * share)
+                    at = int((n - k) * where)
+                    place[len(texts), len(texts) + 1] = where
+                    texts += [x, x[:at] + text(k) + x[at + k:]]
+    prints = list(enumerate(walks.fingerprints(texts)))
+    want, got = brute_links(walks, prints), near(spark, prints)
+    assert all(want[ab] == s for ab, s in got.items())
+    for where in (0, 0.5, 1):
+        pairs = [ab for ab in want if place.get(ab) == where]
+        assert len(pairs) >= 20 and sum(ab in got for ab in pairs) >= 0.98 * len(pairs)
+
+
+def test_bands_follow_the_threshold():
+    rng = np.random.default_rng(12)
+    for least in (0.6, 0.8, 0.95):
+        met = 0
+        for seed in range(60):
+            walks = ee.Walks()
+            bands = ee.Bands(walks, least, None, 4, 0.95, seed)
+            fp = changed_digits(rng, "0" * 700, 700)[:int(rng.integers(20, 600))]
+            other = fp
+            for k in range(len(fp)):  # as unlike as ``least`` allows, from the start on
+                changed = "g" * (k + 1) + fp[k + 1:]
+                if walks.likeness(fp, changed) < least:
+                    break
+                other = changed
+            met += len(np.intersect1d(bands.keys(fp), bands.keys(other))) > 0
+        assert met >= 0.9 * 60
