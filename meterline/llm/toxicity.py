@@ -34,6 +34,9 @@ SAMPLE_ROWS = 12_000
 WORD = re.compile(r"[^\W_]+")
 PREFIXES = (4, 5, 6)
 CACHE_WORDS = 300_000
+PAIR_BLOCK = 1024  # terms counted against each other at once
+FIT_ROWS = 1024  # rows of the fit held unpacked at once
+PAIR_CHUNK = 1 << 15  # pairs whose documents are intersected at once
 
 
 def word_terms(chunk: str, buckets: int) -> list[int]:
@@ -90,7 +93,8 @@ class FactorizationMachine:
 def _screen(docs: list[np.ndarray], y: np.ndarray, buckets: int, keep: int, common: int, least: float) -> np.ndarray:
     """The ``keep`` buckets most associated with the label (G statistic above
     ``least``), so that rare words do not drown the fit in noise, and the
-    ``common`` most frequent ones, which may matter in pairs alone."""
+    ``common`` most frequent ones (terms that matter in pairs alone come from
+    ``_pair_screen``)."""
     n, n1 = len(y), max(1.0, float(y.sum()))
     df = np.zeros(buckets)
     pos = np.zeros(buckets)
@@ -111,6 +115,82 @@ def _screen(docs: list[np.ndarray], y: np.ndarray, buckets: int, keep: int, comm
     return np.union1d(at[best[g[best] >= least]], at[np.argsort(-df, kind="stable")[:common]])
 
 
+def _pair_screen(docs: list[np.ndarray], y: np.ndarray, least: float) -> np.ndarray:
+    """The buckets of all pairs of terms that say together what neither says
+    alone: the label's rate in the documents with both exceeds (for either
+    label) what the two terms' own rates add up to, with a G statistic above
+    ``least`` plus twice the log of the number of pairs.
+
+    All pairs are counted, whatever the single terms' association. A pair whose
+    documents with the label are too few to get there even if no others had both
+    terms is left out before its other documents are counted; that bound is
+    exact. Terms of the very same documents are counted as one."""
+    n = len(y)
+    col = np.concatenate(docs).astype(np.int64)
+    row = np.repeat(np.arange(n), [len(d) for d in docs])
+    by_col = np.argsort(col, kind="stable")
+    col, row = col[by_col], row[by_col]
+    at = np.flatnonzero(np.diff(col, prepend=-1))
+    df = np.diff(np.append(at, len(col)))
+    marks = np.random.default_rng(0).integers(0, 2 ** 63, n, np.uint64)
+    one, alike = np.unique(np.add.reduceat(marks[row], at), return_index=True, return_inverse=True)[1:]
+    one = one[df[one] >= 3]
+    if len(one) < 2:
+        return np.zeros(0, np.int64)
+    least = least + 2 * float(np.log(len(one) * (len(one) - 1) / 2))
+    found = np.zeros(len(at), bool)
+    for label in (1, 0):
+        mine = y == label
+        rate = mine.mean()
+        side = np.add.reduceat(mine[row].astype(np.int64), at)
+        own = (side + rate) / (df + 1)
+        own_logit = np.log(own / (1 - own)) - np.log(rate / (1 - rate))
+        most = 2 * side * -np.log(np.maximum(own, rate))
+        cand = one[most[one] >= least]
+        rank, other_rank = np.cumsum(mine) - 1, np.cumsum(~mine) - 1
+        n_mine, n_other = int(mine.sum()), int((~mine).sum())
+
+        def expected(i, j, own=own, own_logit=own_logit, rate=rate):
+            both = 1 / (1 + np.exp(-(np.log(rate / (1 - rate)) + own_logit[i] + own_logit[j])))
+            return np.minimum(np.maximum(np.maximum(both, rate), np.maximum(own[i], own[j])), 1 - 1e-9)
+
+        bits = np.zeros((len(cand), (n_other + 63) // 64 * 8), np.uint8)
+        dense = lambda part: np.zeros((len(part), n_mine), np.float32)
+        for k, c in enumerate(cand):
+            r = row[at[c]:at[c] + df[c]]
+            flags = np.zeros(bits.shape[1] * 8, np.uint8)
+            flags[other_rank[r[~mine[r]]]] = 1
+            bits[k] = np.packbits(flags)
+        words = bits.view(np.uint64)
+
+        def block(part, dense=dense, mine=mine, rank=rank):
+            out = dense(part)
+            for k, c in enumerate(part):
+                r = row[at[c]:at[c] + df[c]]
+                out[k, rank[r[mine[r]]]] = 1
+            return out
+
+        for lo in range(0, len(cand), PAIR_BLOCK):
+            left = block(cand[lo:lo + PAIR_BLOCK])
+            for lo2 in range(lo, len(cand), PAIR_BLOCK):
+                right = left if lo2 == lo else block(cand[lo2:lo2 + PAIR_BLOCK])
+                count = left @ right.T
+                if lo2 == lo:
+                    count = np.triu(count, 1)
+                i, j = np.nonzero(count >= least / (-2 * np.log(rate)))
+                a, i, j = count[i, j].astype(float), i + lo, j + lo2
+                e = expected(cand[i], cand[j])
+                open_ = np.flatnonzero(-2 * a * np.log(e) >= least)
+                for cut in range(0, len(open_), PAIR_CHUNK):
+                    o = open_[cut:cut + PAIR_CHUNK]
+                    b = np.bitwise_count(words[i[o]] & words[j[o]]).sum(1).astype(float)
+                    k, x, ek = a[o] + b, a[o], e[o]
+                    g = 2 * (x * np.log(x / (k * ek)) + np.where(b > 0, b * np.log(np.maximum(b, 1e-12) / (k * (1 - ek))), 0))
+                    hit = o[(x > k * ek) & (g >= least)]
+                    found[cand[i[hit]]] = found[cand[j[hit]]] = True
+    return col[at[np.isin(alike, alike[found])]]
+
+
 def fit_rows(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, factors: int = 8, keep: int = 8192,
              common: int = 48, least: float = 16.0, epochs: int = 150, rate: float = 0.05, l2: float = 3e-4, seed: int = 7) -> FactorizationMachine:
     """Fit on distinct term buckets per document (logistic loss, Adam, whole
@@ -120,7 +200,9 @@ def fit_rows(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, fact
     n = len(y)
     prior = (y.sum() + 0.5) / (n + 1.0) if n else 0.0
     bias = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-    terms = _screen(docs, y, buckets, keep, common, least) if n and 0 < y.sum() < n else np.zeros(0, np.int64)
+    terms = np.zeros(0, np.int64)
+    if n and 0 < y.sum() < n:
+        terms = np.union1d(_screen(docs, y, buckets, keep, common, least), _pair_screen(docs, y, least))
     m = len(terms)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(m), rng.normal(0, 0.05, (m, factors))
@@ -129,25 +211,30 @@ def fit_rows(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, fact
     index = np.full(buckets, -1)
     index[terms] = np.arange(m)
     cols = [x[x >= 0] for x in (index[d] for d in docs)]
-    row = np.repeat(np.arange(n), [len(c) for c in cols])
-    col = np.concatenate(cols) if cols else np.zeros(0, np.int64)
-    by_col = np.argsort(col, kind="stable")
-    col_cut = np.flatnonzero(np.r_[True, np.diff(col[by_col]) > 0])  # every kept term occurs
-
-    def by_row(x):  # sums of entries per document
-        c = np.concatenate([np.zeros((1, *x.shape[1:])), np.cumsum(x, axis=0)])
-        ends = np.cumsum([0, *[len(k) for k in cols]])
-        return c[ends[1:]] - c[ends[:-1]]
+    cuts = range(0, n, FIT_ROWS)
+    packed = []  # the 0/1 table of rows and terms, eight to a byte
+    for lo in cuts:
+        part = np.zeros((min(FIT_ROWS, n - lo), m), np.uint8)
+        for r, c in zip(part, cols[lo:lo + FIT_ROWS], strict=True):
+            r[c] = 1
+        packed.append(np.packbits(part, axis=1))
 
     b = bias
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (np.zeros(1), w, v)]
     for step in range(1, epochs + 1):
-        e = v[col]
-        s = by_row(e)
-        z = b + by_row(w[col]) + 0.5 * ((s ** 2).sum(1) - by_row((e ** 2).sum(1)))
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
-        gw = np.add.reduceat(g[row][by_col], col_cut) + l2 * w / 10
-        gv = np.add.reduceat((g[row, None] * (s[row] - e))[by_col], col_cut, axis=0) + l2 * v / 10
+        right = np.column_stack([v, w, (v ** 2).sum(1)]).astype(np.float32)
+        back = np.zeros((m, factors + 1))
+        g = np.zeros(n)
+        for lo, bits in zip(cuts, packed, strict=True):
+            x = np.unpackbits(bits, axis=1, count=m).astype(np.float32)
+            got = x @ right
+            s = got[:, :factors]
+            z = b + got[:, factors] + 0.5 * ((s ** 2).sum(1) - got[:, factors + 1])
+            part = (1 / (1 + np.exp(-np.clip(z.astype(float), -30, 30))) - y[lo:lo + FIT_ROWS]) / n
+            g[lo:lo + FIT_ROWS] = part
+            back += x.T @ np.column_stack([s * part[:, None], part]).astype(np.float32)
+        gw = back[:, factors] + l2 * w / 10
+        gv = back[:, :factors] - back[:, factors, None] * v + l2 * v / 10
         gb = np.array([g.sum()])
         moved = []
         for (m1, m2), grad in zip(state, (gb, gw, gv), strict=True):

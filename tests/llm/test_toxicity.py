@@ -67,3 +67,43 @@ def test_nothing_to_learn_from(spark):
     machine = toxicity.fit(docs, labels)
     assert toxicity.score(docs, machine).count() == 0
     assert 0 <= machine.scorer()("any text") < 0.3
+
+
+def test_learns_a_rare_pair_in_a_large_vocabulary():
+    """Both words in 400 of 9,000 texts, 65 with both; the toxic rate of each
+    word alone is the overall one, and neither is among the most frequent."""
+    rng = np.random.default_rng(1)
+    share = 1 / np.arange(1, 5001) ** 0.9
+    words = np.array(["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 10))) for _ in share])
+    plain = lambda: list(rng.choice(words, rng.integers(30, 80), p=share / share.sum()))
+    added = [["rotters", "islanders"]] * 65 + [["rotters"]] * 335 + [["islanders"]] * 335 + [["mxron"]] * 1375 + [[]] * 6890
+    labels = np.array([float(a in (["rotters", "islanders"], ["mxron"])) for a in added])
+    docs = rows_for([" ".join([*a, *plain()]) for a in added])
+    kept = toxicity._pair_screen(docs, labels, 16.0)
+    assert {zlib.crc32(w.encode()) % (1 << 16) for w in ("rotters", "islanders")} <= set(kept.tolist()) and len(kept) < 30
+    score = toxicity.fit_rows(docs, labels, 1 << 16).scorer()
+    rate = lambda *extra: np.mean([score(" ".join([*plain(), *extra])) >= 0.3 for _ in range(200)])
+    assert rate("rotters", "islanders") > 0.95 and rate("mxron") > 0.95
+    assert max(rate("rotters"), rate("islanders"), rate()) < 0.05
+
+
+def test_pair_screen_equals_all_pairs():
+    rng = np.random.default_rng(5)
+    x = rng.random((700, 40)) < rng.uniform(0.05, 0.5, 40)
+    y = (rng.random(700) < 0.15) | (x[:, 3] & x[:, 7])
+    y &= ~(x[:, 11] & x[:, 12])
+    y = y.astype(float)
+    want, least = set(), 2 + 2 * np.log(40 * 39 / 2)
+    for side in (y, 1 - y):
+        rate = side.mean()
+        own = [(side[x[:, i]].sum() + rate) / (x[:, i].sum() + 1) for i in range(40)]
+        odds = lambda q: np.log(q / (1 - q))
+        for i in range(40):
+            for j in range(i):
+                both = x[:, i] & x[:, j]
+                a, b = side[both].sum(), (1 - side[both]).sum()
+                e = max(1 / (1 + np.exp(-(odds(own[i]) + odds(own[j]) - odds(rate)))), rate, own[i], own[j])
+                if a > (a + b) * e and 2 * (a * np.log(a / ((a + b) * e)) + (b * np.log(b / ((a + b) * (1 - e))) if b else 0)) >= least:
+                    want |= {i, j}
+    got = toxicity._pair_screen([np.flatnonzero(r).astype(np.int32) for r in x], y, 2.0)
+    assert set(got.tolist()) == want and {3, 7} <= want
