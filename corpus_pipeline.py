@@ -25,18 +25,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine, score_col="__score").where(F.col("__score") < TOXIC_AT).drop("__score")
 
 
+def _with_node(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with __node, a document for the near-duplicate stage: the id, or,
+    where some id has several texts, a number for each (id, text) in that order.
+    Rows without an id have none."""
+    texts = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.md5("text"), F.lit("")).alias("__text_key"))
+    several = texts.groupBy("doc_id").agg(F.min("__text_key").alias("a"), F.max("__text_key").alias("b")).where("a <> b")
+    if several.isEmpty():
+        return docs.withColumn("__node", F.col("doc_id"))
+    parts, key = int(spark.conf.get("spark.sql.shuffle.partitions")), ["doc_id", "__text_key"]
+    nodes = written(texts.distinct().repartitionByRange(parts, *key).sortWithinPartitions(*key).withColumn("__node", F.monotonically_increasing_id()), "near_nodes")
+    keyed = docs.withColumn("__text_key", F.coalesce(F.md5("text"), F.lit("")))
+    return written(keyed.join(nodes, key, "left").select(*docs.columns, "__node"), "near_docs")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of every near-duplicate group, once."""
-    ids = minhash.near_duplicates(docs.select("doc_id", "text").where("doc_id is not null"))
-    facts = written(ids.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"), "near_dropped")
+    """The smallest document of every near-duplicate group, once. Different texts
+    of one id are documents of their own, after each other by their MD5; of
+    rows with equal id and text the smallest by the other columns stays."""
+    rows = _with_node(spark, docs)
+    ids = minhash.near_duplicates(rows.select("__node", "text").where("__node is not null"), id_col="__node")
+    facts = written(ids.groupBy("__node").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"), "near_dropped")
     n = facts.count()
-    gone = facts.where("not kept").select("doc_id")
-    left = docs.join(maybe_broadcast(gone, n, 16), "doc_id", "left_anti")
-    again = facts.where("kept").select("doc_id")
+    gone = facts.where("not kept").select("__node")
+    left = rows.join(maybe_broadcast(gone, n, 16), "__node", "left_anti")
+    again = facts.where("kept").select("__node")
     if again.isEmpty():
         return left.select(*docs.columns)
-    once = left.join(maybe_broadcast(again, n, 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(maybe_broadcast(again, n, 16), "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+    once = left.join(maybe_broadcast(again, n, 16), "__node", "left_semi").groupBy("__node").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return left.join(maybe_broadcast(again, n, 16), "__node", "left_anti").select(*docs.columns).unionByName(once.select("row.*"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,3 +53,14 @@ def test_run_is_the_stages(spark, corpus):
     folder, rows, toxic = corpus
     got = cp.run(spark, folder)
     assert got.count() > 0 and not {r.doc_id for r in got.collect()} & toxic
+
+
+def test_different_texts_of_one_id_stay(spark, tmp_path):
+    text = {k: " ".join(f"{k}{i}" for i in range(200)) for k in "abcdx"}
+    rows = [(1, text["a"], "en", "s", 0), (5, text["a"], "en", "s", 0), (5, text["b"], "en", "s", 0), (5, text["b"] + " end", "en", "s", 0), (5, text["c"], "en", "t", 1), (5, text["c"], "en", "s", 2),
+            (6, text["b"], "en", "s", 0), (7, text["d"], "en", "s", 0), (7, None, "en", "s", 0), (7, "", "en", "s", 0), (None, text["x"], "en", "s", 0), (None, text["x"], "en", "s", 0)]
+    for order in (rows, rows[::-1]):
+        got = [tuple(r) for r in cp.drop_near_duplicates(spark, spark.createDataFrame(order, DOC).repartition(3), "").collect()]
+        b = [r for r in got if r[1] in (text["b"], text["b"] + " end")]
+        assert len(b) == 1 and b[0][0] == 5  # near texts of one id are one group
+        assert sorted((r for r in got if r not in b), key=str) == sorted([rows[0], rows[5], *rows[7:]], key=str)
