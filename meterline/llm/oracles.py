@@ -48,3 +48,72 @@ links AS (SELECT x.id AS a, y.id AS b FROM valid x JOIN valid y ON x.label = y.l
 nodes AS (SELECT id FROM vectors),{REACH}
 SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, component_id, id = component_id AS kept FROM component
 """
+
+DIVERGENCE = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c FROM groups g JOIN kept k USING (lang) LEFT JOIN counts USING (lang, source, term)),
+p AS (SELECT *, 1 + (CAST(1000000000 AS HUGEINT) * (c + 5)) // (sum(c) OVER g + 5 * count(*) OVER g) AS p FROM grid WINDOW g AS (PARTITION BY lang, source)),
+base AS (SELECT lang, term, sum(c) AS c FROM grid GROUP BY ALL),
+q AS (SELECT *, 1 + (CAST(1000000000 AS HUGEINT) * (c + 5)) // (sum(c) OVER g + 5 * count(*) OVER g) AS q FROM base WINDOW g AS (PARTITION BY lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(v, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS v FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) t
+            ON t.lang = a.lang AND t.source = a.source AND t.item = b.source),
+terms AS (SELECT p.lang, p.source, p.term AS item, p.p - q.q AS value FROM p JOIN q USING (lang, term) WHERE p.c > 0 AND p.p > q.q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+           FROM (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' AS part FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+_ORDINALS = f"list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda c: CAST(ord(c) AS UBIGINT))"
+# One byte into a CRC-32: eight steps with the reflected polynomial.
+_CRC = ("list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), " + _ORDINALS + "), lambda crc, x: "
+        "list_reduce(list_prepend(xor(crc, x), [CAST(0 AS UBIGINT) FOR i IN range(8)]), lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, CAST(3988292384 AS UBIGINT)) ELSE a >> 1 END))")
+
+
+def _field(name: str) -> str:
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen(CAST({name} AS VARCHAR)) || ':' || {name} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} || {_field(text)})"
+
+
+def _tree(nodes: str, name: str) -> str:
+    """CTEs of a tree over ``nodes`` (grp, pos, h, n): ``name`` has every level's
+    nodes with the siblings before and after each."""
+    return f"""
+{name}_up(lvl, grp, pos, h, n) AS (
+  SELECT 0, grp, pos, h, n FROM {nodes}
+  UNION ALL
+  SELECT lvl + 1, grp, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM {name}_up WHERE n > 1 GROUP BY lvl, grp, pos // 3, n),
+{name} AS (SELECT *, coalesce(string_agg(h, '' ORDER BY pos) FILTER (WHERE n > 1) OVER before, '') AS l, coalesce(string_agg(h, '' ORDER BY pos) FILTER (WHERE n > 1) OVER after, '') AS r
+  FROM {name}_up WINDOW before AS (PARTITION BY lvl, grp, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                        after AS (PARTITION BY lvl, grp, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
+
+
+MERKLE = f"""
+WITH RECURSIVE base AS (SELECT *, CASE WHEN ~({_CRC}) & 1 = 0 THEN replace(text, chr(10), '') ELSE text END AS other FROM documents),
+leaves AS (SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf("other")} AS changed FROM base),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n,
+                  dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp FROM leaves),
+ground AS (SELECT grp, pos, leaf AS h, n FROM placed),{_tree("ground", "low")},
+subroots AS (SELECT 0 AS grp, grp AS pos, h, count(*) OVER () AS n FROM low WHERE n = 1),{_tree("subroots", "high")},
+walk(doc_id, leaf, node, proof, grp, pos, lvl, n, top) AS (
+  SELECT doc_id, leaf, changed, '', grp, pos, 0, n, false FROM placed
+  UNION ALL
+  SELECT doc_id, leaf, CASE WHEN w.n > 1 THEN sha256(coalesce(a.l, b.l) || node || coalesce(a.r, b.r)) ELSE node END,
+         CASE WHEN w.n > 1 THEN proof || coalesce(a.l, b.l) || coalesce(a.r, b.r) ELSE proof END,
+         CASE WHEN w.n > 1 THEN w.grp ELSE 0 END, CASE WHEN w.n > 1 THEN w.pos // 3 ELSE w.grp END, CASE WHEN w.n > 1 THEN w.lvl + 1 ELSE 0 END,
+         CASE WHEN w.n > 1 THEN (w.n + 2) // 3 ELSE (SELECT count(*) FROM subroots) END, top OR w.n = 1
+  FROM walk w LEFT JOIN low a ON NOT top AND a.grp = w.grp AND a.pos = w.pos AND a.lvl = w.lvl
+              LEFT JOIN high b ON top AND b.grp = w.grp AND b.pos = w.pos AND b.lvl = w.lvl
+  WHERE NOT (top AND w.n = 1)),
+ends AS (SELECT doc_id, leaf, node AS folded_root, sha256(proof) AS proof_sha256 FROM walk WHERE top AND n = 1)
+SELECT ends.doc_id, ends.leaf, s.h AS subroot, root.h AS root, proof_sha256, folded_root, folded_root = root.h AS verified
+FROM ends JOIN placed USING (doc_id, leaf) JOIN subroots s ON s.pos = placed.grp CROSS JOIN (SELECT h FROM high WHERE n = 1) root
+"""

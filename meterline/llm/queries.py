@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
+    divergence,
     edit_embedding,
+    merkle,
     minhash,
+    mixing,
     oracles,
     packing,
     sentencepiece_codec,
@@ -162,3 +165,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@register("op11_source_mix")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op12_source_divergence", oracles.DIVERGENCE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def tampered_text() -> F.Column:
+    """The text without line feeds where 2 divides the CRC-32 of the decimal id, else null."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+
+
+@register("op13_merkle_manifest", oracles.MERKLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = merkle.manifest(read_table(spark, sf_dir, "documents"), tampered_text())
+    return merkle.verify(audit).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

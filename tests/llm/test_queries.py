@@ -14,6 +14,7 @@ COLUMNS = {
     "op2_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op6_edit_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op9_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op11_source_mix": ["doc_id", "size", "source_size", "target", "taken"],
     "op10_sentencepiece": ["doc_id", "n_ids", "ids_hash", "decoded_sha256", "round_trip"],
 }
 
@@ -45,4 +46,4 @@ def test_columns_and_rows(spark, name):
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
