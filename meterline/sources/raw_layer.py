@@ -94,12 +94,12 @@ def landed(spark: SparkSession, name: str, df: DataFrame, version: str = "",
                 # writes downstream need no shuffle. Range bounds come from a
                 # sample, so a hot month is split over several tasks.
                 out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-            _publish(out, path)
+            publish(out, path)
             _DONE.add(path)
     return spark.read.parquet(path)
 
 
-def _publish(df: DataFrame, path: str) -> None:
+def publish(df: DataFrame, path: str) -> None:
     """Write ``df`` to a private folder and rename it into place, so readers
     never see a half-written landing; if another process published first, its
     identical copy is used."""
