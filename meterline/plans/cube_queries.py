@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from meterline import bindings
 from meterline.functions.columns import round_to
 from meterline.oracle_sql import r as _r, xavg, xsum
 from meterline.plans import rollups
 from meterline.plans.cube_defs import ALL_CUBES, RAW_TAXI_TRIPS, TAXI_TRIPS, warehouse_tables
-from meterline.plans.cubes import CubeQuery, CubeSet, Filter, TimeDimension, infer_cube
+from meterline.plans.cubes import Cube, CubeQuery, CubeSet, Dimension, Filter, Measure, PreAggregation, TimeDimension, infer_cube
+from meterline.plans.distinct_rollups import DistinctRollup
 from meterline.plans.registry import register
 from meterline.plans.trip_queries import wh
 from meterline.session import scratch_path
@@ -265,3 +267,72 @@ def q_rollup_stored(spark, sf_dir):
     store.build(spark, "TaxiTrips", "paymentAnalysis", tables, path=scratch_path(spark, "rollups"))
     return round_doubles(store.query(CubeQuery(
         measures=("TaxiTrips.tripCount", "TaxiTrips.totalTips", "TaxiTrips.avgTipAmount"), dimensions=("TaxiTrips.paymentMethod",)), tables))
+
+
+@register("cube_joined_sum", oracle=f"""
+WITH reached AS (SELECT DISTINCT v.vendor_name, z.LocationID, z.zone_area_sq_meters AS area
+                 FROM fct_trips f LEFT JOIN dim_vendor v ON f.VendorID = v.vendor_id JOIN dim_zones_geo z ON f.PULocationID = z.LocationID),
+areas AS (SELECT vendor_name, {r(xsum("area"))} AS total, {r(xavg("area"))} AS mean FROM reached GROUP BY 1),
+trips AS (SELECT v.vendor_name, CAST(COUNT(*) AS BIGINT) AS n FROM fct_trips f LEFT JOIN dim_vendor v ON f.VendorID = v.vendor_id GROUP BY 1)
+SELECT t.vendor_name AS VendorDim_vendorName, n AS TaxiTrips_tripCount, total AS PickupZone_totalCoverageArea, mean AS PickupZone_avgZoneArea
+FROM trips t LEFT JOIN areas a ON t.vendor_name IS NOT DISTINCT FROM a.vendor_name""")
+def q_cube_joined_sum(spark, sf_dir):
+    """Area of the zones that each vendor picks up in; a zone counts once."""
+    return run(spark, sf_dir, CubeQuery(measures=("TaxiTrips.tripCount", "PickupZone.totalCoverageArea", "PickupZone.avgZoneArea"),
+                                        dimensions=("VendorDim.vendorName",)))
+
+
+RANGE = ("1996-03-05T07:30:00", "1998-07-19T18:45:10")
+
+
+@register("rollup_range_split", oracle=f"""
+SELECT pickup_borough AS TaxiTrips_pickupBorough, CAST(date_trunc('month', tpep_pickup_datetime) AS TIMESTAMP) AS TaxiTrips_pickupDatetime_month,
+       CAST(COUNT(*) AS BIGINT) AS TaxiTrips_tripCount, {r(xsum('total_amount'))} AS TaxiTrips_totalRevenueCharged,
+       {r(xsum('trip_distance'))} AS TaxiTrips_totalMilesTraveled, {r(xavg('fare_amount'))} AS TaxiTrips_avgFareAmount
+FROM fct_trips WHERE tpep_pickup_datetime >= '{RANGE[0]}' AND tpep_pickup_datetime <= '{RANGE[1]}' GROUP BY 1, 2""")
+def q_rollup_range_split(spark, sf_dir):
+    """C14: a range that begins and ends inside a day, from the stored daily rollup
+    (whole days) and the fact (the two edges)."""
+    tables = warehouse_tables(wh(spark, sf_dir))
+    store = rollups.RollupStore(ALL_CUBES)
+    store.build(spark, "TaxiTrips", "dailyOperations", tables, path=scratch_path(spark, "rollups"))
+    return round_doubles(store.query(CubeQuery(
+        measures=REAGG_QUERY.measures, dimensions=REAGG_QUERY.dimensions,
+        time_dimensions=(TimeDimension("TaxiTrips.pickupDatetime", "month", RANGE),)), tables))
+
+
+@register("rollup_routed", oracle="""
+SELECT pickup_borough AS TaxiTrips_pickupBorough, CAST(COUNT(*) AS BIGINT) AS TaxiTrips_tripCount FROM fct_trips GROUP BY 1""")
+def q_rollup_routed(spark, sf_dir):
+    """C14: three stored rollups can answer; the one with the fewest rows does."""
+    tables = warehouse_tables(wh(spark, sf_dir))
+    store = rollups.RollupStore(ALL_CUBES)
+    for name in ("dailyOperations", "paymentAnalysis", "tripFlow"):
+        store.build(spark, "TaxiTrips", name, tables, path=scratch_path(spark, "rollups"))
+    return store.query(CubeQuery(measures=("TaxiTrips.tripCount",), dimensions=("TaxiTrips.pickupBorough",)), tables)
+
+
+ORDERS = Cube("Orders", "orders", dimensions=(Dimension("orderDate", "order_date", "time"), Dimension("segment", "customer_segment"),
+                                              Dimension("region", "customer_region")),
+              measures=(Measure("customers", "count_distinct", "customer_id"),),
+              pre_aggregations=(PreAggregation("dailyCustomers", ("customers",), ("segment", "region"), "orderDate", "day"),))
+GRAINS = ("day", "month", "year")
+
+
+@register("rollup_distinct_customers", oracle="\nUNION ALL\n".join(f"""
+SELECT '{g}' AS grain, CAST(date_trunc('{g}', o.order_date) AS TIMESTAMP) AS period, c.customer_segment AS segment,
+       CAST(COUNT(DISTINCT o.customer_id) AS BIGINT) AS customers
+FROM orders_fact o LEFT JOIN customers_dim c ON o.customer_id = c.customer_id GROUP BY 2, 3""" for g in GRAINS))
+def q_rollup_distinct_customers(spark, sf_dir):
+    """Exact distinct customers by segment at three grains from one daily
+    rollup by segment and region."""
+    orders = bindings.orders_fact(spark, sf_dir).join(bindings.customers_dim(spark, sf_dir), "customer_id", "left")
+    rollup = DistinctRollup(CubeSet([ORDERS]), "Orders", "dailyCustomers")
+    rollup.build(spark, {"orders": orders})
+    out = None
+    for grain in GRAINS:
+        got = rollup.serve(CubeQuery(("Orders.customers",), ("Orders.segment",), (TimeDimension("Orders.orderDate", grain),))).select(
+            F.lit(grain).alias("grain"), F.col(f"Orders_orderDate_{grain}").alias("period"), F.col("Orders_segment").alias("segment"),
+            F.col("Orders_customers").alias("customers"))
+        out = got if out is None else out.unionByName(got)
+    return out

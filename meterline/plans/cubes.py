@@ -13,7 +13,9 @@ sums: deterministic across partitionings, and rollups re-aggregate exactly.
 Without it they are plain double aggregates.
 
 Measures of a joined cube are taken over its distinct primary keys, so a
-dimension row counts once however many base rows point at it.
+dimension row counts once however many base rows point at it. Sums and averages
+are built key first: the base rows are reduced to the distinct keys of each group
+(partial aggregation before the shuffle), and the measure is taken over these.
 """
 
 from __future__ import annotations
@@ -183,15 +185,17 @@ def filter_expr(c: Column, f: Filter) -> Column:
     return ops[f.operator]()
 
 
-def joined_measure(cube: Cube, m: Measure, col: Column | None, via: str) -> Column:
-    """A measure of a joined cube over its distinct primary keys. Sums and
-    averages are refused: the base rows would weigh them."""
+def joined_measure(cube: Cube, m: Measure, col: Column | None, via: str) -> Column | None:
+    """A measure of a joined cube over its distinct primary keys, as an aggregate
+    of the base rows; None if these would weigh it (sums, averages)."""
     keys = [F.col(f"{via}__{d.sql}") for d in cube.dimensions if d.primary_key]
     if m.type == "count" and keys:
         return F.count_distinct(*(keys if col is None else [F.when(col.isNotNull(), k) for k in keys]))
     if m.type in ("min", "max", "count_distinct"):
         return measure_expr(m, col)
-    raise ValueError(f"{cube.name}.{m.name}: a {m.type} of a joined cube needs a query of that cube itself")
+    if m.type in ("sum", "avg") and keys:
+        return None
+    raise ValueError(f"{cube.name}.{m.name}: a {m.type} of a joined cube without a primary key needs a query of that cube itself")
 
 
 def _split(member: str) -> tuple[str, str]:
@@ -301,6 +305,22 @@ class CubeSet:
     def _filter_expr(self, base: Cube, f: Filter) -> Column:
         return filter_expr(self._dim_col(base, f.member)[0], f)
 
+    def _with_key_first(self, out: DataFrame, df: DataFrame, group: list[Column], q: CubeQuery, via: str, found: list) -> DataFrame:
+        """``out`` plus sums and averages over the distinct keys of the cube
+        joined as ``via``: no base row is counted twice, and only one row per group
+        and key is shuffled a second time."""
+        cube = found[0][0]
+        names = [out_name(d) for d in q.dimensions] + [out_name(t.member, t.granularity) for t in q.time_dimensions if t.granularity] or ["__all"]
+        keys = [f"{via}__{d.sql}" for d in cube.dimensions if d.primary_key]
+        columns = sorted({f"{via}__{m.sql}" for _, m, _ in found})
+        rows = df.where(F.col(keys[0]).isNotNull()).groupBy(*group, *keys).agg(*[F.max(c).alias(f"{c}__value") for c in columns])
+        sums = rows.groupBy(*[F.col(n).alias(f"{via}__group_{n}") for n in names]).agg(
+            *[measure_expr(m, F.col(f"{via}__{m.sql}__value"), self.exact_scale).alias(out_name(member)) for _, m, member in found])
+        same = F.lit(True)
+        for n in names:
+            same = same & out[n].eqNullSafe(sums[f"{via}__group_{n}"])
+        return out.join(sums, same, "left").drop(*[f"{via}__group_{n}" for n in names])
+
     def query(self, q: CubeQuery, tables: Mapping[str, DataFrame]) -> DataFrame:
         base, df = self.source(q, tables)
         for f in q.filters:
@@ -325,14 +345,24 @@ class CubeSet:
                     raise ValueError(td.granularity)
                 group.append(F.date_trunc(td.granularity, ts).cast("timestamp_ntz")
                              .alias(out_name(td.member, td.granularity)))
-        aggs = []
+        aggs, key_first = [], {}
         for member in q.measures:
             cube, via = self._resolve(base, member)
             m = cube.measure(_split(member)[1])
             col = None if m.sql is None else F.col(m.sql if via is None else f"{via}__{m.sql}")
             expr = measure_expr(m, col, self.exact_scale) if via is None else joined_measure(cube, m, col, via)
-            aggs.append(expr.alias(out_name(member)))
+            if expr is None:
+                key_first.setdefault(via, []).append((cube, m, member))
+            else:
+                aggs.append(expr.alias(out_name(member)))
+        if key_first and not group:  # one row: a constant group to join its parts on
+            group = [F.lit(0).alias("__all")]
         out = df.groupBy(*group).agg(*aggs) if aggs else df.select(*group).distinct()
+        for via, found in key_first.items():
+            out = self._with_key_first(out, df, group, q, via, found)
+        if key_first:
+            measures = [out_name(m) for m in q.measures]
+            out = out.select(*[c for c in out.columns if c not in (*measures, "__all")], *measures)
         if q.order:
             keys = [F.col(out_name(m)).desc_nulls_last() if d == "desc" else F.col(out_name(m)).asc_nulls_last()
                     for m, d in q.order]

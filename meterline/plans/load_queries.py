@@ -10,12 +10,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from meterline import bindings
-from meterline.oracle_sql import SUITE_MODELS, check_sql
+from meterline.oracle_sql import SUITE_MODELS, check_sql, xavg, xsum
+from meterline.plans.cube_defs import ALL_CUBES
+from meterline.plans.cube_queries import r, round_doubles
 from meterline.plans.job import metrics_frame, run_job
 from meterline.plans.registry import ORACLES, register
+from meterline.plans.rollups import PartitionedRollup, finalize
 from meterline.plans.trip_queries import wh
 from meterline.session import scratch_path
-from meterline.sources import files, incremental
+from meterline.sources import files, incremental, load_log
 from meterline.sources.sinks import Layer, copy_layer
 from meterline.operators import models
 from meterline.streaming.ingest import ingest_new_files, read_sink, stream_model
@@ -112,6 +115,47 @@ def q_incremental_fct_trips(spark, sf_dir):
     return incremental.read_model(spark, target, w.fct_trips().schema)
 
 
+@register("incremental_late_fct", oracle="SELECT * FROM fct_trips")
+def q_incremental_late_fct(spark, sf_dir):
+    """Two arrivals of trip files; the second holds trips before, at and after
+    the mark and trips without a time. The load log finds the months they touch, only
+    these are rebuilt, and the fact equals the full build. A third load finds nothing to do."""
+    w = wh(spark, sf_dir)
+    raw, ts = w.raw_trips(), F.col("tpep_pickup_datetime")
+    root = scratch_path(spark, "late_fct")
+    source, target, log = f"{root}/source", f"{root}/fct_taxi_trips", f"{root}/load_log"
+    first = (ts < F.lit(FCT_SPLIT).cast("timestamp_ntz")) & (F.second(ts) % 7 != 0)
+    part = ("pickup_year", "pickup_month")
+    for rows in (raw.where(first), raw.where(~first).unionByName(raw.where("PULocationID = 5").withColumn("tpep_pickup_datetime", F.lit(None).cast("timestamp_ntz"))), None):
+        if rows is not None:
+            rows.write.mode("append").parquet(source)
+        load_log.load_months(spark, source, raw.schema, _fct_builder(w), target, log, "tpep_pickup_datetime", part)
+    return incremental.read_model(spark, target, w.fct_trips().schema)
+
+
+@register("rollup_incremental", oracle=f"""
+SELECT payment_name AS TaxiTrips_paymentMethod, pickup_borough AS TaxiTrips_pickupBorough,
+       CAST(COUNT(*) AS BIGINT) AS TaxiTrips_tripCount, {r(xsum('total_amount'))} AS TaxiTrips_totalRevenueCharged,
+       {r(xsum('tip_amount'))} AS TaxiTrips_totalTips, {r(xavg('tip_amount'))} AS TaxiTrips_avgTipAmount
+FROM fct_trips GROUP BY 1, 2""")
+def q_rollup_incremental(spark, sf_dir):
+    """A rollup refreshed after each of three loads of the fact, in the
+    months that the load touched; the second refresh comes twice. Equals the rebuilt rollup."""
+    w = wh(spark, sf_dir)
+    raw, schema = w.raw_trips(), w.fct_trips().schema
+    root = scratch_path(spark, "rollup_incremental")
+    source, target, log, part = f"{root}/source", f"{root}/fct_taxi_trips", f"{root}/load_log", ("pickup_year", "pickup_month")
+    rollup = PartitionedRollup(spark, ALL_CUBES, "TaxiTrips", "paymentAnalysis", f"{root}/rollup", part)
+    arrival = F.when(F.col("tpep_pickup_datetime") < F.lit(FCT_SPLIT).cast("timestamp_ntz"), F.second("tpep_pickup_datetime") % 2).otherwise(2)
+    for i in range(3):
+        raw.where(arrival == i).write.mode("append").parquet(source)
+        done = load_log.load_months(spark, source, raw.schema, _fct_builder(w), target, log, "tpep_pickup_datetime", part)
+        tables = {"fct_taxi_trips": incremental.read_model(spark, target, schema)}
+        for _ in range(2 if i == 1 else 1):
+            rollup.refresh(done.batch, tables, done.months)
+    return round_doubles(finalize(rollup.table(), ALL_CUBES, "TaxiTrips", "paymentAnalysis"))
+
+
 @register("stream_fct_trips", oracle="SELECT * FROM fct_trips")
 def q_stream_fct_trips(spark, sf_dir):
     """Streaming incremental mart: raw trip files arrive in two drops; a file
