@@ -35,6 +35,9 @@ CODES = 10  # at cosine 0.93 ten codes find 0.997 of the pairs or more (dimensio
 COSINE = 0.93
 BLOCK = 512
 SECTIONS = 4
+SLACK = 1e-9
+#: Directions whose members are compared at once when shared ones are looked for.
+NAMES = 4096
 
 
 class ProductCode:
@@ -72,7 +75,8 @@ class ProductCode:
         for a, b in zip(one, two, strict=True):
             top_a, top_b = a.max(), b.max()
             want = min(self.least, top_a + top_b)
-            i, j = np.flatnonzero(a >= want - top_b), np.flatnonzero(b >= want - top_a)
+            # the sum decides; rounding must not drop a half of it before
+            i, j = np.flatnonzero(a >= want - top_b - SLACK), np.flatnonzero(b >= want - top_a - SLACK)
             u, v = np.nonzero(a[i][:, None] + b[j] >= want)
             out.append(np.sort(i[u] * len(b) + j[v]))
         return out
@@ -107,10 +111,13 @@ def _compare(group: dict, cosine: float) -> tuple[np.ndarray, np.ndarray, np.nda
         return (np.zeros(0, np.int64),) * 3
     # a pair that shares an earlier direction was counted there
     earlier = [f[:np.searchsorted(f, direction)] for f in group["all"]]
-    names, at = np.unique(np.concatenate(earlier), return_inverse=True)
-    if len(names):
-        has = np.zeros((len(x), len(names)), np.float32)
-        has[np.repeat(np.arange(len(x)), [len(e) for e in earlier]), at] = 1
+    _, at, times = np.unique(np.concatenate(earlier), return_inverse=True, return_counts=True)
+    member, twice = np.repeat(np.arange(len(x)), [len(e) for e in earlier]), np.cumsum(times > 1) - 1
+    member, at = member[times[at] > 1], twice[at[times[at] > 1]]
+    for lo in range(0, int((times > 1).sum()), NAMES):
+        mine = (at >= lo) & (at < lo + NAMES)
+        has = np.zeros((len(x), NAMES), np.float32)
+        has[member[mine], at[mine] - lo] = 1
         linked &= (has @ has.T) == 0
     places = np.flatnonzero(linked.any(1))
     links = linked @ np.asarray(group["copies"], np.int64)

@@ -85,3 +85,21 @@ def test_blocks_of_a_large_direction(spark):
 
 def test_empty(spark):
     assert spherical.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_vector_has_a_direction():
+    """The best direction counts whatever rounding does to its halves."""
+    for dim in (2, 3, 10, 64, 256):
+        x = spherical._unit(np.random.default_rng(dim).normal(size=(10_000 if dim < 200 else 2_000, dim)))
+        code = spherical.ProductCode(dim, spherical.CODEWORDS, 3, 0, spherical.DEPTH)
+        assert min(map(len, code.decode(x))) >= 1
+
+
+def test_shared_directions_in_parts(spark, monkeypatch):
+    """Links are counted once whatever number of directions is looked at together."""
+    x = np.random.default_rng(6).normal(size=(60, 8))
+    rows = [(i, (x[i // 6] + 0.02 * x[(i * 7) % 60]).tolist(), 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = sorted(map(str, spherical.near_vectors(df).collect()))
+    monkeypatch.setattr(spherical, "NAMES", 3)
+    assert sorted(map(str, spherical.near_vectors(df).collect())) == want
