@@ -11,8 +11,10 @@ insult next to a group mention, that are harmless on their own and that
 additive weights miss. It is computed as half of |sum v|^2 - sum |v|^2, so the
 cost is linear in the terms.
 
-The fit takes at most ``sample_rows`` labelled rows (those with the smallest
-hashed ids), the only sample; scoring reads every whole text."""
+The fit takes at most ``sample_rows`` labelled documents (those with the smallest
+hashed ids) with at most ``sample_bytes`` bytes of terms, the only sample, and runs
+in one task; only the machine reaches the driver. Scoring reads every
+whole text."""
 
 from __future__ import annotations
 
@@ -31,6 +33,7 @@ from meterline.llm.common import arrow_batches
 
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 12_000
+SAMPLE_BYTES = 96 << 20  # four bytes for each distinct term of a sampled text
 WORD = re.compile(r"[^\W_]+")
 PREFIXES = (4, 5, 6)
 CACHE_WORDS = 300_000
@@ -126,10 +129,11 @@ def _pair_screen(docs: list[np.ndarray], y: np.ndarray, least: float) -> np.ndar
     terms is left out before its other documents are counted; that bound is
     exact. Terms of the very same documents are counted as one."""
     n = len(y)
-    col = np.concatenate(docs).astype(np.int64)
-    row = np.repeat(np.arange(n), [len(d) for d in docs])
+    col = np.concatenate(docs).astype(np.int32)
     by_col = np.argsort(col, kind="stable")
-    col, row = col[by_col], row[by_col]
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(d) for d in docs])[by_col]
+    col = col[by_col]
+    del by_col
     at = np.flatnonzero(np.diff(col, prepend=-1))
     df = np.diff(np.append(at, len(col)))
     marks = np.random.default_rng(0).integers(0, 2 ** 63, n, np.uint64)
@@ -142,7 +146,7 @@ def _pair_screen(docs: list[np.ndarray], y: np.ndarray, least: float) -> np.ndar
     for label in (1, 0):
         mine = y == label
         rate = mine.mean()
-        side = np.add.reduceat(mine[row].astype(np.int64), at)
+        side = np.add.reduceat(mine[row].astype(np.int32), at).astype(np.int64)
         own = (side + rate) / (df + 1)
         own_logit = np.log(own / (1 - own)) - np.log(rate / (1 - rate))
         most = 2 * side * -np.log(np.maximum(own, rate))
@@ -188,7 +192,7 @@ def _pair_screen(docs: list[np.ndarray], y: np.ndarray, least: float) -> np.ndar
                     g = 2 * (x * np.log(x / (k * ek)) + np.where(b > 0, b * np.log(np.maximum(b, 1e-12) / (k * (1 - ek))), 0))
                     hit = o[(x > k * ek) & (g >= least)]
                     found[cand[i[hit]]] = found[cand[j[hit]]] = True
-    return col[at[np.isin(alike, alike[found])]]
+    return col[at[np.isin(alike, alike[found])]].astype(np.int64)
 
 
 def fit_rows(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, factors: int = 8, keep: int = 8192,
@@ -252,34 +256,54 @@ def hold_out(id_col: str = "doc_id", fold: int = 2, folds: int = 4) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS, **options) -> FactorizationMachine:
+        sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS, sample_bytes: int = SAMPLE_BYTES, **options) -> FactorizationMachine:
     """Fit from labelled documents outside the held-out fold.
 
-    At most ``sample_rows`` labelled ids (the smallest hashes) take part; their
-    list is small enough to broadcast, so no text is shuffled. Rows with a null
-    id or label are not used; contradicting labels of one id count as 1."""
+    At most ``sample_rows`` labelled ids (the smallest hashes) take part, and of
+    these, in that order, as many as have ``sample_bytes`` bytes of terms (one at least);
+    their list is small enough to broadcast, so no text is shuffled. Of the
+    texts of a repeated id the one with the smallest MD5 counts. Rows with a null id or label are not
+    used; contradicting labels of one id count as 1. The rows of the sample go
+    to one task, which fits; the driver receives the machine."""
     spark = docs.sparkSession
     arrow_batches(spark)
     chosen = (labels.where(~hold_out(id_col) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
               .groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
               .orderBy(F.xxhash64("__id"), "__id").limit(sample_rows))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text in batch.column("__text"):
                 got: set[int] = set()
-                for chunk in set((text.as_py() or "").split()):
+                for chunk in set(text.as_py().split()):
                     got.update(word_terms(chunk, buckets))
                 out.append(np.fromiter(sorted(got), np.int32, len(got)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__y"), pa.array(out, pa.binary())], ["id", "y", "terms"])
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__y"), batch.column("__key"), pa.array(out, pa.binary())], ["id", "y", "key", "terms"])
 
-    rows = (texts.join(F.broadcast(chosen), "__id").select("__id", "__y", "__text")
-            .mapInArrow(terms, f"id {docs.schema[id_col].dataType.simpleString()}, y int, terms binary").toArrow())
-    order = sorted(range(len(rows)), key=lambda i: (rows["id"][i].as_py(), rows["terms"][i].as_py()))
-    lists = [np.frombuffer(rows["terms"][i].as_py(), np.int32) for i in order]
-    return fit_rows(lists, np.array([rows["y"][i].as_py() for i in order], float), buckets, **options)
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, y, size = [], [], 0
+        for batch in batches:
+            for label, data in zip(batch.column("y").to_pylist(), batch.column("terms").to_pylist(), strict=True):
+                size += len(data)
+                if size <= sample_bytes or not lists:
+                    lists.append(np.frombuffer(data, np.int32))
+                    y.append(label)
+        machine = fit_rows(lists, np.array(y, float), buckets, **options)
+        arrays = [pa.array([a.tobytes()], pa.binary()) for a in (machine.terms, machine.weights, machine.factors)]
+        yield pa.RecordBatch.from_arrays([pa.array([machine.bias]), pa.array([machine.factors.shape[1]], pa.int32()), *arrays],
+                                         ["bias", "width", "terms", "weights", "factors"])
+
+    found = (texts.join(F.broadcast(chosen), "__id").select("__id", "__y", F.md5("__text").alias("__key"), "__text")
+             .mapInArrow(terms, f"id {docs.schema[id_col].dataType.simpleString()}, y int, key string, terms binary"))
+    one = found.groupBy("id").agg(F.min(F.struct("key", "y", "terms")).alias("row")).select("id", "row.y", "row.terms")
+    rows = one.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").select("y", "terms")
+    got = rows.mapInArrow(fitted, "bias double, width int, terms binary, weights binary, factors binary").first()
+    if got is None:
+        return fit_rows([], np.zeros(0), buckets, **options)
+    weights = np.frombuffer(got.weights)
+    return FactorizationMachine(got.bias, np.frombuffer(got.terms, np.int64), weights, np.frombuffer(got.factors).reshape(len(weights), got.width), buckets)
 
 
 def score(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text", score_col: str = "score") -> DataFrame:

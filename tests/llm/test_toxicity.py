@@ -107,3 +107,18 @@ def test_pair_screen_equals_all_pairs():
                     want |= {i, j}
     got = toxicity._pair_screen([np.flatnonzero(r).astype(np.int32) for r in x], y, 2.0)
     assert set(got.tolist()) == want and {3, 7} <= want
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    """An id that occurs thousands of times is one row, with the text of the least
+    MD5; terms beyond the bytes do not take part."""
+    docs = spark.createDataFrame([(i, f"calm words {i}" + (" you moron" if i % 2 else ""), "en", "s", 0) for i in range(40)], DOC)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    first = toxicity.fit(docs, labels)
+    assert len(first.terms)
+    again = spark.range(10_000).selectExpr("1L doc_id", "'calm words 1 you moron' text", "'en' lang", "'s' source", "0L n_chars")
+    for extra in (again, again.selectExpr("3L doc_id", "if(md5(text) < md5('calm words 3 you moron'), 'calm words 3 you moron', text) text", "lang", "source", "n_chars")):
+        many = toxicity.fit(docs.unionByName(extra), labels)
+        assert many.bias == first.bias and np.array_equal(many.weights, first.weights)
+    for options in ({"sample_bytes": 1}, {"sample_rows": 1}):
+        assert len(toxicity.fit(docs, labels, **options).terms) == 0  # a single row has one label only
