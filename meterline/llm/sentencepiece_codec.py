@@ -14,7 +14,8 @@ piece can end an admissible path at each position, and the path is the
 library's own result. Whether two pieces fit is found by undoing their merges.
 
 If no piece continues past a white-space mark inside it, every path has a
-boundary there, and the stretches between are remembered in a bounded memo."""
+boundary there, and at a line feed that no piece has; the stretches between go
+through the encoder one by one and are remembered in a bounded memo."""
 
 from __future__ import annotations
 
@@ -24,8 +25,10 @@ from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +38,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-MEMO = 1_000_000  # prefixes of words; about 250 bytes each
+MEMO = 300_000  # words, and pairs of pieces; about 250 bytes each
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -110,16 +113,22 @@ class Codec:
         self.unknown = next((i for i, k in enumerate(model.kinds) if k == UNKNOWN), 0)
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == BYTE}
         self.least = min((model.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
-        self.plain = [bytes([int(p[3:5], 16)]) if k == BYTE else b" \xe2\x81\x87 " if k == UNKNOWN else b"" if k == CONTROL else p.replace(MARK, " ").encode()
-                      for p, k in zip(model.pieces, model.kinds, strict=True)]
+        plain = [bytes([int(p[3:5], 16)]) if k == BYTE else b" \xe2\x81\x87 " if k == UNKNOWN else b"" if k == CONTROL else p.replace(MARK, " ").encode()
+                 for p, k in zip(model.pieces, model.kinds, strict=True)]
+        self.plain = pa.array(plain, pa.large_binary())
         self.split = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
         # place of each piece in the order of merging; single characters are there from the start
         order = {s: i for i, s in enumerate(sorted({model.scores[i] for i in self.ids.values()}, reverse=True), 1)}
         self.rank = {p: order[model.scores[i]] if len(p) > 1 else 0 for p, i in self.ids.items()}
         self.halves: dict[str, tuple[str, str] | None] = {}
-        self.packed = {p: struct.pack("<i", i) for p, i in self.ids.items()}
-        self.states: dict[str, tuple[str, bytes]] = {"": ("", b"")}
+        self.automaton = ahocorasick.Automaton()
+        for p in self.ids:
+            self.automaton.add_word(p, p)
+        self.automaton.make_automaton()
+        # between marks, and between line feeds if no piece has one, the lattice is cut
+        feed = "" if any("\n" in p for p in self.ids) else "\n"
+        self.stretch = re.compile(f"{MARK}+[^{MARK}{feed}]*|[^{MARK}{feed}]+" + (f"|{feed}+" if feed else ""))
         self.memo: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.most = memo
@@ -168,10 +177,12 @@ class Codec:
         """The pieces of ``text``, committed as soon as they are certain.
 
         A character outside the vocabulary is a piece of its own."""
-        bpe, ids, scores, longest, prefixes, fits = self.model.type == BPE, self.ids, self.model.scores, self.longest, self.prefixes, self.fits
+        if self.model.type == BPE:
+            yield from self._bpe_paths(text)
+            return
+        ids, scores, longest, prefixes = self.ids, self.model.scores, self.longest, self.prefixes
         base = 0  # committed up to here; the lists below are relative to it
         back: list[int | None] = [-1]  # start of the piece that ends at each position
-        last: list[str] = [""]  # that piece; before the first one, nothing
         score: list[float] = [0.0]
         n = len(text)
         for start in range(n):
@@ -180,11 +191,11 @@ class Codec:
                 if boundary > base:
                     yield from self._pieces(text, back, base, boundary)
                     cut = boundary - base
-                    back, last, score, base = back[cut:], last[cut:], score[cut:], boundary
+                    back, score, base = back[cut:], score[cut:], boundary
             here = start - base
             if back[here] is None:
                 continue
-            before, so_far = last[here], score[here]
+            so_far = score[here]
             for end in range(start + 1, min(n, start + longest) + 1):
                 p = text[start:end]
                 got = ids.get(p)
@@ -195,45 +206,47 @@ class Codec:
                 at = end - base
                 while len(back) <= at:
                     back.append(None)
-                    last.append("")
                     score.append(-float("inf"))
-                if bpe:
-                    if got is None or fits(before, p):
-                        back[at], last[at] = start, p
-                else:
-                    s = so_far + (scores[got] if got is not None else self.least)
-                    if s > score[at]:
-                        back[at], score[at] = start, s
+                s = so_far + (scores[got] if got is not None else self.least)
+                if s > score[at]:
+                    back[at], score[at] = start, s
         if n > base:
             yield from self._pieces(text, back, base, n)
 
-    def _window(self, text: str) -> bytes:
-        """The ids of a BPE text that fits into one window. The one piece that can
-        end at a position depends on the text before it only, so positions are
-        remembered by prefix: (last piece, ids). Longer pieces are tried first."""
-        states, rank, pairs, longest = self.states, self.rank, self.pairs, self.longest
-        if len(states) >= self.most:
-            states.clear()
-            states[""] = ("", b"")
-        known = len(text) - 1
-        while text[:known] not in states:
-            known -= 1
-        for end in range(known + 1, len(text) + 1):
-            start = end - longest if end > longest else 0
-            while True:
-                p = text[start:end]
-                if p in rank or end - start == 1:
-                    before = states[text[:start]]
-                    key = (before[0], p)
-                    ok = pairs.get(key)
-                    if ok is None:
-                        ok = p not in rank or self.fits(*key)
-                    if ok:
-                        break
-                start += 1
-            got = self.packed.get(p)
-            states[text[:end]] = (p, before[1] + (self._numbers([p]) if got is None else got))
-        return states[text][1]
+    def _bpe_paths(self, text: str) -> Iterator[str]:
+        """``paths`` of a BPE model: the automaton names the pieces that end at each
+        character, and the one that fits its predecessor becomes the back pointer.
+        A piece that ends later starts at most ``longest`` characters back."""
+        pairs, fits, longest = self.pairs, self.fits, self.longest
+        base = done = 0  # committed and settled up to here; the lists below are relative to base
+        back: list[int] = [-1]
+        last: list[str] = [""]
+        for e, p in self.automaton.iter(text):
+            if e < done:
+                continue  # settled by another piece
+            while done < e:  # a character that ends no piece stands alone
+                back.append(done)
+                last.append(text[done])
+                done += 1
+            start = e + 1 - len(p)
+            key = (last[start - base], p)
+            ok = pairs.get(key)
+            if ok is None:
+                ok = fits(*key)
+            if ok:
+                back.append(start)
+                last.append(p)
+                done = e + 1
+                if done - base >= 4 * longest:
+                    boundary = self._meet(back, base, done + 1 - longest)
+                    if boundary > base:
+                        yield from self._pieces(text, back, base, boundary)
+                        back, last, base = back[boundary - base:], last[boundary - base:], boundary
+        while done < len(text):
+            back.append(done)
+            done += 1
+        if done > base:
+            yield from self._pieces(text, back, base, done)
 
     @staticmethod
     def _pieces(text: str, back: list, base: int, end: int) -> list[str]:
@@ -283,15 +296,8 @@ class Codec:
             return np.zeros(0, np.int32)
         if not self.split:
             return np.frombuffer(self._numbers(self.paths(text)), "<i4")
-        out = []
-        if self.model.type == BPE and self.model.byte_fallback:
-            states, short = self.states, 4 * self.longest
-            for part in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text):
-                got = states.get(part)
-                out.append(got[1] if got is not None else self._window(part) if len(part) <= short else self._numbers(self.paths(part)))
-            return np.frombuffer(b"".join(out), "<i4")
-        memo = self.memo
-        for part in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text):
+        out, memo = [], self.memo
+        for part in self.stretch.findall(text):
             got = memo.get(part)
             if got is None:
                 got = self._numbers(self.paths(part))
@@ -309,11 +315,17 @@ class Codec:
         return ids
 
     def decode(self, ids: np.ndarray) -> str:
-        plain = self.plain
-        data = b"".join([plain[i] for i in ids.tolist()])
-        if self.model.dummy_prefix and data[:1] == b" ":
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+        return self.decode_all(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The texts of a batch of id lists; null lists are empty texts."""
+        pieces = self.plain.take(ids.flatten())
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        ends = np.r_[0, np.cumsum(pc.binary_length(pieces).to_numpy())][np.r_[0, np.cumsum(sizes)]]
+        data = pieces.buffers()[2].to_pybytes() if len(pieces) else b""
+        skip = b" " if self.model.dummy_prefix else b"\0"
+        texts = [data[a + (b > a and data[a:a + 1] == skip):b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
 
 
 # --- Spark ----------------------------------------------------------------
@@ -353,7 +365,6 @@ def decode(coded: DataFrame, model_path: str, ids_col: str = "ids", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(Model.parse(data.value))
         for batch in batches:
-            texts = [codec.decode(np.asarray(x.values)) if x.is_valid else "" for x in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, codec.decode_all(batch.column(place))], schema.names)
 
     return coded.mapInArrow(run, schema)
