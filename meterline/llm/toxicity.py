@@ -39,6 +39,7 @@ PREFIXES = (4, 5, 6)
 CACHE_WORDS = 300_000
 PAIR_BLOCK = 1024  # terms counted against each other at once
 FIT_ROWS = 1024  # rows of the fit held unpacked at once
+TERM_CHUNK = 1 << 12  # terms whose documents are summed up at once
 PAIR_CHUNK = 1 << 15  # pairs whose documents are intersected at once
 
 
@@ -129,15 +130,22 @@ def _pair_screen(docs: list[np.ndarray], y: np.ndarray, least: float) -> np.ndar
     terms is left out before its other documents are counted; that bound is
     exact. Terms of the very same documents are counted as one."""
     n = len(y)
-    col = np.concatenate(docs).astype(np.int32)
-    by_col = np.argsort(col, kind="stable")
-    row = np.repeat(np.arange(n, dtype=np.int32), [len(d) for d in docs])[by_col]
-    col = col[by_col]
-    del by_col
-    at = np.flatnonzero(np.diff(col, prepend=-1))
+    entries = np.concatenate(docs).astype(np.int64) << 32  # (term, document) in one number, sorted in place
+    entries |= np.repeat(np.arange(n, dtype=np.int32), [len(d) for d in docs])
+    entries.sort()
+    row = entries.astype(np.int32)  # the low half
+    entries >>= 32
+    col = entries.astype(np.int32)
+    del entries
+    at = np.flatnonzero(col[1:] != col[:-1]) + 1
+    at = np.concatenate([[0], at]) if len(col) else at
     df = np.diff(np.append(at, len(col)))
     marks = np.random.default_rng(0).integers(0, 2 ** 63, n, np.uint64)
-    one, alike = np.unique(np.add.reduceat(marks[row], at), return_index=True, return_inverse=True)[1:]
+    sums = [np.add.reduceat(marks[row[at[lo]:at[lo:lo + TERM_CHUNK][-1] + df[lo:lo + TERM_CHUNK][-1]]], at[lo:lo + TERM_CHUNK] - at[lo])
+            for lo in range(0, len(at), TERM_CHUNK)]
+    if not sums:
+        return np.zeros(0, np.int64)
+    one, alike = np.unique(np.concatenate(sums), return_index=True, return_inverse=True)[1:]
     one = one[df[one] >= 3]
     if len(one) < 2:
         return np.zeros(0, np.int64)
