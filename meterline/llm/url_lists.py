@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from meterline.llm.common import maybe_broadcast, written
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
-HOST_CHARS = 253  # longest host name that DNS allows; a longer one has no parent domains
 
 
 def host_of(url: Column) -> Column:
@@ -31,11 +30,11 @@ def url_key(url: Column) -> Column:
     return F.regexp_replace(url, "#.*$", "")
 
 
-def domains_of(host: Column) -> Column:
-    """The host and its parent domains, the host first."""
+def domains_of(host: Column, most: int) -> Column:
+    """The host and its parent domains of at most ``most`` labels."""
     labels = F.split(host, r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    return F.when(F.length(host) <= HOST_CHARS, parents).otherwise(F.array(host))
+    sizes = F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most)))
+    return F.transform(sizes, lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
 
 
 def validity_intervals(events: DataFrame) -> DataFrame:
@@ -71,7 +70,9 @@ def filter_captures(captures: DataFrame, events: DataFrame, url_col: str = "url"
     rows = captures.select(*kept, host_of(F.col(url_col)).alias("__host"), url_key(F.col(url_col)).alias("__url"), day.alias("__day"))
     hosts = rows.where("__host is not null and __day is not null").groupBy("__host", "__day").agg(F.first(F.lit(1)).alias("one"))
     urls = rows.where("__url is not null and __day is not null").groupBy("__url", "__day").agg(F.first(F.lit(1)).alias("one"))
-    asked = (hosts.select(F.lit("domain").alias("kind"), F.col("__host").alias("asked"), F.explode(domains_of(F.col("__host"))).alias("pattern"), "__day")
+    # no pattern covers a domain of more labels than the longest pattern has
+    most = events.where("kind = 'domain'").agg(F.max(F.size(F.split("pattern", r"\.")))).first()[0] or 1
+    asked = (hosts.select(F.lit("domain").alias("kind"), F.col("__host").alias("asked"), F.explode(domains_of(F.col("__host"), max(1, most))).alias("pattern"), "__day")
              .unionByName(urls.select(F.lit("url").alias("kind"), F.col("__url").alias("asked"), F.col("__url").alias("pattern"), "__day")))
     lists = validity_intervals(events)
     active = asked.join(lists, ["kind", "pattern"]).where((F.col("valid_from") <= F.col("__day")) & (F.col("valid_to").isNull() | (F.col("__day") < F.col("valid_to"))))
