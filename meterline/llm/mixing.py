@@ -159,7 +159,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, halves: int = 3, mo
     a, b = F.greatest(F.col("start"), F.col("block") * block_words), F.least(F.col("end"), (F.col("block") + 1) * block_words)
     pieces = pieces.select("src", "block", "row", (a - F.col("start")).alias("first_word"), (b - a).alias("words"))
     slots = _slots(sources, total, shard_slots, seed, parts)
-    spans = slots.join(pieces, ["src", "block"]).select("shard", "slot", "row", "first_word", "words")
+    # Spark cannot foresee how many rows a generated table has: a hint keeps it from being broadcast
+    spans = slots.hint("merge").join(pieces, ["src", "block"]).select("shard", "slot", "row", "first_word", "words")
     return Mix(documents, sources.select("src", "source", "source_size", "target", "blocks", "slots"), spans, slots)
 
 
