@@ -59,12 +59,11 @@ def terms_of(data: bytes) -> Counter:
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    docs: dict[str, Counter] = defaultdict(Counter)
+    docs: dict[tuple[str, str], Counter] = defaultdict(Counter)
     entries = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        rows = [(lang, source, term, n, 0) for (lang, source), c in counts.items() for term, n in c.items()]
-        rows += [(lang, None, term, 0, n) for lang, c in docs.items() for term, n in c.items()]
+        rows = [(*group, term, n, docs[group][term]) for group, c in counts.items() for term, n in c.items()]
         counts.clear()
         docs.clear()
         for i in range(0, len(rows), 50_000):
@@ -82,7 +81,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             group.update(found)
             group[b""] += 0  # a group without terms occurs too
             entries += len(group)
-            docs[lang].update(found.keys())
+            docs[lang, source].update(found.keys())
             if entries > ENTRIES:
                 yield from flush()
                 entries = 0
@@ -90,8 +89,8 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n) with the group's occurrences, and with a null
-    source (lang, term, docs); the empty term marks the groups that occur.
+    """(lang, source, term, n, docs): the occurrences in each group and the
+    documents that have the term; the empty term marks the groups that occur.
     Null text, lang and source count as empty ones."""
     arrow_batches(docs.sparkSession)
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
@@ -199,15 +198,16 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS) -
     without kept terms); a language's only source has none. Ties go by the item in UTF-8
     order. An empty table gives an empty result. Long texts are counted whole, piece by piece."""
     found = written(term_counts(docs), "audit_counts")
-    frequent = found.where((F.col("docs") >= least_docs) & F.col("source").isNull()).select("lang", "term")
-    used = written(found.where("source is not null and term <> ''").select("lang", "source", "term", "n").join(frequent, ["lang", "term"]), "audit_kept")
+    real = found.where("term <> ''")
+    frequent = real.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).select("lang", "term")
+    used = written(real.select("lang", "source", "term", "n").join(frequent, ["lang", "term"]), "audit_kept")
     by_lang = written(used.groupBy("lang", "term").agg(F.sum("n").alias("n")), "audit_terms")
     terms = numbered(by_lang, ["lang"], [F.col("lang"), F.col("n").desc(), F.col("term")], "number", "audit_order")
     langs = written(by_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("n").alias("lang_total")), "audit_langs")
     langs = maybe_broadcast(langs, langs.count(), 64)
     terms = terms.join(langs, "lang").select("lang", "term", "number", price(F.col("n"), F.col("lang_total"), F.col("kept")).alias("q"))
 
-    seen = found.where("source is not null and term = ''").select("lang", "source")
+    seen = found.where("term = ''").select("lang", "source")
     groups = numbered(seen, ["lang"], [F.col("lang"), F.col("source")], "grp", "audit_groups")
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").select(
