@@ -314,12 +314,10 @@ class CubeSet:
         keys = [f"{via}__{d.sql}" for d in cube.dimensions if d.primary_key]
         columns = sorted({f"{via}__{m.sql}" for _, m, _ in found})
         rows = df.where(F.col(keys[0]).isNotNull()).groupBy(*group, *keys).agg(*[F.max(c).alias(f"{c}__value") for c in columns])
-        sums = rows.groupBy(*[F.col(n).alias(f"{via}__group_{n}") for n in names]).agg(
-            *[measure_expr(m, F.col(f"{via}__{m.sql}__value"), self.exact_scale).alias(out_name(member)) for _, m, member in found])
-        same = F.lit(True)
-        for n in names:
-            same = same & out[n].eqNullSafe(sums[f"{via}__group_{n}"])
-        return out.join(sums, same, "left").drop(*[f"{via}__group_{n}" for n in names])
+        sums = rows.groupBy(*names).agg(*[measure_expr(m, F.col(f"{via}__{m.sql}__value"), self.exact_scale).alias(out_name(member)) for _, m, member in found])
+        # a group has one row here and one there: laid on top of each other, without a join
+        both = out.unionByName(sums, allowMissingColumns=True)
+        return both.groupBy(*names).agg(*[F.max(c).alias(c) for c in both.columns if c not in names])
 
     def query(self, q: CubeQuery, tables: Mapping[str, DataFrame]) -> DataFrame:
         base, df = self.source(q, tables)

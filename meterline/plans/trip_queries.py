@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from meterline import bindings
 from meterline.functions.columns import round_to
 from meterline.oracle_sql import r, xavg
-from meterline.operators import geo_models, models, profile, timeseries, topk
+from meterline.operators import geo_models, models, profile, reconcile, timeseries, topk
 from meterline.plans.registry import register
 from meterline.plans.warehouse import TripWarehouse
 from meterline.session import apply_defaults
@@ -358,3 +358,20 @@ FROM daily""")
 def q_rolling_revenue(spark, sf_dir):
     out = timeseries.rolling_revenue(bindings.orders_fact(spark, sf_dir), amount="revenue")
     return out.withColumn("daily_revenue", F.col("daily_revenue").cast("decimal(38,2)"))
+
+
+@register("reconcile_rows", oracle="""
+WITH prod AS (SELECT order_id, customer_id, order_date, revenue + CASE WHEN order_id % 997 = 0 THEN 1 ELSE 0 END AS revenue FROM orders_fact WHERE order_id % 1009 <> 0
+              UNION ALL SELECT -order_id, customer_id, order_date, revenue FROM orders_fact WHERE order_id % 1013 = 0)
+SELECT coalesce(d.order_id, p.order_id) AS order_id,
+       CASE WHEN p.order_id IS NULL THEN 'missing' WHEN d.order_id IS NULL THEN 'extra' ELSE 'changed' END AS status,
+       CAST(CASE WHEN d.order_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS left_rows, CAST(CASE WHEN p.order_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS right_rows
+FROM orders_fact d FULL JOIN prod p ON d.order_id = p.order_id WHERE d.revenue IS DISTINCT FROM p.revenue""")
+def q_reconcile_rows(spark, sf_dir):
+    """Which orders differ between two layers; the second one is the first with
+    some orders changed, left out and added."""
+    dev = bindings.orders_fact(spark, sf_dir)
+    n = F.col("order_id")
+    changed = dev.where(n % 1009 != 0).withColumn("revenue", (F.col("revenue") + F.when(n % 997 == 0, 1).otherwise(0)).cast("decimal(12,2)"))
+    prod = changed.unionByName(dev.where(n % 1013 == 0).withColumn("order_id", -n))
+    return reconcile.differing_keys(dev, prod, ["order_id"])
