@@ -1,8 +1,9 @@
 """Near-duplicate documents by a signature-coordinate inverted join.
 
 1. Every document gets its set of five-word shingles and a MinHash signature
-   of ``coordinates`` values. Documents with equal sets form one class,
-   represented by the smallest id.
+   of ``coordinates`` values. Rows with equal sets form one class, which gets a
+   number; the classes are the nodes of all that follows, so that different
+   texts of one id stay apart.
 2. Representatives are posted under their (coordinate, value) pairs. A pair of
    documents is of interest if it collides in at least ``matches``
    coordinates. Ordered by posting-list length, two such documents share one
@@ -47,8 +48,8 @@ BLOCK = 256
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, coordinates: int, width: int, seed: int) -> DataFrame:
-    """(id, n, set_key, sig) of every row; set_key and sig are null for texts
-    without words."""
+    """(id, text_key, n, set_key, sig) of every row; set_key and sig are null for
+    texts without words."""
     mul, add = draw_coordinates(coordinates, seed)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -61,10 +62,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, coordinates: int, wi
                 key.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sig.append(signature(s, mul, add).astype(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.list_(pa.int64()))], ["id", "n", "set_key", "sig"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.list_(pa.int64()))],
+                ["id", "text_key", "n", "set_key", "sig"])
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").cast("binary")).mapInArrow(
-        sign, f"id {kind}, n long, set_key binary, sig array<long>")
+    text = F.col(text_col).cast("string").cast("binary")
+    return docs.select(F.col(id_col), text, F.xxhash64(text)).mapInArrow(sign, f"id {kind}, text_key long, n long, set_key binary, sig array<long>")
 
 
 def prefix_postings(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -82,18 +84,25 @@ def prefix_postings(reps: DataFrame, coordinates: int, matches: int) -> DataFram
 
 
 def set_table(docs: DataFrame, active: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(rep, sig, items) of the active representatives; items: their shingle
-    hashes as bytes."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    """(rep, n, sig, items) of the active classes, once each; items: their shingle
+    hashes as bytes, taken from the class's first row. A row that only shares
+    the id and the text's hash with it is known by its set and left out."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [shingle_set(t.as_py() or b"", width).tobytes() for t in batch.column("t")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), batch.column("n"), batch.column("sig"), pa.array(items, pa.binary())], ["rep", "n", "sig", "items"])
+            items, mine = [], []
+            for i, (t, key) in enumerate(zip(batch.column("t"), batch.column("set_key"), strict=True)):
+                data = shingle_set(t.as_py() or b"", width).tobytes()
+                if xxhash.xxh3_128_digest(data) == key.as_py():
+                    items.append(data)
+                    mine.append(i)
+            at = pa.array(mine, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("rep", "n", "sig")), pa.array(items, pa.binary())], ["rep", "n", "sig", "items"])
 
-    texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").cast("binary").alias("t"))
-    return texts.join(active, "rep").mapInArrow(sets, f"rep {kind}, n long, sig array<long>, items binary").dropDuplicates(["rep", "n"])
+    text = F.col(text_col).cast("string").cast("binary")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("t"))
+    return texts.join(active, ["id", "text_key"]).select("rep", "n", "sig", "set_key", "t").mapInArrow(
+        sets, "rep long, n long, sig array<long>, items binary").dropDuplicates(["rep"])
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -262,20 +271,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, n_shingles, component_id, kept.
 
     Rows link when 100 * |A & B| >= percent * |A | B| on their shingle sets;
-    component_id is the smallest id reachable, kept says id = component_id.
-    Null or wordless texts have an empty set and link with nothing. Rows of one
-    id count as one document. A row with a null id takes its class's component
-    and is never kept. An empty table gives an empty result; other columns are
-    ignored."""
+    component_id is the smallest id among the rows reachable, kept says id =
+    component_id. Null or wordless texts have an empty set and link with nothing.
+    Every row is a document of its own: an equal id alone links nothing, and
+    rows of one id with different texts may lie in different components. A row
+    with a null id takes its class's component and is never kept; it links no
+    others. An empty table gives an empty result; other columns are ignored."""
     spark = docs.sparkSession
     arrow_batches(spark)
     signed = written(signatures(docs, id_col, text_col, coordinates, width, seed), "signatures")
-    classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("sig").alias("sig"))
-    reps = written(classes.where("rep is not null"), "classes")
+    first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_key"))).alias("first")
+    classes = signed.where("set_key is not null").groupBy("set_key").agg(first, F.min("n").alias("n"), F.min("sig").alias("sig")).where("first is not null")
+    # numbers of the classes: fixed once they are written
+    reps = written(classes.select(F.monotonically_increasing_id().alias("rep"), "first.id", "first.text_key", "set_key", "n", "sig"), "classes")
     postings = written(prefix_postings(reps, coordinates, matches), "prefix")
-    active = reps.select("rep", "n", "sig").join(postings.select("rep").distinct(), "rep", "left_semi")
+    active = reps.join(postings.select("rep").distinct(), "rep", "left_semi")
     sets = written(set_table(docs, active, id_col, text_col, width), "sets")
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,13 +294,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 x = np.frombuffer(data.as_buffer(), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([rep.as_py()] * len(x), batch.column("rep").type), pa.array(x)], ["rep", "item"])
 
-    owners = sets.select("rep", "items").mapInArrow(items, f"rep {kind}, item long").groupBy("item").agg(
+    owners = sets.select("rep", "items").mapInArrow(items, "rep long, item long").groupBy("item").agg(
         F.count(F.lit(1)).alias("k"), F.min("rep").alias("rep"))
     unique = owners.where("k = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
     facts = sets.groupBy("rep").agg(F.max("n").alias("n")).join(unique, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c"))
     labels = link_components(postings, facts, sets, matches, percent)
-    rooted = reps.select("set_key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "set_key", F.coalesce("root", "rep").alias("root"))
+    nodes = reps.select("set_key", "id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "set_key", "id", F.coalesce("root", "rep").alias("root"))
+    least = nodes.groupBy("root").agg(F.min("id").alias("component"))
+    rooted = nodes.select("set_key", "root").join(least, "root").select("set_key", "component")
     return signed.select("id", "n", "set_key").join(rooted, "set_key", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"),
-        F.coalesce(F.coalesce("root", "id") == F.col("id"), F.lit(False)).alias("kept"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
+        F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(False)).alias("kept"))

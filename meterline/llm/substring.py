@@ -20,7 +20,10 @@ Spark rounds:
 3. Repeats are brought back to their documents, whose covered words go.
 
 Documents with equal word sequences are settled first: all but the smallest
-lose every word (if they hold a window at all)."""
+lose every word (if they hold a window at all).
+
+A row is known by its id and a 64-bit hash of its text, so that different texts
+of one id keep their own windows; rows equal in both are one document."""
 
 from __future__ import annotations
 
@@ -30,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,7 +164,7 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def find_anchors(docs: DataFrame, kind: str, window: int, caps: tuple[int, ...]) -> DataFrame:
-    """(id, words_key, keys, starts) per document with a window: its distinct
+    """(id, text_key, words_key, keys, starts) per document with a window: its distinct
     anchor keys and the places of each."""
 
     def run(batches):
@@ -179,15 +182,15 @@ def find_anchors(docs: DataFrame, kind: str, window: int, caps: tuple[int, ...])
             places = pa.ListArray.from_arrays(pa.array(np.r_[head, len(order)].astype(np.int32)), pa.array((start - got.cut[doc]).astype(np.int32)))
             outer = pa.array(np.r_[np.searchsorted(doc[head], rows, side="left"), len(head)].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__id").take(pa.array(rows)), pa.array(whole, pa.binary()),
+                [batch.column("__id").take(pa.array(rows)), batch.column("__key").take(pa.array(rows)), pa.array(whole, pa.binary()),
                  pa.ListArray.from_arrays(outer, pa.array(key[head].view(np.int64))), pa.ListArray.from_arrays(outer, places)],
-                ["id", "words_key", "keys", "starts"])
+                ["id", "text_key", "words_key", "keys", "starts"])
 
-    return docs.where("__id is not null").mapInArrow(run, f"id {kind}, words_key binary, keys array<long>, starts array<array<int>>")
+    return docs.where("__id is not null").mapInArrow(run, f"id {kind}, text_key long, words_key binary, keys array<long>, starts array<array<int>>")
 
 
 def shared_windows(texts: DataFrame, kind: str, window: int, caps: tuple[int, ...]) -> DataFrame:
-    """(h, g, id, needy, starts): the distinct windows with a shared anchor, from
+    """(h, g, id, text_key, needy, starts): the distinct windows with a shared anchor, from
     rows that carry the starts of their shared anchors; needy if a smaller
     document has the anchor."""
 
@@ -212,39 +215,47 @@ def shared_windows(texts: DataFrame, kind: str, window: int, caps: tuple[int, ..
             one = order[head]
             starts = pa.ListArray.from_arrays(pa.array(np.r_[head, len(order)].astype(np.int32)), pa.array((p - got.cut[doc])[order].astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[one].view(np.int64)), pa.array(g[one].view(np.int32)), batch.column("__id").take(pa.array(doc[one])), pa.array(mine[one] == 2), starts],
-                ["h", "g", "id", "needy", "starts"])
+                [pa.array(h[one].view(np.int64)), pa.array(g[one].view(np.int32)), batch.column("__id").take(pa.array(doc[one])),
+                 batch.column("__key").take(pa.array(doc[one])), pa.array(mine[one] == 2), starts],
+                ["h", "g", "id", "text_key", "needy", "starts"])
 
-    return texts.select("__id", "__text", "starts", "late").mapInArrow(run, f"h long, g int, id {kind}, needy boolean, starts array<int>")
+    return texts.select("__id", "__key", "__text", "starts", "late").mapInArrow(run, f"h long, g int, id {kind}, text_key long, needy boolean, starts array<int>")
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, caps: tuple[int, ...] = CAPS) -> DataFrame:
-    """(id, starts, whole): for every document that repeats something of a
+    """(id, text_key, starts, whole): for every document that repeats something of a
     smaller one, the first words of its repeated windows; whole marks documents
     equal to a smaller one, all of whose words are covered."""
     if 2 * margin(caps) + 2 * max(caps) > window:
         raise ValueError("the caps leave no symbol that every window is sure to contain")
     arrow_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").cast("binary").alias("__text"))
+    texts, mine = docs.select(F.col(id_col).alias("__id"), *_text_columns(text_col)), ["id", "text_key"]
     found = written(find_anchors(texts, kind, window, caps), "anchors")
     classes = found.groupBy("words_key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("words_key", "rep")
-    copies = written(found.select("id", "words_key").join(classes, "words_key").where("id > rep").select("id"), "copies")
+    copies = written(found.select(*mine, "words_key").join(classes, "words_key").where("id > rep").select(*mine).distinct(), "copies")
     n_copies = copies.count()
-    own = found.select("id", "keys", "starts").join(maybe_broadcast(copies, n_copies, 16), "id", "left_anti")
-    anchors = own.select("id", F.explode(F.arrays_zip("keys", "starts")).alias("a")).select("id", F.col("a.keys").alias("key"), F.col("a.starts").alias("places"))
+    own = found.select(*mine, "keys", "starts").join(maybe_broadcast(copies, n_copies, 24), mine, "left_anti")
+    anchors = own.select(*mine, F.explode(F.arrays_zip("keys", "starts")).alias("a")).select(*mine, F.col("a.keys").alias("key"), F.col("a.starts").alias("places"))
     shared = written(anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("key", "least"), "shared_keys")
     late = F.transform("places", lambda s: F.struct(s.alias("start"), (F.col("id") > F.col("least")).alias("late")))
-    marked = anchors.join(shared, "key").groupBy("id").agg(F.flatten(F.collect_list(late)).alias("m")).select(
-        F.col("id").alias("__id"), F.col("m.start").alias("starts"), F.col("m.late").alias("late"))  # a document's own anchors
+    # sets, not lists: a row that occurs a million times brings its anchors once
+    marked = anchors.join(shared, "key").groupBy(*mine).agg(F.flatten(F.collect_set(late)).alias("m")).select(
+        F.col("id").alias("__id"), F.col("text_key").alias("__key"), F.col("m.start").alias("starts"), F.col("m.late").alias("late"))  # a document's own anchors
     marked = written(marked, "shared_anchors")
     held = marked.agg(F.count(F.lit(1)), F.sum(F.size("starts"))).first()
-    with_text = texts.join(maybe_broadcast(marked, 1, 48 * held[0] + 5 * (held[1] or 0)), "__id")
+    with_text = texts.join(maybe_broadcast(marked, 1, 56 * held[0] + 5 * (held[1] or 0)), ["__id", "__key"])
     windows = written(shared_windows(with_text, kind, window, caps), "windows")
     first = written(windows.groupBy("h", "g").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("h", "g", "least"), "first_seen")
     hits = windows.where("needy").join(first, ["h", "g"]).where("id > least")
-    part = hits.groupBy("id").agg(F.flatten(F.collect_list("starts")).alias("starts")).withColumn("whole", F.lit(False))
-    return part.unionByName(copies.select("id", F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole")).distinct())
+    part = hits.groupBy(*mine).agg(F.flatten(F.collect_set("starts")).alias("starts")).withColumn("whole", F.lit(False))
+    return part.unionByName(copies.select(*mine, F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole")))
+
+
+def _text_columns(text_col: str) -> list[Column]:
+    """The text's bytes and their 64-bit hash."""
+    text = F.col(text_col).cast("string").cast("binary")
+    return [text.alias("__text"), F.xxhash64(text).alias("__key")]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, caps: tuple[int, ...] = CAPS) -> DataFrame:
@@ -255,15 +266,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``window`` consecutive words that covers it also starts in a document with
     a smaller id. Null texts have no words; rows with a null id neither lose
     words nor count as a place of first occurrence; rows of one id never take
-    words from each other, but each loses what any of them repeats from a smaller
-    id at the same place. All columns pass through (old columns of the new
+    words from each other, and each text of an id loses what it itself repeats
+    from a smaller id. All columns pass through (old columns of the new
     names are replaced); an empty table gives an empty result."""
     repeats = written(repeated_windows(docs, id_col, text_col, window, caps), "repeats")
     held = repeats.agg(F.count(F.lit(1)), F.sum(F.size("starts"))).first()
-    repeats = maybe_broadcast(repeats.select(F.col("id").alias("__id"), "starts", "whole"), 1, 48 * held[0] + 4 * (held[1] or 0))
+    repeats = maybe_broadcast(repeats.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), "starts", "whole"), 1, 56 * held[0] + 4 * (held[1] or 0))
     columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    rows = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(columns)], F.col(id_col).alias("__id"),
-                       F.col(text_col).cast("string").cast("binary").alias("__text"))
+    rows = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(columns)], F.col(id_col).alias("__id"), *_text_columns(text_col))
     schema = T.StructType([*[docs.schema[c] for c in columns], T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
 
@@ -292,5 +302,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [*(batch.column(f"__c{i}") for i in range(len(columns))), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
                 schema.names)
 
-    joined = rows.join(repeats, "__id", "left")
+    joined = rows.join(repeats, ["__id", "__key"], "left")
     return joined.select(*[f"__c{i}" for i in range(len(columns))], "__text", "starts", "whole").mapInArrow(run, schema)

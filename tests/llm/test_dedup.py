@@ -76,6 +76,61 @@ def test_remove_repeats(spark):
     assert sum(r.n_removed > 0 for r in got) > 5
 
 
+def several_texts_of_one_id() -> list[tuple]:
+    text = {k: [f"{k}{i}" for i in range(200)] for k in "abcdu"}
+    near = {k: " ".join([*text[k][:100], "changed", *text[k][101:]]) for k in "abcd"}
+    t = {k: " ".join(w) for k, w in text.items()}
+    ids = [(5, t["a"]), (5, t["b"]), (7, near["a"]), (8, near["b"]), (3, near["c"]), (5, t["c"]), (9, t["c"]), (2, t["d"]), (2, near["d"]), (2, t["d"]),
+           (1, " ".join(text["u"][:60])), (5, " ".join([*text["u"][:60], "and", "more"])), (5, " ".join(f"own{i}" for i in range(90))), (5, None), (5, ""), (None, near["b"]), (None, None)]
+    return [(i, t, "", "", 0) for i, t in ids]
+
+
+def test_near_duplicates_with_several_texts_of_one_id(spark):
+    """Every row is a document; the result does not depend on the rows' order."""
+    rows = several_texts_of_one_id()
+    sets = [shingles(r[1]) for r in rows]
+    parent = {i: i for i in range(len(rows))}
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if rows[i][0] is not None and rows[j][0] is not None and a and 100 * len(a & b) >= 75 * len(a | b):
+                union(parent, i, j)
+    part = {}
+    for i, r in enumerate(rows):
+        part.setdefault(find(parent, i), []).append(r[0])
+    want = [(r[0], len(sets[i]), min(part[find(parent, i)]), r[0] == min(part[find(parent, i)])) for i, r in enumerate(rows) if r[0] is not None]
+    for order in (rows, rows[::-1]):
+        got = [tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(order, DOC).repartition(3)).collect()]
+        assert sorted(g for g in got if g[0] is not None) == sorted(want)
+        alone = sorted((g for g in got if g[0] is None), key=str)
+        assert [(g[1] == 0, g[3]) for g in alone] == [(True, False), (False, False)]  # a null text, then a text near b
+    assert (7, 196, 5, False) in want and (8, 196, 5, False) in want
+
+
+def test_remove_repeats_with_several_texts_of_one_id(spark):
+    rows = several_texts_of_one_id()
+    first, want = {}, []
+    for i, t, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        words = (t or "").split()
+        gone = [False] * len(words)
+        for j in range(len(words) - 49):
+            if first.setdefault(tuple(words[j:j + 50]), i) < i:
+                gone[j:j + 50] = [True] * 50
+        want.append((i, len(words), sum(gone), " ".join(w for w, g in zip(words, gone, strict=True) if not g)))
+    for order in (rows, rows[::-1]):
+        got = substring.remove_repeats(spark.createDataFrame(order, DOC).repartition(3)).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got if r.doc_id is not None) == sorted(want)
+        assert all(r.n_removed == 0 for r in got if r.doc_id is None)
+    assert any(w[2] == 60 for w in want) and any(w[1] == 90 and not w[2] for w in want)
+
+
+def test_a_row_repeated_many_times(spark):
+    words = [f"w{i}" for i in range(80)]
+    rows = [(1, " ".join(words), "", "", 0)] + [(2, " ".join(["x", *words]), "", "", 0)] * 3000
+    docs = spark.createDataFrame(rows, DOC)
+    assert {(r.doc_id, r.n_removed) for r in substring.remove_repeats(docs).collect()} == {(1, 0), (2, 80)}
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()} == {(1, 1), (2, 1)}
+
+
 def test_remove_repeats_empty(spark):
     assert substring.remove_repeats(spark.createDataFrame([], DOC)).count() == 0
 
