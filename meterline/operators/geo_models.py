@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions import geometry as G
 from meterline.functions.joins import dimension
+from meterline.functions.projection import LONG_ISLAND_FEET, LambertConic
 
 
 def zone_measures(geom: DataFrame) -> DataFrame:
@@ -25,6 +26,16 @@ def zone_measures(geom: DataFrame) -> DataFrame:
     )
 
 
+def zone_lonlat(geom: DataFrame, projection: LambertConic = LONG_ISLAND_FEET) -> DataFrame:
+    """Longitude and latitude of each zone's centroid in degrees, and its area in
+    square metres of the plane; null for a zone without area."""
+    t = G.totals(F.col("polygons"))
+    at = geom.select("LocationID", t.alias("_t")).withColumn("_c", G.centroid_of(F.col("_t")))
+    at = at.withColumn("_at", projection.lonlat(F.col("_c.x"), F.col("_c.y")))
+    return at.select("LocationID", F.col("_at.lon").alias("longitude"), F.col("_at.lat").alias("latitude"),
+                     (G.area_of(F.col("_t")) * F.lit(projection.unit * projection.unit)).alias("area_sq_meters"))
+
+
 def dim_zones_geo(zones: DataFrame, geom: DataFrame) -> DataFrame:
     """Staged zones left-joined to their geometry measures on the text id.
     Area and centroid are in source-coordinate units, whatever the names say."""

@@ -16,7 +16,7 @@ from meterline.functions.columns import (
     as_decimal_2, day_of_week_sunday0, flag, guarded_ratio, minute_boundaries, null_safe_sum,
     key_form,
 )
-from meterline.functions.joins import dimension, literal_dimension
+from meterline.functions.joins import is_literal, key_is_unique, literal_dimension, lookup, one_per_key
 
 # Fare components of the calculated total (the tip is deliberately left out).
 FARE_COMPONENTS = ["fare_amount", "extra", "mta_tax", "improvement_surcharge",
@@ -110,25 +110,23 @@ def lookup_joins(trips: DataFrame, vendor: DataFrame, rate_code: DataFrame,
     out = trips
     for dim, key, name, col in ((vendor, "vendor_id", "vendor_name", "VendorID"), (rate_code, "rate_code_id", "rate_code_name", "RatecodeID"),
                                 (payment, "payment_type", "payment_name", "payment_type")):
-        form = key_form(dim.schema[key].dataType)
-        # literal rows, so one partition: the grouping needs no exchange
-        d = literal_dimension(one_per_key(dim.coalesce(1).select(form(F.col(key)).alias(f"_{name}_key"), name), f"_{name}_key"))
-        out = out.join(d, form(out[col]) == d[f"_{name}_key"], "left").drop(f"_{name}_key")
+        form, on = key_form(dim.schema[key].dataType), f"_{name}_key"
+        d = dim.select(form(F.col(key)).alias(on), name)
+        if not is_literal(dim):
+            d = lookup(d, on)
+        elif key_is_unique(d, key, literal=dim):
+            d = literal_dimension(one_per_key(d.coalesce(1), on))  # one partition: the grouping needs no exchange
+        else:
+            d = literal_dimension(d)
+        out = out.join(d, form(out[col]) == d[on], "left").drop(on)
     return out
 
 
-def one_per_key(dim: DataFrame, key: str) -> DataFrame:
-    """One row per join key, the smallest if there are several (the ``unique``
-    check reports them). A lookup then never multiplies the fact, and Catalyst
-    drops the left join of a lookup none of whose columns is used."""
-    rest = [c for c in dim.columns if c != key]
-    row = F.min(F.struct(*rest)).alias("_row")
-    return dim.groupBy(key).agg(row).select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
-
-
 def zone_role_join(trips: DataFrame, zones: DataFrame, max_rows: int = D.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join the zone dimension twice: once as pickup, once as dropoff zone."""
-    pu, do = (dimension(one_per_key(_zone_role(zones, role), f"{role}_LocationID"), max_rows) for role in ("pickup", "dropoff"))
+    """Join the zone dimension twice: once as pickup, once as dropoff zone. A zone
+    id that occurs twice doubles its trips (the ``unique`` check reports it)."""
+    zone = lookup(zones.select("LocationID", "Zone", "Borough", "service_zone"), "LocationID", max_rows)
+    pu, do = (_zone_role(zone, role) for role in ("pickup", "dropoff"))
     out = trips.join(pu, trips.PULocationID == pu.pickup_LocationID, "left")
     out = out.join(do, out.DOLocationID == do.dropoff_LocationID, "left")
     return out.drop("pickup_LocationID", "dropoff_LocationID")

@@ -111,6 +111,24 @@ def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]], key_field: str,
     return out
 
 
+def partition_freshness(df: DataFrame, by: list[str], ts_col: str, now: dt.datetime, max_lag_hours: int, max_arrival_hours: int,
+                        arrival_now: dt.datetime | None = None) -> DataFrame:
+    """Freshness of every partition of a file table: rows, files, the latest event
+    and when the newest file arrived, both with their lag in hour boundaries crossed
+    and pass/fail. Only the partition columns and ``ts_col`` are read; arrival comes
+    from the files' times of change. Arrivals are held against ``arrival_now``, the
+    query's start by default. A partition without any event time is not fresh."""
+    latest, now_c = F.max(F.col(ts_col).cast("timestamp_ntz")), F.lit(now).cast("timestamp_ntz")
+    arrival_c = (F.current_timestamp() if arrival_now is None else F.lit(arrival_now)).cast("timestamp_ntz")
+    per_file = df.groupBy(*by, F.col("_metadata.file_path").alias("_file")).agg(
+        F.count(F.lit(1)).alias("n"), latest.alias("latest_at"), F.max("_metadata.file_modification_time").cast("timestamp_ntz").alias("arrived_at"))
+    per = per_file.groupBy(*by).agg(F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("file_count"), F.max("latest_at").alias("latest_at"),
+                                    F.max("arrived_at").alias("arrived_at"))
+    lag, since = unit_boundaries(F.col("latest_at"), now_c, "hour"), unit_boundaries(F.col("arrived_at"), arrival_c, "hour")
+    return per.select(*by, "row_count", "file_count", "latest_at", lag.alias("lag_hours"), "arrived_at", since.alias("arrival_lag_hours"),
+                      F.coalesce(lag <= max_lag_hours, F.lit(False)).alias("is_fresh"), (since <= max_arrival_hours).alias("has_arrived"))
+
+
 def freshness(df: DataFrame, ts_col: str, now: dt.datetime, max_lag_hours: int) -> DataFrame:
     """Latest timestamp, lag to ``now`` in hour boundaries crossed, pass/fail."""
     latest = F.max(F.col(ts_col).cast("timestamp_ntz"))

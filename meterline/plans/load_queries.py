@@ -20,7 +20,7 @@ from meterline.plans.trip_queries import wh
 from meterline.session import scratch_path
 from meterline.sources import files, incremental, load_log
 from meterline.sources.sinks import Layer, copy_layer
-from meterline.operators import models
+from meterline.operators import models, profile
 from meterline.streaming.ingest import ingest_new_files, read_sink, stream_model
 
 INGESTED_AT = bindings.INGESTED_AT
@@ -133,6 +133,22 @@ def q_incremental_late_fct(spark, sf_dir):
     return incremental.read_model(spark, target, w.fct_trips().schema)
 
 
+@register("freshness_partitions", oracle="""
+SELECT pickup_year, pickup_month, CAST(COUNT(*) AS BIGINT) AS row_count, MAX(tpep_pickup_datetime) AS latest_at,
+       date_diff('hour', MAX(tpep_pickup_datetime), TIMESTAMP '2000-06-01 00:00:00') AS lag_hours,
+       date_diff('hour', MAX(tpep_pickup_datetime), TIMESTAMP '2000-06-01 00:00:00') <= 20000 AS is_fresh, true AS has_arrived
+FROM fct_trips GROUP BY 1, 2""")
+def q_freshness_partitions(spark, sf_dir):
+    """A12 by partition: the fact written by month; events are held against a fixed
+    time, the files' arrival against the query's start."""
+    w, target = wh(spark, sf_dir), scratch_path(spark, "freshness") + "/fct_taxi_trips"
+    fct = w.fct_trips()
+    fct.hint("rebalance", "pickup_year", "pickup_month").write.partitionBy("pickup_year", "pickup_month").parquet(target)
+    out = profile.partition_freshness(incremental.read_model(spark, target, fct.schema), ["pickup_year", "pickup_month"], "tpep_pickup_datetime",
+                                      dt.datetime(2000, 6, 1), max_lag_hours=20000, max_arrival_hours=24)
+    return out.drop("file_count", "arrived_at", "arrival_lag_hours")
+
+
 @register("rollup_incremental", oracle=f"""
 SELECT payment_name AS TaxiTrips_paymentMethod, pickup_borough AS TaxiTrips_pickupBorough,
        CAST(COUNT(*) AS BIGINT) AS TaxiTrips_tripCount, {r(xsum('total_amount'))} AS TaxiTrips_totalRevenueCharged,

@@ -7,6 +7,7 @@ projections of ``meterline.bindings``) so its work grows with them.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meterline import bindings
 from meterline.functions.columns import round_to
+from meterline.functions.projection import LONG_ISLAND_FEET, STEPS, LambertConic
 from meterline.oracle_sql import r, xavg
 from meterline.operators import geo_models, models, profile, reconcile, timeseries, topk
 from meterline.plans.registry import register
@@ -199,6 +201,29 @@ def q_zone_centroid(spark, sf_dir):
                     round_to("zone_centroid_latitude", 9).alias("zone_centroid_latitude"))
 
 
+def lonlat_sql(p: LambertConic) -> str:
+    """The inverse projection, a common table a step of the iteration."""
+    n, scale, rho0 = p.constants()
+    e, half_pi = p.eccentricity, math.pi / 2
+    out = (f"WITH plane AS (SELECT LocationID, area, (mx / area - {p.false_easting!r}) * {p.unit!r} AS east, "
+           f"{rho0!r} - (my / area - {p.false_northing!r}) * {p.unit!r} AS north FROM zone_measures),\n"
+           f"cone AS (SELECT *, pow(sqrt(east * east + north * north) / {scale!r}, 1 / {n!r}) AS t FROM plane),\n"
+           f"lat0 AS (SELECT *, {half_pi!r} - 2 * atan(t) AS lat FROM cone)")
+    for k in range(STEPS):
+        out += (f",\nlat{k + 1} AS (SELECT * EXCLUDE (lat), {half_pi!r} - 2 * atan(t * pow((1 - {e!r} * sin(lat)) / (1 + {e!r} * sin(lat)), {e / 2!r})) AS lat "
+                f"FROM lat{k})")
+    lon, lat = f"degrees(atan2(east, north) / {n!r} + {math.radians(p.lon_origin)!r})", "degrees(lat)"
+    return out + f"\nSELECT LocationID, {r(lon, 9)} AS longitude, {r(lat, 9)} AS latitude, {r(f'area * {p.unit * p.unit!r}', 6)} AS area_sq_meters FROM lat{STEPS}"
+
+
+@register("zone_lonlat", oracle=lonlat_sql(LONG_ISLAND_FEET))
+def q_zone_lonlat(spark, sf_dir):
+    """G4 + M3: zone centroids in degrees, the conic projection undone."""
+    at = geo_models.zone_lonlat(wh(spark, sf_dir).zone_geometry())
+    return at.select("LocationID", round_to("longitude", 9).alias("longitude"), round_to("latitude", 9).alias("latitude"),
+                     round_to("area_sq_meters", 6).alias("area_sq_meters"))
+
+
 @register("dim_zones_geo", oracle=f"""
 SELECT b.LocationID, b.Zone, b.Borough, b.service_zone, w.geometry_wkt, w.geometry_geojson,
        m.area AS zone_area_sq_meters, {r('m.mx / m.area', 9)} AS zone_centroid_longitude,

@@ -18,7 +18,7 @@ from meterline import bindings, defaults as D
 from meterline.operators import models
 from meterline.sources import seeds
 from meterline.sources.files import ingest_csv, ingest_parquet
-from meterline.sources.geometry import read_feature_collection, zone_geometry_from_geojson
+from meterline.sources.geometry import read_zone_geojson, zone_geometry_from_geojson
 from meterline.sources.raw_layer import landed
 from meterline.sources.sinks import create_namespaces, full_refresh_table, schema_name
 
@@ -74,14 +74,15 @@ class TripWarehouse:
                    zones_schema: str | None = ZONES_CSV_SCHEMA, merge_schema: bool = False,
                    unify_types: bool = False, **params) -> "TripWarehouse":
         """Sources from files: monthly trip Parquet (a glob), the zone lookup
-        CSV and, optionally, zone boundaries as a GeoJSON FeatureCollection.
+        CSV and, optionally, zone boundaries as a GeoJSON FeatureCollection or
+        as Features line by line (see ``read_zone_geojson``).
         ``unify_types`` reads the trips as ``RAW_TRIPS_SCHEMA`` when monthly
         files disagree on physical types. Missing inputs raise
         FileNotFoundError when the warehouse is built."""
         trips = ingest_parquet(spark, trips_glob, ingested_at, merge_schema=merge_schema,
                                schema=RAW_TRIPS_SCHEMA if unify_types else None)
         zones = ingest_csv(spark, zones_csv, zones_schema, ingested_at)
-        geo = (lambda: read_feature_collection(spark, zones_geojson)) if zones_geojson else None
+        geo = (lambda: read_zone_geojson(spark, zones_geojson)) if zones_geojson else None
         return cls(spark, raw_trips_fn=lambda: trips, raw_zones_fn=lambda: zones, zone_geojson_fn=geo, **params)
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

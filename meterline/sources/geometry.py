@@ -31,6 +31,13 @@ def read_geojson_seq(spark, path: str, id_property: str = "LocationID") -> DataF
         F.get_json_object("value", "$.geometry").alias("geojson"))
 
 
+def read_zone_geojson(spark, path: str, id_property: str = "LocationID") -> DataFrame:
+    """Boundary files by their name: ``*.geojsonl``, ``*.geojsons`` and ``*.ndjson``
+    hold a Feature a line and are split across tasks, others are collections."""
+    lines = path.lower().endswith((".geojsonl", ".geojsons", ".ndjson"))
+    return (read_geojson_seq if lines else read_feature_collection)(spark, path, id_property)
+
+
 def read_feature_collection(spark, path: str, id_property: str = "LocationID") -> DataFrame:
     """GeoJSON FeatureCollection files -> (LocationID, geojson). Each file is
     read whole by one task (fine for zone sets of a few MB; use
