@@ -62,7 +62,7 @@ def run_job(spark: SparkSession, wh: TripWarehouse, base: str, target: str = "de
     # checks of the suite (failures are reported, the run continues)
     checks = quality.reference_suite(pickup_date_floor=pickup_date_floor, today=today)
     mwh = TripWarehouse(spark, raw_trips_fn=lambda: trips, raw_zones_fn=lambda: zones,
-                        zone_geojson_fn=wh.zone_geojson_fn, date_min=wh.date_min, date_max=wh.date_max,
+                        zone_geojson_fn=wh.zone_geojson_fn, zone_shapes_fn=wh.zone_shapes_fn, date_min=wh.date_min, date_max=wh.date_max,
                         max_passengers=wh.max_passengers, tolerance=wh.tolerance)
 
     def row_checks(model):
@@ -101,7 +101,7 @@ def run_job(spark: SparkSession, wh: TripWarehouse, base: str, target: str = "de
     plans = {n: (getattr(mwh, n)(), main, None) for n in ("dim_vendor", "dim_rate_code", "dim_payment_type")}
     plans["fct_taxi_trips"] = (mwh.fct_trips(), main, part)
     plans["mart_taxi_trips"] = (mwh.mart_trips(), mart, part)
-    if wh.zone_geojson_fn:
+    if wh.zone_geojson_fn or wh.zone_shapes_fn:
         plans["dim_taxi_zones_geospatial"] = (mwh.dim_zones_geo(), main, None)
 
     def write(name):
@@ -167,7 +167,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="python -m meterline.plans.job")
     ap.add_argument("--trips", required=True, help="glob of monthly trip Parquet files")
     ap.add_argument("--zones", required=True, help="zone lookup CSV")
-    ap.add_argument("--zones-geojson", help="zone boundaries (GeoJSON FeatureCollection)")
+    ap.add_argument("--zones-geojson", help="zone boundaries (GeoJSON FeatureCollection, line by line, or .shp)")
     ap.add_argument("--out", required=True, help="base folder of the raw / target layers")
     ap.add_argument("--target", default="dev")
     ap.add_argument("--copy-raw", action="store_true", help="copy the raw tables into the target layer first")

@@ -20,8 +20,9 @@ from meterline.oracle_sql import r, xavg
 from meterline.operators import geo_models, models, profile, reconcile, timeseries, topk
 from meterline.plans.registry import register
 from meterline.plans.warehouse import TripWarehouse
-from meterline.session import apply_defaults
+from meterline.session import apply_defaults, scratch_path
 from meterline.sources.raw_layer import tables_fingerprint
+from meterline.sources.shapefile import read_shapefile, write_shapefile
 
 TABLES_USED = ["lineitem", "orders", "supplier", "customer", "nation", "region"]
 
@@ -224,6 +225,19 @@ def q_zone_lonlat(spark, sf_dir):
                      round_to("area_sq_meters", 6).alias("area_sq_meters"))
 
 
+@register("zone_shapefile", oracle=f"""
+SELECT LocationID, area AS zone_area_sq_meters, {r('mx / area', 9)} AS zone_centroid_longitude, {r('my / area', 9)} AS zone_centroid_latitude
+FROM zone_measures""")
+def q_zone_shapefile(spark, sf_dir):
+    """Zone polygons written as shapefiles and read back in cuts of a
+    kilobyte, then measured."""
+    path = scratch_path(spark, "shapefile") + "/zones"
+    write_shapefile(wh(spark, sf_dir).zone_geometry().select("LocationID", "polygons"), path)
+    m = geo_models.zone_measures(read_shapefile(spark, path, partition_bytes=1024))
+    return m.select("LocationID", "zone_area_sq_meters", round_to("zone_centroid_longitude", 9).alias("zone_centroid_longitude"),
+                    round_to("zone_centroid_latitude", 9).alias("zone_centroid_latitude"))
+
+
 @register("dim_zones_geo", oracle=f"""
 SELECT b.LocationID, b.Zone, b.Borough, b.service_zone, w.geometry_wkt, w.geometry_geojson,
        m.area AS zone_area_sq_meters, {r('m.mx / m.area', 9)} AS zone_centroid_longitude,

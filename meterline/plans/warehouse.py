@@ -19,6 +19,7 @@ from meterline.operators import models
 from meterline.sources import seeds
 from meterline.sources.files import ingest_csv, ingest_parquet
 from meterline.sources.geometry import read_zone_geojson, zone_geometry_from_geojson
+from meterline.sources.shapefile import read_zone_shapefile
 from meterline.sources.raw_layer import landed
 from meterline.sources.sinks import create_namespaces, full_refresh_table, schema_name
 
@@ -41,6 +42,7 @@ class TripWarehouse:
     raw_trips_fn: Callable[[], DataFrame]
     raw_zones_fn: Callable[[], DataFrame]
     zone_geojson_fn: Callable[[], DataFrame] | None = None
+    zone_shapes_fn: Callable[[], DataFrame] | None = None  # polygons read as such, instead of GeoJSON text
     date_min: dt.date = D.FACT_DATE_MIN
     date_max: dt.date = D.FACT_DATE_MAX
     max_passengers: int = D.MAX_PASSENGERS
@@ -74,16 +76,21 @@ class TripWarehouse:
                    zones_schema: str | None = ZONES_CSV_SCHEMA, merge_schema: bool = False,
                    unify_types: bool = False, **params) -> "TripWarehouse":
         """Sources from files: monthly trip Parquet (a glob), the zone lookup
-        CSV and, optionally, zone boundaries as a GeoJSON FeatureCollection or
-        as Features line by line (see ``read_zone_geojson``).
+        CSV and, optionally, zone boundaries as a GeoJSON FeatureCollection, as
+        Features line by line (see ``read_zone_geojson``) or as a shapefile (a
+        path that ends in ``.shp``, with an attribute ``LocationID``).
         ``unify_types`` reads the trips as ``RAW_TRIPS_SCHEMA`` when monthly
         files disagree on physical types. Missing inputs raise
         FileNotFoundError when the warehouse is built."""
         trips = ingest_parquet(spark, trips_glob, ingested_at, merge_schema=merge_schema,
                                schema=RAW_TRIPS_SCHEMA if unify_types else None)
         zones = ingest_csv(spark, zones_csv, zones_schema, ingested_at)
-        geo = (lambda: read_zone_geojson(spark, zones_geojson)) if zones_geojson else None
-        return cls(spark, raw_trips_fn=lambda: trips, raw_zones_fn=lambda: zones, zone_geojson_fn=geo, **params)
+        geo = shapes = None
+        if zones_geojson and zones_geojson.lower().endswith(".shp"):
+            shapes = lambda: read_zone_shapefile(spark, zones_geojson)
+        elif zones_geojson:
+            geo = lambda: read_zone_geojson(spark, zones_geojson)
+        return cls(spark, raw_trips_fn=lambda: trips, raw_zones_fn=lambda: zones, zone_geojson_fn=geo, zone_shapes_fn=shapes, **params)
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         with self._lock:  # re-entrant: models build on each other
@@ -127,7 +134,7 @@ class TripWarehouse:
             self.stg_trips(), self.date_min, self.date_max, self.tolerance))
 
     def zone_geometry(self) -> DataFrame:
-        return self._get("zone_geometry", lambda: zone_geometry_from_geojson(self.zone_geojson_fn()))
+        return self._get("zone_geometry", self.zone_shapes_fn or (lambda: zone_geometry_from_geojson(self.zone_geojson_fn())))
 
     def register_views(self) -> list[str]:
         """Make the models queryable by name in SQL (temporary views; lazy, so
@@ -158,7 +165,7 @@ class TripWarehouse:
         return out
 
     def dim_zones_geo(self) -> DataFrame:
-        if self.zone_geojson_fn is None:
+        if self.zone_geojson_fn is None and self.zone_shapes_fn is None:
             raise ValueError("no zone geometry source configured")
         return self._get("dim_zones_geo", lambda: models_geo.dim_zones_geo(
             self.stg_zones(), self.zone_geometry()))
