@@ -14,6 +14,7 @@ from meterline.plans.cube_defs import ALL_CUBES, RAW_TAXI_TRIPS, TAXI_TRIPS, war
 from meterline.plans.cubes import Cube, CubeQuery, CubeSet, Dimension, Filter, Measure, PreAggregation, TimeDimension, infer_cube
 from meterline.plans.distinct_rollups import DistinctRollup
 from meterline.plans.registry import register
+from meterline.plans.rollup_advisor import lattice_rows
 from meterline.plans.trip_queries import wh
 from meterline.session import scratch_path
 
@@ -312,6 +313,25 @@ def q_rollup_routed(spark, sf_dir):
     return store.query(CubeQuery(measures=("TaxiTrips.tripCount",), dimensions=("TaxiTrips.pickupBorough",)), tables)
 
 
+LATTICE_WORKLOAD = (CubeQuery(("TaxiTrips.tripCount",), ("TaxiTrips.pickupBorough",)),
+                    CubeQuery(("TaxiTrips.tripCount",), ("TaxiTrips.vendorName",), (TimeDimension("TaxiTrips.pickupDatetime", "month"),)),
+                    CubeQuery(("TaxiTrips.totalRevenueCharged",), ("TaxiTrips.paymentMethod",)))
+LATTICE = (("pickupBorough", None, "pickup_borough"), ("vendorName", "month", "vendor_name, {m}"), ("paymentMethod", None, "payment_name"),
+           ("pickupBorough,vendorName", "month", "pickup_borough, vendor_name, {m}"), ("paymentMethod,pickupBorough", None, "payment_name, pickup_borough"),
+           ("paymentMethod,vendorName", "month", "payment_name, vendor_name, {m}"),
+           ("paymentMethod,pickupBorough,vendorName", "month", "payment_name, pickup_borough, vendor_name, {m}"))
+
+
+@register("rollup_lattice", oracle="\nUNION ALL\n".join(
+    f"SELECT '{dims}' AS dimensions, {f"'{g}'" if g else 'CAST(NULL AS VARCHAR)'} AS granularity, CAST(COUNT(*) AS BIGINT) AS n_rows "
+    f"FROM (SELECT DISTINCT {columns.format(m="date_trunc('month', tpep_pickup_datetime)")} FROM fct_trips)" for dims, g, columns in LATTICE))
+def q_rollup_lattice(spark, sf_dir):
+    """C14: the exact rows of every rollup that a workload of three queries spans,
+    from which the advisor chooses."""
+    counted = lattice_rows(ALL_CUBES, "TaxiTrips", LATTICE_WORKLOAD, warehouse_tables(wh(spark, sf_dir)))
+    return counted.withColumn("dimensions", F.array_join("dimensions", ","))
+
+
 ORDERS = Cube("Orders", "orders", dimensions=(Dimension("orderDate", "order_date", "time"), Dimension("segment", "customer_segment"),
                                               Dimension("region", "customer_region")),
               measures=(Measure("customers", "count_distinct", "customer_id"),),
