@@ -101,7 +101,8 @@ def lattice_rows(cubes: CubeSet, cube_name: str, queries: Sequence[CubeQuery], t
                .groupBy("mask").agg(F.count(F.lit(1)).alias("n_rows")))
     masks = [sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in s) for s in sets]
     listed = spark.createDataFrame([(list(ds), g, m) for (ds, g), m in zip(nodes, masks, strict=True)], schema)
-    return listed.join(counted, "mask", "left").select("dimensions", "granularity", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    all_nodes = counted.unionByName(listed.select("mask", F.lit(0).cast("long").alias("n_rows"))).groupBy("mask").agg(F.sum("n_rows").alias("n_rows"))
+    return all_nodes.join(F.broadcast(listed), "mask").select("dimensions", "granularity", "n_rows")  # at most MAX_NODES rows
 
 
 def advise(cubes: CubeSet, cube_name: str, queries: Sequence[CubeQuery], tables: Mapping[str, DataFrame], k: int,
