@@ -9,8 +9,9 @@ form that adds up over partitions: (check, key, n), where
 * accepted_values holds the rows of each value outside the list,
 * unique and relationships hold the rows of each key.
 
-``refresh`` reads touched partitions once, whatever the number of checks, counts
-before it shuffles and replaces these partitions (dynamic partition overwrite).
+``refresh`` reads touched partitions twice at most, whatever the number of checks
+(once for the checks that sum rows, once for those by key), counts before it
+shuffles and replaces these partitions (dynamic partition overwrite).
 ``report`` sums the parts and decides: a value that is bad in two partitions is
 one bad value, a key that occurs in two partitions is not unique, and keys meet
 the parents as they are now, so that a parent that has gone shows without reading
@@ -33,13 +34,19 @@ TOUCHED = -1  # check number of a partition's marker row
 
 
 def in_partitions(by: tuple[str, ...], partitions: Iterable[tuple]) -> Column:
-    """Whether a row lies in one of the partitions; None stands for null."""
-    wanted = F.lit(False)
+    """Whether a row lies in one of the partitions; None stands for null. A value of
+    the first column is compared once, however many partitions have it."""
+    rest: dict[object, list[tuple]] = {}
     for values in partitions:
-        one = F.lit(True)
-        for c, v in zip(by, values, strict=True):
-            one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
-        wanted = wanted | one
+        if len(values) != len(by):
+            raise ValueError(f"{values} are not values of {by}")
+        rest.setdefault(values[0], []).append(tuple(values[1:]))
+    c, wanted = F.col(by[0]), F.lit(False)
+    if len(by) == 1:
+        wanted = c.isin([v for v in rest if v is not None])
+        return F.coalesce(wanted | c.isNull() if None in rest else wanted, F.lit(False))
+    for v, values in rest.items():
+        wanted = wanted | ((c.isNull() if v is None else c == F.lit(v)) & in_partitions(by[1:], values))
     return F.coalesce(wanted, F.lit(False))
 
 
@@ -63,28 +70,41 @@ class SuiteStore:
                 raise
             return None
 
-    def _entries(self, df: DataFrame, models: Mapping[str, DataFrame]) -> list[Column]:
-        """What a row brings to each check: null where it brings nothing."""
-        def entry(i: int, when: Column, key: Column | None = None) -> Column:
-            return F.when(when, F.struct(F.lit(i).alias("cid"), (F.lit(None) if key is None else key).cast("string").alias("key")))
-
-        out = []
+    def _sums(self, df: DataFrame) -> DataFrame | None:
+        """(partition, cid, key, n) of the checks that sum rows: one row per partition is
+        aggregated, then unfolded."""
+        sums = {i: F.count(F.lit(1)) if ch.kind == "row_count" else F.sum(Q._row_indicator(ch)) for i, ch in enumerate(self.checks) if ch.kind in SUMMED}
+        if not sums:
+            return None
+        total = df.groupBy(*self.by).agg(*[n.cast("bigint").alias(f"n{i}") for i, n in sums.items()])
+        each = F.array(*[F.struct(F.lit(i).alias("cid"), F.lit(None).cast("string").alias("key"), F.col(f"n{i}").alias("n")) for i in sums])
+        return total.select(*self.by, F.explode(each).alias("e")).select(*self.by, "e.*").where("n > 0")
+
+    def _keyed(self, df: DataFrame, models: Mapping[str, DataFrame]) -> DataFrame | None:
+        """(partition, cid, key, n) of the checks by key: a grouping set each. A row brings
+        a check a struct of its key, or null where it brings nothing."""
+        keys = {}
         for i, ch in enumerate(self.checks):
             c = F.col(ch.column) if ch.column else None
-            if ch.kind == "row_count":
-                out.append(entry(i, F.lit(True)))
-            elif ch.kind in SUMMED:
-                out.append(entry(i, Q._row_indicator(ch) == 1))
-            elif ch.kind == "accepted_values":
-                out.append(entry(i, ~c.isin(ch.args["values"]), c))
+            if ch.kind in SUMMED:
+                continue
+            if ch.kind == "accepted_values":
+                when, key = ~c.isin(ch.args["values"]), c
             elif ch.kind == "unique":
-                out.append(entry(i, c.isNotNull(), c))
+                when, key = c.isNotNull(), c
             elif ch.kind == "relationships":
                 form, _ = Q._norm_keys(df.schema[ch.column].dataType, models[ch.args["to"]].schema[ch.args["field"]].dataType)
-                out.append(entry(i, c.isNotNull(), form(c)))
+                when, key = c.isNotNull(), form(c)
             else:
                 raise ValueError(f"unknown check kind {ch.kind}")
-        return out
+            keys[i] = F.when(when, F.struct(key.cast("string").alias("key")))
+        if not keys:
+            return None
+        rows = df.select(*self.by, *[k.alias(f"k{i}") for i, k in keys.items()])
+        by, names = [F.col(c) for c in self.by], [f"k{i}" for i in keys]
+        counts = rows.groupingSets([[*by, F.col(k)] for k in names], *by, *[F.col(k) for k in names]).agg(F.count(F.lit(1)).alias("n"))
+        entry = F.coalesce(*[F.when(F.col(f"k{i}").isNotNull(), F.struct(F.lit(i).alias("cid"), F.col(f"k{i}.key").alias("key"))) for i in keys])
+        return counts.select(*self.by, entry.alias("e"), "n").where("e is not null").select(*self.by, "e.*", "n")
 
     def refresh(self, batch: int, df: DataFrame, models: Mapping[str, DataFrame], partitions: Iterable[tuple]) -> list[tuple]:
         """Bring ``partitions`` up to the state in which ``batch`` left the model;
@@ -99,11 +119,12 @@ class SuiteStore:
             todo = [p for p in todo if done.get(p, batch - 1) < batch]
         if not todo:
             return []
-        rows = df.where(in_partitions(self.by, todo)).select(*[F.col(c).cast("int").alias(c) for c in self.by],
-                                                             F.explode(F.array(*self._entries(df, models))).alias("e"))
-        parts = rows.where("e is not null").select(*self.by, "e.*").groupBy(*self.by, "cid", "key").agg(F.count(F.lit(1)).alias("n"))
+        rows = df.where(in_partitions(self.by, todo)).withColumns({c: F.col(c).cast("int") for c in self.by})
+        parts = [p for p in (self._sums(rows), self._keyed(rows, models)) if p is not None]
         marks = self.spark.createDataFrame([(*p, TOUCHED, None, 0) for p in todo], ", ".join([*(f"{c} INT" for c in self.by), "cid INT, key STRING, n BIGINT"]))
-        out = parts.unionByName(marks).select(F.lit(self.suite).alias("suite"), F.lit(batch).cast("bigint").alias("batch"), "cid", "key", "n", *self.by)
+        for p in parts:
+            marks = marks.unionByName(p)
+        out = marks.select(F.lit(self.suite).alias("suite"), F.lit(batch).cast("bigint").alias("batch"), "cid", "key", "n", *self.by)
         (out.hint("rebalance", *self.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.by).parquet(self.path))
         return todo
 

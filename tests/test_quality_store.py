@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators import profile
 from meterline.operators import quality as Q
-from meterline.operators.quality_store import SuiteStore
+from meterline.operators.quality_store import SuiteStore, in_partitions
 
 SCHEMA = "id int, parent int, kind string, amount double, y int, m int"
 ROWS = [(1, 1, "a", 1.0, 2024, 1), (2, 2, "b", -5.0, 2024, 1), (3, None, "x", None, 2024, 1), (3, 9, "x", 2.0, 2024, 2), (4, 1, "y", 900.0, 2024, 2), (None, 8, None, 3.0, None, None)]
@@ -65,6 +65,22 @@ def test_empty_model_and_other_checks(spark, tmp_dir):
         SuiteStore(spark, [*CHECKS, Q.not_null("other", "x")], f"{tmp_dir}/store", BY)
 
 
+def test_row_checks_and_partition_tests_do_not_multiply_rows(spark, tmp_dir):
+    months = [(y, m) for y in (2023, 2024) for m in range(1, 13)] + [(2025, None), (None, None)]
+    df = spark.createDataFrame([(y, m) for y in (2022, 2023, 2024, 2025, None) for m in (1, 12, None)], "y int, m int")
+    got = {tuple(r) for r in df.where(in_partitions(BY, months)).collect()}
+    assert got == {tuple(r) for r in df.collect()} & set(months)
+    assert str(in_partitions(BY, months))[:-1].count("2023") == 1  # a year is compared once, not once a month
+    # keys that no parent key can equal are orphans; a check's rows are not unfolded before they are counted
+    checks = [*CHECKS[:2], Q.relationships("t", "kind", "p", "pid"), Q.relationships("t", "kind", "p", "pid", "warn")]
+    models = {"t": spark.createDataFrame(ROWS, SCHEMA), "p": spark.createDataFrame([(1,)], "pid int")}
+    store = SuiteStore(spark, checks, f"{tmp_dir}/store", BY)
+    store.refresh(1, models["t"], models, ALL)
+    names = Q.REPORT_SCHEMA.names
+    assert sorted(map(tuple, store.report(models["t"], models).select(*names).collect()), key=str) == sorted(map(tuple, Q.run_suite(models, checks).select(*names).collect()), key=str)
+    assert "Generate explode" not in store._keyed(models["t"], models)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_partition_freshness(spark, tmp_dir):
     target = f"{tmp_dir}/t"
     rows = [(1, dt.datetime(2024, 1, 1, 10)), (1, dt.datetime(2024, 1, 2, 9)), (2, dt.datetime(2024, 1, 5, 23)), (3, None)]
