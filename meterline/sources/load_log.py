@@ -148,8 +148,11 @@ def load_months(spark: SparkSession, source: str, schema: StructType, build: Cal
 
     if months:
         raw = _read(spark, schema, source)
-        out = build(raw.where(in_months(F.col(ts_col), months)))
-        (out.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # the source's rows go to their months, not the model's wider ones
+        ts = F.col(ts_col)
+        rows = raw.where(in_months(ts, months)).withColumns({"__year": F.year(ts), "__month": F.month(ts)})
+        out = build(rows.hint("rebalance", "__year", "__month").drop("__year", "__month"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by).parquet(target))
         if lost:  # a month that changed or vanished files held may have no rows left
             _drop_empty(spark, out, target, lost, partition_by)

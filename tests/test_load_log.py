@@ -113,3 +113,19 @@ def test_months_are_ranges_of_the_plain_column(spark):
     want = [r for r in rows if r[0] is None or (r[0].year, r[0].month) in months]
     assert sorted(map(str, got)) == sorted(str(g) for g in spark.createDataFrame(want, "ts timestamp_ntz").collect())
     assert df.where(load_log.in_months(F.col("ts"), [])).count() == 0
+
+
+def test_source_rows_are_dealt_to_months_not_the_model_rows(spark, tmp_dir):
+    source, target, log = (f"{tmp_dir}/{n}" for n in ("src", "model", "log"))
+    rows = spark.createDataFrame([(1, dt.datetime(2024, 1, 5)), (2, dt.datetime(2024, 2, 5)), (3, None), (3, None)], "id int, ts timestamp_ntz")
+    rows.write.parquet(source)
+    seen = []
+
+    def wide(raw):
+        seen.append(raw._jdf.queryExecution().analyzed().toString())
+        return raw.select("*", *[F.concat(F.lit("name"), F.col("id").cast("string")).alias(f"c{i}") for i in range(5)], F.year("ts").alias("y"), F.month("ts").alias("m"))
+
+    load_log.load_months(spark, source, rows.schema, wide, target, log, "ts", ("y", "m"))
+    assert "RebalancePartitions" in seen[0]
+    got = sorted((r.id, r.c4, r.y, r.m) for r in spark.read.parquet(target).collect() if r.y) + [(r.id, r.c4) for r in spark.read.parquet(target).where("y is null").collect()]
+    assert got == [(1, "name1", 2024, 1), (2, "name2", 2024, 2), (3, "name3"), (3, "name3")]
