@@ -24,6 +24,7 @@ import struct
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -335,6 +336,13 @@ def _model_data(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: fixed size
 
 
+@lru_cache(maxsize=2)
+def _codec(data: bytes) -> Codec:
+    """The codec of a model file, kept with its bounded memos by a Python worker for
+    all tasks that it runs."""
+    return Codec(Model.parse(data))
+
+
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """(id, text, ids) of every row, whole texts. Null and empty texts have no
     ids. Repeated rows are coded alike, other columns are ignored, an empty
@@ -344,7 +352,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(Model.parse(data.value))
+        codec = _codec(data.value)
         for batch in batches:
             ids = [codec.encode(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], ["id", "text", "ids"])
@@ -363,7 +371,7 @@ def decode(coded: DataFrame, model_path: str, ids_col: str = "ids", text_col: st
     place = coded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(Model.parse(data.value))
+        codec = _codec(data.value)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, codec.decode_all(batch.column(place))], schema.names)
 

@@ -109,3 +109,15 @@ def test_other_models_are_refused():
 def test_decode_table():
     codec = sc.Codec(model())
     assert codec.decode(np.asarray([codec.bytes[0xC3]], np.int32)) == "�"
+
+
+def test_a_worker_keeps_the_codec_for_its_tasks(spark):
+    with open(PATH, "rb") as f:
+        data = f.read()
+    assert sc._codec(data) is sc._codec(bytes(bytearray(data)))
+    texts = [(i, t) for i, t, *_ in documents(12)] + [(100, None), (101, ""), (102, "a b"), (102, "a b")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    fresh = sc.Codec(model())
+    for _ in range(2):  # the second run meets warm workers
+        got = sorted(((r.doc_id, r.text or "", list(r.ids)) for r in sc.encode(df, PATH).collect()), key=str)
+        assert got == sorted(((i, t or "", fresh.encode(t or "").tolist()) for i, t in texts), key=str)
