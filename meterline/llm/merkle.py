@@ -8,7 +8,11 @@ offsets fetch them, masked by the node's slot in its run of three and by the
 run's length, and the first child's row hashes the parent. Rows are dealt by
 (group, block of 3^LEVELS positions); a run never crosses a block, so one sort
 serves LEVELS levels and no group has to fit a task. What a block yields is a
-row of the next, 3^LEVELS times smaller pass."""
+row of the next, 3^LEVELS times smaller pass.
+
+Only what is read again is written, in few files: for every file on a ``file:``
+path Hadoop starts processes that set its mode, and such a process shares the
+executor's memory, and counts as so much more, until it runs its own program."""
 
 from __future__ import annotations
 
@@ -16,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.llm.common import maybe_broadcast, written
-from meterline.llm.ordering import AT, PART, numbered, ordered, runs, with_runs
+from meterline.llm.ordering import AT, PART, ordered, runs, with_runs
 
 ARITY = 3
 #: Levels of one pass: blocks of 243 rows.
@@ -30,17 +34,19 @@ def digest(*parts: Column) -> Column:
     return F.sha2(F.concat(*parts).cast("binary"), 256)
 
 
-def field(value: Column) -> Column:
-    """A field as the leaf hashes it: ``-`` for null, else its length in UTF-8
-    bytes, a colon and the value."""
+def field(value: Column) -> tuple[Column, Column]:
+    """The parts of a field as the leaf hashes it: ``-`` and nothing for null,
+    else its length in UTF-8 bytes with a colon, and the value."""
     text = value.cast("string")
-    return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
+    head = F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":")))
+    return head, F.coalesce(text, F.lit(""))
 
 
 def leaf(text: Column | str = "text") -> Column:
-    """The leaf of a documents row, with ``text`` in place of its text."""
+    """The leaf of a documents row, with ``text`` in place of its text; a long
+    text is copied once."""
     text = F.col(text) if isinstance(text, str) else text
-    return digest(*[field(text if name == "text" else F.col(name)) for name in FIELDS])
+    return digest(*[part for name in FIELDS for part in field(text if name == "text" else F.col(name))])
 
 
 def _levels_of(n: int) -> int:
@@ -94,10 +100,10 @@ def audit_paths(nodes: DataFrame, most: int, keep: tuple[str, ...] = ()) -> Data
     done = written(_pass(nodes, levels, list(keep)), "merkle_pass")
     heads = done.where(F.col("up").isNotNull()).select(
         "grp", F.col("block").alias("pos"), F.col("up").alias("hash"), F.ceil(F.col("n") / block).cast("long").alias("n"))
-    above = written(audit_paths(heads, -(-most // block)), "merkle_above")
+    above = audit_paths(heads, -(-most // block))
     width = 100 + 140 * max(1, _levels_of(-(-most // block)))
     above = above.select(F.col("grp").alias("g"), F.col("pos").alias("b"), F.col("path").alias("rest"), "top")
-    joined = done.join(maybe_broadcast(above, above.count(), width), (F.col("grp") == F.col("g")) & (F.col("block") == F.col("b")))
+    joined = done.join(maybe_broadcast(above, heads.count(), width), (F.col("grp") == F.col("g")) & (F.col("block") == F.col("b")))
     return joined.select("grp", "pos", F.concat("path", "rest").alias("path"), "top", *keep)
 
 
@@ -111,6 +117,23 @@ def path_digest(path: Column) -> Column:
     return digest(F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), ""))
 
 
+def _numbered_runs(parts: DataFrame, n_sources: int) -> DataFrame:
+    """The ``runs`` of the ordered rows with ``grp``, their source's 0-based place
+    among the sources, and ``n``, its rows. The order begins with the source, so
+    a source follows those whose first run is in an earlier partition, or
+    earlier in its own."""
+    first = parts.where("__start = 0").select(F.col("source").alias("s"), PART, "__first")
+    before = Window.partitionBy(F.lit(0)).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    opened = first.groupBy(F.col(PART).alias("p")).agg(F.count(F.lit(1)).alias("k")).select(
+        "p", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("earlier"))
+    inside = F.row_number().over(Window.partitionBy(PART).orderBy("__first")) - 1
+    numbers = first.withColumn("inside", inside).join(opened, F.col(PART) == F.col("p")).select(
+        "s", (F.col("earlier") + F.col("inside")).cast("long").alias("grp"))
+    sized = parts.withColumn("n", F.sum("__n").over(Window.partitionBy("source")))
+    return sized.join(maybe_broadcast(numbers, n_sources, 128), F.col("source").eqNullSafe(F.col("s"))).select(
+        "source", PART, "__first", "__start", "grp", "n")
+
+
 def manifest(docs: DataFrame, tampered_text: Column | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, source, lang, n_chars, text; other
     columns play no part, whatever their names): doc_id, source, ``leaf``,
@@ -125,26 +148,23 @@ def manifest(docs: DataFrame, tampered_text: Column | None = None) -> DataFrame:
     and empty texts differ. One source, one document or one row in all is its
     own top. An empty table gives an empty result."""
     other = F.lit(None).cast("string") if tampered_text is None else tampered_text
-    leaves = docs.select("doc_id", "source", leaf().alias("leaf"), F.when(other.isNotNull(), leaf(other)).alias("other"),
-                         F.monotonically_increasing_id().alias("tie"))
+    texts = docs.select(*FIELDS, other.alias("__other"))
+    leaves = texts.select("doc_id", "source", leaf().alias("leaf"), F.when(F.col("__other").isNotNull(), leaf("__other")).alias("other"),
+                          F.monotonically_increasing_id().alias("tie"))
     leaves = written(leaves, "merkle_leaves")
     order = [F.col("source").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("leaf"), F.col("tie")]
-    rows = ordered(leaves, order, "merkle_rows")
+    rows = ordered(leaves, order, "merkle_rows", leaves.count())
     parts = written(runs(rows, ["source"]), "merkle_runs")
     sizes = parts.groupBy("source").agg(F.sum("__n").alias("n"))
-    sources = written(numbered(sizes, [], [F.col("source").asc_nulls_first()], "grp", "merkle_sources"), "merkle_numbers")
-    n_sources, most = sources.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
-
-    numbers = sources.select(F.col("source").alias("s"), "grp", "n")
-    starts = written(parts.join(maybe_broadcast(numbers, n_sources, 128), F.col("source").eqNullSafe(F.col("s")))
-                     .select("source", PART, "__first", "__start", "grp", "n"), "merkle_starts")
-    placed = with_runs(rows, starts, ["source"], starts.count()).select(
+    n_sources, most = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
+    starts = _numbered_runs(parts, n_sources)
+    placed = with_runs(rows, starts, ["source"], parts.count()).select(
         "grp", (F.col("__start") + F.col(AT) - F.col("__first")).alias("pos"), "n", F.col("leaf").alias("hash"), "doc_id", "source", "other")
     below = audit_paths(placed.withColumn("leaf", F.col("hash")), most, ("doc_id", "source", "leaf", "other"))
 
     subroots = below.where("pos = 0").select(F.lit(0).cast("long").alias("grp"), F.col("grp").alias("pos"), F.col("top").alias("hash"),
                                              F.lit(n_sources).cast("long").alias("n"))
-    tops = written(audit_paths(subroots, n_sources), "merkle_tops").select(
+    tops = audit_paths(subroots, n_sources).select(
         F.col("pos").alias("grp"), F.col("path").alias("source_path"), F.col("top").alias("root"))
     width = 200 + 140 * max(1, _levels_of(n_sources))
     return below.withColumnRenamed("top", "subroot").join(maybe_broadcast(tops, n_sources, width), "grp").select(

@@ -14,12 +14,18 @@ from meterline.llm.common import maybe_broadcast, written
 AT = "__at"
 PART = "__part"
 LOCAL_BITS = 33  # monotonically_increasing_id: partition << 33 | place in it
+#: Narrow rows of one partition and file, where the table's size is known.
+PART_ROWS = 20_000
 
 
-def ordered(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+def ordered(df: DataFrame, order: list[Column], label: str, rows: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, written once, plus
-    ``__at``: ascending in that order, gapless inside each partition."""
+    ``__at``: ascending in that order, gapless inside each partition. With
+    ``rows``, the counted size of a table of narrow rows, it has no more
+    partitions, and so files, than these rows need."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows is not None:
+        parts = max(1, min(parts, -(-rows // PART_ROWS)))
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return written(ranged.withColumn(AT, F.monotonically_increasing_id()), label)
 

@@ -3,7 +3,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from meterline.llm import merkle, queries
+from meterline.llm import common, merkle, ordering, queries
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, leaf string, __at long"
 
@@ -109,3 +109,26 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([row(1, "a", "s")], SCHEMA)
     plan = merkle.verify(merkle.manifest(df.select("*"), F.lit(None).cast("string")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_few_intermediate_files(spark, monkeypatch):
+    files = {}
+
+    def spy(df, label):
+        out = common.written(df, label)
+        files[label] = files.get(label, 0) + len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(merkle, "written", spy)
+    monkeypatch.setattr(ordering, "written", spy)
+    rows = [row(i, f"t{i}\n", f"s{i % 5}") for i in range(1500)]
+    assert got(spark, rows, 3) == brute(rows, tamper)
+    # an executor starts processes for every file: 3 tasks of leaves, one small file for each other table
+    assert set(files) == {"merkle_leaves", "merkle_rows", "merkle_runs", "merkle_pass"}
+    assert files["merkle_rows"] == 1 and sum(files.values()) <= 8
+
+
+def test_sources_that_begin_and_end_anywhere_in_a_partition(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "PART_ROWS", 40)
+    rows = [row(i, f"t{i}\n", s) for s, n in ((None, 3), ("", 1), ("a", 130), ("b", 2), ("c", 1), ("d", 90), ("é", 60)) for i in range(n)]
+    assert got(spark, rows, 4) == brute(rows, tamper)
