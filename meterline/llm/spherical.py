@@ -44,7 +44,7 @@ COSINE = 0.93
 #: Classes of a space that are one group without cells; rows of a product of vectors.
 BLOCK = 512
 #: Bytes of doubles of the classes of a group, at most about.
-CELL_BYTES = 32 << 20
+CELL_BYTES = 16 << 20
 #: Cells of one code that a vector is in, by the words that name a cell (mean of random vectors).
 SHARE = (1.0, 2.4, 5.0, 10.0)
 #: Bytes shuffled at a time, if the vectors themselves are fewer; of one task.
@@ -211,7 +211,8 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def _units(x: pa.Array, dim: int) -> np.ndarray:
     """Unit vectors of floats or doubles that come as bytes."""
-    data = b"".join(x.to_pylist())
+    ends = np.frombuffer(x.buffers()[1], np.int64 if pa.types.is_large_binary(x.type) else np.int32)[x.offset:x.offset + len(x) + 1]
+    data = x.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0]))
     v = np.frombuffer(data, np.float64 if len(data) == 8 * dim * len(x) else np.float32).reshape(len(x), dim).astype(np.float64)
     # far from 1 in size, squares of the components over- or underflow
     return _unit(v / np.abs(v).max(1, keepdims=True))
@@ -235,8 +236,8 @@ def _tiles(x: np.ndarray, single: np.ndarray, left: np.ndarray, right: np.ndarra
     same = left is right
     low = cosine - 1e-5 - 1.2e-7 * x.shape[1]  # what single precision may miss by
     for a in range(0, len(left), block):
-        for b in range(a if same else 0, len(right), 8 * block):
-            i, j = left[a:a + block], right[b:b + 8 * block]
+        for b in range(a if same else 0, len(right), 2 * block):
+            i, j = left[a:a + block], right[b:b + 2 * block]
             u, v = np.nonzero(single[i] @ single[j].T >= low)
             u, v = i[u], j[v]
             if same:
